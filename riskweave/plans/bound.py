@@ -227,3 +227,189 @@ def q_collateral_value(spark, d):
 def q_encumbrance_view(spark, d):
     return C.encumbrance_view(bd.liquidity_buffer(spark, d), bd.pledged_collateral(spark, d),
                               bd.fx_rates(spark, d), reporting_currency="NATION_0")
+
+
+# ---- A: load and conform ----------------------------------------------------------
+
+from pyspark.sql.types import (DateType, DecimalType, LongType, StringType,  # noqa: E402
+                               StructField, StructType)
+
+from ..operators import load as A  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import star as D  # noqa: E402
+
+ORDER_SCHEMA = StructType([
+    StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+    StructField("o_orderstatus", StringType()), StructField("o_totalprice", DecimalType(18, 2)),
+    StructField("o_orderdate", DateType()), StructField("o_orderpriority", StringType())])
+
+PARTY_MAPS = {
+    "crm": {"c_custkey": "party_id", "c_name": "party_name", "c_nationkey": "nation_id",
+            "c_acctbal": "balance"},
+    "erp": {"s_suppkey": "party_id", "s_name": "party_name", "s_nationkey": "nation_id",
+            "s_acctbal": "balance"},
+}
+
+# Source asset codes (order priorities) to the core liquidity taxonomy.
+# '5-LOW' is left unmapped on purpose.
+ASSET_TAXONOMY = [
+    ("SRC", "1-URGENT", "HQLA_L1"),
+    ("SRC", "2-HIGH", "HQLA_L1"),
+    ("SRC", "3-MEDIUM", "HQLA_L2A"),
+    ("SRC", "4-NOT SPECIFIED", "HQLA_L2B"),
+]
+
+
+@query("apply_schema")
+def q_apply_schema(spark, d):
+    raw = read_table(spark, d, "orders")
+    landed = raw.select(*[F.col(f.name).cast("string").alias(f.name) for f in ORDER_SCHEMA.fields])
+    return A.apply_schema(landed, ORDER_SCHEMA)
+
+
+@query("append_rows")
+def q_append_rows(spark, d):
+    t = bd.trades(spark, d)
+    return A.append_rows(t.filter(F.col("resolution_status") != B.UNMATCHED),
+                         t.filter(F.col("resolution_status") == B.UNMATCHED), by="name")
+
+
+@query("conform_columns")
+def q_conform_columns(spark, d):
+    df, _unmapped = A.conform_columns(read_table(spark, d, "customer"), PARTY_MAPS["crm"])
+    return df
+
+
+@query("conform_union")
+def q_conform_union(spark, d):
+    return A.conform_union({"crm": read_table(spark, d, "customer"),
+                            "erp": read_table(spark, d, "supplier")}, PARTY_MAPS)
+
+
+MARGIN_CHECKS = {
+    "exposure_below_400k": "base_total_exposure < 400000",
+    "call_fully_agreed": "agreed_amount = base_call_amount",
+}
+
+
+def _quarantine(spark, d):
+    m = bd.collateral_exposure(spark, d).select(
+        "event_id", "counterparty_code", "base_total_exposure", "base_call_amount", "agreed_amount")
+    return Q.quarantine_split(m, MARGIN_CHECKS)
+
+
+@query("quarantine_good")
+def q_quarantine_good(spark, d):
+    return _quarantine(spark, d)[0]
+
+
+@query("quarantine_bad")
+def q_quarantine_bad(spark, d):
+    bad = _quarantine(spark, d)[1]
+    return bad.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
+@query("convert_currency")
+def q_convert_currency(spark, d):
+    return A.convert_currency(bd.liquidity_buffer(spark, d), bd.fx_rates(spark, d), "amount",
+                              "currency", "business_date", reporting="NATION_0")
+
+
+@query("conform_values")
+def q_conform_values(spark, d):
+    mapping = spark.createDataFrame(ASSET_TAXONOMY, "source_system string, source_code string, core_code string")
+    return A.conform_values(bd.pledged_collateral(spark, d), "asset_code", mapping, "source_system")
+
+
+# ---- D: star schema and safe combination ------------------------------------------
+
+@query("star_join")
+def q_star_join(spark, d):
+    dims = [(bd.counterparty(spark, d).select("counterparty_code", "canonical_name", "regulatory_regime"),
+             "counterparty_code", "left"),
+            (bd.date_dim(spark, d).select("trade_date", "month_name"), "trade_date", "inner")]
+    return D.star_join(bd.trades(spark, d), dims,
+                       ["canonical_name", "regulatory_regime", "month_name"])
+
+
+def _sales_parts(spark, d):
+    return [(bd.sales_a(spark, d), {"amount_a": F.sum("amount").cast("decimal(38,2)")}),
+            (bd.sales_b(spark, d), {"amount_b": F.sum("amount").cast("decimal(38,2)"),
+                                    "lines": F.count("*")})]
+
+
+@query("aggregate_then_join")
+def q_aggregate_then_join(spark, d):
+    return D.aggregate_then_join(_sales_parts(spark, d), ["order_id"])
+
+
+@query("grain_check")
+def q_grain_check(spark, d):
+    return D.grain_check(bd.trades(spark, d), ["counterparty_code", "trade_date"])
+
+
+@query("fanout_check")
+def q_fanout_check(spark, d):
+    return D.fanout_check(bd.sales_a(spark, d), bd.sales_b(spark, d), ["order_id"])
+
+
+@query("fanout_total")
+def q_fanout_total(spark, d):
+    return D.fanout_total(bd.sales_a(spark, d), bd.sales_b(spark, d), ["order_id"])
+
+
+@query("orphan_keys")
+def q_orphan_keys(spark, d):
+    return D.orphan_keys(bd.sales_a(spark, d), bd.sales_b(spark, d), "order_id")
+
+
+@query("flat_daily_fact")
+def q_flat_daily_fact(spark, d):
+    t = (bd.trades(spark, d).filter(F.col("resolution_status").isin(*B.MATCHED))
+         .withColumnRenamed("trade_date", "business_date"))
+    m = bd.collateral_exposure(spark, d).withColumn("business_date", F.last_day("as_of_date"))
+    facts = [(t, {"exposure": F.sum("exposure_amount").cast("decimal(38,2)"), "trades": F.count("*")}),
+             (m, {"call_amount": F.sum("base_call_amount").cast("decimal(38,2)"),
+                  "calls": F.count("base_call_amount")})]
+    dims = [(bd.counterparty(spark, d).select("counterparty_code", "canonical_name", "regulatory_regime"),
+             "counterparty_code"),
+            (bd.date_dim(spark, d).select(F.col("trade_date").alias("business_date"), "quarter_name"),
+             "business_date")]
+    return D.flat_daily_fact(facts, ["counterparty_code", "business_date"], dims)
+
+
+@query("reconcile")
+def q_reconcile(spark, d):
+    return D.reconcile(bd.sales_a(spark, d), bd.sales_b(spark, d), ["order_id"], "amount", 0.01)
+
+
+@query("reconcile_summary")
+def q_reconcile_summary(spark, d):
+    r = D.reconcile(bd.sales_a(spark, d), bd.sales_b(spark, d), ["order_id"], "amount", 0.01)
+    return r.groupBy("status").agg(F.count("*").alias("row_count"))
+
+
+# ---- F: quality and freshness --------------------------------------------------------
+
+POSITION_CHECKS = {
+    "market_value_non_negative": "market_value >= 0",
+    "haircut_in_range": "haircut >= 0 AND haircut <= 0.1",
+    "haircut_below_5pct": "haircut < 0.05",
+}
+
+
+@query("check_constraints")
+def q_check_constraints(spark, d):
+    return Q.check_constraints(bd.positions(spark, d), POSITION_CHECKS)
+
+
+@query("row_count_band")
+def q_row_count_band(spark, d):
+    return Q.row_count_band(bd.loads(spark, d), "load_time", by=["product_id"], pct=10.0)
+
+
+@query("freshness")
+def q_freshness(spark, d):
+    f = Q.freshness(bd.loads(spark, d))
+    secs = F.col("first_load").cast("long") - F.col("business_date").cast("timestamp").cast("long")
+    return f.select("product_id", "business_date", secs.alias("first_load_seconds"), "loads", "status")

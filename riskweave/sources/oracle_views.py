@@ -180,6 +180,8 @@ def with_views(names: list[str], body: str) -> str:
             order.append(n)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in order)
     body = body.strip()
+    if not order:
+        return body
     if body[:4].upper() == "WITH" and body[4:5].isspace():
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
