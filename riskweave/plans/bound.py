@@ -413,3 +413,137 @@ def q_freshness(spark, d):
     f = Q.freshness(bd.loads(spark, d))
     secs = F.col("first_load").cast("long") - F.col("business_date").cast("timestamp").cast("long")
     return f.select("product_id", "business_date", secs.alias("first_load_seconds"), "loads", "status")
+
+
+# ---- H: risk measures --------------------------------------------------------------
+
+from ..operators import risk as H  # noqa: E402
+
+N_PATHS = 100            # paths per (netting set, scenario, time) in the path binding
+PFE_LEVEL = 0.95
+VALUATION_DATE = "2024-12-31"
+# Risk weight per tenor bucket and the correlation between buckets.
+RISK_WEIGHTS = [("0-1Y", 0.10), ("1-5Y", 0.08), ("5-10Y", 0.06), ("10Y+", 0.05)]
+BUCKET_RHO = 0.5
+
+
+def _r(c, n=6):
+    return F.round(F.col(c), n).alias(c)
+
+
+def _sens_points(spark, d):
+    return bd.sensitivities(spark, d).select("curve_id", "tenor_y").distinct()
+
+
+@query("interpolate_curve")
+def q_interpolate_curve(spark, d):
+    out = H.interpolate_curve(_sens_points(spark, d), bd.curve_quotes(spark, d))
+    return out.select("curve_id", "tenor_y", _r("spread_bp"))
+
+
+@query("shock_curve")
+def q_shock_curve(spark, d):
+    return H.shock_curve(bd.curve_quotes(spark, d))
+
+
+@query("survival_curve")
+def q_survival_curve(spark, d):
+    s = H.survival_curve(bd.curve_quotes(spark, d), recovery=0.4)
+    return s.select("curve_id", "tenor_y", "spread_bp", _r("hazard", 10), _r("survival", 10))
+
+
+@query("incremental_pd")
+def q_incremental_pd(spark, d):
+    p = H.incremental_pd(H.survival_curve(bd.curve_quotes(spark, d), recovery=0.4))
+    return p.select("curve_id", "tenor_y", _r("survival", 10), _r("dpd", 10))
+
+
+@query("discounted_pv")
+def q_discounted_pv(spark, d):
+    pv = H.discounted_pv(bd.cashflows(spark, d), bd.curve_quotes(spark, d), risk_free=0.04)
+    return pv.select("trade_id", _r("pv", 4))
+
+
+@query("cds_legs")
+def q_cds_legs(spark, d):
+    legs = H.cds_legs(bd.curve_quotes(spark, d), maturity=5, recovery=0.4, risk_free=0.04)
+    return legs.select("curve_id", _r("premium_leg", 8), _r("protection_leg", 8), _r("buyer_value", 8))
+
+
+def _trade_cs01(spark, d):
+    shocked = H.shock_curve(bd.curve_quotes(spark, d)).drop("shift_bp")
+    pv = H.discounted_pv(bd.cashflows(spark, d), shocked, risk_free=0.04, by=["scenario"])
+    return H.cs01(pv)
+
+
+@query("cs01")
+def q_cs01(spark, d):
+    return _trade_cs01(spark, d).select("trade_id", _r("base_value", 4), _r("shocked_value", 4), _r("cs01", 4))
+
+
+@query("aggregate_sensitivity")
+def q_aggregate_sensitivity(spark, d):
+    return H.aggregate_sensitivity(bd.sensitivities(spark, d), ["counterparty_code", "curve_id", "tenor_bucket"])
+
+
+@query("net_exposure")
+def q_net_exposure(spark, d):
+    return H.net_exposure(bd.path_values(spark, d))
+
+
+def _profile(spark, d):
+    return H.exposure_profile(H.net_exposure(bd.path_values(spark, d)), N_PATHS, PFE_LEVEL)
+
+
+@query("exposure_profile")
+def q_exposure_profile(spark, d):
+    return _profile(spark, d).select("netting_set", "scenario", "time_y", _r("ee", 4), _r("pfe", 4),
+                                     "level", _r("peak_pfe", 4))
+
+
+@query("stressed_pfe")
+def q_stressed_pfe(spark, d):
+    s = H.stressed_pfe(_profile(spark, d), VALUATION_DATE)
+    return s.select("netting_set", "time_y", "level", _r("base_pfe", 4), _r("stressed_pfe", 4),
+                    _r("base_ee", 4), _r("stressed_ee", 4), _r("pfe_increase", 4), "valuation_date")
+
+
+def _base_profile_with_curve(spark, d):
+    p = _profile(spark, d).filter(F.col("scenario") == "base")
+    curve = F.concat(F.lit("Brand#"), ((F.col("netting_set").cast("int") % 25) + 1).cast("string"))
+    return p.select("netting_set", curve.alias("curve_id"), "time_y", "ee")
+
+
+@query("cva")
+def q_cva(spark, d):
+    prof = _base_profile_with_curve(spark, d)
+    grid = prof.select("curve_id", F.col("time_y").alias("tenor_y")).distinct()
+    dpd = H.default_probabilities(bd.curve_quotes(spark, d), grid, recovery=0.4)
+    return H.cva(prof, dpd, lgd=0.6, risk_free=0.04).select("netting_set", _r("cva", 4))
+
+
+@query("cva_cs01")
+def q_cva_cs01(spark, d):
+    c = H.cva_cs01(_base_profile_with_curve(spark, d), bd.curve_quotes(spark, d), lgd=0.6, recovery=0.4)
+    return c.select("netting_set", _r("cva_base", 4), _r("cva_shocked", 4), _r("cva_cs01", 4))
+
+
+@query("weighted_capital")
+def q_weighted_capital(spark, d):
+    w = spark.createDataFrame(RISK_WEIGHTS, "tenor_bucket string, risk_weight double")
+    k = H.weighted_capital(bd.sensitivities(spark, d), w, BUCKET_RHO)
+    return k.select("curve_id", _r("ws_total", 6), "factors", _r("bucket_capital", 6))
+
+
+@query("pnl_explain")
+def q_pnl_explain(spark, d):
+    pts = _sens_points(spark, d)
+    shocked = H.shock_curve(bd.curve_quotes(spark, d)).drop("shift_bp")
+    lv = H.interpolate_curve(pts, shocked, by=["scenario"])
+    s = F.col("scenario")
+    moves = (lv.groupBy("curve_id", "tenor_y")
+               .agg((F.sum(F.when(s == "cs_1bp", F.col("spread_bp")))
+                     - F.sum(F.when(s == "base", F.col("spread_bp")))).alias("move_bp")))
+    actual = _trade_cs01(spark, d).select("trade_id", F.col("cs01").alias("pnl"))
+    p = H.pnl_explain(bd.sensitivities(spark, d), moves, actual)
+    return p.select("trade_id", _r("predicted_pnl", 4), _r("actual_pnl", 4), _r("unexplained_pnl", 4))

@@ -117,9 +117,9 @@ SELECT CAST(l_suppkey AS VARCHAR) AS netting_set, CAST(l_orderkey AS VARCHAR) AS
 FROM lineitem""",
     "b_quotes": """
 SELECT p_brand AS curve_id, t.tenor_y,
-       50.0 + t.tenor_y * 10 + CAST(split_part(p_brand, '#', 2) AS INTEGER) AS spread_bp
+       CAST(50.0 AS DOUBLE) + t.tenor_y * 10 + CAST(split_part(p_brand, '#', 2) AS INTEGER) AS spread_bp
 FROM (SELECT DISTINCT p_brand FROM part) b,
-     (SELECT UNNEST([1.0, 3.0, 5.0, 10.0]) AS tenor_y) t""",
+     (SELECT CAST(UNNEST([1, 3, 5, 10]) AS DOUBLE) AS tenor_y) t""",
     "b_sens": """
 SELECT CAST(l.l_orderkey AS VARCHAR) AS trade_id, l.l_linenumber AS line_id,
        CAST(l.l_suppkey AS VARCHAR) AS counterparty_code, p.p_brand AS curve_id,
