@@ -547,3 +547,151 @@ def q_pnl_explain(spark, d):
     actual = _trade_cs01(spark, d).select("trade_id", F.col("cs01").alias("pnl"))
     p = H.pnl_explain(bd.sensitivities(spark, d), moves, actual)
     return p.select("trade_id", _r("predicted_pnl", 4), _r("actual_pnl", 4), _r("unexplained_pnl", 4))
+
+
+# ---- E: semantic layer -----------------------------------------------------------------
+
+from ..operators import governance as G  # noqa: E402
+from ..operators import semantic as E  # noqa: E402
+
+SENS_CONTRACT = {
+    "product_id": "credit_sensitivities",
+    "grain": ["trade_id", "line_id"],
+    "allowed": ["counterparty_code", "curve_id", "tenor_y"],
+    "blocked": ["line_id"],
+    "default_filters": ["cs01 IS NOT NULL"],
+    "measures": [
+        {"name": "cs01", "aggregation": "additive", "safe_aggregation": ["trade_id", "line_id"],
+         "unit": "per bp"},
+    ],
+}
+
+TRADES_CONTRACT = {
+    "product_id": "trades",
+    "grain": ["trade_id"],
+    "allowed": ["source_system", "margin_type", "resolution_status", "counterparty_code", "trade_date"],
+    "blocked": ["booked_name"],
+    "default_filters": ["resolution_status <> 'UNMATCHED'"],
+    "measures": [
+        {"name": "exposure_amount", "aggregation": "additive", "safe_aggregation": ["trade_id"]},
+        {"name": "largest_call", "column": "call_amount", "aggregation": "max"},
+        {"name": "call_ratio", "aggregation": "ratio", "numerator": "call_amount",
+         "denominator": "exposure_amount"},
+    ],
+    "joinable": [{"product_id": "counterparty", "join_on": ["counterparty_code"]}],
+}
+
+
+@query("measure_query")
+def q_measure_query(spark, d):
+    return E.measure_query(bd.sensitivities(spark, d), SENS_CONTRACT, ["cs01"],
+                           by=["counterparty_code", "curve_id"])
+
+
+@query("aggregate_by_rule")
+def q_aggregate_by_rule(spark, d):
+    out = E.measure_query(bd.trades(spark, d), TRADES_CONTRACT,
+                          ["exposure_amount", "largest_call", "call_ratio"], by=["source_system", "margin_type"])
+    return out.select("source_system", "margin_type",
+                      F.col("exposure_amount").cast("decimal(38,2)").alias("exposure_amount"),
+                      "largest_call", F.round("call_ratio", 8).alias("call_ratio"))
+
+
+@query("safe_join")
+def q_safe_join(spark, d):
+    cp = bd.counterparty(spark, d).select("counterparty_code", "canonical_name", "regulatory_regime")
+    return E.safe_join(bd.trades(spark, d), cp, TRADES_CONTRACT, "counterparty")
+
+
+# ---- G: governance tables -------------------------------------------------------------
+
+AS_OF = "2025-06-30"
+
+
+@query("find_canonical_column")
+def q_find_canonical_column(spark, d):
+    return G.find_canonical_column(bd.column_tags(spark, d), "app2", "x_7")
+
+
+@query("find_aliases")
+def q_find_aliases(spark, d):
+    return G.find_aliases(bd.column_tags(spark, d))
+
+
+@query("active_consumers")
+def q_active_consumers(spark, d):
+    return G.active_consumers(bd.consumer_registry(spark, d), AS_OF, 365)
+
+
+@query("stale_consumers")
+def q_stale_consumers(spark, d):
+    return G.stale_consumers(bd.consumer_registry(spark, d), AS_OF, 365)
+
+
+# Sensitivity of each source catalog (app_b holds personal data).
+CATALOG_LABELS = [("app_a", "CONFIDENTIAL", False), ("app_b", "RESTRICTED", True),
+                  ("warehouse", "INTERNAL", False)]
+
+
+def _lineage(spark, d):
+    """Consumers read tables; each consumer feeds a report per user group (two levels)."""
+    log = bd.query_log(spark, d)
+    table = F.concat_ws(".", "table_catalog", "table_name")
+    reads = log.select(F.col("consumer_id").alias("child"), table.alias("parent"))
+    ev = read_table(spark, d, "events").select("user_id")
+    feeds = ev.select(F.concat(F.lit("report_"), (F.col("user_id") % 10).cast("string")).alias("child"),
+                      F.concat(F.lit("k"), F.col("user_id").cast("string")).alias("parent"))
+    return reads.unionByName(feeds)
+
+
+def _labels(spark, d):
+    lab = spark.createDataFrame(CATALOG_LABELS, "table_catalog string, sensitivity string, pii boolean")
+    tables = bd.query_log(spark, d).select("table_catalog", "table_name").distinct()
+    return (tables.join(lab, "table_catalog")
+                  .select(F.concat_ws(".", "table_catalog", "table_name").alias("product_id"),
+                          "sensitivity", "pii"))
+
+
+@query("inherit_classification")
+def q_inherit_classification(spark, d):
+    return G.inherit_classification(_lineage(spark, d), _labels(spark, d))
+
+
+@query("lineage_diff")
+def q_lineage_diff(spark, d):
+    """Declared = what a consumer read in its first days; observed = its last days."""
+    log = bd.query_log(spark, d)
+    table = F.concat_ws(".", "table_catalog", "table_name")
+    pairs = log.select(F.col("consumer_id").alias("product_id"), table.alias("upstream"), "read_time")
+    declared = pairs.filter(F.col("read_time") < F.lit("2024-01-04").cast("timestamp"))
+    observed = pairs.filter(F.col("read_time") >= F.lit("2024-01-27").cast("timestamp"))
+    return G.lineage_diff(declared, observed)
+
+
+@query("consumer_coverage")
+def q_consumer_coverage(spark, d):
+    log = bd.query_log(spark, d)
+    ev = read_table(spark, d, "events").select("user_id", "event_type")
+    cid = F.concat(F.lit("k"), F.col("user_id").cast("string")).alias("consumer_id")
+    src = {"registry": ev.filter(F.col("event_type") == "signup").select(cid),
+           "query_log": log.select("consumer_id"),
+           "subscriptions": ev.filter(F.col("event_type") == "purchase").select(cid),
+           "group_members": ev.filter(F.col("event_type") == "view").select(cid)}
+    return G.consumer_coverage(src)
+
+
+@query("direct_access")
+def q_direct_access(spark, d):
+    out = G.direct_access(bd.query_log(spark, d), "warehouse")
+    return out.withColumn("last_read", F.date_format("last_read", "yyyy-MM-dd HH:mm:ss"))
+
+
+# ---- D7 (needs the exposure profile) ----------------------------------------------------
+
+@query("counterparty_summary")
+def q_counterparty_summary(spark, d):
+    exp = bd.collateral_exposure(spark, d).select(
+        "counterparty_code", F.col("base_total_exposure").alias("exposure_amount"))
+    pfe = (_profile(spark, d).filter(F.col("scenario") == "base")
+           .select(F.col("netting_set").alias("counterparty_code"), F.round("pfe", 4).alias("pfe")))
+    return D.counterparty_summary(exp, pfe, bd.counterparty(spark, d))
