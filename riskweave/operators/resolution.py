@@ -156,6 +156,14 @@ def fuzzy_candidates(names: DataFrame, variants: DataFrame, max_distance: int =
                   .withColumn("probe_key", name_key("booked_name")))
     vkeys = (variants.select(name_key("variant_name").alias("variant_key"), "counterparty_code")
                      .distinct())
+    exact = None
+    if k == 1:
+        # With k = 1 a name that has an exact key hit keeps only distance-0 candidates,
+        # so the edit-distance search runs on the remaining names only.
+        exact = (probe.join(vkeys, probe["probe_key"] == vkeys["variant_key"])
+                      .select("booked_name", "probe_key", "variant_key", "counterparty_code",
+                              F.lit(0).cast("bigint").alias("distance")))
+        probe = probe.join(exact.select("booked_name").distinct(), "booked_name", "left_anti")
     p_del = probe.select("booked_name", "probe_key",
                          F.explode(_deletion_neighbourhood(F.col("probe_key"), max_distance)).alias("_del"))
     v_del = vkeys.select("variant_key", "counterparty_code",
@@ -165,6 +173,8 @@ def fuzzy_candidates(names: DataFrame, variants: DataFrame, max_distance: int =
                   .distinct()
                   .withColumn("distance", F.levenshtein("probe_key", "variant_key").cast("bigint"))
                   .filter(F.col("distance") <= max_distance))
+    if exact is not None:
+        pairs = pairs.unionByName(exact)
     w = Window.partitionBy("booked_name").orderBy("distance")
     ranked = pairs.withColumn("match_rank", F.dense_rank().over(w).cast("bigint")).filter(F.col("match_rank") <= k)
     per_name = Window.partitionBy("booked_name")
