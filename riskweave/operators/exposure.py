@@ -26,7 +26,7 @@ def exposure_by_counterparty(trades: DataFrame, dim: DataFrame,
                                  "threshold_amount"), "counterparty_code")
     return (j.groupBy("canonical_name", "regulatory_regime", "threshold_amount")
              .agg(F.sum("_x").cast("decimal(38,2)").alias(label), F.sum("_n").alias("trade_count"))
-             .orderBy(F.col(label).desc()))
+             .orderBy(F.col(label).desc(), "canonical_name"))
 
 
 def known_exposure(fact: DataFrame, codes=None) -> DataFrame:

@@ -34,12 +34,25 @@ def append_rows(table: DataFrame, rows: DataFrame, by: str = "name") -> DataFram
 
 
 def materialize(df: DataFrame, path: str, if_absent: bool = True, partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> None:
+                fmt: str = "parquet", bucket_by: tuple[int, list[str]] | None = None,
+                table: str | None = None) -> None:
     """A3: write a derived table. ``if_absent`` keeps an existing table untouched
-    (CREATE TABLE IF NOT EXISTS ... AS: a second call does not refresh it)."""
+    (CREATE TABLE IF NOT EXISTS ... AS: a second call does not refresh it).
+
+    ``partition_by`` (e.g. a month column) lets later date filters prune files;
+    ``bucket_by=(n, keys)`` with ``table`` writes a bucketed catalog table so
+    later joins and aggregations on those keys read co-partitioned data without
+    a shuffle.
+    """
     w = df.write.mode("ignore" if if_absent else "overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        if not table:
+            raise ValueError("bucketing needs a catalog table name")
+        n, keys = bucket_by
+        w.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+        return
     w.save(path)
 
 

@@ -187,7 +187,7 @@ def exceptions_queue(trades: DataFrame) -> DataFrame:
                   .select("trade_id", "trade_date", "booked_name", "source_system",
                           "exposure_amount", "call_amount",
                           F.lit(ACTION_INVESTIGATE).alias("action_required"))
-                  .orderBy(F.col("exposure_amount").desc()))
+                  .orderBy(F.col("exposure_amount").desc(), "trade_id"))
 
 
 def unmatched_by_name(trades: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def unmatched_by_name(trades: DataFrame) -> DataFrame:
                   .groupBy("booked_name")
                   .agg(F.count("*").alias("trade_count"),
                        money_sum("exposure_amount").alias("total_exposure"))
-                  .orderBy(F.col("total_exposure").desc()))
+                  .orderBy(F.col("total_exposure").desc(), "booked_name"))
 
 
 def resolution_breakdown(trades: DataFrame) -> DataFrame:

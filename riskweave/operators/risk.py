@@ -157,7 +157,10 @@ def exposure_profile(net: DataFrame, n_paths: int, level: float = 0.95) -> DataF
     g = ["netting_set", "scenario", "time_y"]
     agg = net.groupBy(*g).agg(F.collect_list(F.col("exposure").cast("double")).alias("_v"),
                               F.sum("exposure").alias("_sum"))
-    pad = F.array_repeat(F.lit(0.0), F.greatest(F.lit(n_paths) - F.size("_v"), F.lit(0)))
+    # more values than paths means the input was not netted per path (H9): fail loudly
+    agg = agg.withColumn("_v", F.when(F.size("_v") <= n_paths, F.col("_v")).otherwise(
+        F.raise_error(F.lit(f"more than {n_paths} values in one exposure group; net per path first"))))
+    pad = F.array_repeat(F.lit(0.0), F.lit(n_paths) - F.size("_v"))
     vals = F.array_sort(F.concat("_v", pad))
     pos = F.lit(level * (n_paths - 1))
     lo_i, hi_i = F.floor(pos).cast("int"), F.ceil(pos).cast("int")

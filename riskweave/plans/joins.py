@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Largest row count we hint as a broadcast. Larger sides take a shuffle join;
 # adaptive execution may still switch to broadcast from measured sizes.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

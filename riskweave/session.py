@@ -20,6 +20,8 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256MB",
+    # AQE merges small shuffle partitions up to this size; start high, let it coalesce
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -62,3 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20, minimum: int = 200) -> int:
+    """Initial shuffle partition count for an expected shuffle volume.
+
+    At 100 TB a join or aggregation may shuffle tens of TB; ~256 MB per task
+    keeps each partition within executor memory (AQE then coalesces small ones).
+    """
+    return max(minimum, -(-shuffle_bytes // target_bytes))
