@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 TAG_COLUMNS = ("table_catalog", "table_schema", "table_name", "column_name")
 
 # Order of sensitivity labels, least to most restrictive.
@@ -77,6 +79,7 @@ def inherit_classification(lineage: DataFrame, labels: DataFrame, max_depth: int
     round. The plan is cut with ``checkpoint()`` (reliable, in spark.checkpoint.dir)
     each round by default, so a round never recomputes the earlier ones.
     """
+    ensure_checkpoint_dir(lineage.sparkSession)
     edges = lineage.select("child", "parent").distinct()
     own = labels.select(F.col("product_id"), _rank(F.col("sensitivity")).alias("rank"),
                         F.col("pii").cast("boolean").alias("pii"))

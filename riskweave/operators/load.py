@@ -81,12 +81,12 @@ def convert_currency(df: DataFrame, fx: DataFrame, amount: str, ccy: str, on_dat
     """Amount x rate for (currency, business date); the native amount is kept.
 
     The reporting currency itself converts at 1. A missing rate gives NULL and
-    ``fx_missing``. The rate table (currencies x dates) is broadcast only when
-    it is proven small; otherwise it is a shuffle join.
+    ``fx_missing``. The rate table (currencies x dates) is left to AQE, which
+    broadcasts it from its measured size or else uses a skew-aware shuffle join.
     """
     rates = fx.select(F.col("currency").alias("_ccy"), F.col("business_date").alias("_d"),
                       F.col("rate").alias("_rate"))
-    j = df.join(bounded_broadcast(rates),
+    j = df.join(rates,
                 (F.col(ccy) == F.col("_ccy")) & (F.col(on_date) == F.col("_d")), "left")
     rate = F.when(F.col(ccy) == reporting, F.lit(1).cast("decimal(10,4)")).otherwise(F.col("_rate"))
     return (j.withColumn(out, (F.col(amount) * rate).cast("decimal(38,6)"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import money_sum, name_key, pct, ratio
-from ..plans.joins import bounded_broadcast
 
 # Fixed values of the reference's resolution statuses.
 MATCHED_ORIGINAL = "MATCHED_ORIGINAL"
@@ -224,7 +223,8 @@ def resolution_trend(trades: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.sum(F.when(matched, amt).otherwise(0)).alias("x_matched"),
         F.sum(F.when(unmatched, amt).otherwise(0)).alias("x_lost"),
         F.sum(amt).alias("x_total"))
-    dates = bounded_broadcast(dim_date.select("trade_date", "month_name", "month_number", "year_number"))
+    # the date dimension is one row per date; AQE broadcasts it from its measured size
+    dates = dim_date.select("trade_date", "month_name", "month_number", "year_number")
     j = per_date.join(dates, "trade_date")
     m = j.groupBy("month_name", "month_number", "year_number").agg(
         F.sum("n_total").alias("total_trades"), F.sum("n_matched").alias("matched_trades"),

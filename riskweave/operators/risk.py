@@ -38,13 +38,12 @@ def interpolate_curve(points: DataFrame, quotes: DataFrame, tenor: str = "tenor_
     """H1: spread at any tenor, linear between neighbouring quotes, flat outside.
 
     An equi-join on the curve (segments are few per curve and broadcast when
-    proven small) plus a range predicate picks the one covering segment: never
+    measured small by AQE) plus a range predicate picks the one covering segment: never
     a bare range join. ``by`` carries extra curve keys such as a scenario; each
     point then gets one value per scenario.
     """
     seg = (curve_segments(quotes, by)
            .withColumnsRenamed({"curve_id": "_cid", "tenor_y": "_t_lo", "spread_bp": "_s_lo"}))
-    seg = bounded_broadcast(seg)
     t = F.col(tenor).cast("double")
     cover = ((t >= F.col("_t_lo")) & (F.col("t_hi").isNull() | (t < F.col("t_hi")))) | \
             (F.col("is_first") & (t < F.col("_t_lo")))
@@ -91,6 +90,20 @@ def discounted_pv(cashflows: DataFrame, quotes: DataFrame, risk_free: float = 0.
               .agg(F.sum(F.col("amount").cast("double") * df).alias("pv")))
 
 
+def discounted_pv_by_scenario(cashflows: DataFrame, quotes: DataFrame, scenarios: list[str],
+                              risk_free: float = 0.04) -> DataFrame:
+    """H5 for several curve scenarios at once, one column ``pv_<scenario>`` each.
+
+    The scenario split is a conditional sum inside one aggregation on trade_id,
+    so the cash flows cross the network once (partially aggregated), instead of
+    a shuffle on (trade, scenario) followed by another on trade.
+    """
+    cf = interpolate_curve(cashflows, quotes, tenor="time_y", out="_s", by=["scenario"])
+    term = F.col("amount").cast("double") * F.pow(F.lit(1.0 + risk_free) + F.col("_s") / 10000.0, -F.col("time_y"))
+    return cf.groupBy("trade_id").agg(
+        *[F.sum(F.when(F.col("scenario") == s, term)).alias(f"pv_{s}") for s in scenarios])
+
+
 def cds_legs(quotes: DataFrame, maturity: int = 5, recovery: float = 0.4,
              risk_free: float = 0.04) -> DataFrame:
     """H6: per curve, a CDS with annual payments to ``maturity`` paying the curve's
@@ -195,7 +208,7 @@ def cva(profile: DataFrame, dpd: DataFrame, lgd: float = 0.6, risk_free: float =
     """
     keys = ["curve_id", *(by or [])]
     p = dpd.select(*keys, F.col("tenor_y").alias("time_y"), "dpd")
-    j = profile.join(bounded_broadcast(p), ["curve_id", "time_y"])
+    j = profile.join(p, ["curve_id", "time_y"])
     dfac = F.pow(F.lit(1.0 + risk_free), -F.col("time_y"))
     return (j.groupBy("netting_set", *(by or []))
              .agg(F.sum(F.col("ee") * F.col("dpd") * lgd * dfac).alias("cva")))
@@ -235,12 +248,25 @@ def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float, bucket: st
     return k.select(bucket, "ws_total", "factors", F.sqrt(F.greatest(k2, F.lit(0.0))).alias("bucket_capital"))
 
 
-def pnl_explain(sens: DataFrame, moves: DataFrame, actual: DataFrame, key: str = "trade_id") -> DataFrame:
+def factor_moves(points: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Spread move (bp) between two curve sets at each point's (curve, tenor): two
+    interpolations against broadcast curve segments, so the points never shuffle."""
+    p = interpolate_curve(points, before, out="_s0")
+    p = interpolate_curve(p, after, out="_s1")
+    return p.withColumn("move_bp", F.col("_s1") - F.col("_s0")).drop("_s0", "_s1")
+
+
+def pnl_explain(sens: DataFrame, moves: DataFrame | None, actual: DataFrame, key: str = "trade_id") -> DataFrame:
     """Predicted P&L = sum(sensitivity x factor move) per trade; unexplained =
     actual - predicted. ``actual`` is summed to the trade first (D2), so it never
-    multiplies with the sensitivity rows."""
-    pred = (sens.join(moves, ["curve_id", "tenor_y"])
-                .groupBy(key).agg(F.sum(F.col("cs01") * F.col("move_bp")).alias("predicted_pnl")))
+    multiplies with the sensitivity rows.
+
+    ``moves`` is a (curve_id, tenor_y, move_bp) table, or None when ``sens``
+    already carries ``move_bp`` (see ``factor_moves``).
+    """
+    if moves is not None:
+        sens = sens.join(moves, ["curve_id", "tenor_y"])
+    pred = sens.groupBy(key).agg(F.sum(F.col("cs01") * F.col("move_bp")).alias("predicted_pnl"))
     act = actual.groupBy(key).agg(F.sum("pnl").alias("actual_pnl"))
     j = pred.join(act, key, "full")
     return j.withColumn("unexplained_pnl",

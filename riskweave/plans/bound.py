@@ -471,9 +471,12 @@ def q_cds_legs(spark, d):
 
 
 def _trade_cs01(spark, d):
+    """H7 over H5 under the base and +1bp curves (H2), both scenarios in one aggregation."""
     shocked = H.shock_curve(bd.curve_quotes(spark, d)).drop("shift_bp")
-    pv = H.discounted_pv(bd.cashflows(spark, d), shocked, risk_free=0.04, by=["scenario"])
-    return H.cs01(pv)
+    pv = H.discounted_pv_by_scenario(bd.cashflows(spark, d), shocked, ["base", "cs_1bp"], risk_free=0.04)
+    return pv.select("trade_id", F.col("pv_base").alias("base_value"),
+                     F.col("pv_cs_1bp").alias("shocked_value"),
+                     (F.col("pv_cs_1bp") - F.col("pv_base")).alias("cs01"))
 
 
 @query("cs01")
@@ -537,15 +540,11 @@ def q_weighted_capital(spark, d):
 
 @query("pnl_explain")
 def q_pnl_explain(spark, d):
-    pts = _sens_points(spark, d)
-    shocked = H.shock_curve(bd.curve_quotes(spark, d)).drop("shift_bp")
-    lv = H.interpolate_curve(pts, shocked, by=["scenario"])
-    s = F.col("scenario")
-    moves = (lv.groupBy("curve_id", "tenor_y")
-               .agg((F.sum(F.when(s == "cs_1bp", F.col("spread_bp")))
-                     - F.sum(F.when(s == "base", F.col("spread_bp")))).alias("move_bp")))
+    quotes = bd.curve_quotes(spark, d)
+    shifted = H.shock_curve(quotes, (("cs_1bp", 1.0),)).drop("shift_bp", "scenario")
+    sens = H.factor_moves(bd.sensitivities(spark, d), quotes, shifted)
     actual = _trade_cs01(spark, d).select("trade_id", F.col("cs01").alias("pnl"))
-    p = H.pnl_explain(bd.sensitivities(spark, d), moves, actual)
+    p = H.pnl_explain(sens, None, actual)
     return p.select("trade_id", _r("predicted_pnl", 4), _r("actual_pnl", 4), _r("unexplained_pnl", 4))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import resolution as B
+from ..session import ensure_checkpoint_dir
 
 
 def resolve_stream(trades: DataFrame, variants: DataFrame) -> DataFrame:
@@ -51,10 +52,7 @@ def start_query(df: DataFrame, name: str, sink: str = "memory", mode: str = "app
     """Start a streaming query whose checkpoint lives under the session's shared
     ``spark.checkpoint.dir`` (never a machine-local folder), so a restarted
     driver or lost executor resumes from the committed offsets and state."""
-    spark = df.sparkSession
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set")
+    root = ensure_checkpoint_dir(df.sparkSession)
     w = (df.writeStream.queryName(name).outputMode(mode).format(sink)
            .option("checkpointLocation", os.path.join(root, "streams", name)))
     if path:

@@ -46,3 +46,12 @@ def test_summary_joins_fact_sides_without_reshuffle(spark):
     # known and hidden are each aggregated on (code, date); the left join between
     # them must not add a third exchange on those keys
     assert plan.count("hashpartitioning(counterparty_code") <= 6
+
+
+@pytest.mark.parametrize("name", ["exposure_before_resolution", "resolution_trend", "hidden_exposure",
+                                  "parent_rollup", "exposure_trend"])
+def test_fact_is_partially_aggregated_before_its_first_shuffle(spark, name):
+    """A hot counterparty must be reduced map-side: the scan side of the first
+    exchange over the fact carries a partial aggregate."""
+    plan = _plan(REGISTRY[name](spark, SF_SMALL))
+    assert "partial_sum" in plan or "partial_count" in plan
