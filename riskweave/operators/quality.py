@@ -61,6 +61,12 @@ def row_count_band(df: DataFrame, date_col: str, by: list[str] | None = None,
          .otherwise(F.lit("OK")))
 
 
+def seconds_of_day(c: str):
+    """Whole seconds since local midnight; independent of the session time zone."""
+    t = F.col(c)
+    return (F.hour(t) * 3600 + F.minute(t) * 60 + F.floor(F.second(t))).cast("bigint")
+
+
 def freshness(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8,
               utc_offset_hours: int = -5) -> DataFrame:
     """per product and local day, the first load and its SLA status.
@@ -77,9 +83,9 @@ def freshness(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8,
                                              F.max("business_date").alias("_hi"))
     cal = span.select("product_id", F.explode(F.sequence("_lo", "_hi")).alias("business_date"))
     j = cal.join(per_day, ["product_id", "business_date"], "left")
-    secs = F.col("first_load").cast("long") - F.col("business_date").cast("timestamp").cast("long")
+    secs = seconds_of_day("first_load")
     return j.select(
-        "product_id", "business_date", "first_load",
+        "product_id", "business_date", "first_load", secs.alias("first_load_seconds"),
         F.coalesce("loads", F.lit(0).cast("bigint")).alias("loads"),
         F.when(F.col("first_load").isNull(), F.lit("MISSING"))
          .when(secs <= sla_hour * 3600, F.lit("ON_TIME"))

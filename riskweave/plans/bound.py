@@ -411,8 +411,7 @@ def q_row_count_band(spark, d):
 @query("freshness")
 def q_freshness(spark, d):
     f = Q.freshness(bd.loads(spark, d))
-    secs = F.col("first_load").cast("long") - F.col("business_date").cast("timestamp").cast("long")
-    return f.select("product_id", "business_date", secs.alias("first_load_seconds"), "loads", "status")
+    return f.select("product_id", "business_date", "first_load_seconds", "loads", "status")
 
 
 # ---- H: risk measures --------------------------------------------------------------
@@ -662,8 +661,8 @@ def q_lineage_diff(spark, d):
     log = bd.query_log(spark, d)
     table = F.concat_ws(".", "table_catalog", "table_name")
     pairs = log.select(F.col("consumer_id").alias("product_id"), table.alias("upstream"), "read_time")
-    declared = pairs.filter(F.col("read_time") < F.lit("2024-01-04").cast("timestamp"))
-    observed = pairs.filter(F.col("read_time") >= F.lit("2024-01-27").cast("timestamp"))
+    declared = pairs.filter(F.col("read_time") < F.lit("2024-01-04 00:00:00").cast("timestamp_ntz"))
+    observed = pairs.filter(F.col("read_time") >= F.lit("2024-01-27 00:00:00").cast("timestamp_ntz"))
     return G.lineage_diff(declared, observed)
 
 

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from .tables import read_table
 
+# Timestamps stay TIMESTAMP_NTZ as stored (wall-clock), so no result depends on
+# the session time zone.
+
 MONEY = "decimal(18,2)"
 STATUS_ORIGINAL = "MATCHED_ORIGINAL"
 STATUS_RESOLVED = "MATCHED_RESOLVED"
@@ -340,7 +343,7 @@ def loads(spark: SparkSession, d: str) -> DataFrame:
     """b_loads: each event is a load of the product named by its type."""
     e = read_table(spark, d, "events").select("event_id", "event_type", "ts")
     return e.select(F.col("event_type").alias("product_id"),
-                    F.col("ts").cast("timestamp").alias("load_time"),
+                    F.col("ts").alias("load_time"),
                     F.col("event_id").alias("load_id"))
 
 
@@ -397,7 +400,7 @@ def query_log(spark: SparkSession, d: str) -> DataFrame:
         F.when(et == "error", F.lit("app_a")).when(et == "signup", F.lit("app_b"))
          .otherwise(F.lit("warehouse")).alias("table_catalog"),
         F.concat(F.lit("t_"), et).alias("table_name"),
-        F.col("ts").cast("timestamp").alias("read_time"))
+        F.col("ts").alias("read_time"))
 
 
 def sales_a(spark: SparkSession, d: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import resolution as B
+from ..operators.quality import seconds_of_day
 from ..session import ensure_checkpoint_dir
 
 
@@ -38,7 +39,7 @@ def freshness_stream(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8,
                     .withWatermark("_t", watermark)
                     .groupBy("product_id", F.window("_t", "1 day").alias("_day"))
                     .agg(F.min("_t").alias("first_load"), F.count("*").alias("loads")))
-    secs = F.col("first_load").cast("long") - F.col("_day.start").cast("long")
+    secs = seconds_of_day("first_load")
     return per_day.select(
         "product_id", F.col("_day.start").cast("date").alias("business_date"),
         secs.alias("first_load_seconds"), "loads",
