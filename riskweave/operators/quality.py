@@ -61,9 +61,9 @@ def row_count_band(df: DataFrame, date_col: str, by: list[str] | None = None,
          .otherwise(F.lit("OK")))
 
 
-def seconds_of_day(c: str):
+def seconds_of_day(c):
     """Whole seconds since local midnight; independent of the session time zone."""
-    t = F.col(c)
+    t = F.col(c) if isinstance(c, str) else c
     return (F.hour(t) * 3600 + F.minute(t) * 60 + F.floor(F.second(t))).cast("bigint")
 
 

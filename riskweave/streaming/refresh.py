@@ -34,14 +34,19 @@ def freshness_stream(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8,
     A day with no load at all produces no event, so MISSING is reported by the
     batch ``quality.freshness`` over the landed table, not here.
     """
-    local = F.col("load_time") + F.make_dt_interval(hours=F.lit(utc_offset_hours))
-    per_day = (loads.select("product_id", local.alias("_t"))
+    local = F.col("load_time").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(utc_offset_hours))
+    # Watermarks need TIMESTAMP: encode the local wall clock as the instant with the
+    # same UTC wall clock, so day windows (aligned on UTC) are local days whatever
+    # the session time zone is.
+    epoch = F.unix_date(local.cast("date")).cast("long") * 86400 + seconds_of_day(local)
+    per_day = (loads.select("product_id", F.timestamp_seconds(epoch).alias("_t"))
                     .withWatermark("_t", watermark)
                     .groupBy("product_id", F.window("_t", "1 day").alias("_day"))
                     .agg(F.min("_t").alias("first_load"), F.count("*").alias("loads")))
-    secs = seconds_of_day("first_load")
+    start = F.unix_seconds(F.col("_day.start"))
+    secs = F.unix_seconds(F.col("first_load")) - start
     return per_day.select(
-        "product_id", F.col("_day.start").cast("date").alias("business_date"),
+        "product_id", F.date_from_unix_date((start / 86400).cast("int")).alias("business_date"),
         secs.alias("first_load_seconds"), "loads",
         F.when(secs <= sla_hour * 3600, F.lit("ON_TIME"))
          .when(secs <= alert_hour * 3600, F.lit("LATE"))

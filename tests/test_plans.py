@@ -55,3 +55,17 @@ def test_fact_is_partially_aggregated_before_its_first_shuffle(spark, name):
     exchange over the fact carries a partial aggregate."""
     plan = _plan(REGISTRY[name](spark, SF_SMALL))
     assert "partial_sum" in plan or "partial_count" in plan
+
+
+@pytest.mark.parametrize("name", ["freshness", "row_count_band", "lineage_diff", "direct_access",
+                                  "resolution_trend", "exposure_trend", "collateral_value"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    def rows():
+        return sorted(map(tuple, REGISTRY[name](spark, SF_SMALL).collect()), key=repr)
+    base = rows()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = rows()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == other
