@@ -254,11 +254,10 @@ def _orders_by_nation(spark: SparkSession, d: str) -> DataFrame:
 def fx_rates(spark: SparkSession, d: str) -> DataFrame:
     """b_fx: a rate per (currency, month end) where business exists; nations >= 20 have none."""
     j = _orders_by_nation(spark, d).filter(F.col("n_nationkey") < 20)
-    return (j.select(F.col("n_name").alias("currency"),
-                     _month_end("o_orderdate").alias("business_date"),
-                     ((F.col("n_nationkey") + 100).cast("decimal(10,2)") * F.lit(0.01).cast("decimal(3,2)"))
-                     .cast("decimal(10,4)").alias("rate"))
-             .distinct())
+    rate = ((F.col("n_nationkey") + 100).cast("decimal(10,2)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(10,4)")
+    # one rate per (currency, date): grouped on the join keys, so the FX join reuses this exchange
+    return (j.groupBy(F.col("n_name").alias("currency"), _month_end("o_orderdate").alias("business_date"))
+             .agg(F.max(rate).alias("rate")))
 
 
 def liquidity_buffer(spark: SparkSession, d: str) -> DataFrame:
