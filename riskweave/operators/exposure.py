@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import (NEW_BREACH, WORSENED, breach_status, money_sum, ratio,
                                  resolution_impact, round_double)
-from .resolution import MATCHED_ORIGINAL, MATCHED_RESOLVED
+from .resolution import MATCHED_ORIGINAL
 
 
 def exposure_by_counterparty(trades: DataFrame, dim: DataFrame,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import money_sum, name_key, pct, ratio
+from ..functions.columns import money_sum, name_key, pct
 
 # Fixed values of the reference's resolution statuses.
 MATCHED_ORIGINAL = "MATCHED_ORIGINAL"

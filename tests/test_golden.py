@@ -113,7 +113,6 @@ def test_fuzzy_candidates_match_brute_force(spark):
         got = {(r.booked_name, r.counterparty_code, r.distance)
                for r in B.fuzzy_candidates(names, v, max_distance=d, k=1).collect()}
         # brute force: all pairs, best distance per name
-        import itertools  # noqa: F401
         pairs = (names.crossJoin(v)  # fixture-sized brute force only
                       .select("booked_name", "counterparty_code",
                               F.levenshtein(name_key("booked_name"), name_key("variant_name")).alias("d"))
