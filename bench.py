@@ -40,7 +40,7 @@ def main() -> None:
     if names == ["all"]:
         names = sorted(REGISTRY)
     spark = build_session(f"local[{cpus}]", app="riskweave-bench",
-                          shuffle_partitions=int(cpus) * 2,
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
     def run(name: str) -> float:
