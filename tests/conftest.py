@@ -15,7 +15,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from riskweave.session import build_session
     s = build_session("local[4]", app="riskweave-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="rw-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="rw-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="rw-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
