@@ -151,6 +151,20 @@ def aggregate_sensitivity(sens: DataFrame, by: list[str], value: str = "cs01") -
                                F.count("*").alias("positions"))
 
 
+def sensitivity_hierarchy(sens: DataFrame, levels: list[str], value: str = "cs01") -> DataFrame:
+    """H8 with subtotals: net sensitivity at every prefix of ``levels`` plus the grand
+    total (SQL ROLLUP), tagged by ``grouping_id``.
+
+    The fact is reduced to the finest grain first, so the rollup's row expansion
+    (one copy per level) runs on aggregated rows, not on the sensitivity fact.
+    """
+    df = sens.withColumn("tenor_bucket", tenor_bucket("tenor_y")) if "tenor_bucket" in levels else sens
+    fine = df.groupBy(*levels).agg(F.sum(value).alias("_net"), F.count("*").alias("_n"))
+    return (fine.rollup(*levels)
+                .agg(F.sum("_net").alias("net_cs01"), F.sum("_n").alias("positions"),
+                     F.grouping_id().cast("int").alias("rollup_level")))
+
+
 def net_exposure(values: DataFrame) -> DataFrame:
     """H9: max(sum of values, 0) per netting set, scenario, path and time (net, then floor)."""
     return (values.groupBy("netting_set", "scenario", "path_id", "time_y")

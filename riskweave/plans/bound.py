@@ -488,6 +488,11 @@ def q_aggregate_sensitivity(spark, d):
     return H.aggregate_sensitivity(bd.sensitivities(spark, d), ["counterparty_code", "curve_id", "tenor_bucket"])
 
 
+@query("sensitivity_hierarchy")
+def q_sensitivity_hierarchy(spark, d):
+    return H.sensitivity_hierarchy(bd.sensitivities(spark, d), ["counterparty_code", "curve_id", "tenor_bucket"])
+
+
 @query("net_exposure")
 def q_net_exposure(spark, d):
     return H.net_exposure(bd.path_values(spark, d))
