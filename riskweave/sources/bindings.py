@@ -413,3 +413,26 @@ def sales_b(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_id"),
         money("l_extendedprice").alias("amount"))
+
+
+VIEW_BUILDERS = {
+    "trades": trades, "counterparty": counterparty, "counterparty_legal": counterparty_legal,
+    "date_dim": date_dim, "name_variants": name_variants, "collateral_exposure": collateral_exposure,
+    "known_exposure_fact": known_exposure_fact, "anomaly_exposure": anomaly_exposure,
+    "legal_entity": legal_entity, "facility_limits": facility_limits, "fx_rates": fx_rates,
+    "liquidity_buffer": liquidity_buffer, "pledged_collateral": pledged_collateral,
+    "path_values": path_values, "curve_quotes": curve_quotes, "sensitivities": sensitivities,
+    "cashflows": cashflows, "loads": loads, "column_tags": column_tags,
+    "consumer_registry": consumer_registry, "positions": positions, "query_log": query_log,
+    "sales_a": sales_a, "sales_b": sales_b,
+}
+
+
+def register_views(spark: SparkSession, d: str, prefix: str = "") -> list[str]:
+    """Register every binding as a temporary view, so the risk tables can also be
+    queried with Spark SQL text (the views are lazy; nothing is computed here)."""
+    names = []
+    for name, build in VIEW_BUILDERS.items():
+        build(spark, d).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
