@@ -321,3 +321,13 @@ def test_weighted_capital_closed_form_matches_pairs(spark):
     rho = 0.3
     k2 = sum(a * b * (1.0 if i == j else rho) for i, a in enumerate(ws) for j, b in enumerate(ws))
     assert H.weighted_capital(s, w, rho).collect()[0].bucket_capital == pytest.approx(k2 ** 0.5)
+
+
+def test_quarantine_write_splits_in_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "id int, x double")
+    p = str(tmp_path / "q")
+    Q.quarantine_write(df, {"pos": "x > 0", "small": "x < 3"}, p)
+    back = spark.read.parquet(p)
+    good = sorted(r.id for r in back.filter("NOT quarantined").collect())
+    bad = {r.id: r.failed_rules for r in back.filter("quarantined").collect()}
+    assert good == [3] and bad == {1: ["small"], 2: ["pos"]}
