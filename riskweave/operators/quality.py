@@ -36,13 +36,13 @@ def quarantine_split(df: DataFrame, checks: dict[str, str]) -> tuple[DataFrame,
 
 def quarantine_write(df: DataFrame, checks: dict[str, str], path: str, mode: str = "errorifexists") -> None:
     """A6 in one pass: every row is tagged once and written once, partitioned by
-    ``quarantined``; ``path/quarantined=false`` holds the good rows and
-    ``path/quarantined=true`` the bad ones with ``failed_rules``. No second scan of
+    ``quarantine``; ``path/quarantine=good`` holds the good rows and
+    ``path/quarantine=bad`` the bad ones with ``failed_rules``. No second scan of
     the input and nothing cached."""
     failed = F.array_compact(F.array(*[F.when(_fails(p), F.lit(n)) for n, p in checks.items()]))
     (df.withColumn("failed_rules", failed)
-       .withColumn("quarantined", F.size("failed_rules") > 0)
-       .write.mode(mode).partitionBy("quarantined").parquet(path))
+       .withColumn("quarantine", F.when(F.size("failed_rules") > 0, F.lit("bad")).otherwise(F.lit("good")))
+       .write.mode(mode).partitionBy("quarantine").parquet(path))
 
 
 def row_count_band(df: DataFrame, date_col: str, by: list[str] | None = None,

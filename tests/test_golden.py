@@ -328,6 +328,6 @@ def test_quarantine_write_splits_in_one_pass(spark, tmp_path):
     p = str(tmp_path / "q")
     Q.quarantine_write(df, {"pos": "x > 0", "small": "x < 3"}, p)
     back = spark.read.parquet(p)
-    good = sorted(r.id for r in back.filter("NOT quarantined").collect())
-    bad = {r.id: r.failed_rules for r in back.filter("quarantined").collect()}
+    good = sorted(r.id for r in back.filter("quarantine = 'good'").collect())
+    bad = {r.id: r.failed_rules for r in back.filter("quarantine = 'bad'").collect()}
     assert good == [3] and bad == {1: ["small"], 2: ["pos"]}
