@@ -17,7 +17,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     even when the side turns out to be big. Beyond the bound the plain
     DataFrame is returned and the join shuffles (sort-merge, skew-split by AQE).
     """
-    n = df.limit(max_rows + 1).count()
+    if df.isLocal():
+        # rows built on the driver (a literal parameter table): counted there, no job
+        n = len(df.limit(max_rows + 1).collect())
+    else:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
