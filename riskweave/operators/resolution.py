@@ -95,8 +95,15 @@ def _variant_lookup(variants: DataFrame, key_col: Column) -> DataFrame:
                          F.collect_set(F.when(F.col("is_canonical"), F.col("variant_name"))).alias("_canon")))
 
 
-def _resolve(trades: DataFrame, variants: DataFrame, probe: Column, key_col: Column) -> DataFrame:
-    lk = _variant_lookup(variants, key_col)
+def variant_lookup(variants: DataFrame, normalised: bool = False) -> DataFrame:
+    """The lookup B6 (exact names) or B7 (``normalised`` keys) joins against: one row
+    per spelling/key. Build it once and persist it when it is reused (streams)."""
+    return _variant_lookup(variants, name_key("variant_name") if normalised else F.col("variant_name"))
+
+
+def _resolve(trades: DataFrame, variants: DataFrame, probe: Column, key_col: Column | None,
+             lookup: DataFrame | None = None) -> DataFrame:
+    lk = lookup if lookup is not None else _variant_lookup(variants, key_col)
     j = trades.join(lk, probe == F.col("_k"), "left")
     single = F.col("_codes") == 1
     canonical = F.array_contains(F.col("_canon"), F.col("booked_name"))
@@ -110,6 +117,12 @@ def _resolve(trades: DataFrame, variants: DataFrame, probe: Column, key_col: Col
                     F.coalesce(F.col("_codes") > 1, F.lit(False)).alias("is_ambiguous"))
 
 
+def resolve_with_lookup(trades: DataFrame, lookup: DataFrame, normalised: bool = False) -> DataFrame:
+    """B6/B7 against a prebuilt ``variant_lookup``."""
+    probe = name_key("booked_name") if normalised else F.col("booked_name")
+    return _resolve(trades, None, probe, None, lookup)
+
+
 def resolve_by_variant(trades: DataFrame, variants: DataFrame) -> DataFrame:
     """Exact lookup of the booked name in the variant table.
 

@@ -15,8 +15,13 @@ from ..session import ensure_checkpoint_dir
 
 def resolve_stream(trades: DataFrame, variants: DataFrame) -> DataFrame:
     """B6 on a stream: each micro-batch of trades is looked up in the (static)
-    variant table with a stream-static left join; no state is kept."""
-    return B.resolve_by_variant(trades, variants)
+    variant table with a stream-static left join; no state is kept.
+
+    The lookup (one row per spelling) is built once and persisted, so micro-batches
+    do not re-aggregate the variant table; a lost executor recomputes it from lineage.
+    """
+    lookup = B.variant_lookup(variants).persist()
+    return B.resolve_with_lookup(trades, lookup)
 
 
 def resolution_breakdown_stream(trades: DataFrame) -> DataFrame:
