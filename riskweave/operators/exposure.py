@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import (NEW_BREACH, WORSENED, breach_status, money_sum, ratio,
                                  resolution_impact, round_double)
+from .load import conform_values
 from .resolution import MATCHED_ORIGINAL
 
 
@@ -171,27 +172,37 @@ def collateral_value(positions: DataFrame) -> DataFrame:
 
 
 def encumbrance_view(buffer: DataFrame, pledged: DataFrame, fx: DataFrame,
-                     reporting_currency: str = "USD") -> DataFrame:
+                     reporting_currency: str = "USD", taxonomy: DataFrame | None = None) -> DataFrame:
     """Per business date and currency: liquidity buffer, pledged collateral and the
     free remainder, in native and reporting currency.
 
     Both inputs are summed to the common grain first (no fan-out), then one full
     outer join; the rate comes from a join on (currency, date) and a missing rate
-    leaves the reporting amounts NULL with ``fx_missing`` set.
+    leaves the reporting amounts NULL with ``fx_missing`` set. With a ``taxonomy``
+    the pledged asset codes are conformed first (A8) and the pledged amount whose
+    code has no core mapping is reported as ``pledged_unmapped``.
     """
     g = ["business_date", "currency"]
-    b = buffer.groupBy(*g).agg(F.sum("amount").cast("decimal(38,2)").alias("buffer_amount"))
-    p = pledged.groupBy(*g).agg(F.sum("amount").cast("decimal(38,2)").alias("pledged_amount"))
     zero = F.lit(0).cast("decimal(38,2)")
+    b = buffer.groupBy(*g).agg(F.sum("amount").cast("decimal(38,2)").alias("buffer_amount"))
+    if taxonomy is not None:
+        pledged = conform_values(pledged, "asset_code", taxonomy, "source_system")
+        unmapped = F.when(F.col("unmapped"), F.col("amount")).otherwise(F.lit(0))
+    else:
+        unmapped = F.lit(None).cast("decimal(18,2)")
+    p = pledged.groupBy(*g).agg(F.sum("amount").cast("decimal(38,2)").alias("pledged_amount"),
+                                F.sum(unmapped).cast("decimal(38,2)").alias("pledged_unmapped"))
     j = b.join(p, g, "full").select(
         *g, F.coalesce("buffer_amount", zero).alias("buffer_amount"),
-        F.coalesce("pledged_amount", zero).alias("pledged_amount"))
+        F.coalesce("pledged_amount", zero).alias("pledged_amount"),
+        (F.coalesce("pledged_unmapped", zero) if taxonomy is not None else F.col("pledged_unmapped"))
+        .alias("pledged_unmapped"))
     j = j.withColumn("free_amount", (F.col("buffer_amount") - F.col("pledged_amount")).cast("decimal(38,2)"))
     rates = fx.select(F.col("currency"), F.col("business_date"), F.col("rate"))
     j = j.join(rates, g, "left")
     rate = F.when(F.col("currency") == reporting_currency, F.lit(1).cast("decimal(10,4)")).otherwise(F.col("rate"))
     rep = lambda c: (F.col(c) * rate).cast("decimal(38,6)")
-    return j.select(*g, "buffer_amount", "pledged_amount", "free_amount",
+    return j.select(*g, "buffer_amount", "pledged_amount", "pledged_unmapped", "free_amount",
                     rep("buffer_amount").alias("buffer_reporting"),
                     rep("pledged_amount").alias("pledged_reporting"),
                     rep("free_amount").alias("free_reporting"),

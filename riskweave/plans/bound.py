@@ -13,12 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import exposure as C
+from ..operators import quality as Q
 from ..operators import resolution as B
 from ..sources import bindings as bd
 from ..sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Source asset codes (order priorities) to the core liquidity taxonomy.
+# '5-LOW' is left unmapped on purpose.
+ASSET_TAXONOMY = [
+    ("SRC", "1-URGENT", "HQLA_L1"),
+    ("SRC", "2-HIGH", "HQLA_L1"),
+    ("SRC", "3-MEDIUM", "HQLA_L2A"),
+    ("SRC", "4-NOT SPECIFIED", "HQLA_L2B"),
+]
+
 
 def query(name: str):
     def deco(fn):
@@ -223,10 +233,28 @@ def q_collateral_value(spark, d):
     return C.collateral_value(bd.positions(spark, d))
 
 
+def _encumbrance(spark, d):
+    taxonomy = spark.createDataFrame(ASSET_TAXONOMY, "source_system string, source_code string, core_code string")
+    return C.encumbrance_view(bd.liquidity_buffer(spark, d), bd.pledged_collateral(spark, d),
+                              bd.fx_rates(spark, d), reporting_currency="NATION_0", taxonomy=taxonomy)
+
+
 @query("encumbrance_view")
 def q_encumbrance_view(spark, d):
-    return C.encumbrance_view(bd.liquidity_buffer(spark, d), bd.pledged_collateral(spark, d),
-                              bd.fx_rates(spark, d), reporting_currency="NATION_0")
+    return _encumbrance(spark, d)
+
+
+ENCUMBRANCE_CHECKS = {
+    "amounts_non_negative": "buffer_amount >= 0 AND pledged_amount >= 0",
+    "pledged_within_buffer": "pledged_amount <= buffer_amount",
+    "reporting_rate_present": "NOT fx_missing",
+}
+
+
+@query("encumbrance_checks")
+def q_encumbrance_checks(spark, d):
+    """F1 on C12: the contract's checks on the encumbrance view, one pass."""
+    return Q.check_constraints(_encumbrance(spark, d), ENCUMBRANCE_CHECKS)
 
 
 # ---- A: load and conform ----------------------------------------------------------
@@ -235,7 +263,6 @@ from pyspark.sql.types import (DateType, DecimalType, LongType, StringType,  # n
                                StructField, StructType)
 
 from ..operators import load as A  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
 from ..operators import star as D  # noqa: E402
 
 ORDER_SCHEMA = StructType([
@@ -250,14 +277,6 @@ PARTY_MAPS = {
             "s_acctbal": "balance"},
 }
 
-# Source asset codes (order priorities) to the core liquidity taxonomy.
-# '5-LOW' is left unmapped on purpose.
-ASSET_TAXONOMY = [
-    ("SRC", "1-URGENT", "HQLA_L1"),
-    ("SRC", "2-HIGH", "HQLA_L1"),
-    ("SRC", "3-MEDIUM", "HQLA_L2A"),
-    ("SRC", "4-NOT SPECIFIED", "HQLA_L2B"),
-]
 
 
 @query("apply_schema")
