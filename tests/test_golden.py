@@ -331,3 +331,59 @@ def test_quarantine_write_splits_in_one_pass(spark, tmp_path):
     good = sorted(r.id for r in back.filter("quarantine = 'good'").collect())
     bad = {r.id: r.failed_rules for r in back.filter("quarantine = 'bad'").collect()}
     assert good == [3] and bad == {1: ["small"], 2: ["pos"]}
+
+
+def test_bond_pv_at_risk_free_plus_spread(spark):
+    # 5y annual 5% bond, flat 100 bp spread over 4% -> discounted at 5% -> par
+    cf = spark.createDataFrame([("bond", "c", float(t), _d(105 if t == 5 else 5)) for t in range(1, 6)],
+                               "trade_id string, curve_id string, time_y double, amount decimal(18,2)")
+    q = spark.createDataFrame([("c", 1.0, 100.0), ("c", 10.0, 100.0)], S.CURVE_QUOTES)
+    assert H.discounted_pv(cf, q, risk_free=0.04).collect()[0].pv == pytest.approx(100.0, abs=1e-9)
+
+
+def test_cds_at_its_own_spread_is_near_zero(spark):
+    q = spark.createDataFrame([("c", 1.0, 100.0), ("c", 5.0, 100.0)], S.CURVE_QUOTES)
+    r = H.cds_legs(q, maturity=5, recovery=0.4, risk_free=0.04).collect()[0]
+    assert r.premium_leg > 0 and r.protection_leg > 0
+    assert abs(r.buyer_value) < 0.05 * r.premium_leg
+
+
+def test_stressed_pfe_side_by_side(spark):
+    prof = spark.createDataFrame([("ns", "base", 1.0, 10.0, 20.0, 0.95), ("ns", "stressed", 1.0, 15.0, 35.0, 0.95)],
+                                 "netting_set string, scenario string, time_y double, ee double, pfe double, "
+                                 "level double")
+    r = H.stressed_pfe(prof, "2026-04-30").collect()[0]
+    assert (r.base_pfe, r.stressed_pfe, r.pfe_increase, str(r.valuation_date)) == (20.0, 35.0, 15.0, "2026-04-30")
+
+
+def test_exposure_trend_labels(spark):
+    import datetime as dt
+    rows = [("A", dt.date(2026, 4, d), _d(x)) for d, x in ((15, 33.2), (30, 44.8))] + \
+           [("A", dt.date(2026, 5, 15), _d(38.6)), ("A", dt.date(2026, 5, 30), _d(38.6))]
+    df = spark.createDataFrame(rows, "counterparty_code string, as_of_date date, base_total_exposure decimal(18,2)")
+    got = [r.direction for r in C.exposure_trend(df).orderBy("as_of_date").collect()]
+    assert got == [None, "UP", "DOWN", "FLAT"]
+
+
+def test_fanout_and_reconcile(spark):
+    a = spark.createDataFrame([(1, _d(10)), (2, _d(5)), (3, _d(7))], "order_id int, amount decimal(18,2)")
+    b = spark.createDataFrame([(1, _d(4)), (1, _d(6)), (2, _d(4)), (4, _d(1))], "order_id int, amount decimal(18,2)")
+    f = {r.order_id: (r.right_rows, r.joined_rows) for r in D.fanout_check(a, b, ["order_id"]).collect()}
+    assert f == {1: (2, 2)}
+    t = D.fanout_total(a, b, ["order_id"]).collect()[0]
+    assert (t.left_rows, t.joined_rows, t.multiplying_keys) == (3, 3, 1)
+    st = {r.order_id: r.status for r in D.reconcile(a, b, ["order_id"], "amount", 0.5).collect()}
+    assert st == {1: "EQUAL", 2: "DIFFERS", 3: "ONLY_IN_A", 4: "ONLY_IN_B"}
+
+
+def test_currency_conversion_missing_rate(spark):
+    import datetime as dt
+    d = dt.date(2026, 4, 30)
+    df = spark.createDataFrame([("USD", d, _d(100)), ("CAD", d, _d(100)), ("EUR", d, _d(100))],
+                               "ccy string, business_date date, amount decimal(18,2)")
+    fx = spark.createDataFrame([("CAD", d, _d("0.7300"))], "currency string, business_date date, rate decimal(10,4)")
+    got = {r.ccy: (r.amount_reporting, r.fx_missing)
+           for r in A.convert_currency(df, fx, "amount", "ccy", "business_date", "USD").collect()}
+    assert got["USD"] == (_d("100.000000"), False)
+    assert got["CAD"] == (_d("73.000000"), False)
+    assert got["EUR"] == (None, True)
