@@ -120,17 +120,19 @@ def lineage_diff(declared: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def consumer_coverage(sources: dict[str, DataFrame], registry_source: str = "registry",
-                      log_source: str = "query_log") -> DataFrame:
-    """Per consumer, which tracking sources know it, and whether it is seen in the
-    query log without being registered. One union, one group-by."""
+                      log_source: str = "query_log",
+                      keys: tuple[str, ...] = ("product_id", "consumer_id")) -> DataFrame:
+    """Per product and consumer, which tracking sources know it, and whether it is
+    seen in the query log without being registered. One union, one group-by (partial
+    aggregation absorbs a hot consumer or product)."""
     names = list(sources)
-    parts = [df.select("consumer_id").distinct()
-               .select("consumer_id", *[F.lit(1 if n == name else 0).alias(f"in_{n}") for n in names])
+    parts = [df.select(*keys)
+               .select(*keys, *[F.lit(1 if n == name else 0).alias(f"in_{n}") for n in names])
              for name, df in sources.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    g = u.groupBy("consumer_id").agg(*[(F.max(f"in_{n}") == 1).alias(f"in_{n}") for n in names])
+    g = u.groupBy(*keys).agg(*[(F.max(f"in_{n}") == 1).alias(f"in_{n}") for n in names])
     count = sum(F.col(f"in_{n}").cast("int") for n in names)
     return (g.withColumn("sources", count)
              .withColumn("unregistered", F.col(f"in_{log_source}") & ~F.col(f"in_{registry_source}")))

@@ -692,13 +692,18 @@ def q_lineage_diff(spark, d):
 
 @query("consumer_coverage")
 def q_consumer_coverage(spark, d):
-    log = bd.query_log(spark, d)
+    """Products are the catalogs of the query-log binding; registrations are signups,
+    subscriptions purchases and group memberships views, each mapped the same way."""
+    log = bd.query_log(spark, d).select(F.col("table_catalog").alias("product_id"), "consumer_id")
     ev = read_table(spark, d, "events").select("user_id", "event_type")
+    et = F.col("event_type")
+    product = (F.when(et == "error", F.lit("app_a")).when(et == "signup", F.lit("app_b"))
+                .otherwise(F.lit("warehouse")).alias("product_id"))
     cid = F.concat(F.lit("k"), F.col("user_id").cast("string")).alias("consumer_id")
-    src = {"registry": ev.filter(F.col("event_type") == "signup").select(cid),
-           "query_log": log.select("consumer_id"),
-           "subscriptions": ev.filter(F.col("event_type") == "purchase").select(cid),
-           "group_members": ev.filter(F.col("event_type") == "view").select(cid)}
+    src = {"registry": ev.filter(et == "signup").select(product, cid),
+           "query_log": log,
+           "subscriptions": ev.filter(et == "purchase").select(product, cid),
+           "group_members": ev.filter(et == "view").select(product, cid)}
     return G.consumer_coverage(src)
 
 
