@@ -98,11 +98,12 @@ def counterparty(spark: SparkSession, d: str) -> DataFrame:
 
 
 def counterparty_legal(spark: SparkSession, d: str) -> DataFrame:
-    """Second counterparty form: legal name and principal threshold."""
-    return counterparty(spark, d).select(
-        "counterparty_code",
-        F.col("canonical_name").alias("counterparty_legal_name"),
-        F.col("threshold_amount").alias("threshold_principal"))
+    """Second counterparty form: legal name and principal threshold (customer only;
+    it needs no nation or region join)."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name")
+    return c.select(_key("c_custkey").alias("counterparty_code"),
+                    F.col("c_name").alias("counterparty_legal_name"),
+                    F.lit(CP_THRESHOLD).cast(MONEY).alias("threshold_principal"))
 
 
 def date_dim(spark: SparkSession, d: str) -> DataFrame:

@@ -30,6 +30,10 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS counterparty_code, c.c_name AS canonical_
        concat_ws(' ', c.c_name, translate(c.c_name, '#', ' '), c.c_mktsegment) AS entity_search_field
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "b_counterparty_legal": """
+SELECT CAST(c_custkey AS VARCHAR) AS counterparty_code, c_name AS counterparty_legal_name,
+       CAST(500000 AS DECIMAL(18,2)) AS threshold_principal
+FROM customer""",
     "b_date": """
 SELECT trade_date, monthname(trade_date) AS month_name, CAST(month(trade_date) AS INTEGER) AS month_number,
        'Q' || CAST(quarter(trade_date) AS VARCHAR) || '-' || CAST(year(trade_date) AS VARCHAR) AS quarter_name,
