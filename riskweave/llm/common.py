@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python path, once per Spark context (as ``--py-files`` would)."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(sc, "_shipped_package", None):
+        return
+    path = Path(tempfile.mkdtemp(prefix="py-files-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._shipped_package = str(path)
+
+
 def pick(df: DataFrame, **cols: str) -> DataFrame:
     """Only the named columns, under fixed names, so that extra columns cannot clash."""
     return df.select(*[F.col(f"`{c}`").alias(k) for k, c in cols.items()])

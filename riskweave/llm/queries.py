@@ -3,9 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.tables import read_table
-from . import html, quality, warc
+from ..sources import tables
+from . import html, packing, quality, secrets, warc
+from .common import ship_package
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return tables.read_table(spark, sf_dir, name)
+
+
+def op1_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"),
+                        F.sha2(secrets.spans_text("base"), 256).alias("base_sha256"),
+                        secrets.spans_text("spans").alias("spans"))
 
 
 def op3_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +38,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "removed_words")
 
 
-REGISTRY = {f.__name__: f for f in (op3_zip_warc, op4_block_rules, op5_quality_rules)}
+def op9_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+REGISTRY = {f.__name__: f for f in (
+    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op9_residual_packing)}
 ORACLE: dict[str, str] = {}
