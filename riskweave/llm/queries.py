@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import html, packing, quality, secrets, warc
+from . import html, packing, quality, secrets, suffix, warc
 from .common import ship_package
 
 
@@ -38,10 +38,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "removed_words")
 
 
+def op8_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op9_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op9_residual_packing)}
+    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op8_suffix_radix, op9_residual_packing)}
 ORACLE: dict[str, str] = {}
