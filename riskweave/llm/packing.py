@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ CAPACITY = 2048
 END_ID = 0
 ITEMS_PER_TASK = 50_000
 FULL_SLACK = 8
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
+SLICE = 12 << 20
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -37,38 +39,59 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
 DDL = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, open boolean")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter for each byte that byte-level vocabularies use: itself, or the next from U+0100 on."""
+    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in keep)
+    return {b: chr(b) for b in keep} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
 class WordIds:
     """Token ids by white-space word, each distinct word tokenized once.
 
     The tokenizer drops white space before it splits, so the ids of a text are those
     of its words in order. Only space and line feed part words here; any other white
-    space stays inside and is the tokenizer's business.
+    space stays inside and is the tokenizer's business. A word of Latin letters alone,
+    or with one stop or comma after them, needs of the tokenizer's steps only lower
+    case, byte letters and the model; the others go through the whole tokenizer.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), cache_words
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.marks = {m: self._whole(m) for m in ".,"}
         self._clear()
 
+    def _whole(self, word: str) -> tuple[int, ...]:
+        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
     def _clear(self) -> None:
         self.slot: dict[str, int] = {}
+        self.stems: dict[str, tuple[int, ...]] = {}
         self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
         self.at, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
 
+    def _ids(self, word: str) -> tuple[int, ...]:
+        stem, mark = (word, "") if word[-1:] not in self.marks else (word[:-1], word[-1])
+        if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0100"):
+            return self._whole(word)
+        stem = stem.lower()
+        ids = self.stems.get(stem)
+        if ids is None:
+            text = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
+            ids = self.stems[stem] = tuple(t.id for t in self.model.tokenize(text))
+        return ids + self.marks[mark] if mark else ids
+
     def _learn(self, words: list[str]) -> None:
-        """Tokenize new words in one call, parted by spaces; a token belongs to the word it starts in."""
-        starts = np.zeros(len(words), np.int64)
-        np.cumsum([len(w) + 1 for w in words[:-1]], out=starts[1:])
-        got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(got.ids, np.int32)
-        first = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
-        n = np.bincount(np.searchsorted(starts, first, "right") - 1, minlength=len(words))
-        k, total = len(self.slot), self.n_ids + len(ids)
+        found = [self._ids(w) for w in words]
+        n = np.fromiter(map(len, found), np.int32, len(found))
+        k, total = len(self.slot), self.n_ids + int(n.sum())
         while total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while k + len(words) > len(self.at):
             self.at, self.n = np.concatenate([self.at, np.zeros_like(self.at)]), np.concatenate([self.n, np.zeros_like(self.n)])
-        self.ids[self.n_ids:total] = ids
+        self.ids[self.n_ids:total] = np.fromiter(chain.from_iterable(found), np.int32, total - self.n_ids)
         self.n[k:k + len(words)] = n
         self.at[k:k + len(words)] = self.n_ids + np.cumsum(n) - n
         self.n_ids = total
@@ -137,7 +160,7 @@ def _bin_id(level: int, k: np.ndarray | int) -> np.ndarray | int:
 def _cut_and_pack(path: str, capacity: int, end_id: int, slack: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tails, used = word_ids(path), [], 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids, at = encoder.encode(column(batch, "text"))
             docs = column(batch, "doc_id").to_pylist()
             full = []
