@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import html, packing, quality, secrets, suffix, warc
+from . import html, minhash, packing, quality, secrets, suffix, warc
 from .common import ship_package
 
 
@@ -46,6 +46,11 @@ def op9_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op8_suffix_radix, op9_residual_packing)}
+    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op8_suffix_radix, op9_residual_packing,
+    op10_prob_minhash)}
 ORACLE: dict[str, str] = {}
