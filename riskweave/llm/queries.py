@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import html, minhash, packing, quality, secrets, suffix, warc
+from . import html, minhash, packing, quality, secrets, suffix, toxicity, warc
 from .common import ship_package
 
 
@@ -38,6 +38,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "removed_words")
 
 
+def op6_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_digest(read_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,6 @@ def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op8_suffix_radix, op9_residual_packing,
+    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op6_boosted_toxicity, op8_suffix_radix, op9_residual_packing,
     op10_prob_minhash)}
 ORACLE: dict[str, str] = {}
