@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import html, minhash, packing, quality, secrets, suffix, toxicity, warc
+from . import hamming, html, minhash, packing, quality, secrets, suffix, toxicity, warc
 from .common import ship_package
 
 
@@ -23,6 +23,10 @@ def op1_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.spans_text("spans").alias("spans"))
 
 
+def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.embeddings_top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(warc.write_warc(read_table(spark, sf_dir, "pages"))).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,6 +59,18 @@ def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_battery, op3_zip_warc, op4_block_rules, op5_quality_rules, op6_boosted_toxicity, op8_suffix_radix, op9_residual_packing,
+    op1_secret_battery, op2_multi_index_hashing, op3_zip_warc, op4_block_rules, op5_quality_rules, op6_boosted_toxicity, op8_suffix_radix, op9_residual_packing,
     op10_prob_minhash)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_multi_index_hashing": """
+        WITH pairs AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   len(list_filter(list_zip(q.embedding, v.embedding),
+                                   lambda p: coalesce(p[1] > 0, false) <> coalesce(p[2] > 0, false))) AS distance
+            FROM embeddings q JOIN embeddings v ON q.embedding IS NOT NULL AND v.embedding IS NOT NULL
+            WHERE q.vec_id % 50 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+        FROM ranked WHERE rank <= 10""",
+}
