@@ -15,7 +15,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, pick, slices, write_table
+from .words import IdStore, split_codes
 
 CAPACITY = 2048
 END_ID = 0
@@ -46,7 +46,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
-class WordIds:
+class WordIds(IdStore):
     """Token ids by white-space word, each distinct word tokenized once.
 
     The tokenizer drops white space before it splits, so the ids of a text are those
@@ -58,19 +58,20 @@ class WordIds:
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
-        self.tokenizer, self.limit = Tokenizer.from_file(path), cache_words
+        self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.marks = {m: self._whole(m) for m in ".,"}
-        self._clear()
+        super().__init__(cache_words)
 
     def _whole(self, word: str) -> tuple[int, ...]:
         return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def _clear(self) -> None:
-        self.slot: dict[str, int] = {}
+    def clear(self) -> None:
+        super().clear()
         self.stems: dict[str, tuple[int, ...]] = {}
-        self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
-        self.at, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+
+    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
+        return [self._ids(w) for w in words]
 
     def _ids(self, word: str) -> tuple[int, ...]:
         stem, mark = (word, "") if word[-1:] not in self.marks else (word[:-1], word[-1])
@@ -83,41 +84,10 @@ class WordIds:
             ids = self.stems[stem] = tuple(t.id for t in self.model.tokenize(text))
         return ids + self.marks[mark] if mark else ids
 
-    def _learn(self, words: list[str]) -> None:
-        found = [self._ids(w) for w in words]
-        n = np.fromiter(map(len, found), np.int32, len(found))
-        k, total = len(self.slot), self.n_ids + int(n.sum())
-        while total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while k + len(words) > len(self.at):
-            self.at, self.n = np.concatenate([self.at, np.zeros_like(self.at)]), np.concatenate([self.n, np.zeros_like(self.n)])
-        self.ids[self.n_ids:total] = np.fromiter(chain.from_iterable(found), np.int32, total - self.n_ids)
-        self.n[k:k + len(words)] = n
-        self.at[k:k + len(words)] = self.n_ids + np.cumsum(n) - n
-        self.n_ids = total
-        self.slot.update(zip(words, range(k, k + len(words)), strict=True))
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of an Arrow array of texts; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = parts.flatten().dictionary_encode()
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.combine_chunks()
-        words = coded.dictionary.to_pylist()
-        if len(self.slot) > self.limit:
-            self._clear()
-        new = [w for w in words if w not in self.slot]
-        if new:
-            self._learn(new)
-        slot = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
-        codes = slot[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.int64)
-        n = self.n[codes].astype(np.int64)
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.at[codes] - (ends - n), n) + np.arange(total)]
-        row = np.asarray(parts.offsets, np.int64) - parts.offsets[0].as_py()
-        return ids, np.concatenate([[0], ends])[row]
+        return self.lookup(*split_codes(pc.replace_substring(texts, "\n", " "), " "))
 
 
 @lru_cache(maxsize=2)

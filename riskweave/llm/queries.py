@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import hamming, html, minhash, packing, quality, secrets, suffix, toxicity, warc
+from . import hamming, html, minhash, packing, quality, secrets, spm, suffix, toxicity, warc
 from .common import ship_package
 
 
@@ -46,6 +46,12 @@ def op6_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = spm.decode(spm.encode(read_table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+                        F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"))
+
+
 def op8_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_digest(read_table(spark, sf_dir, "documents"))
 
@@ -59,8 +65,8 @@ def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_secret_battery, op2_multi_index_hashing, op3_zip_warc, op4_block_rules, op5_quality_rules, op6_boosted_toxicity, op8_suffix_radix, op9_residual_packing,
-    op10_prob_minhash)}
+    op1_secret_battery, op2_multi_index_hashing, op3_zip_warc, op4_block_rules, op5_quality_rules,
+    op6_boosted_toxicity, op7_piece_viterbi, op8_suffix_radix, op9_residual_packing, op10_prob_minhash)}
 ORACLE: dict[str, str] = {
     "op2_multi_index_hashing": """
         WITH pairs AS (
