@@ -8,8 +8,7 @@ Defined results: a null text is empty; a null host counts as the host ``''``;
 documents of one host with equal texts count once, so that a group of copies
 does not turn its own text into boilerplate; only lines of at most
 ``max_line_words`` words can be boilerplate (whole repeated paragraphs are the
-duplicate operators' work); rows with an equal doc_id get one verdict, made of
-their rows together in the counts of lines (doc_id is meant to be a key).
+duplicate operators' work); rows with equal doc_ids are judged row by row.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ WINDOW = 8
 MAX_LINE_WORDS = 30
 LIMIT_SHARE = 0.01
 LIMIT_DOCS = 10
-MAX_REMOVED_SHARE = 0.7
+MAX_REMOVED_SHARE = 0.5
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -109,8 +108,7 @@ def _stats(batches: Iterator[pa.RecordBatch], max_line_words: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([
             column(batch, "doc_id"), column(batch, "host"), pa.array(n_words),
             pa.array(per_row((raw & 0xC0 != 0x80) & ~SPACE[raw], off)), pa.array(per_row(SYMBOLS[raw], off)),
-            pa.array(dup, pa.int64()), pa.array(n_repeat.astype(np.int64)),
-            pa.array([_signed(xxhash.xxh3_64_intdigest(t)) for t in texts], pa.int64()),
+            pa.array(dup, pa.int64()), pa.array(n_repeat.astype(np.int64)), column(batch, "text_hash"),
             pa.array(lines, pa.list_(pa.struct([("h", pa.int64()), ("words", pa.int64())]))),
         ], names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                   "text_hash", "lines"])
@@ -118,8 +116,9 @@ def _stats(batches: Iterator[pa.RecordBatch], max_line_words: int) -> Iterator[p
 
 def text_stats(docs: DataFrame, max_line_words: int = MAX_LINE_WORDS) -> DataFrame:
     """Base counts and the hashed short lines of each document (``STATS``); one narrow pass over the texts."""
-    src = pick(docs, doc_id="doc_id", host="source", text="text").withColumn(
-        "host", F.coalesce(F.col("host").cast("string"), F.lit(""))).withColumn("doc_id", F.col("doc_id").cast("long"))
+    src = pick(docs, doc_id="doc_id", host="source", text="text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("host").cast("string"), F.lit("")).alias("host"),
+        "text", F.xxhash64("text").alias("text_hash"))
     return src.mapInArrow(lambda it: _stats(it, max_line_words), STATS)
 
 
@@ -138,19 +137,19 @@ def quality_rules(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_pct
     """One row per document: base counts, removed lines, ``base_failed`` and ``kept``.
 
     A document is depleted if its frequent lines hold more than ``max_removed_share``
-    of its words, or removing them leaves fewer than ``min_words`` words.
+    of its words.
     """
-    stats = write_table(text_stats(docs, max_line_words), "line-stats")
+    # the row number is written with the row, and so is the same whenever it is read
+    stats = write_table(text_stats(docs, max_line_words).withColumn("row", F.monotonically_increasing_id()), "line-stats")
     bad = write_table(frequent_lines(stats, limit_share, limit_docs), "frequent-lines")
-    hits = (stats.select("doc_id", "host", F.explode("lines").alias("l"))
-            .select("doc_id", "host", F.col("l.h").alias("h"), F.col("l.words").alias("words"))
+    hits = (stats.select("row", "host", F.explode("lines").alias("l"))
+            .select("row", "host", F.col("l.h").alias("h"), F.col("l.words").alias("words"))
             .join(bad.select("host", "h"), ["host", "h"])
-            .groupBy("doc_id").agg(F.sum("words").alias("removed_words"), F.collect_set("h").alias("removed_lines")))
-    out = stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").join(
-        hits, "doc_id", "left")
+            .groupBy("row").agg(F.sum("words").alias("removed_words"), F.collect_set("h").alias("removed_lines")))
+    out = stats.select("row", "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                       "n_repeat_words").join(hits, "row", "left").drop("row")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
-    left = F.col("n_words") - F.col("removed_words")
-    depleted = (left < min_words) | (F.col("removed_words") > max_removed_share * F.col("n_words"))
+    depleted = F.col("removed_words") > max_removed_share * F.col("n_words")
     return (out.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~failed & ~depleted))
@@ -170,9 +169,10 @@ def _without(text: str, bad: set[int]) -> str:
 
 def apply_quality(docs: DataFrame, **params) -> DataFrame:
     """The documents that the rules keep, without their frequent lines; the columns of ``docs``, n_chars made anew."""
-    verdict = quality_rules(docs, **params).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("removed_lines"))
+    verdict = (quality_rules(docs, **params).filter("kept").dropDuplicates(["doc_id", "text_hash"])
+               .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed_lines"))
     own = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    joined = own.join(verdict, own["doc_id"].cast("long").eqNullSafe(F.col("_id"))).drop("_id")
+    joined = own.join(verdict, own["doc_id"].cast("long").eqNullSafe(F.col("_id"))
+                      & (F.xxhash64("text") == F.col("_hash"))).drop("_id", "_hash")
     out = joined.mapInArrow(_drop_lines, joined.schema).drop("removed_lines")
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))

@@ -16,7 +16,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
     n = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", n("assign"), n("access"), n("hex"),
                         F.sha2(secrets.spans_text("base"), 256).alias("base_sha256"),

@@ -160,14 +160,14 @@ def _kind(col: str, name: str, rank: int, keep=None) -> Column:
                                                  F.lit(name).alias("kind")))
 
 
-def find_secrets(docs: DataFrame, *, fdr: float = FDR, alpha: float = ALPHA) -> DataFrame:
-    """The columns of ``docs`` without the text, ``base`` and ``spans`` (array<struct<s,rank,e,kind>>, in order).
+def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), *, fdr: float = FDR, alpha: float = ALPHA) -> DataFrame:
+    """The columns ``keep`` of ``docs``, ``base`` and ``spans`` (array<struct<s,rank,e,kind>>, in order).
 
     One pass over the texts writes spans and candidates; all that follows works on
     those alone: tests run once per distinct string, and the strings found are joined
     back (a hot string is split by adaptive execution) and gathered per row.
     """
-    df = pick(docs, text="text", **{c: c for c in docs.columns if c not in ("text", "base", "spans")})
+    df = pick(docs, text="text", **{c: c for c in keep})
     df = df.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
     for name, pattern in (("_assign", ASSIGN), ("_access", ACCESS), ("_hex", HEX), ("_token", TOKEN)):
         df = _spans(df, name, pattern)
@@ -205,7 +205,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", **params) -> DataFrame:
     """
     own = docs.select("doc_id", "text", "lang", "source", "n_chars").withColumn(
         "_key", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-    found = (find_secrets(own.select("_key", "text"), **params).filter(F.size("spans") > 0)
+    found = (find_secrets(own, ("_key",), **params).filter(F.size("spans") > 0)
              .select("_key", "spans").dropDuplicates(["_key"]))
     # start a new piece only where a span begins beyond all before it
     joined = own.join(found, "_key", "left").drop("_key")
