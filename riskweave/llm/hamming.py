@@ -81,7 +81,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             one = active.select("q", F.lit(j).alias("segment"), F.explode(F.lit(_masks(width, r))).alias("mask")).select(
                 "q", "segment", _segment("q", start, width).bitwiseXOR(F.col("mask")).alias("value"))
             probes = one if probes is None else probes.unionByName(one)
-        met = probes.join(index, ["segment", "value"])
+        # probes grow with the radius, far beyond what their plan size says: never broadcast them
+        met = probes.join(index.hint("merge"), ["segment", "value"])
         # new in this round and segment: no earlier segment within r, no later one within r - 1
         apart = [F.bit_count(_segment("x", *s)) for s in cut]
         met = met.withColumn("x", F.col("q").bitwiseXOR(F.col("code")))
