@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +71,10 @@ class WordIds(IdStore):
         super().clear()
         self.stems: dict[str, tuple[int, ...]] = {}
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        return [self._ids(w) for w in words]
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self._ids(w) for w in words]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(n.sum())), n
 
     def _ids(self, word: str) -> tuple[int, ...]:
         stem, mark = (word, "") if word[-1:] not in self.marks else (word[:-1], word[-1])

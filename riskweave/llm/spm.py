@@ -36,9 +36,9 @@ from .common import column, mix64, pick, slices
 from .words import IdStore, split_codes
 
 SPACE = "▁"
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 SLICE = 8 << 20
-BATCH = 1 << 16
+BATCH = 1 << 19
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 LOW = -1e30
@@ -60,10 +60,14 @@ class Pieces:
         self.table = [b"" if sp.is_control(i) else bytes([int(self.pieces[i][3:5], 16)]) if sp.is_byte(i)
                       else " ⁇ ".encode() if sp.is_unknown(i) else self.pieces[i].replace(SPACE, " ").encode()
                       for i in range(n)]
-        # merging an ordinary word by priority tells a merge model from a unigram model
+        # merge models have ranks as scores
         self.merges = all(float(s).is_integer() for s in self.scores)
         self.longest = max(map(len, self.id))
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids: pieces joined, without the space put before the text."""
+        return b"".join(map(self.table.__getitem__, ids)).removeprefix(b" ").decode("utf-8", "replace")
+
 
 def substring_hashes(chars: np.ndarray) -> np.ndarray:
     """Prefix hashes of rows of code points, one column more than characters."""
@@ -85,7 +89,6 @@ class Encoder(IdStore):
         self.keys, self.key_ids = keys[order], np.array([m.id[p] for p in names])[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
-        self.known = {c for p in names for c in p}
         self.steps: dict[int, tuple] = {}
         self.apart: dict[int, bool] = {}
 
@@ -154,9 +157,11 @@ class Encoder(IdStore):
 
     # -- the Viterbi
 
-    def viterbi(self, words: list[str]) -> list[list[int]]:
-        """Piece ids of words of one length; a character without piece is len(pieces) + its code point."""
-        chars = np.array([[ord(c) for c in w] for w in words], np.int64)
+    def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each word has) of words of one length, given as rows of code points.
+
+        A character without piece gets len(pieces) + its code point.
+        """
         count, length = chars.shape
         n, longest = len(self.model.pieces), self.model.longest
         sums = substring_hashes(chars)
@@ -189,28 +194,48 @@ class Encoder(IdStore):
             best = value.argmax(axis=0)
             row = np.arange(count)
             score[:, end], last[:, end], back[:, end] = value[best, row], piece[best, row], end - 1 - best
-        out: list[list[int]] = []
-        for i in range(count):
-            at, ids = length, []
-            while at:
-                ids.append(int(last[i, at]))
-                at = int(back[i, at])
-            out.append(ids[::-1])
-        return out
-
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of words: runs of known characters by the Viterbi, others by bytes."""
-        n, by_length = len(self.model.pieces), {}
-        found: list[list[int]] = [[] for _ in words]
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for length, rows in by_length.items():
-            step = max(1, BATCH // max(1, length))
-            for at in range(0, len(rows) if length else 0, step):
-                some = rows[at:at + step]
-                for i, ids in zip(some, self.viterbi([words[r] for r in some]), strict=True):
-                    found[i] = [y for x in ids for y in ([x] if x < n else self._bytes(x - n))]
-        return found
+        # all words go back by their pointers together; column k holds the kth piece from the end
+        at, row, columns, n_ids = np.full(count, length), np.arange(count), [], np.zeros(count, np.int64)
+        while len(row):
+            column = np.full(count, -1)
+            column[row] = last[row, at[row]]
+            columns.append(column)
+            n_ids[row] += 1
+            at[row] = back[row, at[row]]
+            row = row[at[row] > 0]
+        flat = np.column_stack(columns[::-1]).reshape(-1)
+        return flat[flat >= 0], n_ids
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words by the Viterbi, equal lengths together; unknown characters by bytes."""
+        n_words = len(words)
+        lengths = np.fromiter(map(len, words), np.int64, n_words)
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        parts, owners = [], []
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            rows = np.flatnonzero(lengths == length)
+            step = max(1, BATCH // length)
+            for k in range(0, len(rows), step):
+                some = rows[k:k + step]
+                ids, n_ids = self.viterbi(chars[starts[some][:, None] + np.arange(length)])
+                parts.append(ids)
+                owners.append(np.repeat(some, n_ids))
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(n_words, np.int64)
+        ids, owner = np.concatenate(parts), np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        ids, owner = ids[order], owner[order]
+        odd = np.flatnonzero(ids >= len(self.model.pieces))
+        if len(odd):
+            spelt = [self._bytes(c) for c in (ids[odd] - len(self.model.pieces)).tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[odd] = [len(b) for b in spelt]
+            at = np.cumsum(times) - times
+            ids, owner = np.repeat(ids, times), np.repeat(owner, times)
+            for k, b in zip(at[odd].tolist(), spelt, strict=True):
+                ids[k:k + len(b)] = b
+        return ids.astype(np.int32), np.bincount(owner, minlength=n_words)
 
     def _bytes(self, char: int) -> list[int]:
         if len(self.model.bytes) < 256:
@@ -232,10 +257,6 @@ class Encoder(IdStore):
         texts = pc.replace_substring(pc.replace_substring(texts, "\n", f"{mark}\n{mark}"), " ", SPACE)
         return self.lookup(*split_codes(texts, mark))
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces joined, without the space put before the text."""
-        data = b"".join(map(self.model.table.__getitem__, ids))
-        return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -259,13 +280,20 @@ def _encode(path: str):
     return run
 
 
+@lru_cache(maxsize=2)
+def pieces(path: str) -> Pieces:
+    return Pieces(path)
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        table = pieces(path)
         for batch in batches:
-            ids = column(batch, "ids")
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), ids, pa.array(
-                [enc.decode(x or []) for x in ids.to_pylist()], pa.string())], names=["doc_id", "ids", "text"])
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, min(500, batch.num_rows - k))
+                texts = [table.decode(x.as_py() or []) for x in column(part, "ids")]
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "ids"), pa.array(texts, pa.string())],
+                                                 names=["doc_id", "ids", "text"])
     return run
 
 

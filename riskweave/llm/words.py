@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,20 +29,19 @@ class IdStore:
         self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
         self.at, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
 
-    def encode_words(self, words: list[str]) -> Sequence[Sequence[int]]:
-        """The ids of each of these new words."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these new words one after another, how many each has)."""
         raise NotImplementedError
 
     def _learn(self, words: list[str]) -> None:
-        found = self.encode_words(words)
-        n = np.fromiter(map(len, found), np.int32, len(found))
-        k, total = len(self.slot), self.n_ids + int(n.sum())
+        ids, n = self.encode_words(words)
+        k, total = len(self.slot), self.n_ids + len(ids)
         while total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while k + len(words) > len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
             self.n = np.concatenate([self.n, np.zeros_like(self.n)])
-        self.ids[self.n_ids:total] = np.fromiter(chain.from_iterable(found), np.int32, total - self.n_ids)
+        self.ids[self.n_ids:total] = ids
         self.n[k:k + len(words)] = n
         self.at[k:k + len(words)] = self.n_ids + np.cumsum(n) - n
         self.n_ids = total
