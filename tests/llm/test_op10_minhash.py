@@ -1,0 +1,145 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from riskweave.llm import graph, minhash
+
+
+def shingle_counts(text):
+    w = (text or "").encode().split()
+    return Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def brute_jaccard(a, b):
+    keys = [*a, *(k for k in b if k not in a)]
+    x, y = (np.array([s.get(k, 0) for k in keys], float) for s in (a, b))
+    return sum(1 / np.maximum(x / x[i], y / y[i]).sum() for i in np.flatnonzero((x > 0) & (y > 0)))
+
+
+def brute_classes(rows, threshold=0.8):
+    words, parent = {}, {}
+
+    def find(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    for i, t in rows:
+        words.setdefault(tuple((t or "").encode().split()), []).append(i)
+    sets = {w: shingle_counts(b" ".join(w).decode()) for w in words}
+    keys = list(words)
+    parent = {w: w for w in keys}
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if sets[a] and sets[b] and len(sets[a].keys() & sets[b].keys()) and brute_jaccard(sets[a], sets[b]) >= threshold - 1e-9:
+                parent[find(a)] = find(b)
+    classes = {}
+    for w in keys:
+        classes.setdefault(find(w), []).extend(words[w])
+    return sorted((i, min(c)) for c in classes.values() for i in c)
+
+
+def near_corpus(seed, groups=12, copies=8, n=60):
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(4000)}"
+    texts = []
+    for g in range(groups):
+        base = [word() for _ in range(rng.randrange(n // 3, 2 * n))]
+        texts.append(" ".join(base))
+        for _ in range(copies):
+            near = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                near[rng.randrange(len(near))] = word()
+            texts.append(" ".join(near))
+    return texts
+
+
+def classes(df):
+    return sorted((r["doc_id"], r["class_id"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("limits", [{}, {"group_texts": 6}, {"group_texts": 2}, {"group_shingles": 300}])
+def test_classes_equal_brute_force(make_docs, limits):
+    """Also where groups are too large for a task and are cut by prefixes, stars and blocks."""
+    texts = near_corpus(1) + ["", None, " \n", "one two", "one  two", "a b c d e", "x " * 3000, "w" * 50_000]
+    texts += [texts[3]] * 4
+    rows = list(enumerate(texts))
+    assert classes(minhash.near_duplicates(make_docs(rows, extra=True), **limits)) == brute_classes(rows)
+
+
+def test_one_large_group_of_near_copies(make_docs):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(80)]
+    texts = []
+    for _ in range(150):
+        near = list(base)
+        for _ in range(rng.randrange(0, 12)):
+            near[rng.randrange(80)] = f"z{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(near))
+    rows = list(enumerate(texts))
+    assert classes(minhash.near_duplicates(make_docs(rows), group_texts=20)) == brute_classes(rows)
+
+
+def test_weights_count(make_docs):
+    a, b = "p q r s t " * 1 + "k l m n o", "p q r s t " * 9 + "k l m n o"
+    assert classes(minhash.near_duplicates(make_docs([(1, a), (2, b)]))) == brute_classes([(1, a), (2, b)])
+
+
+def test_probability_jaccard_equals_its_definition():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        a, b = (np.sort(rng.choice(40, rng.integers(1, 30), replace=False)).astype(np.uint64) for _ in range(2))
+        x, y = rng.integers(1, 5, len(a)), rng.integers(1, 5, len(b))
+        want = brute_jaccard(dict(zip(a.tolist(), x.tolist())), dict(zip(b.tolist(), y.tolist())))
+        assert minhash.probability_jaccard(a, x, b, y) == pytest.approx(want)
+        assert minhash.probability_jaccard(a, x, b, y, 0.5) in (pytest.approx(want), 0.0)
+
+
+def test_signatures_estimate_probability_jaccard():
+    texts = ["a b c d e " * 3 + " ".join(f"x{i}" for i in range(60)), "a b c d e " * 3 + " ".join(f"x{i}" for i in range(20, 80)), "", "one"]
+    words, off = minhash._words(pa.array(texts))
+    row, h, times = minhash.shingles(words, off)
+    sig = minhash.prob_minhash(row, h, times, 4, 6000)
+    want = brute_jaccard(shingle_counts(texts[0]), shingle_counts(texts[1]))
+    assert abs((sig[0] == sig[1]).mean() - want) < 0.03
+    assert len(set(sig[3].tolist())) == 1  # one shingle takes every slot
+
+
+def test_keep_one_of_each_class(make_docs):
+    texts = near_corpus(2, groups=6) + ["", None]
+    rows = [*enumerate(texts), (0, texts[0]), (1, "quite another text with the same id")]
+    out = minhash.keep_one(make_docs(rows, extra=True))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    keys = list(range(len(rows)))
+    heads = {c for _, c in brute_classes(list(zip(keys, [t for _, t in rows], strict=True)))}
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == sorted(rows[k] for k in heads)
+
+
+def test_null_ids_and_empty_table(make_docs):
+    assert classes(minhash.near_duplicates(make_docs([(None, "a b"), (None, "a b")]))) == [(None, None)] * 2
+    assert classes(minhash.near_duplicates(make_docs([(None, "a b"), (4, "a b"), (7, "c")]).filter("doc_id is not null"))) == [(4, 4), (7, 7)]
+    assert minhash.near_duplicates(make_docs([])).count() == 0 and minhash.keep_one(make_docs([])).count() == 0
+    assert minhash.keep_one(make_docs([(None, "a b"), (None, "a b"), (None, None)])).count() == 2
+
+
+def test_components(llm):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
+    edges += [(2000, 2001 + i) for i in range(200)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    got = {r["node"]: r["comp"] for r in graph.components(llm.createDataFrame(edges, "a long, b long")).collect()}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
