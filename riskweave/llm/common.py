@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -20,7 +20,8 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written, so that adaptive execution can split a hub in the join
+        least = write_table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = _oriented(large)
         low = large.groupBy("a").agg(F.min("b").alias("m"))

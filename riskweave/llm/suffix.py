@@ -39,6 +39,7 @@ from .common import column, mix64, pick, slices, text_bytes, write_table
 LENGTH = 400
 SEED = 128
 GRID = 32
+SLICE = 1 << 20  # some 30 arrays of a value for each byte are held at a time
 U = np.uint64
 
 BLOCKS = "row long, at long, key long, cls long"
@@ -69,10 +70,10 @@ class Hashes:
     def _powers(cls, base: int, n: int) -> np.ndarray:
         got = cls._cache.get(base)
         if got is None or len(got) < n:
-            got = np.full(max(n, 1 << 22), base, np.uint64)
+            got = np.full(max(n, SLICE + (1 << 18)), base, np.uint64)
             got[0] = 1
             np.cumprod(got, out=got)
-            if len(got) <= 1 << 23:
+            if len(got) <= 2 * SLICE:
                 cls._cache[base] = got
         return got[:n]
 
@@ -134,7 +135,7 @@ def _unpack(at: str = "at"):
 
 def _blocks(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             raw, off = text_bytes(column(batch, "text"))
             row, place, near, far, key, cls = window_blocks(raw, off, length, seed)
             yield pa.RecordBatch.from_arrays(
@@ -147,7 +148,8 @@ def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs twice or more (by ``weight``), with ``mixed``: whether their group holds unequal blocks."""
     stats = (rows.groupBy(*keys).agg(F.sum("weight").alias("_w"), F.min("cls").alias("_lo"), F.max("cls").alias("_hi"))
              .filter("_w > 1").select(*keys, (F.col("_lo") != F.col("_hi")).alias("mixed")))
-    return rows.join(stats, keys)
+    # written, so that the join has an exchange on either side and adaptive execution can split a hot digit
+    return rows.join(write_table(stats, "suffix-stats"), keys)
 
 
 def _classes(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -197,7 +199,7 @@ def _cuts(length: int, single: bool):
     step = 1 if single else GRID
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "bytes", 1 << 20):
+        for batch in slices(batches, "bytes", SLICE // 4):
             raw, off = text_bytes(column(batch, "bytes"))
             at, key = (column(batch, c).to_numpy() for c in ("at", "key"))
             near, far = at >> 10 & 1023, at & 1023
