@@ -227,8 +227,8 @@ def prefix(rank: np.ndarray, weight: np.ndarray, threshold: float) -> np.ndarray
 def _solve(threshold: float):
     """Groups of rows (group, t, class, side, hashes, weights), sorted by group, to links (a, b)."""
     def close(rows: list[tuple]) -> list[tuple[int, int]]:
-        sets = _Sets([np.frombuffer(r[4], np.uint64) for r in rows], [np.frombuffer(r[5], np.uint32) for r in rows],
-                     [r[2] for r in rows], threshold)
+        hashes = [np.frombuffer(r[4], np.uint64) for r in rows]
+        sets = _Sets(hashes, [_weights(r[5], len(h)) for r, h in zip(rows, hashes, strict=True)], [r[2] for r in rows], threshold)
         side = [r[3] for r in rows]
         return [(rows[i][1], rows[j][1]) for i, j in sets.links(side if len(set(side)) > 1 else None)]
 
@@ -256,7 +256,13 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
 
 # ---- Spark ----------------------------------------------------------------------
 
-SETS = "t long, n long, hashes binary, weights binary"
+SIZE = "struct<texts:bigint,weight:bigint>"
+SETS = f"t long, hashes binary, weights binary, group long, size {SIZE}"
+
+
+def _weights(data: bytes, n: int) -> np.ndarray:
+    """Weights of n shingles; nothing stands for ones."""
+    return np.frombuffer(data, np.uint32) if data else np.ones(n, np.uint32)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,15 +277,18 @@ def _unpack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = zstandard.ZstdDecompressor()
     for batch in batches:
         texts = pa.array([d.decompress(z) for z in column(batch, "z").to_pylist()], pa.binary()).cast(pa.string())
-        for part in slices([pa.RecordBatch.from_arrays([column(batch, "t"), texts], names=["t", "text"])], "text"):
+        for part in slices([pa.RecordBatch.from_arrays(
+                [column(batch, "t"), texts, column(batch, "group"), column(batch, "size")],
+                names=["t", "text", "group", "size"])], "text"):
             words, off = _words(column(part, "text"))
             row, h, times = shingles(words, off)
             ends = np.searchsorted(row, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays([
-                column(part, "t"), pa.array(np.diff(ends)),
+                column(part, "t"),
                 pa.array([h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-                pa.array([times[a:b].astype(np.uint32).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)],
-                         pa.binary())], names=["t", "n", "hashes", "weights"])
+                pa.array([times[a:b].astype(np.uint32).tobytes() if (times[a:b] > 1).any() else b""
+                          for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()), column(part, "group"),
+                column(part, "size")], names=["t", "hashes", "weights", "group", "size"])
 
 
 def _links_in_groups(rows: DataFrame, threshold: float) -> DataFrame:
@@ -291,7 +300,8 @@ def _links_in_groups(rows: DataFrame, threshold: float) -> DataFrame:
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for g, t, h, w in zip(*(column(batch, c).to_pylist() for c in ("group", "t", "hashes", "weights")), strict=True):
-            h, w = np.frombuffer(h, np.int64), np.frombuffer(w, np.uint32).astype(np.int64)
+            h = np.frombuffer(h, np.int64)
+            w = _weights(w, len(h)).astype(np.int64)
             for at in range(0, len(h), 100_000):
                 m = len(h[at:at + 100_000])
                 yield pa.RecordBatch.from_arrays([pa.array([g] * m, pa.int64()), pa.array([t] * m, pa.int64()),
@@ -301,15 +311,15 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prefix_buckets(large: DataFrame, threshold: float) -> DataFrame:
     """(key, t): texts of a large group by each shingle of their prefix that another text of the group has."""
-    tokens = large.select("group", "t", "hashes", "weights").mapInArrow(_tokens, "group long, t long, h long, w long")
-    tokens = write_table(tokens, "near-tokens")
-    df = tokens.groupBy("group", "h").agg(F.count("*").alias("df"))
+    tokens = large.select("group", "t", "hashes", "weights").mapInArrow(_tokens, "group long, t long, h long, w long").select(
+        F.xxhash64("group", "h").alias("key"), "t", "w")
+    df = write_table(tokens.groupBy("key").agg(F.count("*").alias("df")), "near-rarity")
     by_text = Window.partitionBy("t")  # a text's own shingles
-    ranked = (tokens.join(df, ["group", "h"])
+    ranked = (tokens.join(df, "key")
               .withColumn("total", F.sum("w").over(by_text))
-              .withColumn("before", F.sum("w").over(by_text.orderBy("df", "h").rowsBetween(Window.unboundedPreceding, -1))))
+              .withColumn("before", F.sum("w").over(by_text.orderBy("df", "key").rowsBetween(Window.unboundedPreceding, -1))))
     return ranked.filter((F.col("df") > 1) & (F.coalesce("before", F.lit(0)) <= (1 - threshold + ROUNDING) * F.col("total"))
-                         ).select(F.xxhash64("group", "h").alias("key"), "t")
+                         ).select("key", "t")
 
 
 def _grouped(buckets: DataFrame) -> DataFrame:
@@ -319,11 +329,11 @@ def _grouped(buckets: DataFrame) -> DataFrame:
         F.col("node").alias("t"), F.col("comp").alias("group"))
 
 
-def _sized(sets: DataFrame, groups: DataFrame, texts: int, shingle_limit: int) -> DataFrame:
-    size = (groups.join(sets.select("t", "n"), "t").groupBy("group")
-            .agg(F.count("*").alias("texts"), F.sum("n").alias("weight"))
-            .select("group", ((F.col("texts") > texts) | (F.col("weight") > shingle_limit)).alias("large"), "weight", "texts"))
-    return write_table(groups.join(size, "group").join(sets, "t"), "near-groups")
+def _sized(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """groups with ``size``: texts and distinct shingles of the group."""
+    size = groups.join(nodes.select("t", "n"), "t").groupBy("group").agg(
+        F.struct(F.count("*").alias("texts"), F.sum("n").alias("weight")).alias("size"))
+    return groups.join(size, "group").select("t", "group", "size")
 
 
 def _verify_stars(rows: DataFrame, threshold: float) -> DataFrame:
@@ -335,8 +345,8 @@ def _verify_stars(rows: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             links = []
             for a, ah, aw, b, bh, bw in zip(*(column(batch, c).to_pylist() for c in ("a", "ah", "aw", "t", "hashes", "weights")), strict=True):
-                if a != b and probability_jaccard(np.frombuffer(ah, np.uint64), np.frombuffer(aw, np.uint32),
-                                                  np.frombuffer(bh, np.uint64), np.frombuffer(bw, np.uint32),
+                x, y = np.frombuffer(ah, np.uint64), np.frombuffer(bh, np.uint64)
+                if a != b and probability_jaccard(x, _weights(aw, len(x)), y, _weights(bw, len(y)),
                                                   threshold) >= threshold - ROUNDING:
                     links.append((a, b))
             if links:
@@ -355,7 +365,7 @@ def _blocks(rows: DataFrame, classes: DataFrame, texts: int, shingle_limit: int)
     sizes = rows.groupBy("group", "class").agg(F.count("*").alias("c"))
     top = sizes.groupBy("group").agg(F.max(F.struct("c", "class")).alias("m")).select("group", F.col("m.class").alias("top"))
     rows = rows.join(top, "group").withColumn("rest", (F.col("class") != F.col("top")).cast("int"))
-    parts = F.greatest(F.ceil(2 * F.col("texts") / texts), F.ceil(2 * F.col("weight") / shingle_limit)).cast("int")
+    parts = F.greatest(F.ceil(2 * F.col("size.texts") / texts), F.ceil(2 * F.col("size.weight") / shingle_limit)).cast("int")
     rows = rows.withColumn("parts", parts).withColumn(
         "block", F.pmod(F.xxhash64("t"), F.col("parts")).cast("int") + F.col("rest") * F.col("parts"))
     # blocks 0..p-1 hold the largest class, p..2p-1 the rest; pairs (i, j) with j of the rest and i <= j
@@ -372,24 +382,26 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     """(doc_id, t, class_id, first_t): the class of each document; (class_id, first_t) names the document that stands for it."""
     src = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = write_table(src.mapInArrow(_sign(bands, rows), "doc_id long, t long, n long, keys array<long>"), "near-signed")
-    nodes = write_table(signed.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")), "near-texts")
+    nodes = write_table(signed.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+                                                F.first("keys").alias("keys")), "near-texts")
     members = nodes.select("t", F.explode("keys").alias("key"))
-    full = members.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    full = write_table(members.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "near-keys")
     buckets = write_table(members.join(full, "key").select("key", "t"), "near-buckets")
-    groups = write_table(_grouped(buckets), "near-candidates")
-    texts = src.select("text").mapInArrow(_pack, "t long, z binary").join(groups.select("t"), "t", "left_semi")
-    sets = write_table(texts.groupBy("t").agg(F.first("z").alias("z")).mapInArrow(_unpack_sets, SETS), "near-sets")
+    groups = write_table(_sized(nodes, write_table(_grouped(buckets), "near-candidates")), "near-sized")
+    packed = src.select("text").mapInArrow(_pack, "t long, z binary").join(groups, "t")
+    sets = write_table(packed.groupBy("t").agg(*(F.first(c).alias(c) for c in ("z", "group", "size"))).select(
+        "t", "z", "group", "size").mapInArrow(_unpack_sets, SETS), "near-sets")
 
-    sized = _sized(sets, groups, group_texts, group_shingles)
+    big = (F.col("size.texts") > group_texts) | (F.col("size.weight") > group_shingles)
     own = lambda d: d.withColumn("class", F.col("t")).withColumn("side", F.lit(0)).select(
         "group", "t", "class", "side", "hashes", "weights")
-    links = _links_in_groups(own(sized.filter("not large")), threshold)
-    large = sized.filter("large")
+    links = _links_in_groups(own(sets.filter(~big)), threshold)
+    large = sets.filter(big)
     if large.head(1):
-        finer = write_table(_grouped(_prefix_buckets(large, threshold)), "near-finer")
-        sized = _sized(sets, finer, group_texts, group_shingles)
-        links = links.unionByName(_links_in_groups(own(sized.filter("not large")), threshold))
-        large = sized.filter("large")
+        finer = write_table(_sized(nodes, _grouped(write_table(_prefix_buckets(large, threshold), "near-prefixes"))), "near-finer")
+        large = write_table(large.drop("group", "size").join(finer, "t"), "near-finer-sets")
+        links = links.unionByName(_links_in_groups(own(large.filter(~big)), threshold))
+        large = large.filter(big)
         if large.head(1):
             stars = write_table(_verify_stars(large, threshold), "near-stars")
             known = components(stars).select(F.col("node").alias("t"), F.col("comp").alias("class"))
