@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from riskweave.llm import hamming
@@ -15,9 +16,9 @@ def brute(rows, queries, k):
     return sorted(out)
 
 
-def run(spark, rows, queries, k):
+def run(spark, rows, queries, k, **blocks):
     got = hamming.top_k(spark.createDataFrame(rows, "id long, code long"),
-                        spark.createDataFrame(queries, "query_id long, code long"), k)
+                        spark.createDataFrame(queries, "query_id long, code long"), k, **blocks)
     return sorted((r["query_id"], r["rank"], r["id"], r["distance"]) for r in got.collect())
 
 
@@ -34,6 +35,27 @@ def test_equals_brute_force(llm, n, k):
     rows = [(i, c) for i, c in enumerate(codes)] + [(n + 1, None)]
     queries = rows[:: max(1, n // 12)] + [(n + 5, signed(rng.getrandbits(64))), (n + 6, None)]
     assert run(llm, rows, queries, k) == brute(rows, queries, k)
+    assert run(llm, rows, queries, k, index_block=70, query_block=5) == brute(rows, queries, k)
+
+
+def test_search_of_a_block_equals_brute_force():
+    rng = np.random.default_rng(1)
+    for n, spread, k in ((2000, 10, 5), (500, 64, 3), (5000, 4, 10), (1, 64, 1)):
+        centre = rng.integers(0, 1 << 63, 20, dtype=np.uint64)
+        flips = (np.uint64(1) << rng.integers(0, 64, (n, spread)).astype(np.uint64))
+        codes = np.unique(centre[rng.integers(0, 20, n)] ^ np.bitwise_xor.reduce(flips, axis=1))
+        first, times = rng.permutation(len(codes)), rng.integers(1, k + 1, len(codes))
+        queries = np.concatenate([codes[:20], centre])
+        q, c, d = hamming.Index(codes, first, times).search(queries, k)
+        for i, code in enumerate(queries):
+            every = np.bitwise_count(codes ^ code).astype(int)
+            want, total = [], 0
+            for at in np.lexsort((codes, first, every)):
+                if total < k:
+                    want.append((every[at], at))
+                total += times[at]
+            got = list(zip(d[q == i].tolist(), c[q == i].tolist(), strict=True))
+            assert got[:len(want)] == want
 
 
 def test_hot_code_and_ties(llm):
