@@ -47,7 +47,7 @@ def op6_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = spm.decode(spm.encode(read_table(spark, sf_dir, "documents")))
+    coded = spm.round_trip(read_table(spark, sf_dir, "documents"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
                         F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"))
 

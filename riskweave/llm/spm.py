@@ -36,9 +36,9 @@ from .common import column, mix64, pick, slices
 from .words import IdStore, split_codes
 
 SPACE = "▁"
-CACHE_WORDS = 800_000
-SLICE = 8 << 20
-BATCH = 1 << 19
+CACHE_WORDS = 600_000
+SLICE = 4 << 20
+BATCH = 1 << 18
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 LOW = -1e30
@@ -86,9 +86,10 @@ class Encoder(IdStore):
         names = list(m.id)
         keys = np.array([self._key(p) for p in names], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.key_ids = keys[order], np.array([m.id[p] for p in names])[order]
-        if (self.keys[1:] == self.keys[:-1]).any():
+        keys, ids, size = keys[order], np.array([m.id[p] for p in names])[order], np.array([len(p) for p in names])[order]
+        if (keys[1:] == keys[:-1]).any():
             raise ValueError("two pieces share a hash")
+        self.by_length = {n: (keys[size == n], ids[size == n]) for n in np.unique(size).tolist()}
         self.steps: dict[int, tuple] = {}
         self.apart: dict[int, bool] = {}
 
@@ -155,6 +156,23 @@ class Encoder(IdStore):
         out[ask] = np.fromiter(map(self.apart.__getitem__, keys), bool, len(keys))[of]
         return out
 
+    def _merge_values(self, end: int, last: np.ndarray, piece: np.ndarray, value: np.ndarray) -> None:
+        """Sets the value of the one piece that may end here to 0. Exactly one of a position's pieces may, so the
+        longest are asked first, and the last one left need not be asked."""
+        left = (piece >= 0).sum(axis=0)
+        open_ = np.ones(piece.shape[1], bool)
+        for s in range(len(piece), 0, -1):
+            some = np.flatnonzero(open_ & (piece[s - 1] >= 0))
+            if not len(some):
+                continue
+            may = left[some] == 1
+            ask = some[~may]
+            if len(ask):
+                may[~may] = self._may_follow(last[ask, end - s], piece[s - 1, ask])
+            left[some] -= 1
+            value[s - 1, some[may]] = 0.0
+            open_[some[may]] = False
+
     # -- the Viterbi
 
     def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,24 +191,21 @@ class Encoder(IdStore):
             spans = range(1, min(end, longest) + 1)
             value, piece = np.full((len(spans), count), LOW), np.full((len(spans), count), -1)
             for s in spans:
-                start = end - s
-                key = mix64((sums[:, end] - sums[:, start] * self.power[s]) ^ mix64(np.full(1, s, np.uint64)))
-                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit = self.keys[place] == key
-                ids = np.where(hit, self.key_ids[place], -1)
-                if s == 1:
-                    ids = np.where(hit, ids, n + chars[:, start])
-                ok = np.flatnonzero((ids >= 0) & (score[:, start] > LOW))
-                if not len(ok):
+                key = mix64((sums[:, end] - sums[:, end - s] * self.power[s]) ^ mix64(np.full(1, s, np.uint64)))
+                keys, ids = self.by_length.get(s, (None, None))
+                if keys is None:
                     continue
-                got = ids[ok]
-                if self.merges:
-                    may = self._may_follow(last[ok, start], got)
-                    value[s - 1, ok] = np.where(may, 0.0, LOW)
-                else:
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                piece[s - 1] = np.where(keys[place] == key, ids[place], -1)
+            piece[0] = np.where(piece[0] < 0, n + chars[:, end - 1], piece[0])
+            if self.merges:
+                self._merge_values(end, last, piece, value)
+            else:
+                for s in spans:
+                    ok = np.flatnonzero((piece[s - 1] >= 0) & (score[:, end - s] > LOW))
+                    got = piece[s - 1, ok]
                     own = np.where(got < n, self.model.scores[np.minimum(got, n - 1)], self.model.scores.min() - 10)
-                    value[s - 1, ok] = score[ok, start] + own
-                piece[s - 1, ok] = got
+                    value[s - 1, ok] = score[ok, end - s] + own
             best = value.argmax(axis=0)
             row = np.arange(count)
             score[:, end], last[:, end], back[:, end] = value[best, row], piece[best, row], end - 1 - best
@@ -285,15 +300,19 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _texts(table: Pieces, ids: pa.ListArray) -> pa.Array:
+    flat, at = ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy())])
+    return pa.array([table.decode(flat[a:b].tolist()) for a, b in zip(at[:-1], at[1:], strict=True)], pa.string())
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path)
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, min(500, batch.num_rows - k))
-                texts = [table.decode(x.as_py() or []) for x in column(part, "ids")]
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "ids"), pa.array(texts, pa.string())],
-                                                 names=["doc_id", "ids", "text"])
+                ids = column(part, "ids")
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), ids, _texts(table, ids)], names=["doc_id", "ids", "text"])
     return run
 
 
@@ -304,6 +323,19 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
         _encode(model or default_model()), f"doc_id {dict(src.dtypes)['doc_id']}, ids array<int>")
 
 
+def _round_trip(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _decode(path)(_encode(path)(batches))
+    return run
+
+
+def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """(doc_id, ids, text): each document encoded and its ids decoded again, in one pass of one worker."""
+    src = pick(docs, doc_id="doc_id", text="text")
+    return src.withColumn("text", F.col("text").cast("string")).mapInArrow(
+        _round_trip(model or default_model()), f"doc_id {dict(src.dtypes)['doc_id']}, ids array<int>, text string")
+
+
 def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, ids, text) from (doc_id, ids); null ids are none."""
     return coded.select("doc_id", "ids").mapInArrow(

@@ -83,4 +83,6 @@ def test_operator(make_docs, library):
     coded = spm.encode(make_docs(rows, extra=True))
     got = sorted(((r["doc_id"], list(r["ids"]), r["text"]) for r in spm.decode(coded).collect()), key=repr)
     assert got == sorted(((i, library.encode(t or ""), (t or "").replace("▁", " ")) for i, t in rows), key=repr)
+    both = sorted(((r["doc_id"], list(r["ids"]), r["text"]) for r in spm.round_trip(make_docs(rows)).collect()), key=repr)
+    assert both == got
     assert spm.decode(spm.encode(make_docs([]))).count() == 0
