@@ -11,29 +11,32 @@ from .common import write_table
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the least node of each node's connected component.
 
-    edges: (a, b) longs. Alternating large and small stars until nothing changes; every
-    round is written, so a lost executor repeats one round. Neighbours of a node are only
-    aggregated to their minimum and joined back, never gathered, and the edges of a
-    node point to the minimum after a round or two, so hubs cost a row an edge.
+    edges: (a, b) longs. Alternating large and small stars until every edge points to
+    the centre of a star; every round is written, so a lost executor repeats one round.
+    Neighbours of a node are only aggregated to their minimum and joined back, never
+    gathered.
     """
     now = write_table(_oriented(edges), "edges")
-    seen = None
-    while True:
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # written, so that adaptive execution can split a hub in the join
-        least = write_table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = _oriented(large)
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = _oriented(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(
             F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
         now = write_table(_oriented(small), "edges")
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if state == seen:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
-        seen = state
+    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
+        now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge to a lesser node, and the centres have none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+    bad = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("centre")).filter(
+        "up > 1 OR up = 1 AND centre = 0")
+    return bad.isEmpty()
 
 
 def _oriented(edges: DataFrame) -> DataFrame:

@@ -312,14 +312,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefix_buckets(large: DataFrame, threshold: float) -> DataFrame:
     """(key, t): texts of a large group by each shingle of their prefix that another text of the group has."""
     tokens = large.select("group", "t", "hashes", "weights").mapInArrow(_tokens, "group long, t long, h long, w long").select(
-        F.xxhash64("group", "h").alias("key"), "t", "w")
-    df = write_table(tokens.groupBy("key").agg(F.count("*").alias("df")), "near-rarity")
+        "group", "h", "t", "w")
+    df = write_table(tokens.groupBy("group", "h").agg(F.count("*").alias("df")), "near-rarity")
     by_text = Window.partitionBy("t")  # a text's own shingles
-    ranked = (tokens.join(df, "key")
+    ranked = (tokens.join(df, ["group", "h"])
               .withColumn("total", F.sum("w").over(by_text))
-              .withColumn("before", F.sum("w").over(by_text.orderBy("df", "key").rowsBetween(Window.unboundedPreceding, -1))))
+              .withColumn("before", F.sum("w").over(by_text.orderBy("df", "h").rowsBetween(Window.unboundedPreceding, -1))))
     return ranked.filter((F.col("df") > 1) & (F.coalesce("before", F.lit(0)) <= (1 - threshold + ROUNDING) * F.col("total"))
-                         ).select("key", "t")
+                         ).select(F.xxhash64("group", "h").alias("key"), "t")
 
 
 def _grouped(buckets: DataFrame) -> DataFrame:
@@ -388,7 +388,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     full = write_table(members.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "near-keys")
     buckets = write_table(members.join(full, "key").select("key", "t"), "near-buckets")
     groups = write_table(_sized(nodes, write_table(_grouped(buckets), "near-candidates")), "near-sized")
-    packed = src.select("text").mapInArrow(_pack, "t long, z binary").join(groups, "t")
+    # the candidates grow with the corpus, so they are never broadcast, small as they may be
+    packed = src.select("text").mapInArrow(_pack, "t long, z binary").join(groups.hint("merge"), "t")
     sets = write_table(packed.groupBy("t").agg(*(F.first(c).alias(c) for c in ("z", "group", "size"))).select(
         "t", "z", "group", "size").mapInArrow(_unpack_sets, SETS), "near-sets")
 
