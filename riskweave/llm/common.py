@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 SLICE_BYTES = 2 << 20
+ARROW_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,7 +40,12 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors' Python path, once per Spark context (as ``--py-files`` would)."""
+    """Send this package to the executors' Python path, once per Spark context (as ``--py-files`` would).
+
+    Also sets Arrow batches to ARROW_ROWS rows: whole texts are some KB each, and a batch
+    is held several times over between Spark and a Python worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
     if getattr(sc, "_shipped_package", None):
         return
@@ -66,7 +72,8 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``limit`` bytes of ``col``, one row at least: bounds a task's memory."""
+    """Batches cut and joined so that each holds at most ``limit`` bytes of ``col``, or one row: bounds a task's memory."""
+    held, size = [], 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -74,8 +81,25 @@ def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = SLICE_BYTES
         at = 0
         while at < batch.num_rows:
             end = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
-            yield batch.slice(at, end - at)
+            if held and size + off[end] - off[at] > limit:
+                yield _joined(held)
+                held, size = [], 0
+            held.append(batch.slice(at, end - at))
+            size += int(off[end] - off[at])
             at = end
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def rows(batches: Iterator[pa.RecordBatch], n: int = 200) -> Iterator[pa.RecordBatch]:
+    """Batches cut to at most ``n`` rows, for work that turns a batch into Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, n):
+            yield batch.slice(at, n)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, mix64, pick, slices, write_table
+from .common import column, mix64, pick, rows, slices, write_table
 from .graph import components
 
 WORDS = 5
@@ -275,7 +275,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in rows(batches):
         texts = pa.array([d.decompress(z) for z in column(batch, "z").to_pylist()], pa.binary()).cast(pa.string())
         for part in slices([pa.RecordBatch.from_arrays(
                 [column(batch, "t"), texts, column(batch, "group"), column(batch, "size")],

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, mix64, per_row, pick, slices, text_bytes, write_table
+from .common import column, mix64, per_row, pick, rows, slices, text_bytes, write_table
 
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
@@ -156,7 +156,7 @@ def quality_rules(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_pct
 
 
 def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in rows(batches):
         texts, bad = column(batch, "text").to_pylist(), column(batch, "removed_lines").to_pylist()
         out = [t if not b or t is None else _without(t, set(b)) for t, b in zip(texts, bad, strict=True)]
         at = batch.schema.get_field_index("text")

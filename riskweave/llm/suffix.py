@@ -34,12 +34,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, mix64, pick, slices, text_bytes, write_table
+from .common import column, mix64, pick, rows, slices, text_bytes, write_table
 
 LENGTH = 400
 SEED = 128
 GRID = 32
-SLICE = 1 << 20  # some 30 arrays of a value for each byte are held at a time
+SLICE = 1 << 19  # some 30 arrays of a value for each byte are held at a time
 U = np.uint64
 
 BLOCKS = "row long, at long, key long, cls long"
@@ -144,17 +144,17 @@ def _blocks(length: int, seed: int):
     return run
 
 
-def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _groups(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs twice or more (by ``weight``), with ``mixed``: whether their group holds unequal blocks."""
-    stats = (rows.groupBy(*keys).agg(F.sum("weight").alias("_w"), F.min("cls").alias("_lo"), F.max("cls").alias("_hi"))
+    stats = (blocks.groupBy(*keys).agg(F.sum("weight").alias("_w"), F.min("cls").alias("_lo"), F.max("cls").alias("_hi"))
              .filter("_w > 1").select(*keys, (F.col("_lo") != F.col("_hi")).alias("mixed")))
     # written, so that the join has an exchange on either side and adaptive execution can split a hot digit
-    return rows.join(write_table(stats, "suffix-stats"), keys)
+    return blocks.join(write_table(stats, "suffix-stats"), keys)
 
 
-def _classes(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _classes(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Equal blocks of mixed groups: their weight, and the least (row, at) as representative."""
-    return (rows.filter("mixed").groupBy(*keys, "cls")
+    return (blocks.filter("mixed").groupBy(*keys, "cls")
             .agg(F.sum("weight").alias("n"), F.min(F.struct("row", "at")).alias("rep")))
 
 
@@ -162,14 +162,14 @@ def _contexts(length: int):
     """Blocks to refine, given with their rows' texts, to (place, near, far, bytes that their windows cover)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in rows(batches):
             for z, row, blocks in zip(*(column(batch, c).to_pylist() for c in ("z", "row", "blocks")), strict=True):
                 text, got = d.decompress(z), []
                 for b in blocks:
                     place, near, far = b["at"] >> 20, b["at"] >> 10 & 1023, b["at"] & 1023
                     got.append({"row": row, "at": b["at"], "key": b["key"], "weight": b["weight"],
                                 "bytes": text[place - far:place - near + length]})
-                    if len(got) >= 5000:
+                    if len(got) >= 1000:
                         yield _context_batch(got)
                         got = []
                 if got:
@@ -181,8 +181,8 @@ CONTEXTS = pa.schema([("row", pa.int64()), ("at", pa.int64()), ("key", pa.int64(
                       ("bytes", pa.binary())])
 
 
-def _context_batch(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, CONTEXTS)
+def _context_batch(found: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(found, CONTEXTS)
 
 
 def _spread(first: np.ndarray, n: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +310,7 @@ def _with_spans(docs: DataFrame, length: int, seed: int, columns: list[str]) ->
 def _digest(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in rows(batches):
             out = []
             for z, spans in zip(column(batch, "z").to_pylist(), column(batch, "spans").to_pylist(), strict=True):
                 text, runs = d.decompress(z), _cover(spans, length)
@@ -333,7 +333,7 @@ def dedup_digest(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Dat
 def _strip(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in rows(batches):
             kept = [_kept(d.decompress(z), _cover(s, length)).decode("utf-8", "ignore") for z, s in zip(
                 column(batch, "z").to_pylist(), column(batch, "spans").to_pylist(), strict=True)]
             out = batch.set_column(batch.schema.get_field_index("z"), "text", pa.array(kept, pa.string()))
