@@ -65,9 +65,10 @@ def resolution_impact(known, total, threshold) -> Column:
 
 
 def name_key(c) -> Column:
-    """Normalised matching key: upper case, zero read as O, then only A-Z and 0-9 kept.
+    """Normalised matching key: upper case, zero read as O, then only letters and digits
+    (of any script) kept. A name without any has no key (NULL), and so matches nothing.
 
     Covers the upper-case, punctuation, hyphenated and zero-for-O variant types.
     """
-    up = F.upper(_c(c))
-    return F.regexp_replace(F.translate(up, "0", "O"), "[^A-Z0-9]", "")
+    key = F.regexp_replace(F.translate(F.upper(_c(c)), "0", "O"), r"[^\p{L}\p{N}]", "")
+    return F.when(key != "", key)

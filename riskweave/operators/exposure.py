@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import (NEW_BREACH, WORSENED, breach_status, money_sum, ratio,
                                  resolution_impact, round_double)
+from ..plans.joins import full_join, unique_lookup
 from .load import conform_values
 from .resolution import MATCHED_ORIGINAL
 
@@ -177,8 +178,9 @@ def encumbrance_view(buffer: DataFrame, pledged: DataFrame, fx: DataFrame,
     free remainder, in native and reporting currency.
 
     Both inputs are summed to the common grain first (no fan-out), then one full
-    outer join; the rate comes from a join on (currency, date) and a missing rate
-    leaves the reporting amounts NULL with ``fx_missing`` set. With a ``taxonomy``
+    outer join (null-safe on the grain); the rate comes from a join on (currency, date),
+    reduced to one row per key, and a missing or contradictory rate leaves the reporting
+    amounts NULL with ``fx_missing`` set. With a ``taxonomy``
     the pledged asset codes are conformed first (A8) and the pledged amount whose
     code has no core mapping is reported as ``pledged_unmapped``.
     """
@@ -192,13 +194,13 @@ def encumbrance_view(buffer: DataFrame, pledged: DataFrame, fx: DataFrame,
         unmapped = F.lit(None).cast("decimal(18,2)")
     p = pledged.groupBy(*g).agg(F.sum("amount").cast("decimal(38,2)").alias("pledged_amount"),
                                 F.sum(unmapped).cast("decimal(38,2)").alias("pledged_unmapped"))
-    j = b.join(p, g, "full").select(
+    j = full_join(b, p, g).select(
         *g, F.coalesce("buffer_amount", zero).alias("buffer_amount"),
         F.coalesce("pledged_amount", zero).alias("pledged_amount"),
         (F.coalesce("pledged_unmapped", zero) if taxonomy is not None else F.col("pledged_unmapped"))
         .alias("pledged_unmapped"))
     j = j.withColumn("free_amount", (F.col("buffer_amount") - F.col("pledged_amount")).cast("decimal(38,2)"))
-    rates = fx.select(F.col("currency"), F.col("business_date"), F.col("rate"))
+    rates = unique_lookup(fx, ["currency", "business_date"], "rate").drop("conflict")
     j = j.join(rates, g, "left")
     rate = F.when(F.col("currency") == reporting_currency, F.lit(1).cast("decimal(10,4)")).otherwise(F.col("rate"))
     rep = lambda c: (F.col(c) * rate).cast("decimal(38,6)")

@@ -46,66 +46,77 @@ def _window_start(as_of: str, days: int):
 
 def active_consumers(registry: DataFrame, as_of: str, days: int = 365,
                      product: str | None = None) -> DataFrame:
-    """Consumers validated within ``days`` before ``as_of``; NULL dates drop out."""
+    """Consumers validated within ``days`` before ``as_of``, and not after it; NULL dates drop out."""
     r = registry if product is None else registry.filter(F.col("producer_product") == product)
-    return r.filter(F.col("last_validated_date") >= _window_start(as_of, days))
+    v = F.col("last_validated_date")
+    return r.filter((v >= _window_start(as_of, days)) & (v <= F.lit(as_of).cast("date")))
 
 
 def stale_consumers(registry: DataFrame, as_of: str, days: int = 365) -> DataFrame:
-    """The rest: validated before the window or never; business-critical first."""
+    """The rest: validated before the window, after ``as_of``, or never; business-critical first."""
     v = F.col("last_validated_date")
-    return (registry.filter(v.isNull() | (v < _window_start(as_of, days)))
+    active = (v >= _window_start(as_of, days)) & (v <= F.lit(as_of).cast("date"))
+    return (registry.filter(~F.coalesce(active, F.lit(False)))
                     .orderBy(F.col("business_critical").desc(), v.asc_nulls_first(), "consumer_id"))
 
 
 def _rank(label_col):
-    expr = F.lit(None).cast("int")
+    """Place of a label in the order; a label that is not in it ranks most restrictive."""
+    expr = F.lit(len(SENSITIVITY_ORDER) - 1)
     for i, name in enumerate(SENSITIVITY_ORDER):
         expr = F.when(F.upper(label_col) == name, F.lit(i)).otherwise(expr)
-    return expr
+    return F.when(label_col.isNotNull(), expr)
 
 
 def _label(rank_col):
-    return F.element_at(F.array(*[F.lit(s) for s in SENSITIVITY_ORDER]), rank_col + 1)
+    return F.when(rank_col >= 0, F.element_at(F.array(*[F.lit(s) for s in SENSITIVITY_ORDER]), F.greatest(rank_col, F.lit(0)) + 1))
 
 
-def inherit_classification(lineage: DataFrame, labels: DataFrame, max_depth: int = 20,
-                           checkpoint_every: int = 1) -> DataFrame:
+def inherit_classification(lineage: DataFrame, labels: DataFrame, compact_every: int = 8) -> DataFrame:
     """Effective sensitivity of every product = most restrictive of its own label and
-    of everything upstream; PII if anything upstream has it.
-
-    Propagates one lineage level per round (join on parent + max per child) until no
-    product changes; the loop's only driver traffic is one changed-row count per
-    round. The plan is cut with ``checkpoint()`` (reliable, in spark.checkpoint.dir)
-    each round by default, so a round never recomputes the earlier ones.
+    of everything upstream; PII if anything upstream has it. A product with no label on
+    or above it has sensitivity NULL; an unknown label counts as the most restrictive.
+
+    Runs when called, to the fixpoint, whatever the depth (cycles end too): each round
+    joins only the products that changed in the last one (the frontier) to their
+    children, and keeps the children that this raises. Edges are written once, a round
+    writes its frontier alone with ``checkpoint()``, and the rounds' tables are merged
+    every ``compact_every`` rounds. The driver sees one "is it empty" a round. A parent
+    of very many children is split by adaptive execution, as both join sides are read
+    from written tables.
     """
     ensure_checkpoint_dir(lineage.sparkSession)
-    edges = lineage.select("child", "parent").distinct()
-    own = labels.select(F.col("product_id"), _rank(F.col("sensitivity")).alias("rank"),
-                        F.col("pii").cast("boolean").alias("pii"))
-    nodes = (edges.select(F.col("child").alias("product_id"))
-                  .union(edges.select(F.col("parent").alias("product_id")))
-                  .union(own.select("product_id")).distinct())
-    eff = (nodes.join(own, "product_id", "left")
-                .select("product_id", F.coalesce("rank", F.lit(-1)).alias("rank"),
-                        F.coalesce("pii", F.lit(False)).alias("pii")))
-    for depth in range(1, max_depth + 1):
-        up = (edges.join(eff.withColumnRenamed("product_id", "parent"), "parent")
-                   .groupBy(F.col("child").alias("product_id"))
-                   .agg(F.max("rank").alias("_urank"), F.max(F.col("pii").cast("int")).alias("_upii")))
-        new = (eff.join(up, "product_id", "left")
-                  .select("product_id",
-                          F.greatest("rank", F.coalesce("_urank", F.lit(-1))).alias("rank"),
-                          (F.col("pii") | F.coalesce(F.col("_upii") == 1, F.lit(False))).alias("pii"),
-                          ((F.coalesce("_urank", F.lit(-1)) > F.col("rank"))
-                           | (~F.col("pii") & F.coalesce(F.col("_upii") == 1, F.lit(False)))).alias("_chg")))
-        if depth % checkpoint_every == 0:
-            new = new.checkpoint()
-        changed = new.filter("_chg").limit(1).count()
-        eff = new.drop("_chg")
-        if not changed:
+    edges = (lineage.select("child", "parent").filter("child IS NOT NULL AND parent IS NOT NULL AND child != parent")
+             .distinct().checkpoint())
+    best = [F.max("rank").alias("rank"), F.max("pii").alias("pii")]
+
+    def merged(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.groupBy("product_id").agg(*best)
+
+    own = (labels.select("product_id", F.coalesce(_rank(F.col("sensitivity")), F.lit(-1)).alias("rank"),
+                         F.coalesce(F.col("pii").cast("boolean").cast("int"), F.lit(0)).alias("pii"))
+           .filter("product_id IS NOT NULL").groupBy("product_id").agg(*best).checkpoint())
+    parts, frontier = [own], own.filter("rank >= 0 OR pii = 1")
+    while True:
+        up = (edges.join(frontier.withColumnRenamed("product_id", "parent"), "parent")
+                   .groupBy(F.col("child").alias("product_id")).agg(*best))
+        now = merged(parts).withColumnsRenamed({"rank": "_rank", "pii": "_pii"})
+        frontier = (up.join(now, "product_id", "left")
+                      .filter((F.col("rank") > F.coalesce("_rank", F.lit(-1))) | (F.col("pii") > F.coalesce("_pii", F.lit(0))))
+                      .select("product_id", F.greatest("rank", F.coalesce("_rank", F.lit(-1))).alias("rank"),
+                              F.greatest("pii", F.coalesce("_pii", F.lit(0))).alias("pii")).checkpoint())
+        if frontier.isEmpty():
             break
-    return eff.select("product_id", _label(F.col("rank")).alias("sensitivity"), "pii")
+        parts.append(frontier)
+        if len(parts) > compact_every:
+            parts = [merged(parts).checkpoint()]
+    nodes = edges.select(F.col("child").alias("product_id")).unionByName(
+        edges.select(F.col("parent").alias("product_id"))).unionByName(own.select("product_id")).distinct()
+    return (nodes.join(merged(parts), "product_id", "left")
+                 .select("product_id", _label(F.col("rank")).alias("sensitivity"), (F.coalesce("pii", F.lit(0)) == 1).alias("pii")))
 
 
 def lineage_diff(declared: DataFrame, observed: DataFrame) -> DataFrame:

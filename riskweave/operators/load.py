@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import unique_lookup
 
 
 def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -37,14 +39,19 @@ def materialize(df: DataFrame, path: str, if_absent: bool = True, partition_by:
                 fmt: str = "parquet", bucket_by: tuple[int, list[str]] | None = None,
                 table: str | None = None) -> None:
     """A3: write a derived table. ``if_absent`` keeps an existing table untouched
-    (CREATE TABLE IF NOT EXISTS ... AS: a second call does not refresh it).
+    (CREATE TABLE IF NOT EXISTS ... AS: a second call does not refresh it). A table exists
+    if its write was committed (``_SUCCESS``, or the catalog entry): what a failed write
+    left behind is written over.
 
     ``partition_by`` (e.g. a month column) lets later date filters prune files;
     ``bucket_by=(n, keys)`` with ``table`` writes a bucketed catalog table so
     later joins and aggregations on those keys read co-partitioned data without
     a shuffle.
     """
-    w = df.write.mode("ignore" if if_absent else "overwrite").format(fmt)
+    spark = df.sparkSession
+    if if_absent and (spark.catalog.tableExists(table) if bucket_by and table else _committed(spark, path)):
+        return
+    w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
@@ -56,6 +63,12 @@ def materialize(df: DataFrame, path: str, if_absent: bool = True, partition_by:
     w.save(path)
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    """Whether the last write to ``path`` ended with a commit."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def conform_columns(df: DataFrame, alias_map: dict[str, str]) -> tuple[DataFrame, list[str]]:
     """A4: rename an app's columns to canonical names; also return the source
     columns that have no mapping (they are kept under their own names)."""
@@ -64,12 +77,17 @@ def conform_columns(df: DataFrame, alias_map: dict[str, str]) -> tuple[DataFrame
 
 
 def conform_union(sources: dict[str, DataFrame], alias_maps: dict[str, dict[str, str]],
-                  keep_unmapped: bool = False) -> DataFrame:
-    """A5: A4 on each source, then one table with ``source_app``; missing columns are NULL."""
+                  keep_unmapped: bool = True) -> DataFrame:
+    """A5: A4 on each source, then one table with ``source_app``; missing columns are NULL.
+
+    Unmapped columns stay under their own names; ``keep_unmapped=False`` drops them,
+    and says which in a warning.
+    """
     out = None
     for app, df in sources.items():
         renamed, unmapped = conform_columns(df, alias_maps[app])
         if not keep_unmapped and unmapped:
+            warnings.warn(f"{app}: columns without a mapping are dropped: {unmapped}", stacklevel=2)
             renamed = renamed.drop(*unmapped)
         renamed = renamed.withColumn("source_app", F.lit(app))
         out = renamed if out is None else out.unionByName(renamed, allowMissingColumns=True)
@@ -81,25 +99,31 @@ def convert_currency(df: DataFrame, fx: DataFrame, amount: str, ccy: str, on_dat
     """Amount x rate for (currency, business date); the native amount is kept.
 
     The reporting currency itself converts at 1. A missing rate gives NULL and
-    ``fx_missing``. The rate table (currencies x dates) is left to AQE, which
+    ``fx_missing``; two different rates for a key give NULL, ``fx_missing`` and
+    ``fx_conflict``, never a second row. The rate table (currencies x dates) is left to AQE, which
     broadcasts it from its measured size or else uses a skew-aware shuffle join.
     """
-    rates = fx.select(F.col("currency").alias("_ccy"), F.col("business_date").alias("_d"),
-                      F.col("rate").alias("_rate"))
+    rates = unique_lookup(fx, ["currency", "business_date"], "rate").select(
+        F.col("currency").alias("_ccy"), F.col("business_date").alias("_d"), F.col("rate").alias("_rate"),
+        F.col("conflict").alias("_conflict"))
     j = df.join(rates,
                 (F.col(ccy) == F.col("_ccy")) & (F.col(on_date) == F.col("_d")), "left")
     rate = F.when(F.col(ccy) == reporting, F.lit(1).cast("decimal(10,4)")).otherwise(F.col("_rate"))
     return (j.withColumn(out, (F.col(amount) * rate).cast("decimal(38,6)"))
              .withColumn("fx_missing", rate.isNull())
-             .drop("_ccy", "_d", "_rate"))
+             .withColumn("fx_conflict", F.coalesce("_conflict", F.lit(False)) & (F.col(ccy) != reporting))
+             .drop("_ccy", "_d", "_rate", "_conflict"))
 
 
 def conform_values(df: DataFrame, column: str, mapping: DataFrame, source: str,
                    out: str | None = None) -> DataFrame:
     """Translate source codes to the core taxonomy via (source_system, source_code);
-    the source code is kept and ``unmapped`` marks codes without a mapping."""
+    the source code is kept and ``unmapped`` marks codes without a mapping, or with two
+    different ones (``ambiguous``)."""
     out = out or f"core_{column}"
-    m = mapping.select(F.col("source_system").alias("_src"), F.col("source_code").alias("_code"),
-                       F.col("core_code").alias(out))
-    j = df.join(bounded_broadcast(m), (F.col(source) == F.col("_src")) & (F.col(column) == F.col("_code")), "left")
-    return j.drop("_src", "_code").withColumn("unmapped", F.col(out).isNull())
+    m = unique_lookup(mapping, ["source_system", "source_code"], "core_code").select(
+        F.col("source_system").alias("_src"), F.col("source_code").alias("_code"), F.col("core_code").alias(out),
+        F.col("conflict").alias("_conflict"))
+    j = df.join(m, (F.col(source) == F.col("_src")) & (F.col(column) == F.col("_code")), "left")
+    return (j.withColumn("ambiguous", F.coalesce("_conflict", F.lit(False))).drop("_src", "_code", "_conflict")
+             .withColumn("unmapped", F.col(out).isNull()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import money_sum, name_key, pct
+from ..plans.joins import left_join_spread
 
 # Fixed values of the reference's resolution statuses.
 MATCHED_ORIGINAL = "MATCHED_ORIGINAL"
@@ -89,7 +90,7 @@ def extend_search_text(dim: DataFrame, additions: DataFrame) -> DataFrame:
 def _variant_lookup(variants: DataFrame, key_col: Column) -> DataFrame:
     """Per lookup key: the single code it maps to (NULL if two), canonical spelling, ambiguity."""
     return (variants.select(key_col.alias("_k"), "counterparty_code", "variant_name", "is_canonical")
-                    .groupBy("_k")
+                    .filter(F.col("_k").isNotNull()).groupBy("_k")
                     .agg(F.countDistinct("counterparty_code").alias("_codes"),
                          F.min("counterparty_code").alias("_code"),
                          F.collect_set(F.when(F.col("is_canonical"), F.col("variant_name"))).alias("_canon")))
@@ -104,7 +105,7 @@ def variant_lookup(variants: DataFrame, normalised: bool = False) -> DataFrame:
 def _resolve(trades: DataFrame, variants: DataFrame, probe: Column, key_col: Column | None,
              lookup: DataFrame | None = None) -> DataFrame:
     lk = lookup if lookup is not None else _variant_lookup(variants, key_col)
-    j = trades.join(lk, probe == F.col("_k"), "left")
+    j = left_join_spread(trades.withColumn("_k", probe), lk, ["_k"])
     single = F.col("_codes") == 1
     canonical = F.array_contains(F.col("_canon"), F.col("booked_name"))
     status = (F.when(single & canonical, F.lit(MATCHED_ORIGINAL))
@@ -150,7 +151,7 @@ def _deletion_neighbourhood(key: Column, d: int) -> Column:
             hood, lambda s: F.array_union(
                 F.array(s),
                 F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
-                            lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 20))))))
+                            lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, F.length(s)))))))
     return F.array_distinct(hood)
 
 
@@ -161,13 +162,13 @@ def fuzzy_candidates(names: DataFrame, variants: DataFrame, max_distance: int =
     Exact, never a cross join: two keys within d edits share a string obtained
     by deleting at most d characters from each (symmetric deletion), so pairs are
     generated by an equi-join on deletion strings and then verified with
-    ``levenshtein``. Names are de-duplicated first. Every candidate at the k best
+    ``levenshtein``. Names are de-duplicated first; names without a key have no candidates. Every candidate at the k best
     distances is kept (ties included); ``n_codes`` > 1 marks an ambiguous name.
     """
     probe = (names.select(F.col("booked_name")).distinct()
-                  .withColumn("probe_key", name_key("booked_name")))
+                  .withColumn("probe_key", name_key("booked_name")).filter(F.col("probe_key").isNotNull()))
     vkeys = (variants.select(name_key("variant_name").alias("variant_key"), "counterparty_code")
-                     .distinct())
+                     .filter(F.col("variant_key").isNotNull()).distinct())
     exact = None
     if k == 1:
         # With k = 1 a name that has an exact key hit keeps only distance-0 candidates,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..plans.joins import bounded_broadcast
+from ..session import ensure_checkpoint_dir
 
 # Fixed tenor buckets for sensitivity reports (upper bounds in years, inclusive).
 TENOR_BUCKETS = (("0-1Y", 1.0), ("1-5Y", 5.0), ("5-10Y", 10.0), ("10Y+", None))
@@ -83,11 +83,18 @@ def default_probabilities(quotes: DataFrame, times: DataFrame, recovery: float =
 def discounted_pv(cashflows: DataFrame, quotes: DataFrame, risk_free: float = 0.04,
                   by: list[str] | None = None) -> DataFrame:
     """H5: PV = sum(amount x DF) per trade (and scenario), DF = (1 + r + s(t))^-t with
-    s(t) the spread of the trade's curve interpolated at the cash-flow time."""
+    s(t) the spread of the trade's curve interpolated at the cash-flow time.
+
+    Flows whose curve has no quote are not in the PV: ``flows_without_curve`` and
+    ``amount_without_curve`` say how many and how much.
+    """
     cf = interpolate_curve(cashflows, quotes, tenor="time_y", out="_s", by=by)
     df = F.pow(F.lit(1.0 + risk_free) + F.col("_s") / 10000.0, -F.col("time_y"))
+    lost = F.col("_s").isNull()
     return (cf.groupBy("trade_id", *(by or []))
-              .agg(F.sum(F.col("amount").cast("double") * df).alias("pv")))
+              .agg(F.sum(F.col("amount").cast("double") * df).alias("pv"),
+                   F.count(F.when(lost, 1)).alias("flows_without_curve"),
+                   F.coalesce(F.sum(F.when(lost, F.col("amount").cast("double"))), F.lit(0.0)).alias("amount_without_curve")))
 
 
 def discounted_pv_by_scenario(cashflows: DataFrame, quotes: DataFrame, scenarios: list[str],
@@ -101,7 +108,8 @@ def discounted_pv_by_scenario(cashflows: DataFrame, quotes: DataFrame, scenarios
     cf = interpolate_curve(cashflows, quotes, tenor="time_y", out="_s", by=["scenario"])
     term = F.col("amount").cast("double") * F.pow(F.lit(1.0 + risk_free) + F.col("_s") / 10000.0, -F.col("time_y"))
     return cf.groupBy("trade_id").agg(
-        *[F.sum(F.when(F.col("scenario") == s, term)).alias(f"pv_{s}") for s in scenarios])
+        *[F.sum(F.when(F.col("scenario") == s, term)).alias(f"pv_{s}") for s in scenarios],
+        F.count(F.when(F.col("_s").isNull(), 1)).alias("flows_without_curve"))
 
 
 def cds_legs(quotes: DataFrame, maturity: int = 5, recovery: float = 0.4,
@@ -174,7 +182,7 @@ def net_exposure(values: DataFrame) -> DataFrame:
 
 def exposure_profile(net: DataFrame, n_paths: int, level: float = 0.95) -> DataFrame:
     """Per netting set, scenario and time: EE = mean over all ``n_paths`` paths,
-    PFE = linear percentile at ``level``; peak PFE = max over time.
+    PFE = linear percentile at ``level``, MTM = mean net value; peak PFE = max over time.
 
     A path with no row counts as exposure 0. After H9 a group holds at most one
     value per path, so the values are gathered into a bounded array, padded with
@@ -183,7 +191,7 @@ def exposure_profile(net: DataFrame, n_paths: int, level: float = 0.95) -> DataF
     """
     g = ["netting_set", "scenario", "time_y"]
     agg = net.groupBy(*g).agg(F.collect_list(F.col("exposure").cast("double")).alias("_v"),
-                              F.sum("exposure").alias("_sum"))
+                              F.sum("exposure").alias("_sum"), F.sum("net_value").alias("_mtm"))
     # more values than paths means the input was not netted per path (H9): fail loudly
     agg = agg.withColumn("_v", F.when(F.size("_v") <= n_paths, F.col("_v")).otherwise(
         F.raise_error(F.lit(f"more than {n_paths} values in one exposure group; net per path first"))))
@@ -194,17 +202,20 @@ def exposure_profile(net: DataFrame, n_paths: int, level: float = 0.95) -> DataF
     lo_v, hi_v = F.element_at(vals, lo_i + 1), F.element_at(vals, hi_i + 1)
     pfe = lo_v + (hi_v - lo_v) * (pos - lo_i)
     prof = agg.select(*g, (F.col("_sum").cast("double") / n_paths).alias("ee"), pfe.alias("pfe"),
-                      F.lit(level).alias("level"))
+                      (F.col("_mtm").cast("double") / n_paths).alias("mtm"), F.lit(level).alias("level"))
     w = Window.partitionBy("netting_set", "scenario")
     return prof.withColumn("peak_pfe", F.max("pfe").over(w))
 
 
 def stressed_pfe(profile: DataFrame, valuation_date: str, base: str = "base",
                  stressed: str = "stressed") -> DataFrame:
-    """Base and stressed PFE and EE side by side per netting set and time, with
+    """Base and stressed PFE, EE and MTM side by side per netting set and time, with
     the difference; the output always carries level and valuation date."""
     s = F.col("scenario")
+    mtm = [F.max(F.when(s == v, F.col("mtm"))).alias(f"{n}_mtm") for n, v in (("base", base), ("stressed", stressed))
+           if "mtm" in profile.columns]
     out = profile.groupBy("netting_set", "time_y", "level").agg(
+        *mtm,
         F.max(F.when(s == base, F.col("pfe"))).alias("base_pfe"),
         F.max(F.when(s == stressed, F.col("pfe"))).alias("stressed_pfe"),
         F.max(F.when(s == base, F.col("ee"))).alias("base_ee"),
@@ -219,69 +230,106 @@ def cva(profile: DataFrame, dpd: DataFrame, lgd: float = 0.6, risk_free: float =
 
     ``profile`` carries (netting_set, curve_id, time_y, ee); ``dpd`` carries
     (curve_id, tenor_y, dpd) on the same time grid (from ``default_probabilities``).
+    Exposure without a PD is not in the CVA: ``times_without_pd`` and ``ee_without_pd``
+    say how many points and how much. With ``by`` such rows have NULL there.
     """
     keys = ["curve_id", *(by or [])]
     p = dpd.select(*keys, F.col("tenor_y").alias("time_y"), "dpd")
-    j = profile.join(p, ["curve_id", "time_y"])
+    j = profile.join(p, ["curve_id", "time_y"], "left")
     dfac = F.pow(F.lit(1.0 + risk_free), -F.col("time_y"))
+    lost = F.col("dpd").isNull()
     return (j.groupBy("netting_set", *(by or []))
-             .agg(F.sum(F.col("ee") * F.col("dpd") * lgd * dfac).alias("cva")))
+             .agg(F.sum(F.col("ee") * F.col("dpd") * lgd * dfac).alias("cva"),
+                  F.count(F.when(lost, 1)).alias("times_without_pd"),
+                  F.coalesce(F.sum(F.when(lost, F.col("ee"))), F.lit(0.0)).alias("ee_without_pd")))
+
+
+def cva_on_quotes(profile: DataFrame, quotes: DataFrame, lgd: float = 0.6, recovery: float = 0.4,
+                  risk_free: float = 0.04) -> DataFrame:
+    """H12 from quotes: PDs on the profile's own time grid. The profile gives the grid and
+    the exposure, so it is written once (``checkpoint``, when this is called) and its
+    paths are netted once."""
+    ensure_checkpoint_dir(profile.sparkSession)
+    profile = profile.checkpoint()
+    grid = profile.select("curve_id", F.col("time_y").alias("tenor_y")).distinct()
+    return cva(profile, _quoted(default_probabilities(quotes, grid, recovery)), lgd, risk_free)
+
+
+def _quoted(dpd: DataFrame) -> DataFrame:
+    """PDs of curves that have quotes (a grid time of another curve has no spread)."""
+    return dpd.filter(F.col("spread_bp").isNotNull())
 
 
 def cva_cs01(profile: DataFrame, quotes: DataFrame, lgd: float = 0.6, recovery: float = 0.4,
              risk_free: float = 0.04, shift_bp: float = 1.0) -> DataFrame:
     """CVA on the curve shifted by ``shift_bp`` minus CVA on the base curve, same
-    exposure, both scenarios in one job (never built from trade CS01)."""
+    exposure, both scenarios in one job (never built from trade CS01). Exposure without a
+    PD is counted as in H12; the profile is written once, as in ``cva_on_quotes``."""
+    ensure_checkpoint_dir(profile.sparkSession)
+    profile = profile.checkpoint()
     shocked = shock_curve(quotes, (("base", 0.0), ("shocked", shift_bp))).drop("shift_bp")
     grid = profile.select("curve_id", F.col("time_y").alias("tenor_y")).distinct()
-    dpd = default_probabilities(shocked, grid, recovery, by=["scenario"])
+    dpd = _quoted(default_probabilities(shocked, grid, recovery, by=["scenario"]))
     c = cva(profile, dpd, lgd, risk_free, by=["scenario"])
     s = F.col("scenario")
     return (c.groupBy("netting_set")
              .agg(F.sum(F.when(s == "base", F.col("cva"))).alias("cva_base"),
-                  F.sum(F.when(s == "shocked", F.col("cva"))).alias("cva_shocked"))
+                  F.sum(F.when(s == "shocked", F.col("cva"))).alias("cva_shocked"),
+                  F.sum("times_without_pd").alias("times_without_pd"), F.sum("ee_without_pd").alias("ee_without_pd"))
              .withColumn("cva_cs01", F.col("cva_shocked") - F.col("cva_base")))
 
 
-def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float, bucket: str = "curve_id",
+def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float | DataFrame, bucket: str = "curve_id",
                      factor: str = "tenor_bucket", value: str = "cs01") -> DataFrame:
     """WS_k = s_k x w_k per risk factor, then K_b = sqrt(sum_k sum_l rho_kl WS_k WS_l).
 
-    With one correlation ``rho`` between distinct factors of a bucket the double
-    sum equals (1 - rho) * sum(WS^2) + rho * (sum WS)^2, so no factor pairs are
-    ever materialised; sensitivities are netted per factor first.
+    ``rho`` is a table (factor_k, factor_l, rho; both orders listed, a factor with itself
+    counts 1, a pair that is not listed 0), or one number for all pairs of distinct
+    factors. Sensitivities are netted per factor first, so a bucket has a row a factor
+    and the double sum is two small joins. A factor without a weight is not in the
+    capital: ``factors_without_weight`` and ``sensitivity_without_weight`` tell.
     """
     s = sens.withColumn("tenor_bucket", tenor_bucket("tenor_y")) if factor == "tenor_bucket" else sens
     per = s.groupBy(bucket, factor).agg(F.sum(value).alias("net_sensitivity"))
-    w = bounded_broadcast(weights.select(factor, "risk_weight"))
-    ws = per.join(w, factor).withColumn("weighted_sensitivity", F.col("net_sensitivity") * F.col("risk_weight"))
-    k = ws.groupBy(bucket).agg(F.sum(F.col("weighted_sensitivity") ** 2).alias("_sq"),
-                               F.sum("weighted_sensitivity").alias("ws_total"),
-                               F.count("*").alias("factors"))
-    k2 = (1.0 - rho) * F.col("_sq") + rho * F.col("ws_total") ** 2
-    return k.select(bucket, "ws_total", "factors", F.sqrt(F.greatest(k2, F.lit(0.0))).alias("bucket_capital"))
+    ws = per.join(weights.select(factor, "risk_weight"), factor, "left").select(
+        bucket, factor, "net_sensitivity", (F.col("net_sensitivity") * F.col("risk_weight")).alias("ws"))
+    lost = F.col("ws").isNull()
+    k = ws.groupBy(bucket).agg(
+        F.sum(F.col("ws") ** 2).alias("_sq"), F.sum("ws").alias("ws_total"), F.count("ws").alias("factors"),
+        F.count(F.when(lost, 1)).alias("factors_without_weight"),
+        F.coalesce(F.sum(F.when(lost, F.abs("net_sensitivity"))), F.lit(0.0)).alias("sensitivity_without_weight"))
+    if isinstance(rho, DataFrame):
+        pairs = rho.select(F.col("factor_k").alias(factor), "factor_l", "rho").filter(F.col(factor) != F.col("factor_l"))
+        met = ws.join(pairs, factor).groupBy(bucket, F.col("factor_l").alias(factor)).agg(F.sum(F.col("ws") * F.col("rho")).alias("_met"))
+        cross = ws.join(met, [bucket, factor]).groupBy(bucket).agg(F.sum(F.col("ws") * F.col("_met")).alias("_cross"))
+        k = k.join(cross, bucket, "left")
+        k2 = F.col("_sq") + F.coalesce("_cross", F.lit(0.0))
+    else:
+        k2 = (1.0 - rho) * F.col("_sq") + rho * F.col("ws_total") ** 2
+    return k.select(bucket, "ws_total", "factors", F.sqrt(F.greatest(k2, F.lit(0.0))).alias("bucket_capital"),
+                    "factors_without_weight", "sensitivity_without_weight")
 
 
 def factor_moves(points: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Spread move (bp) between two curve sets at each point's (curve, tenor): two
-    interpolations against broadcast curve segments, so the points never shuffle."""
+    """Spread move (bp) between two curve sets at each (curve, tenor) of ``points``: give the
+    distinct points (a small table), not the sensitivities."""
     p = interpolate_curve(points, before, out="_s0")
     p = interpolate_curve(p, after, out="_s1")
     return p.withColumn("move_bp", F.col("_s1") - F.col("_s0")).drop("_s0", "_s1")
 
 
-def pnl_explain(sens: DataFrame, moves: DataFrame | None, actual: DataFrame, key: str = "trade_id") -> DataFrame:
+def pnl_explain(sens: DataFrame, moves: DataFrame, actual: DataFrame, key: str = "trade_id") -> DataFrame:
     """Predicted P&L = sum(sensitivity x factor move) per trade; unexplained =
     actual - predicted. ``actual`` is summed to the trade first (D2), so it never
     multiplies with the sensitivity rows.
 
-    ``moves`` is a (curve_id, tenor_y, move_bp) table, or None when ``sens``
-    already carries ``move_bp`` (see ``factor_moves``).
+    ``moves`` is a (curve_id, tenor_y, move_bp) table, one row a point (``factor_moves``).
+    Sensitivities without a move are not in the prediction: ``sens_without_move`` counts them.
     """
-    if moves is not None:
-        sens = sens.join(moves, ["curve_id", "tenor_y"])
-    pred = sens.groupBy(key).agg(F.sum(F.col("cs01") * F.col("move_bp")).alias("predicted_pnl"))
+    sens = sens.join(moves.select("curve_id", "tenor_y", "move_bp"), ["curve_id", "tenor_y"], "left")
+    pred = sens.groupBy(key).agg(F.sum(F.col("cs01") * F.col("move_bp")).alias("predicted_pnl"),
+                                 F.count(F.when(F.col("move_bp").isNull(), 1)).alias("sens_without_move"))
     act = actual.groupBy(key).agg(F.sum("pnl").alias("actual_pnl"))
     j = pred.join(act, key, "full")
-    return j.withColumn("unexplained_pnl",
-                        F.coalesce("actual_pnl", F.lit(0.0)) - F.coalesce("predicted_pnl", F.lit(0.0)))
+    return j.withColumn("sens_without_move", F.coalesce("sens_without_move", F.lit(0).cast("long"))).withColumn(
+        "unexplained_pnl", F.coalesce("actual_pnl", F.lit(0.0)) - F.coalesce("predicted_pnl", F.lit(0.0)))

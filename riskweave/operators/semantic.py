@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import assert_unique
+from ..plans.joins import assert_unique, left_join_spread
 
 
 class ContractViolation(ValueError):
@@ -43,10 +43,14 @@ def check_dimensions(contract: dict, by: list[str]) -> None:
 
 
 def check_safe_aggregation(contract: dict, measure: dict, by: list[str]) -> None:
-    """Summing away a grain column is allowed only if the measure lists it as safe."""
-    if measure.get("aggregation") != "additive":
+    """Summing away a grain column is allowed only if the measure lists it as safe.
+
+    Additive measures and ratios of sums are checked; a measure without a list is safe
+    over nothing. max may drop any column, and native_grain checks itself (E2).
+    """
+    if measure.get("aggregation") not in ("additive", "ratio"):
         return
-    safe = set(measure.get("safe_aggregation", contract.get("grain", [])))
+    safe = set(measure.get("safe_aggregation", []))
     dropped = [g for g in contract.get("grain", []) if g not in by]
     unsafe = [g for g in dropped if g not in safe]
     if unsafe:
@@ -79,22 +83,27 @@ def aggregate_by_rule(df: DataFrame, contract: dict, measures: list[str], by: li
 
 
 def measure_query(df: DataFrame, contract: dict, measures: list[str], by: list[str],
-                  where: str | None = None) -> DataFrame:
-    """Grouped result for named measures, after the contract's checks and filters."""
-    check_dimensions(contract, by)
+                  where: dict[str, object] | None = None) -> DataFrame:
+    """Grouped result for named measures, after the contract's checks and filters.
+
+    ``where`` maps columns to a value or a list of values; its columns are checked like
+    grouping columns, so a blocked one cannot be filtered on either.
+    """
+    check_dimensions(contract, [*by, *(where or {})])
     for m in measures:
         check_safe_aggregation(contract, _measure(contract, m), by)
     for f in contract.get("default_filters", []):
         df = df.filter(F.expr(f))
-    if where:
-        df = df.filter(F.expr(where))
+    for c, v in (where or {}).items():
+        df = df.filter(F.col(c).isin(list(v)) if isinstance(v, (list, tuple, set)) else F.col(c) == F.lit(v))
     return aggregate_by_rule(df, contract, measures, by)
 
 
 def safe_join(left: DataFrame, right: DataFrame, contract: dict, right_product: str,
               how: str = "left", check_fanout: bool = True) -> DataFrame:
     """Join only a product declared joinable, on its declared key; the right side
-    must be unique on that key (D4 guard), so the left grain is preserved."""
+    must be unique on that key (D4 guard, a job that runs when this is called), so the
+    left grain is preserved."""
     decl = [j for j in contract.get("joinable", []) if j["product_id"] == right_product]
     if not decl:
         raise ContractViolation(f"{right_product!r} is not declared joinable with {contract.get('product_id')!r}")
@@ -105,4 +114,4 @@ def safe_join(left: DataFrame, right: DataFrame, contract: dict, right_product:
             assert_unique(right, keys, right_product)
         except ValueError as e:
             raise ContractViolation(str(e)) from e
-    return left.join(right, keys, how)
+    return left_join_spread(left, right, keys) if how == "left" else left.join(right, keys, how)

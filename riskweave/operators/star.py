@@ -7,16 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import assert_unique
+from ..plans.joins import assert_unique, full_join, left_join_spread
 
 
 def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str | list[str], str]],
               attributes: list[str] | None = None, validate: bool = True) -> DataFrame:
     """Fact with dimension attributes; the row count must not grow.
 
-    ``validate`` checks each dimension key is unique (a distributed group-by
-    that returns at most one offending key) before the lazy joins are built.
-    Join strategy is left to Catalyst/AQE: dimensions measured small are
+    ``validate`` checks each dimension key is unique: a distributed group-by that
+    returns at most one offending key, run when this is called, before the lazy
+    joins are built. Fact rows without a key are spread, not gathered. Join strategy is left to Catalyst/AQE: dimensions measured small are
     broadcast at runtime, larger ones take a sort-merge join.
     """
     out = fact
@@ -24,21 +24,22 @@ def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str | list[str], str]
         keys = [key] if isinstance(key, str) else list(key)
         if validate:
             assert_unique(dim, keys)
-        out = out.join(dim, keys, how)
+        out = left_join_spread(out, dim, keys) if how == "left" else out.join(dim, keys, how)
     if attributes is not None:
         out = out.select(*fact.columns, *[a for a in attributes if a not in fact.columns])
     return out
 
 
 def aggregate_then_join(parts: list[tuple[DataFrame, dict[str, Column]]], grain: list[str]) -> DataFrame:
-    """Aggregate every dataset to the common grain, then full-outer join on it.
+    """Aggregate every dataset to the common grain, then full-outer join on it
+    (null-safe: a NULL key is one group in every dataset, and one row in the result).
 
     Joining before aggregating would repeat one side's rows once per match on
     the other side (the doubled sum); aggregating first makes every side unique
     on the grain, so the join cannot fan out.
     """
     aggs = [df.groupBy(*grain).agg(*[c.alias(n) for n, c in measures.items()]) for df, measures in parts]
-    return reduce(lambda a, b: a.join(b, grain, "full"), aggs)
+    return reduce(lambda a, b: full_join(a, b, grain), aggs)
 
 
 def grain_check(df: DataFrame, grain: list[str]) -> DataFrame:
@@ -108,13 +109,15 @@ def counterparty_summary(exposure: DataFrame, pfe: DataFrame, dim: DataFrame,
 def reconcile(a: DataFrame, b: DataFrame, keys: list[str], measure: str,
               tolerance: float = 0.0) -> DataFrame:
     """Full comparison of two products on ``keys``: ONLY_IN_A, ONLY_IN_B,
-    DIFFERS (|a - b| > tolerance) or EQUAL. Both sides are summed to the keys first."""
-    sa = a.groupBy(*keys).agg(F.sum(measure).cast("decimal(38,2)").alias("value_a"))
-    sb = b.groupBy(*keys).agg(F.sum(measure).cast("decimal(38,2)").alias("value_b"))
-    j = sa.join(sb, keys, "full")
+    DIFFERS (|a - b| > tolerance, or one value NULL) or EQUAL. Both sides are summed
+    to the keys first; presence is a flag of the side, never read off its value, and
+    NULL keys compare as equal."""
+    sa = a.groupBy(*keys).agg(F.sum(measure).cast("decimal(38,2)").alias("value_a"), F.lit(True).alias("in_a"))
+    sb = b.groupBy(*keys).agg(F.sum(measure).cast("decimal(38,2)").alias("value_b"), F.lit(True).alias("in_b"))
     va, vb = F.col("value_a"), F.col("value_b")
     diff = (va - vb).cast("decimal(38,2)")
-    return j.select(*keys, "value_a", "value_b", diff.alias("difference"),
-                    F.when(vb.isNull(), F.lit("ONLY_IN_A")).when(va.isNull(), F.lit("ONLY_IN_B"))
-                     .when(F.abs(diff) > F.lit(tolerance), F.lit("DIFFERS"))
-                     .otherwise(F.lit("EQUAL")).alias("status"))
+    same = va.eqNullSafe(vb) | (F.abs(diff) <= F.lit(tolerance))
+    return full_join(sa, sb, keys).select(
+        *keys, "value_a", "value_b", diff.alias("difference"),
+        F.when(F.col("in_b").isNull(), F.lit("ONLY_IN_A")).when(F.col("in_a").isNull(), F.lit("ONLY_IN_B"))
+         .when(same, F.lit("EQUAL")).otherwise(F.lit("DIFFERS")).alias("status"))

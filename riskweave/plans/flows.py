@@ -43,7 +43,7 @@ def reset_resolve_refresh(spark: SparkSession, d: str, out_dir: str, ids: DataFr
     queue = B.exceptions_queue(v1)
     v2 = _version(spark, B.resolve_by_id(v1, rules), out_dir, "trades_v2_resolved")
     return {"queue": queue, "before": B.resolution_breakdown(v1), "after": B.resolution_breakdown(v2),
-            "trend": B.resolution_trend(v2, bd.date_dim(spark, d))}
+            "trend": B.resolution_trend(v2, bd.date_dim(spark, d, last="2001-12-01"))}
 
 
 def hidden_exposure_to_alert(spark: SparkSession, d: str, out_dir: str) -> DataFrame:

@@ -1,32 +1,47 @@
-"""Join helpers that keep broadcasts behind a proven size bound."""
+"""Join helpers: unique lookups, and left joins that spread rows without a key.
+
+No join here is hinted: adaptive execution broadcasts a side from its measured
+bytes, or else splits skewed partitions of a shuffle join.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we hint as a broadcast. Larger sides take a shuffle join;
-# adaptive execution may still switch to broadcast from measured sizes.
-DEFAULT_BROADCAST_ROWS = 500_000
+SPREAD = 4096
+
+
+def full_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join on null-safe keys; each key comes out once."""
+    a, b = a.alias("_a"), b.alias("_b")
+    on = reduce(lambda x, y: x & y, [F.col(f"_a.{k}").eqNullSafe(F.col(f"_b.{k}")) for k in keys])
+    rest = [F.col(f"_{s}.{c}") for s, df in (("a", a), ("b", b)) for c in df.columns if c not in keys]
+    return a.join(b, on, "full").select(*[F.coalesce(F.col(f"_a.{k}"), F.col(f"_b.{k}")).alias(k) for k in keys], *rest)
+
+
+def unique_lookup(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """One row per key: ``value`` (NULL if the key has two) and ``conflict``. A join on it cannot fan out."""
+    lo, hi = F.min(value), F.max(value)
+    return df.groupBy(*keys).agg(F.when(lo == hi, lo).alias(value), F.coalesce(lo != hi, F.lit(False)).alias("conflict"))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` only if ``df`` has at most ``max_rows`` rows.
+def left_join_spread(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left equi-join whose left rows without a key do not meet in one task.
 
-    The check reads at most ``max_rows + 1`` rows (a limit job), so it is cheap
-    even when the side turns out to be big. Beyond the bound the plain
-    DataFrame is returned and the join shuffles (sort-merge, skew-split by AQE).
+    They match nothing, but a hash of their NULL key would send all of them to one
+    partition; a second key, 0 for rows with a key, deals them out by row.
     """
-    if df.isLocal():
-        # rows built on the driver (a literal parameter table): counted there, no job
-        n = len(df.limit(max_rows + 1).collect())
-    else:
-        n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    keyless = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+    spread = F.when(keyless, F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
+    return (left.withColumn("_spread", spread)
+                .join(right.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], "left").drop("_spread"))
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> None:
-    """Fail if ``keys`` repeat in ``df`` (a join on them would fan out)."""
+    """Fail if ``keys`` repeat in ``df`` (a join on them would fan out). Runs a job when called."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"{what} key {keys} is not unique, e.g. {dup[0].asDict()}")

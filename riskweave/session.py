@@ -53,12 +53,15 @@ def build_session(master: str | None = None, app: str = "riskweave",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local runs and tests) a scratch folder is created and set.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset a local
+    master (tests) gets a scratch folder; on a cluster that would be a folder that
+    only one machine sees, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="riskweave-ckpt-",
                                    dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():

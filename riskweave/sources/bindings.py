@@ -28,6 +28,8 @@ STATUS_UNMATCHED = "UNMATCHED"
 CP_THRESHOLD = 500000
 MARGIN_THRESHOLD = 200000
 CURVE_TENORS = (1, 3, 5, 10)
+CALENDAR = ("1994-08-01", "2001-03-01")   # months of the date dimension
+UNQUOTED = 5                              # brands whose number leaves this on division by 10 have no curve
 
 
 def money(c) -> Column:
@@ -54,23 +56,27 @@ def _year_end(c: str) -> Column:
     return F.make_date(F.year(F.col(c).cast("date")), F.lit(12), F.lit(31))
 
 
-def trades(spark: SparkSession, d: str) -> DataFrame:
-    """b_trades: one trade per order, booked under a name that depends on status."""
+def trades(spark: SparkSession, d: str, names: bool = True) -> DataFrame:
+    """b_trades: one trade per order, booked under a name that depends on status.
+    Without ``names`` the customer table is not read, and booked_name is absent."""
     o = read_table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         "o_orderdate", "o_orderpriority")
-    c = read_table(spark, d, "customer").select("c_custkey", "c_name")
-    j = o.join(c, o.o_custkey == c.c_custkey)
     st = F.col("o_orderstatus")
     exposure = money("o_totalprice")
-    return j.select(
+    booked = []
+    if names:
+        c = read_table(spark, d, "customer").select("c_custkey", "c_name")
+        o = o.join(c, o.o_custkey == c.c_custkey)
+        booked = [F.when(st == "F", F.col("c_name"))
+                   .when(st == "O", F.translate("c_name", "#", " "))
+                   .when(st == "P", F.concat(F.upper("c_name"), F.lit(" LTD")))
+                   .alias("booked_name")]
+    return o.select(
         _key("o_orderkey").alias("trade_id"),
         _month_end("o_orderdate").alias("trade_date"),
         F.when(st != "P", _key("o_custkey")).alias("counterparty_code"),
-        F.when(st == "F", F.col("c_name"))
-         .when(st == "O", F.translate("c_name", "#", " "))
-         .when(st == "P", F.concat(F.upper("c_name"), F.lit(" LTD")))
-         .alias("booked_name"),
+        *booked,
         F.col("o_orderpriority").alias("source_system"),
         F.when(F.col("o_orderkey") % 4 == 0, F.lit("IM")).otherwise(F.lit("VM"))
          .alias("margin_type"),
@@ -106,10 +112,11 @@ def counterparty_legal(spark: SparkSession, d: str) -> DataFrame:
                     F.lit(CP_THRESHOLD).cast(MONEY).alias("threshold_principal"))
 
 
-def date_dim(spark: SparkSession, d: str) -> DataFrame:
-    """b_date: the distinct month ends that orders fall on."""
-    dates = (read_table(spark, d, "orders")
-             .select(_month_end("o_orderdate").alias("trade_date")).distinct())
+def date_dim(spark: SparkSession, d: str, last: str = CALENDAR[1]) -> DataFrame:
+    """b_date: month ends from CALENDAR's first month to ``last``; later trades are not in it."""
+    lo, hi = (F.lit(x).cast("date") for x in (CALENDAR[0], last))
+    dates = spark.range(1).select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("_m")).select(
+        F.last_day("_m").alias("trade_date"))
     t = F.col("trade_date")
     return dates.select(
         t,
@@ -301,12 +308,13 @@ def path_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def curve_quotes(spark: SparkSession, d: str) -> DataFrame:
-    """b_quotes: one spread curve per brand at tenors 1, 3, 5, 10."""
+    """b_quotes: one spread curve per brand at tenors 1, 3, 5, 10; brands 5, 15, 25 have none."""
     brands = read_table(spark, d, "part").select("p_brand").distinct()
     tenor = F.explode(F.array(*[F.lit(float(t)) for t in CURVE_TENORS]))
     brand_no = F.element_at(F.split("p_brand", "#"), 2).cast("int")
     return (brands.select(F.col("p_brand").alias("curve_id"), brand_no.alias("brand_no"),
                           tenor.alias("tenor_y"))
+                  .filter(F.col("brand_no") % 10 != UNQUOTED)
                   .select("curve_id", "tenor_y",
                           (F.lit(50.0) + F.col("tenor_y") * 10 + F.col("brand_no")).alias("spread_bp")))
 
@@ -327,6 +335,43 @@ def sensitivities(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", -q).otherwise(q).alias("cs01"))
 
 
+def sensitivity_points(spark: SparkSession, d: str) -> DataFrame:
+    """The (curve, tenor) points that sensitivities can have: brand and size of the parts."""
+    return read_table(spark, d, "part").select(
+        F.col("p_brand").alias("curve_id"), F.col("p_size").cast("double").alias("tenor_y")).distinct()
+
+
+def reported_margin(spark: SparkSession, d: str) -> DataFrame:
+    """b_reported: b_margin as a source reported it, with slips in some events: a wrong split
+    (event number divisible by 97), no call amount (89), a wrong dispute (83), a flag that
+    contradicts the dispute (79)."""
+    m = collateral_exposure(spark, d)
+    slip = lambda k: F.col("event_id").cast("long") % k == 0
+    return (m.withColumn("itm_exposure", F.when(slip(97), (F.col("itm_exposure") + 1).cast(MONEY)).otherwise(F.col("itm_exposure")))
+             .withColumn("base_call_amount", F.when(~slip(89), F.col("base_call_amount")))
+             .withColumn("dispute_amount", F.when(slip(83), F.lit(5).cast(MONEY)).otherwise(F.col("dispute_amount")))
+             .withColumn("is_disputed", F.col("is_disputed") != slip(79)))
+
+
+def line_amounts(spark: SparkSession, d: str, flags: tuple[str, ...]) -> DataFrame:
+    """Line prices of some return flags, as one of two books to reconcile: A and N lines are
+    booked, N and R lines settled."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_returnflag")
+    return li.filter(F.col("l_returnflag").isin(*flags)).select(
+        F.col("l_orderkey").alias("order_id"), money("l_extendedprice").alias("amount"))
+
+
+def misspelt_names(spark: SparkSession, d: str) -> DataFrame:
+    """Unmatched booked names without their legal suffix, misspelt by order number: as
+    booked (0), a letter dropped (1), a letter changed (2), two letters dropped and one
+    changed (3)."""
+    t = trades(spark, d).filter(F.col("resolution_status") == STATUS_UNMATCHED)
+    name, k = F.regexp_replace("booked_name", " LTD$", ""), F.col("trade_id").cast("long") % 4
+    return t.select(F.when(k == 1, F.regexp_replace(name, "CUSTOMER", "CUSTMER"))
+                     .when(k == 2, F.regexp_replace(name, "CUSTOMER", "CUSTONER"))
+                     .when(k == 3, F.regexp_replace(name, "CUSTOMER", "CSTNER")).otherwise(name).alias("booked_name"))
+
+
 def cashflows(spark: SparkSession, d: str) -> DataFrame:
     """b_cashflows: a cash flow per line at year = line number, on the brand curve."""
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
@@ -425,7 +470,7 @@ VIEW_BUILDERS = {
     "path_values": path_values, "curve_quotes": curve_quotes, "sensitivities": sensitivities,
     "cashflows": cashflows, "loads": loads, "column_tags": column_tags,
     "consumer_registry": consumer_registry, "positions": positions, "query_log": query_log,
-    "sales_a": sales_a, "sales_b": sales_b,
+    "sales_a": sales_a, "sales_b": sales_b, "reported_margin": reported_margin,
 }
 
 

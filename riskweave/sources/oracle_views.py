@@ -38,7 +38,8 @@ FROM customer""",
 SELECT trade_date, monthname(trade_date) AS month_name, CAST(month(trade_date) AS INTEGER) AS month_number,
        'Q' || CAST(quarter(trade_date) AS VARCHAR) || '-' || CAST(year(trade_date) AS VARCHAR) AS quarter_name,
        CAST(year(trade_date) AS INTEGER) AS year_number
-FROM (SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS trade_date FROM orders)""",
+FROM (SELECT last_day(CAST(m AS DATE)) AS trade_date
+      FROM generate_series(DATE '1994-08-01', DATE '2001-03-01', INTERVAL 1 MONTH) g(m))""",
     "b_variants": """
 SELECT CAST(c_custkey AS VARCHAR) || '-C' AS variant_id, CAST(c_custkey AS VARCHAR) AS counterparty_code,
        c_name AS variant_name, 'S1' AS source_system, 'Canonical' AS variant_type, TRUE AS is_canonical,
@@ -122,7 +123,7 @@ FROM lineitem""",
     "b_quotes": """
 SELECT p_brand AS curve_id, t.tenor_y,
        CAST(50.0 AS DOUBLE) + t.tenor_y * 10 + CAST(split_part(p_brand, '#', 2) AS INTEGER) AS spread_bp
-FROM (SELECT DISTINCT p_brand FROM part) b,
+FROM (SELECT DISTINCT p_brand FROM part WHERE CAST(split_part(p_brand, '#', 2) AS INTEGER) % 10 <> 5) b,
      (SELECT CAST(UNNEST([1, 3, 5, 10]) AS DOUBLE) AS tenor_y) t""",
     "b_sens": """
 SELECT CAST(l.l_orderkey AS VARCHAR) AS trade_id, l.l_linenumber AS line_id,

@@ -33,7 +33,7 @@ def resolution_breakdown_stream(trades: DataFrame) -> DataFrame:
 
 def freshness_stream(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8,
                      utc_offset_hours: int = -5, watermark: str = "1 day") -> DataFrame:
-    """F3 on a stream: first load per product and local day, emitted (append mode)
+    """F3 on a stream: last load per product and local day, emitted (append mode)
     once the watermark passes the end of the day.
 
     A day with no load at all produces no event, so MISSING is reported by the
@@ -47,22 +47,25 @@ def freshness_stream(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8,
     per_day = (loads.select("product_id", F.timestamp_seconds(epoch).alias("_t"))
                     .withWatermark("_t", watermark)
                     .groupBy("product_id", F.window("_t", "1 day").alias("_day"))
-                    .agg(F.min("_t").alias("first_load"), F.count("*").alias("loads")))
+                    .agg(F.max("_t").alias("last_load"), F.count("*").alias("loads")))
     start = F.unix_seconds(F.col("_day.start"))
-    secs = F.unix_seconds(F.col("first_load")) - start
+    secs = F.unix_seconds(F.col("last_load")) - start
     return per_day.select(
         "product_id", F.date_from_unix_date((start / 86400).cast("int")).alias("business_date"),
-        secs.alias("first_load_seconds"), "loads",
+        secs.alias("last_load_seconds"), "loads",
         F.when(secs <= sla_hour * 3600, F.lit("ON_TIME"))
          .when(secs <= alert_hour * 3600, F.lit("LATE"))
          .otherwise(F.lit("ALERT")).alias("status"))
 
 
-def start_query(df: DataFrame, name: str, sink: str = "memory", mode: str = "append",
+def start_query(df: DataFrame, name: str, sink: str = "parquet", mode: str = "append",
                 path: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start a streaming query whose checkpoint lives under the session's shared
-    ``spark.checkpoint.dir`` (never a machine-local folder), so a restarted
-    driver or lost executor resumes from the committed offsets and state."""
+    """Start a streaming query to a file sink (``path`` is needed) or another sink by
+    name; ``memory`` keeps the whole result on the driver and is for tests. Its checkpoint lives under the session's shared
+    ``spark.checkpoint.dir``, so a restarted driver or lost executor resumes from
+    the committed offsets and state."""
+    if path is None and sink not in ("memory", "noop", "console"):
+        raise ValueError(f"a {sink} sink needs a path")
     root = ensure_checkpoint_dir(df.sparkSession)
     w = (df.writeStream.queryName(name).outputMode(mode).format(sink)
            .option("checkpointLocation", os.path.join(root, "streams", name)))

@@ -31,9 +31,28 @@ def test_status_filter_is_pushed_to_the_scan(spark):
 def test_columns_are_pruned(spark):
     plan = _plan(REGISTRY["resolution_breakdown"](spark, SF_SMALL))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "orders.parquet" in line]
-    # only the three columns the breakdown needs are read from orders
-    assert scans and all("ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in s
-                         for s in scans)
+    # only the two columns the breakdown needs are read, from orders alone
+    assert scans and all("ReadSchema: struct<o_orderstatus:string,o_totalprice:double>" in s for s in scans)
+    assert "customer.parquet" not in plan
+
+
+@pytest.mark.parametrize("name,table,most", [
+    ("exposure_before_resolution", "orders", 1), ("resolution_trend", "orders", 1), ("parent_rollup", "orders", 1),
+    ("cva", "lineitem", 0), ("cva_cs01", "lineitem", 0), ("pnl_explain", "lineitem", 2), ("stressed_pfe", "lineitem", 1)])
+def test_facts_are_scanned_no_more_than_needed(spark, name, table, most):
+    """cva and cva_cs01 write the profile once, so their plan reads it and not the fact."""
+    plan = _plan(REGISTRY[name](spark, SF_SMALL))
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x and f"{table}.parquet" in x]
+    assert len(scans) <= most
+
+
+@pytest.mark.parametrize("name", ["exposure_before_resolution", "resolution_breakdown", "collateral_value", "net_exposure"])
+def test_partial_aggregate_stands_below_the_first_exchange(spark, name):
+    lines = _plan(REGISTRY[name](spark, SF_SMALL)).splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and ("orders" in x or "lineitem" in x))
+    above = lines[:scan][::-1]
+    exchange = next(i for i, x in enumerate(above) if "Exchange" in x)
+    assert any("partial_" in x for x in above[:exchange])
 
 
 def test_exposure_profile_needs_no_grid_join(spark):

@@ -23,7 +23,7 @@ def test_resolution_stream_matches_batch(spark, tmp_path):
     path, schema = _land(spark, trades, tmp_path)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     name = f"resolved_{uuid.uuid4().hex[:6]}"
-    q = start_query(resolve_stream(stream, bd.name_variants(spark, SF_SMALL)), name)
+    q = start_query(resolve_stream(stream, bd.name_variants(spark, SF_SMALL)), name, sink="memory")
     q.awaitTermination()
     got = spark.table(name).groupBy("resolution_status").count().collect()
     want = B.resolve_by_variant(trades, bd.name_variants(spark, SF_SMALL)) \
@@ -36,7 +36,7 @@ def test_breakdown_stream_matches_batch(spark, tmp_path):
     path, schema = _land(spark, trades, tmp_path)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     name = f"breakdown_{uuid.uuid4().hex[:6]}"
-    q = start_query(resolution_breakdown_stream(stream), name, mode="complete")
+    q = start_query(resolution_breakdown_stream(stream), name, sink="memory", mode="complete")
     q.awaitTermination()
     got = sorted(map(tuple, spark.table(name).collect()))
     want = sorted(map(tuple, B.resolution_breakdown(trades).collect()))
@@ -48,7 +48,7 @@ def test_freshness_stream_matches_batch(spark, tmp_path):
     path, schema = _land(spark, loads, tmp_path)
     stream = spark.readStream.schema(schema).parquet(path)
     name = f"fresh_{uuid.uuid4().hex[:6]}"
-    q = start_query(freshness_stream(stream, watermark="0 seconds"), name)
+    q = start_query(freshness_stream(stream, watermark="0 seconds"), name, sink="memory")
     q.awaitTermination()
     got = {(r.product_id, r.business_date): r.status for r in spark.table(name).collect()}
     batch = Q.freshness(loads).filter(F.col("status") != "MISSING")
