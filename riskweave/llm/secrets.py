@@ -124,13 +124,14 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     z_pairs = (F.col("pairs") - even) / F.sqrt(even * (1 - 1 / F.col("k")))
     steps = F.col("n") - 1
     z_runs = (F.col("switches") - steps * F.col("p_switch")) / F.sqrt(steps * F.col("p_switch") * (1 - F.col("p_switch")))
-    df = df.withColumn("p_uniform", F.least(F.lit(1.0), 3 * F.least(
-        _tail(z_pairs), 2 * _tail(F.abs(z_runs)), 2 * _tail(F.col("z_serial")))))
+    known = F.col("encoding").isNotNull()  # least() passes over NULLs, so ask before
+    df = df.withColumn("p_uniform", F.when(known, F.least(F.lit(1.0), 3 * F.least(
+        _tail(z_pairs), 2 * _tail(F.abs(z_runs)), 2 * _tail(F.col("z_serial"))))))
     text = even * TEXT_REPEAT
     p_pairs = _tail((text - F.col("pairs")) / F.sqrt(text))
     p_runs = _tail((F.col("switches") - steps * TEXT_SWITCH) / F.sqrt(steps * TEXT_SWITCH * (1 - TEXT_SWITCH)))
     half = -(F.log(p_pairs) + F.log(p_runs))
-    df = df.withColumn("p_text", F.exp(-half) * (1 + half))
+    df = df.withColumn("p_text", F.when(known, F.exp(-half) * (1 + half)))
     return df.drop("core", "k", "chars", "pairs", "switches", "p_switch", "at", "mean", "dev", "var", "z_serial")
 
 

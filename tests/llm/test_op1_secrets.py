@@ -114,3 +114,21 @@ def test_no_python_on_the_executors(make_docs):
 def test_digest_columns(make_docs, text, digest):
     (row,) = scan(make_docs([(1, text)]))
     assert hashlib.sha256(row["base"].encode()).hexdigest() == hashlib.sha256(digest.encode()).hexdigest()
+
+
+def test_oracle_sql_finds_the_same_random_strings(llm, tmp_path):
+    import duckdb
+
+    from riskweave.llm.queries import ORACLE, REGISTRY
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [f"a {''.join(rng.choices(rng.choice([letters, letters[26:], letters[:16], '0123456789ABCDEF', letters[:26] + '234567']), k=n))} b"
+             for n in range(18, 80) for _ in range(4)] + [random_text(rng) for _ in range(200)]
+    llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = REGISTRY["op1_secret_battery"](llm, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(ORACLE["op1_secret_battery"])
+    cols = [c[0] for c in cur.description]
+    assert sorted(tuple(r[c] for c in cols) for r in got) == sorted(cur.fetchall())
+    assert sum("random" in r["spans"] for r in got) > 50

@@ -86,3 +86,19 @@ def test_stages_take_empty_documents(llm):
 
 def test_threshold_and_shingles_are_the_agreed_ones():
     assert (minhash.WORDS, minhash.THRESHOLD, suffix.LENGTH, packing.CAPACITY) == (5, 0.8, 400, 2048)
+
+
+def test_oracle_sql_of_the_queries(llm):
+    import duckdb
+
+    from riskweave.llm.queries import ORACLE, REGISTRY
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    for name, sql in ORACLE.items():
+        got = REGISTRY[name](llm, sf)
+        cur = con.execute(sql)
+        cols = [c[0] for c in cur.description]
+        assert sorted(cols) == sorted(got.columns)
+        assert sorted(map(repr, map(tuple, got.select(*cols).collect()))) == sorted(map(repr, cur.fetchall())), name
