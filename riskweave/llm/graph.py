@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import column, write_table
+
+SMALL_GRAPH = 200_000
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, small: int = SMALL_GRAPH) -> DataFrame:
     """(node, comp): the least node of each node's connected component.
 
     edges: (a, b) longs. Alternating large and small stars until every edge points to
     the centre of a star; every round is written, so a lost executor repeats one round.
     Neighbours of a node are only aggregated to their minimum and joined back, never
-    gathered.
+    gathered. A graph of at most ``small`` edges, some MB, is joined up in one task
+    instead, where a round's shuffles would cost more than its work.
     """
     now = write_table(_oriented(edges), "edges")
+    if now.count() <= small:
+        return now.coalesce(1).mapInArrow(_joined_up, "node long, comp long")
     while not _stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -30,6 +38,22 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist(), strict=True):
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+    yield pa.RecordBatch.from_arrays([pa.array(parent, pa.int64()), pa.array([find(x) for x in list(parent)], pa.int64())],
+                                     names=["node", "comp"])
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether each node has one edge to a lesser node, and the centres have none."""
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(

@@ -408,7 +408,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
             known = components(stars).select(F.col("node").alias("t"), F.col("comp").alias("class"))
             links = links.unionByName(stars).unionByName(
                 _links_in_groups(_blocks(large, known, group_texts, group_shingles), threshold))
-    classes = components(write_table(links, "near-links"))
+    classes = components(links)
     named = nodes.select("t", "doc_id").join(classes.withColumnRenamed("node", "t"), "t", "left").withColumn(
         "comp", F.coalesce("comp", "t"))
     heads = named.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("h"))

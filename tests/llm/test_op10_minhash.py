@@ -125,7 +125,8 @@ def test_null_ids_and_empty_table(make_docs):
     assert minhash.keep_one(make_docs([(None, "a b"), (None, "a b"), (None, None)])).count() == 2
 
 
-def test_components(llm):
+@pytest.mark.parametrize("small", [0, 10 ** 6])
+def test_components(llm, small):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
     edges += [(2000, 2001 + i) for i in range(200)]
@@ -140,6 +141,6 @@ def test_components(llm):
     for a, b in edges:
         x, y = sorted((find(a), find(b)))
         parent[y] = x
-    got = {r["node"]: r["comp"] for r in graph.components(llm.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["node"]: r["comp"] for r in graph.components(llm.createDataFrame(edges, "a long, b long"), small).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
