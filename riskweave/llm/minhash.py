@@ -270,7 +270,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         words, off = _words(column(batch, "text"))
         z = [c.compress((x or "").encode()) for x in column(batch, "text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(text_hash(words, off)), pa.array(z, pa.binary())], names=["t", "z"])
+        yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(text_hash(words, off)), pa.array(z, pa.binary())],
+                                         names=["doc_id", "t", "z"])
 
 
 def _unpack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,9 +389,12 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     full = write_table(members.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "near-keys")
     buckets = write_table(members.join(full, "key").select("key", "t"), "near-buckets")
     groups = write_table(_sized(nodes, write_table(_grouped(buckets), "near-candidates")), "near-sized")
-    # the candidates grow with the corpus, so they are never broadcast, small as they may be
-    packed = src.select("text").mapInArrow(_pack, "t long, z binary").join(groups.hint("merge"), "t")
-    sets = write_table(packed.groupBy("t").agg(*(F.first(c).alias(c) for c in ("z", "group", "size"))).select(
+    # one document stands for a text: with its doc_id in the key, copies of a text meet nothing and are dealt out.
+    # The candidates grow with the corpus, so they are never broadcast, small as they may be.
+    heads = groups.join(nodes.select("t", F.col("doc_id").alias("_id")), "t").hint("merge")
+    packed = src.mapInArrow(_pack, "doc_id long, t long, z binary").withColumnRenamed("t", "_t")
+    met = packed.join(heads, (F.col("_t") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    sets = write_table(met.groupBy("_t", "doc_id").agg(*(F.first(c).alias(c) for c in ("t", "z", "group", "size"))).select(
         "t", "z", "group", "size").mapInArrow(_unpack_sets, SETS), "near-sets")
 
     big = (F.col("size.texts") > group_texts) | (F.col("size.weight") > group_shingles)

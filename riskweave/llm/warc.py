@@ -252,6 +252,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, *, min_revisit_bytes
     own = src.withColumn("digest", F.sha1(payload))
     first = (own.filter(F.octet_length(payload) >= min_revisit_bytes).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first"))
+    first = write_table(first, "warc-digests")  # so that the join can split a hot digest
     marked = own.join(first, "digest", "left").select(
         "page_id", "url", "html", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to"))
     return write_table(marked.mapInArrow(_write_archives(folder, archive_bytes, zip64),
