@@ -13,9 +13,9 @@ doc_ids are packed row by row; no document gives no row.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,8 @@ CAPACITY = 2048
 END_ID = 0
 ITEMS_PER_TASK = 50_000
 FULL_SLACK = 8
-CACHE_WORDS = 300_000
-SLICE = 6 << 20
+CACHE_WORDS = 600_000
+SLICE = 10 << 20
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -64,19 +64,19 @@ class WordIds(IdStore):
         self.marks = {m: self._whole(m) for m in ".,"}
         super().__init__(cache_words)
 
-    def _whole(self, word: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+    def _whole(self, word: str) -> bytes:
+        return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def clear(self) -> None:
         super().clear()
-        self.stems: dict[str, tuple[int, ...]] = {}
+        self.stems: dict[str, bytes] = {}  # ids as 32-bit integers
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [self._ids(w) for w in words]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int32, int(n.sum())), n
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.int32), n
 
-    def _ids(self, word: str) -> tuple[int, ...]:
+    def _ids(self, word: str) -> bytes:
         stem, mark = (word, "") if word[-1:] not in self.marks else (word[:-1], word[-1])
         if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0100"):
             return self._whole(word)
@@ -84,7 +84,7 @@ class WordIds(IdStore):
         ids = self.stems.get(stem)
         if ids is None:
             text = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
-            ids = self.stems[stem] = tuple(t.id for t in self.model.tokenize(text))
+            ids = self.stems[stem] = array("i", [t.id for t in self.model.tokenize(text)]).tobytes()
         return ids + self.marks[mark] if mark else ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -56,8 +56,11 @@ class IdStore:
             self._learn(new)
         slot = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
         codes = slot[codes] if len(codes) else np.zeros(0, np.int64)
-        n = self.n[codes].astype(np.int64)
-        ends = np.cumsum(n)
+        n = self.n[codes]
+        ends = np.cumsum(n, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.at[codes] - (ends - n), n) + np.arange(total)]
+        kind = np.int32 if max(total, self.n_ids) < 1 << 30 else np.int64
+        at = np.repeat((self.at[codes] - (ends - n)).astype(kind), n)
+        at += np.arange(total, dtype=kind)
+        ids = self.ids[at]
         return ids, np.concatenate([[0], ends])[off]
