@@ -3,8 +3,11 @@
 Only DataFrame functions: the texts stay in the JVM.
 
 Base spans are the leftmost non-overlapping matches of three patterns. The method
-then takes the other long token-like strings, infers their encoding (hex, base32,
-base36 or base62 by the characters used) and tests them:
+then takes the other long token-like strings, and the parts of 20 characters or more
+that their separators cut them into (after an inner '=', between '/' and longer runs
+of '_' or '-', between any separators), so that a key is not diluted by the name or
+path it stands in. It infers their encoding (hex, base32, base36 or base62 by the
+characters used) and tests them:
 
 * chi-squared uniformity over the alphabet of the encoding (as the index of
   coincidence), the runs test over the character classes, and lag-1 serial
@@ -16,12 +19,13 @@ base36 or base62 by the characters used) and tests them:
 
 False discoveries are held at ``fdr`` by Benjamini-Hochberg within each class of
 lengths, over the distinct strings of the corpus, since short strings cannot reach
-the p-values of long ones. p-values are binned, rounded up, to a tenth of a decade,
-so the procedure needs a histogram of at most 4 x 301 rows.
+the p-values of long ones; strings that occur only as parts have classes of their own. p-values are binned, rounded up, to a tenth of a decade,
+so the procedure needs a histogram of at most 8 x 301 rows.
 
 Defined results: a null or empty text has no span; offsets are code points, end
 exclusive; rows with equal doc_ids stay apart; strings of one letter case or digits
-only, and UUIDs, are not tested; a span that overlaps a base span is not added.
+only, and UUIDs, are not tested; a span that overlaps a base span is not added; of
+strings found within each other the outermost is the span.
 """
 
 from __future__ import annotations
@@ -38,6 +42,12 @@ HEX = r"[0-9a-f]{32,}"
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# Parts of such a run that are tested as well: cut at every '=' but trailing padding, then also
+# at '/' and longer runs of '_' or '-', then at every separator.
+PAD = r"(?:=+(?![A-Za-z0-9+/_=-]))?"
+PARTS = (r"[A-Za-z0-9+/_-]{20,}+" + PAD,
+         r"[A-Za-z0-9+](?:[A-Za-z0-9+]|(?<![_-])[_-](?![_-])){19,}+" + PAD,
+         r"[A-Za-z0-9]{20,}+" + PAD)
 UUID = r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
 MIN_CORE = 18
 MAX_SEPARATORS = 0.125
@@ -136,7 +146,7 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
 
 
 def _length_class() -> Column:
-    c = F.lit(0)
+    c = F.when(F.col("whole"), 0).otherwise(len(LENGTH_CLASSES) + 1)
     for edge in LENGTH_CLASSES:
         c = c + (F.col("n") >= edge).cast("int")
     return c
@@ -170,29 +180,41 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), *, fdr: f
     """
     df = pick(docs, text="text", **{c: c for c in keep})
     df = df.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    for name, pattern in (("_assign", ASSIGN), ("_access", ACCESS), ("_hex", HEX), ("_token", TOKEN)):
+    parts = [(f"_part{i}", p) for i, p in enumerate(PARTS)]
+    for name, pattern in (("_assign", ASSIGN), ("_access", ACCESS), ("_hex", HEX), ("_token", TOKEN), *parts):
         df = _spans(df, name, pattern)
     df = df.withColumn("base", F.array_sort(F.concat(
         _kind("_assign", "assign", 0, lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= MIN_ASSIGN),
         _kind("_access", "access", 1, lambda x: F.length(x["m"]) >= MIN_ACCESS),
         _kind("_hex", "hex", 2))))
-    df = df.withColumn("_token", F.filter("_token", lambda t: ~F.exists(
-        "base", lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"]))))
+    df = df.withColumn("_token", F.filter(F.concat(
+        F.transform("_token", lambda t: t.withField("whole", F.lit(True))),
+        *[F.transform(name, lambda t: t.withField("whole", F.lit(False))) for name, _ in parts]),
+        lambda t: ~F.exists("base", lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"]))))
     df = df.withColumn("_row", F.monotonically_increasing_id())  # written, and so fixed, with the row
-    df = write_table(df.drop("text", "_assign", "_access", "_hex"), "secret-spans")
-    tested = (token_tests(df.select(F.explode("_token.m").alias("m")).distinct()).filter("p_text is not null")
+    df = write_table(df.drop("text", "_assign", "_access", "_hex", *[name for name, _ in parts]), "secret-spans")
+    tested = (token_tests(df.select(F.explode("_token").alias("t")).select("t.m", "t.whole")
+                          .groupBy("m").agg(F.max("whole").alias("whole"))).filter("p_text is not null")
               .withColumn("length_class", _length_class())
               .withColumn("bin", F.least(F.lit(BINS), F.floor(-F.log10("p_text") * 10).cast("int"))))
     tested = write_table(tested.select("m", "p_uniform", "length_class", "bin"), "secret-tests")
     found = (tested.join(F.broadcast(discoveries(tested, fdr)), "length_class")  # a row for each length class
              .filter((F.col("bin") >= F.col("least_bin")) & (F.col("p_uniform") >= alpha)).select("m"))
-    more = (df.select("_row", F.explode("_token").alias("t")).select("_row", "t.s", "t.e", "t.m").join(found, "m")
-            .groupBy("_row").agg(F.collect_list(F.struct(
-                "s", F.lit(3).alias("rank"), "e", F.lit("random").alias("kind"))).alias("more")))
+    more = (df.select("_row", F.explode("_token").alias("t")).select("_row", "t.s", "t.e", "t.m")
+            .join(found, "m").select("_row", "s", "e"))
+    more = (_outermost(more).groupBy("_row").agg(F.collect_list(F.struct(
+        "s", F.lit(3).alias("rank"), "e", F.lit("random").alias("kind"))).alias("more")))
     return df.join(more, "_row", "left").withColumn("spans", F.array_sort(F.concat(
         "base", F.coalesce("more", F.array().cast(f"array<{SPAN}>"))))).drop("_row", "_token", "more")
 
 
+def _outermost(found: DataFrame) -> DataFrame:
+    """Of strings found within each other the outermost."""
+    before = Window.partitionBy("_row").orderBy("s", F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
+    return (found.withColumn("before", F.max("e").over(before))
+            .filter(F.col("before").isNull() | (F.col("s") >= F.col("before"))).drop("before"))
+
+
 def spans_text(spans: str) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(

@@ -132,3 +132,14 @@ def test_oracle_sql_finds_the_same_random_strings(llm, tmp_path):
     cols = [c[0] for c in cur.description]
     assert sorted(tuple(r[c] for c in cols) for r in got) == sorted(cur.fetchall())
     assert sum("random" in r["spans"] for r in got) > 50
+
+
+@pytest.mark.parametrize("name", ["AWS_SECRET_ACCESS_KEY=", "usr/share/doc/packages/", "my_settings__production--", "sk_live_of_the_account_"])
+def test_keys_after_a_name_or_path_are_found_alone(make_docs, name):
+    rng = random.Random(13)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choices(alphabet, k=k)) for k in (24, 32, 40) for _ in range(40)]
+    got = {r["doc_id"]: r["spans"] for r in scan(make_docs([(i, f"see {name}{k}== here") for i, k in enumerate(keys)]))}
+    e = [4 + len(name) + len(k) + 2 for k in keys]
+    whole = [got[i] in (f"random:4:{e[i]}", f"random:{4 + len(name)}:{e[i]}") for i in range(len(keys))]
+    assert sum(whole) >= 95
