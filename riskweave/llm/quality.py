@@ -6,9 +6,9 @@ and rejects documents that this leaves depleted.
 
 Defined results: a null text is empty; a null host counts as the host ``''``;
 documents of one host with equal texts count once, so that a group of copies
-does not turn its own text into boilerplate; only lines of at most
-``max_line_words`` words can be boilerplate (whole repeated paragraphs are the
-duplicate operators' work); rows with equal doc_ids are judged row by row.
+does not turn its own text into boilerplate; lines of every length count, so a
+paragraph in more documents than the limits allow is boilerplate like a short line;
+rows with equal doc_ids are judged row by row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from .common import column, mix64, per_row, pick, rows, slices, text_bytes, writ
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 WINDOW = 8
-MAX_LINE_WORDS = 30
 LIMIT_SHARE = 0.01
 LIMIT_DOCS = 10
 MAX_REMOVED_SHARE = 0.5
@@ -81,7 +80,7 @@ def repeat_words(codes: np.ndarray, row: np.ndarray, n_rows: int, window: int =
     return np.bincount(row[covered], minlength=n_rows)
 
 
-def _stats(batches: Iterator[pa.RecordBatch], max_line_words: int) -> Iterator[pa.RecordBatch]:
+def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         raw, off = text_bytes(column(batch, "text"))
         data, n = raw.tobytes(), batch.num_rows
@@ -100,9 +99,8 @@ def _stats(batches: Iterator[pa.RecordBatch], max_line_words: int) -> Iterator[p
                 if k:
                     again += line in seen
                     seen.add(line)
-                    if k <= max_line_words:
-                        h = line_hash(line)
-                        found[h] = found.get(h, 0) + k
+                    h = line_hash(line)
+                    found[h] = found.get(h, 0) + k
             dup.append(again)
             lines.append([{"h": h, "words": k} for h, k in found.items()])
         yield pa.RecordBatch.from_arrays([
@@ -114,12 +112,12 @@ def _stats(batches: Iterator[pa.RecordBatch], max_line_words: int) -> Iterator[p
                   "text_hash", "lines"])
 
 
-def text_stats(docs: DataFrame, max_line_words: int = MAX_LINE_WORDS) -> DataFrame:
-    """Base counts and the hashed short lines of each document (``STATS``); one narrow pass over the texts."""
+def text_stats(docs: DataFrame) -> DataFrame:
+    """Base counts and the hashed lines of each document (``STATS``); one narrow pass over the texts."""
     src = pick(docs, doc_id="doc_id", host="source", text="text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("host").cast("string"), F.lit("")).alias("host"),
         "text", F.xxhash64("text").alias("text_hash"))
-    return src.mapInArrow(lambda it: _stats(it, max_line_words), STATS)
+    return src.mapInArrow(_stats, STATS)
 
 
 def frequent_lines(stats: DataFrame, limit_share: float = LIMIT_SHARE, limit_docs: int = LIMIT_DOCS) -> DataFrame:
@@ -132,15 +130,15 @@ def frequent_lines(stats: DataFrame, limit_share: float = LIMIT_SHARE, limit_doc
 
 
 def quality_rules(docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
-                  max_line_words: int = MAX_LINE_WORDS, limit_share: float = LIMIT_SHARE,
-                  limit_docs: int = LIMIT_DOCS, max_removed_share: float = MAX_REMOVED_SHARE) -> DataFrame:
+                  limit_share: float = LIMIT_SHARE, limit_docs: int = LIMIT_DOCS,
+                  max_removed_share: float = MAX_REMOVED_SHARE) -> DataFrame:
     """One row per document: base counts, removed lines, ``base_failed`` and ``kept``.
 
     A document is depleted if its frequent lines hold more than ``max_removed_share``
     of its words.
     """
     # the row number is written with the row, and so is the same whenever it is read
-    stats = write_table(text_stats(docs, max_line_words).withColumn("row", F.monotonically_increasing_id()), "line-stats")
+    stats = write_table(text_stats(docs).withColumn("row", F.monotonically_increasing_id()), "line-stats")
     bad = write_table(frequent_lines(stats, limit_share, limit_docs), "frequent-lines")
     hits = (stats.select("row", "host", F.explode("lines").alias("l"))
             .select("row", "host", F.col("l.h").alias("h"), F.col("l.words").alias("words"))

@@ -51,6 +51,16 @@ def test_frequent_lines_deplete_documents(make_docs):
     assert all(got[200 + i]["kept"] and got[200 + i]["removed_words"] == 0 for i in range(8))
 
 
+def test_long_frequent_lines_are_removed_too(make_docs):
+    rng = random.Random(4)
+    notice = "this text may be used under the terms of the licence of the site " * 4  # 56 words, under 400 bytes
+    rows = [(i, f"{body(rng, 80)}\n{notice}", "a") for i in range(30)] + [(50, f"{notice}\n{body(rng, 5)}", "a")]
+    got = {r["doc_id"]: r for r in quality.quality_rules(make_docs(rows), max_repeat_pct=100).collect()}
+    assert all(got[i]["kept"] and got[i]["removed_words"] == 56 for i in range(30)) and not got[50]["kept"]
+    texts = [r["text"] for r in quality.apply_quality(make_docs(rows), max_repeat_pct=100).collect()]
+    assert len(texts) == 30 and not any("licence" in t for t in texts)
+
+
 def test_copies_are_one_document(make_docs):
     text = "\n".join(f"line {i} of a text that was copied many times over" for i in range(9))
     rows = [(i, text, "a") for i in range(40)]
