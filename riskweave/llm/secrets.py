@@ -6,25 +6,29 @@ Base spans are the leftmost non-overlapping matches of three patterns. The metho
 then takes the other long token-like strings, and the parts of 20 characters or more
 that their separators cut them into (after an inner '=', between '/' and longer runs
 of '_' or '-', between any separators), so that a key is not diluted by the name or
-path it stands in. It infers their encoding (hex, base32, base36 or base62 by the
-characters used) and tests them:
+path it stands in. It infers their encoding (digits, letters of one case, hex, base32,
+base36 or base62 by the characters used) and tests them without their separators:
 
 * chi-squared uniformity over the alphabet of the encoding (as the index of
-  coincidence), the runs test over the character classes, and lag-1 serial
+  coincidence), the runs test over the character classes (over the halves of the
+  alphabet, where it is one class), and lag-1 serial
   correlation over alphabet positions. A string on which any of them rejects
   uniform randomness (Bonferroni, ``alpha``) is structured and dropped;
 * chi-squared and runs again, one-sided, against a text-like null (symbols repeat
   ``TEXT_REPEAT`` times as often as uniform, classes switch at ``TEXT_SWITCH``),
-  combined by Fisher's method to the p-value that the string is text.
+  combined by Fisher's method to the p-value that the string is text; chi-squared
+  alone for strings of one class, as text changes halves as often as random letters.
 
 False discoveries are held at ``fdr`` by Benjamini-Hochberg within each class of
 lengths, over the distinct strings of the corpus, since short strings cannot reach
-the p-values of long ones; strings that occur only as parts have classes of their own. p-values are binned, rounded up, to a tenth of a decade,
-so the procedure needs a histogram of at most 8 x 301 rows.
+the p-values of long ones; strings that occur only as parts, strings of
+one letter case, of digits, and keys in groups (more than ``MAX_SEPARATORS`` of the
+characters are separators) have classes of their own. p-values are binned, rounded up, to a tenth of a decade,
+so the procedure needs a histogram of at most 20 x 301 rows.
 
 Defined results: a null or empty text has no span; offsets are code points, end
-exclusive; rows with equal doc_ids stay apart; strings of one letter case or digits
-only, and UUIDs, are not tested; a span that overlaps a base span is not added; of
+exclusive; rows with equal doc_ids stay apart; UUIDs are not tested, since they are
+random but public identifiers, and neither is a grouped string that holds one; a span that overlaps a base span is not added; of
 strings found within each other the outermost is the span.
 """
 
@@ -49,6 +53,7 @@ PARTS = (r"[A-Za-z0-9+/_-]{20,}+" + PAD,
          r"[A-Za-z0-9+](?:[A-Za-z0-9+]|(?<![_-])[_-](?![_-])){19,}+" + PAD,
          r"[A-Za-z0-9]{20,}+" + PAD)
 UUID = r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
+INNER_UUID = r"(?<![0-9A-Fa-f])" + UUID[1:-1] + r"(?![0-9A-Fa-f])"
 MIN_CORE = 18
 MAX_SEPARATORS = 0.125
 ALPHA = 0.001
@@ -98,13 +103,16 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     core = F.regexp_replace(token, "[^A-Za-z0-9]", "")
     df = df.withColumn("core", core).withColumn("n", F.length("core"))
     has = lambda p: F.col("core").rlike(p)
-    mixed = (has("[0-9]").cast("int") + has("[a-z]").cast("int") + has("[A-Z]").cast("int")) >= 2
-    tested = (mixed & (F.col("n") >= MIN_CORE) & ~F.col(token).rlike(UUID)
-              & (F.length(token) - F.col("n") <= MAX_SEPARATORS * F.length(token)))
-    df = df.withColumn("encoding", F.when(tested, F.when(has("^[0-9a-f]+$"), "hex").when(has("^[0-9A-F]+$"), "HEX")
+    df = df.withColumn("grouped", F.length(token) - F.col("n") > MAX_SEPARATORS * F.length(token))
+    tested = ((F.col("n") >= MIN_CORE) & ~F.col(token).rlike(UUID) & ~(F.col("grouped") & F.col(token).rlike(INNER_UUID)))
+    df = df.withColumn("encoding", F.when(tested, F.when(has("^[0-9]+$"), "digits").when(has("^[a-z]+$"), "lower")
+                                          .when(has("^[A-Z]+$"), "upper")
+                                          .when(has("^[0-9a-f]+$"), "hex").when(has("^[0-9A-F]+$"), "HEX")
                                           .when(has("^[A-Z2-7]+$"), "base32").when(has("^[0-9a-z]+$"), "base36")
                                           .when(has("^[0-9A-Z]+$"), "BASE36").otherwise("base62")))
-    alphabet = {"hex": DIGITS + LOWER[:6], "HEX": DIGITS + UPPER[:6], "base32": UPPER + DIGITS[2:8],
+    one = F.col("encoding").isin("digits", "lower", "upper")
+    alphabet = {"digits": DIGITS, "lower": LOWER, "upper": UPPER,
+                "hex": DIGITS + LOWER[:6], "HEX": DIGITS + UPPER[:6], "base32": UPPER + DIGITS[2:8],
                 "base36": DIGITS + LOWER, "BASE36": DIGITS + UPPER, "base62": DIGITS + UPPER + LOWER}
     pick_one = lambda what: F.coalesce(*[F.when(F.col("encoding") == k, what(v)) for k, v in alphabet.items()])
     df = df.withColumn("k", pick_one(lambda a: F.lit(float(len(a)))))
@@ -113,10 +121,13 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     df = df.withColumn("pairs", F.aggregate(F.array_distinct("chars"), F.lit(0.0), lambda a, c: a + (
         F.col("n") - F.length(F.replace(F.col("core"), c))) * (F.col("n") - F.length(F.replace(F.col("core"), c)) - 1) / 2))
     all_pairs = F.col("n") * (F.col("n") - 1) / 2
-    # runs of character classes
-    shape = F.regexp_replace(F.translate("core", DIGITS + LOWER + UPPER, "d" * 10 + "l" * 26 + "u" * 26), r"(.)\1+", "$1")
+    # runs of character classes, or of the halves of an alphabet that is one class
+    classes = F.when(one, F.translate("core", DIGITS + LOWER + UPPER, "x" * 5 + "y" * 5 + ("x" * 13 + "y" * 13) * 2)).otherwise(
+        F.translate("core", DIGITS + LOWER + UPPER, "d" * 10 + "l" * 26 + "u" * 26))
+    shape = F.regexp_replace(classes, r"(.)\1+", "$1")
     df = df.withColumn("switches", F.length(shape) - 1)
     parts = {k: [sum(c in v for c in s) / len(v) for s in (DIGITS, LOWER, UPPER)] for k, v in alphabet.items()}
+    parts |= {k: [0.5, 0.5] for k in ("digits", "lower", "upper")}
     df = df.withColumn("p_switch", F.coalesce(*[F.when(F.col("encoding") == k, F.lit(1 - sum(x * x for x in v)))
                                                 for k, v in parts.items()]))
     # lag-1 serial correlation of alphabet positions
@@ -141,12 +152,15 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     p_pairs = _tail((text - F.col("pairs")) / F.sqrt(text))
     p_runs = _tail((F.col("switches") - steps * TEXT_SWITCH) / F.sqrt(steps * TEXT_SWITCH * (1 - TEXT_SWITCH)))
     half = -(F.log(p_pairs) + F.log(p_runs))
-    df = df.withColumn("p_text", F.when(known, F.exp(-half) * (1 + half)))
+    # text does not switch between halves of the alphabet any less than random strings do
+    df = df.withColumn("p_text", F.when(known, F.when(one, p_pairs).otherwise(F.exp(-half) * (1 + half))))
     return df.drop("core", "k", "chars", "pairs", "switches", "p_switch", "at", "mean", "dev", "var", "z_serial")
 
 
 def _length_class() -> Column:
-    c = F.when(F.col("whole"), 0).otherwise(len(LENGTH_CLASSES) + 1)
+    family = (F.when(F.col("encoding") == "digits", 4).when(F.col("encoding").isin("lower", "upper"), 3)
+              .when(F.col("grouped"), 2).when(F.col("whole"), 0).otherwise(1))
+    c = family * (len(LENGTH_CLASSES) + 1)
     for edge in LENGTH_CLASSES:
         c = c + (F.col("n") >= edge).cast("int")
     return c

@@ -143,3 +143,17 @@ def test_keys_after_a_name_or_path_are_found_alone(make_docs, name):
     e = [4 + len(name) + len(k) + 2 for k in keys]
     whole = [got[i] in (f"random:4:{e[i]}", f"random:{4 + len(name)}:{e[i]}") for i in range(len(keys))]
     assert sum(whole) >= 95
+
+
+@pytest.mark.parametrize("alphabet,group,least", [
+    ("abcdefghijklmnopqrstuvwxyz", 40, 120), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 40, 120), ("0123456789", 28, 100),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 5, 120)])
+def test_keys_of_one_class_and_in_groups_are_found(make_docs, alphabet, group, least):
+    rng = random.Random(17)
+    keys = ["-".join("".join(rng.choices(alphabet, k=group)) for _ in range(max(1, 25 // group))) for _ in range(200)]
+    clean = ["internationalizationandlocalization", "this-is-the-title-of-a-page-about-nothing-in-particular", "2024010120240102202401030104",
+             "see-550e8400-e29b-41d4-a716-446655440000"]
+    docs = [(i, f"see {k} here") for i, k in enumerate(keys)] + [(1000 + i, f"see {k} here") for i, k in enumerate(clean)]
+    got = {r["doc_id"]: r["spans"] for r in scan(make_docs(docs))}
+    assert sum(got[i] == f"random:4:{4 + len(k)}" for i, k in enumerate(keys)) >= least
+    assert [got[1000 + i] for i in range(len(clean))] == [""] * len(clean)
