@@ -41,11 +41,13 @@ CELLS = 1 << 21
 
 
 def sign_code(embedding: str | Column) -> Column:
-    """64-bit code: bit i is set if element i is positive; elements beyond 64 are folded in by exclusive or."""
+    """64-bit code: bit i is set if element i is positive; an embedding of more than 64 elements is an error."""
     one = F.lit(1).cast("long")
-    bits = F.transform(embedding, lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i % BITS)).otherwise(
+    bits = F.transform(embedding, lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(
         F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+    code = F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+    return F.when(F.size(embedding) > BITS, F.raise_error(F.lit(
+        f"embeddings of more than {BITS} elements have no exact code")).cast("long")).otherwise(code)
 
 
 def segments(n: int) -> list[tuple[int, int]]:

@@ -85,3 +85,10 @@ def test_segments_cover_all_bits():
     for n in (0, 1, 2, 50, 10_000, 10 ** 9, 10 ** 19):
         cut = hamming.segments(n)
         assert sum(w for _, w in cut) == 64 and [s for s, _ in cut] == sorted({s for s, _ in cut})
+
+
+def test_wider_embeddings_are_refused(llm):
+    make = lambda n: llm.createDataFrame([(0, [1.0] * n, "a")], "vec_id long, embedding array<float>, code string")
+    assert [(r["vec_id"], r["distance"]) for r in hamming.embeddings_top_k(make(64), 1).collect()] == [(0, 0)]
+    with pytest.raises(Exception, match="more than 64 elements"):
+        hamming.embeddings_top_k(make(65), 1).collect()
