@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import hamming, html, minhash, packing, quality, secrets, spm, suffix, toxicity, warc
+from . import hamming, html, langid, minhash, negatives, packing, quality, repair, secrets, spm, suffix, toxicity, warc
 from .common import ship_package
 
 
@@ -64,9 +64,22 @@ def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_scalar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digest(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_bitmask_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_secret_battery, op2_multi_index_hashing, op3_zip_warc, op4_block_rules, op5_quality_rules,
-    op6_boosted_toxicity, op7_piece_viterbi, op8_suffix_radix, op9_residual_packing, op10_prob_minhash)}
+    op6_boosted_toxicity, op7_piece_viterbi, op8_suffix_radix, op9_residual_packing, op10_prob_minhash,
+    op11_scalar_repair, op12_bitmask_langid, op13_threshold_negatives)}
 ORACLE: dict[str, str] = {
     "op2_multi_index_hashing": """
         WITH pairs AS (
@@ -90,6 +103,27 @@ ORACLE: dict[str, str] = {
                CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first < page_id THEN first END AS refers_to
         FROM d""",
+    "op13_threshold_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, o.vec_id AS other, a.label = o.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.z, o.z), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+            FROM v a JOIN v o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+        ranked AS (
+            SELECT p.anchor_id, p.positive_id,
+                   CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+                   s.other AS negative_id, p.positive_score, s.score AS negative_score
+            FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+             AND 100 * s.score BETWEEN 80 * p.positive_score AND 100 * p.positive_score)
+        SELECT * FROM ranked WHERE rank <= 5""",
     "op5_quality_rules": r"""
         WITH docs AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
         w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM docs),
