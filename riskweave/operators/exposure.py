@@ -10,7 +10,7 @@ from ..functions.columns import (NEW_BREACH, WORSENED, breach_status, money_sum,
                                  resolution_impact, round_double)
 from ..plans.joins import full_join, unique_lookup
 from .load import conform_values
-from .resolution import MATCHED_ORIGINAL
+from .resolution import MATCHED_ORIGINAL, own_entity
 
 
 def exposure_by_counterparty(trades: DataFrame, dim: DataFrame,
@@ -66,11 +66,11 @@ def true_exposure_summary(known: DataFrame, hidden: DataFrame, dim: DataFrame,
     Join order is chosen for the shuffle plan: known and hidden are both
     aggregated on (code, date), so their left join reuses both aggregation
     exchanges; the two dimensions are combined at counterparty grain first and
-    meet the fact once (broadcast by AQE when measured small).
+    meet the fact once (broadcast by AQE when measured small). A counterparty of several
+    non-parent entities has one row a date (``own_entity``).
     """
     cp = dim.select("counterparty_code", "counterparty_legal_name", "threshold_principal")
-    le = (legal_entity.filter(~F.col("is_ultimate_parent"))
-                      .select("counterparty_code", "ultimate_parent_name"))
+    le = own_entity(legal_entity).select("counterparty_code", "ultimate_parent_name")
     j = (known.join(hidden, ["counterparty_code", "as_of_date"], "left")
               .join(cp.join(le, "counterparty_code"), "counterparty_code"))
     k, th = F.col("known_exposure"), F.col("threshold_principal")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..plans.joins import full_join
+from ..session import write_scratch
+from .hierarchy import climb
 
 TAG_COLUMNS = ("table_catalog", "table_schema", "table_name", "column_name")
 
@@ -77,18 +79,26 @@ def inherit_classification(lineage: DataFrame, labels: DataFrame, compact_every:
     of everything upstream; PII if anything upstream has it. A product with no label on
     or above it has sensitivity NULL; an unknown label counts as the most restrictive.
 
-    Runs when called, to the fixpoint, whatever the depth (cycles end too): each round
-    joins only the products that changed in the last one (the frontier) to their
-    children, and keeps the children that this raises. Edges are written once, a round
-    writes its frontier alone with ``checkpoint()``, and the rounds' tables are merged
-    every ``compact_every`` rounds. The driver sees one "is it empty" a round. A parent
-    of very many children is split by adaptive execution, as both join sides are read
-    from written tables.
+    Runs when called, to the fixpoint, whatever the depth (cycles end too), in two parts:
+
+    - Products of one parent are climbed by path doubling (``hierarchy.climb``): a chain
+      of any length folds its labels in log2(length) rounds and then stands for its top.
+    - What is left are products of several parents and tops. Their labels spread along the
+      shortened edges: each round joins only the products that changed in the last one
+      (the frontier) to their children, and keeps the children that this raises. Rounds
+      here are the depth counted in products of several parents.
+
+    A round writes its frontier alone, and the rounds' tables are merged every
+    ``compact_every`` rounds. The driver sees one count a round. A parent of very many
+    children is split by adaptive execution, as both join sides are read from written tables.
     """
-    ensure_checkpoint_dir(lineage.sparkSession)
-    edges = (lineage.select("child", "parent").filter("child IS NOT NULL AND parent IS NOT NULL AND child != parent")
-             .distinct().checkpoint())
+    edges = write_scratch(lineage.select("child", "parent").filter("child IS NOT NULL AND parent IS NOT NULL AND child != parent")
+                          .distinct(), "lineage-edges")
     best = [F.max("rank").alias("rank"), F.max("pii").alias("pii")]
+    own = write_scratch(
+        labels.select("product_id", F.coalesce(_rank(F.col("sensitivity")), F.lit(-1)).alias("rank"),
+                      F.coalesce(F.col("pii").cast("boolean").cast("int"), F.lit(0)).alias("pii"))
+        .filter("product_id IS NOT NULL").groupBy("product_id").agg(*best), "lineage-own")
 
     def merged(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -96,34 +106,89 @@ def inherit_classification(lineage: DataFrame, labels: DataFrame, compact_every:
             out = out.unionByName(p)
         return out.groupBy("product_id").agg(*best)
 
-    own = (labels.select("product_id", F.coalesce(_rank(F.col("sensitivity")), F.lit(-1)).alias("rank"),
-                         F.coalesce(F.col("pii").cast("boolean").cast("int"), F.lit(0)).alias("pii"))
-           .filter("product_id IS NOT NULL").groupBy("product_id").agg(*best).checkpoint())
-    parts, frontier = [own], own.filter("rank >= 0 OR pii = 1")
+    # chains: (node, top, rank, pii), folded over the node and all below the top
+    single = edges.groupBy(F.col("child").alias("node")).agg(F.min("parent").alias("up"), F.count("*").alias("n")).filter("n = 1").drop("n")
+    zero = {"rank": F.lit(-1), "pii": F.lit(0)}
+    single = single.join(own.withColumnRenamed("product_id", "node"), "node", "left").select(
+        "node", "up", *[F.coalesce(c, v).alias(c) for c, v in zero.items()])
+    chains = climb(single, {"rank": F.greatest, "pii": F.greatest}).select("node", "top", "rank", "pii")
+
+    # the graph without them: an edge from what stands above a product of several parents
+    short = (edges.join(chains.select(F.col("node").alias("child")), "child", "left_anti")
+                  .join(chains.withColumnRenamed("node", "parent"), "parent", "left"))
+    short = write_scratch(short.select("child", F.coalesce("top", "parent").alias("parent"), "rank", "pii"), "lineage-short")
+    start = own.unionByName(short.filter("rank IS NOT NULL").select(F.col("child").alias("product_id"), "rank", "pii"))
+    parts = [write_scratch(start.groupBy("product_id").agg(*best), "lineage-start")]
+    links = short.select("child", "parent").filter("child != parent").distinct()
+    frontier = parts[0].filter("rank >= 0 OR pii = 1")
     while True:
-        up = (edges.join(frontier.withColumnRenamed("product_id", "parent"), "parent")
+        up = (links.join(frontier.withColumnRenamed("product_id", "parent"), "parent")
                    .groupBy(F.col("child").alias("product_id")).agg(*best))
         now = merged(parts).withColumnsRenamed({"rank": "_rank", "pii": "_pii"})
-        frontier = (up.join(now, "product_id", "left")
-                      .filter((F.col("rank") > F.coalesce("_rank", F.lit(-1))) | (F.col("pii") > F.coalesce("_pii", F.lit(0))))
-                      .select("product_id", F.greatest("rank", F.coalesce("_rank", F.lit(-1))).alias("rank"),
-                              F.greatest("pii", F.coalesce("_pii", F.lit(0))).alias("pii")).checkpoint())
+        frontier = write_scratch(
+            up.join(now, "product_id", "left")
+              .filter((F.col("rank") > F.coalesce("_rank", F.lit(-1))) | (F.col("pii") > F.coalesce("_pii", F.lit(0))))
+              .select("product_id", F.greatest("rank", F.coalesce("_rank", F.lit(-1))).alias("rank"),
+                      F.greatest("pii", F.coalesce("_pii", F.lit(0))).alias("pii")), "lineage-frontier")
         if frontier.isEmpty():
             break
         parts.append(frontier)
         if len(parts) > compact_every:
-            parts = [merged(parts).checkpoint()]
-    nodes = edges.select(F.col("child").alias("product_id")).unionByName(
-        edges.select(F.col("parent").alias("product_id"))).unionByName(own.select("product_id")).distinct()
-    return (nodes.join(merged(parts), "product_id", "left")
-                 .select("product_id", _label(F.col("rank")).alias("sensitivity"), (F.coalesce("pii", F.lit(0)) == 1).alias("pii")))
+            parts = [write_scratch(merged(parts), "lineage-merged")]
+    held = merged(parts)
+    # a chain's products: their own part of the chain, and what its top has
+    tops = held.select(F.col("product_id").alias("top"), F.col("rank").alias("_rank"), F.col("pii").alias("_pii"))
+    climbed = chains.join(tops, "top", "left").select(
+        F.col("node").alias("product_id"), F.greatest("rank", "_rank").alias("rank"), F.greatest("pii", "_pii").alias("pii"))
+    nodes = (edges.select(F.explode(F.array("child", "parent")).alias("product_id"), F.lit(-1).alias("rank"), F.lit(0).alias("pii"))
+             .unionByName(held).unionByName(climbed).groupBy("product_id").agg(*best))
+    return nodes.select("product_id", _label(F.col("rank")).alias("sensitivity"), (F.col("pii") == 1).alias("pii"))
+
+
+def column_closure(edges: DataFrame, starts: DataFrame, keeps: tuple[str, ...] = ("identity", "rename")) -> DataFrame:
+    """G5 by column: every column fed, at any distance, by a column of ``starts``.
+
+    edges: (product_id, column_name, upstream_product, upstream_column, transform), a
+    contract's upstream list by column; starts: (product_id, column_name), such as those
+    tagged as personal. Returns (start_product, start_column, product_id, column_name, hops,
+    value_kept): hops is the least number of edges, value_kept whether some path has only
+    transforms of ``keeps``, so that the start's very values arrive (a hash or a sum on every
+    path keeps them back). A start is listed for itself with 0 hops.
+
+    Semi-naive: a round joins the edges with the pairs that the last round found or
+    improved alone, until there are none; rounds are the longest least path. Cycles end, as
+    a pair can improve only once. A column that feeds very many is split by adaptive
+    execution. The result has a row for each pair, so give the starts that matter.
+    """
+    end = ["upstream_product", "upstream_column"]
+    e = edges.select("product_id", "column_name", *end, F.coalesce(F.col("transform").isin(*keeps), F.lit(False)).alias("keep"))
+    e = e.dropna(subset=["product_id", "column_name", *end]).groupBy("product_id", "column_name", *end).agg(F.max("keep").alias("keep"))
+    e = write_scratch(e, "column-edges")
+    pair = ["start_product", "start_column", "product_id", "column_name"]
+    first = starts.select("product_id", "column_name").dropna().distinct()
+    frontier = write_scratch(first.select(F.col("product_id").alias("start_product"), F.col("column_name").alias("start_column"), "product_id",
+                                          "column_name", F.lit(True).alias("value_kept")), "column-frontier")
+    known, hops = frontier.withColumn("hops", F.lit(0)), 0
+    while not frontier.isEmpty():
+        hops += 1
+        source = frontier.select("start_product", "start_column", F.col("product_id").alias(end[0]), F.col("column_name").alias(end[1]), "value_kept")
+        reached = source.join(e, end).groupBy(*pair).agg(F.max(F.col("value_kept") & F.col("keep")).alias("value_kept"))
+        old = known.withColumnsRenamed({"value_kept": "_kept", "hops": "_hops"})
+        better = reached.join(old, pair, "left").filter(F.col("_kept").isNull() | (F.col("value_kept") & ~F.col("_kept")))
+        found = write_scratch(better.select(*pair, "value_kept", F.coalesce("_hops", F.lit(hops)).alias("hops")), "column-frontier")
+        frontier = found.drop("hops")
+        known = write_scratch(known.unionByName(found).groupBy(*pair).agg(F.max("value_kept").alias("value_kept"), F.min("hops").alias("hops")),
+                              "column-known") if hops % 4 == 0 else known.unionByName(found).groupBy(*pair).agg(
+            F.max("value_kept").alias("value_kept"), F.min("hops").alias("hops"))
+    return known.select(*pair, "hops", "value_kept")
 
 
 def lineage_diff(declared: DataFrame, observed: DataFrame) -> DataFrame:
-    """Per product, upstream tables declared but never read and read but not declared."""
+    """Per product, upstream tables declared but never read and read but not declared; a
+    NULL product or upstream equals itself."""
     d = declared.select("product_id", "upstream").distinct().withColumn("_d", F.lit(True))
     o = observed.select("product_id", "upstream").distinct().withColumn("_o", F.lit(True))
-    j = d.join(o, ["product_id", "upstream"], "full")
+    j = full_join(d, o, ["product_id", "upstream"])
     return (j.filter(F.col("_d").isNull() | F.col("_o").isNull())
              .select("product_id", "upstream",
                      F.when(F.col("_o").isNull(), F.lit("DECLARED_NOT_READ"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.joins import full_join
+
 
 def _fails(predicate: str):
     """A row fails a check only when the predicate is FALSE; NULL passes (SQL CHECK)."""
@@ -63,14 +65,14 @@ def row_count_band(df: DataFrame, date_col: str, by: list[str] | None = None, pc
 
     The days run from each group's first to ``as_of`` (else the last day of any group), so a
     group that stopped counts 0 from then on. The first business day has no verdict; rows
-    on other days are listed as OFF_CALENDAR and compared with nothing. The window is
-    per group and holds one row per day.
+    on other days are listed as OFF_CALENDAR and compared with nothing. A NULL group is a
+    group. The window is per group and holds one row per day.
     """
     by = by or []
     counts = df.groupBy(*by, F.col(date_col).cast("date").alias("business_date")).agg(F.count("*").alias("row_count"))
     spans, last = _spans(counts, by, as_of)
     days = business_days(spans, by, calendar).withColumn("_open", F.lit(True))
-    full = days.join(counts.filter(F.col("business_date") <= last) if as_of else counts, [*by, "business_date"], "full")
+    full = full_join(days, counts.filter(F.col("business_date") <= last) if as_of else counts, [*by, "business_date"])
     full = full.withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
     opened = F.coalesce(F.col("_open"), F.lit(False))
     w = Window.partitionBy(*by, opened).orderBy("business_date")
@@ -109,8 +111,8 @@ def freshness(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8, utc_offs
     ON_TIME by ``sla_hour``, LATE after it, ALERT after ``alert_hour``, MISSING for a
     business day without a load, from the product's first load to ``as_of`` (else the last
     day that any product loaded): a product that stopped is MISSING from then on. A load
-    on a day that is no business day is listed with its status. Times are shifted by a
-    fixed offset (EST = UTC-5 in the contract).
+    on a day that is no business day is listed with its status. Loads without a product are
+    one product of their own. Times are shifted by a fixed offset (EST = UTC-5 in the contract).
     """
     local = F.col("load_time") + F.make_dt_interval(hours=F.lit(utc_offset_hours))
     per_day = (loads.select("product_id", local.alias("_t"))
@@ -119,7 +121,7 @@ def freshness(loads: DataFrame, sla_hour: int = 7, alert_hour: int = 8, utc_offs
     spans, last = _spans(per_day, ["product_id"], as_of)
     if as_of is not None:
         per_day = per_day.filter(F.col("business_date") <= last)
-    j = business_days(spans, ["product_id"], calendar).join(per_day, ["product_id", "business_date"], "full")
+    j = full_join(business_days(spans, ["product_id"], calendar), per_day, ["product_id", "business_date"])
     secs = seconds_of_day("last_load")
     return j.select(
         "product_id", "business_date", "last_load", secs.alias("last_load_seconds"),

@@ -254,11 +254,19 @@ def resolution_trend(trades: DataFrame, dim_date: DataFrame) -> DataFrame:
               .orderBy("year_number", "month_number"))
 
 
+def own_entity(legal_entity: DataFrame) -> DataFrame:
+    """One row per counterparty: its non-parent entity, that of the least LEI where it has
+    several (D3 ``grain_check`` lists those). A join on it cannot fan out."""
+    names = ("lei_code", "ultimate_parent_name", "legal_entity_name")
+    return (legal_entity.filter(~F.col("is_ultimate_parent")).groupBy("counterparty_code")
+                        .agg(F.min(F.struct(*names)).alias("_e"))
+                        .select("counterparty_code", *[F.col(f"_e.{c}").alias(c) for c in names[1:]]))
+
+
 def parent_lookup(df: DataFrame, legal_entity: DataFrame) -> DataFrame:
-    """Attach the ultimate parent, reading only non-parent entity rows."""
-    le = (legal_entity.filter(~F.col("is_ultimate_parent"))
-                      .select("counterparty_code", "ultimate_parent_name", "legal_entity_name"))
-    return df.join(le, "counterparty_code")
+    """Attach the ultimate parent, reading only non-parent entity rows; a row of
+    ``df`` comes out once, whatever its counterparty's number of entities (``own_entity``)."""
+    return df.join(own_entity(legal_entity), "counterparty_code")
 
 
 def parent_rollup(df: DataFrame, legal_entity: DataFrame, measure: str = "exposure_amount") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.joins import full_join, unique_lookup
 from ..session import ensure_checkpoint_dir
 
 # Fixed tenor buckets for sensitivity reports (upper bounds in years, inclusive).
@@ -286,12 +287,14 @@ def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float | DataFrame
     ``rho`` is a table (factor_k, factor_l, rho; both orders listed, a factor with itself
     counts 1, a pair that is not listed 0), or one number for all pairs of distinct
     factors. Sensitivities are netted per factor first, so a bucket has a row a factor
-    and the double sum is two small joins. A factor without a weight is not in the
-    capital: ``factors_without_weight`` and ``sensitivity_without_weight`` tell.
+    and the double sum is two small joins. A factor without a weight, or with two that
+    differ, is not in the capital: ``factors_without_weight`` and
+    ``sensitivity_without_weight`` tell. A weight or correlation listed twice counts once;
+    two that differ for one pair leave the capital of its buckets NULL.
     """
     s = sens.withColumn("tenor_bucket", tenor_bucket("tenor_y")) if factor == "tenor_bucket" else sens
     per = s.groupBy(bucket, factor).agg(F.sum(value).alias("net_sensitivity"))
-    ws = per.join(weights.select(factor, "risk_weight"), factor, "left").select(
+    ws = per.join(unique_lookup(weights, [factor], "risk_weight"), factor, "left").select(
         bucket, factor, "net_sensitivity", (F.col("net_sensitivity") * F.col("risk_weight")).alias("ws"))
     lost = F.col("ws").isNull()
     k = ws.groupBy(bucket).agg(
@@ -299,14 +302,17 @@ def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float | DataFrame
         F.count(F.when(lost, 1)).alias("factors_without_weight"),
         F.coalesce(F.sum(F.when(lost, F.abs("net_sensitivity"))), F.lit(0.0)).alias("sensitivity_without_weight"))
     if isinstance(rho, DataFrame):
-        pairs = rho.select(F.col("factor_k").alias(factor), "factor_l", "rho").filter(F.col(factor) != F.col("factor_l"))
-        met = ws.join(pairs, factor).groupBy(bucket, F.col("factor_l").alias(factor)).agg(F.sum(F.col("ws") * F.col("rho")).alias("_met"))
-        cross = ws.join(met, [bucket, factor]).groupBy(bucket).agg(F.sum(F.col("ws") * F.col("_met")).alias("_cross"))
-        k = k.join(cross, bucket, "left")
-        k2 = F.col("_sq") + F.coalesce("_cross", F.lit(0.0))
+        pairs = (unique_lookup(rho.filter(F.col("factor_k") != F.col("factor_l")), ["factor_k", "factor_l"], "rho")
+                 .select(F.col("factor_k").alias(factor), "factor_l", "rho", "conflict"))
+        met = ws.join(pairs, factor).groupBy(bucket, F.col("factor_l").alias(factor)).agg(
+            F.sum(F.col("ws") * F.col("rho")).alias("_met"), F.max("conflict").alias("_odd"))
+        cross = full_join(ws.filter("ws IS NOT NULL"), met, [bucket, factor], "inner").groupBy(bucket).agg(
+            F.sum(F.col("ws") * F.col("_met")).alias("_cross"), F.max("_odd").alias("_odd"))
+        k = full_join(k, cross, [bucket], "left")
+        k2 = F.when(~F.coalesce("_odd", F.lit(False)), F.col("_sq") + F.coalesce("_cross", F.lit(0.0)))
     else:
         k2 = (1.0 - rho) * F.col("_sq") + rho * F.col("ws_total") ** 2
-    return k.select(bucket, "ws_total", "factors", F.sqrt(F.greatest(k2, F.lit(0.0))).alias("bucket_capital"),
+    return k.select(bucket, "ws_total", "factors", F.when(k2.isNotNull(), F.sqrt(F.greatest(k2, F.lit(0.0)))).alias("bucket_capital"),
                     "factors_without_weight", "sensitivity_without_weight")
 
 
@@ -323,13 +329,14 @@ def pnl_explain(sens: DataFrame, moves: DataFrame, actual: DataFrame, key: str =
     actual - predicted. ``actual`` is summed to the trade first (D2), so it never
     multiplies with the sensitivity rows.
 
-    ``moves`` is a (curve_id, tenor_y, move_bp) table, one row a point (``factor_moves``).
-    Sensitivities without a move are not in the prediction: ``sens_without_move`` counts them.
+    ``moves`` is a (curve_id, tenor_y, move_bp) table (``factor_moves``); a point listed
+    twice counts once. Sensitivities without a move, or with two that differ, are not in
+    the prediction: ``sens_without_move`` counts them. Rows without a trade are one trade.
     """
-    sens = sens.join(moves.select("curve_id", "tenor_y", "move_bp"), ["curve_id", "tenor_y"], "left")
+    sens = sens.join(unique_lookup(moves, ["curve_id", "tenor_y"], "move_bp"), ["curve_id", "tenor_y"], "left")
     pred = sens.groupBy(key).agg(F.sum(F.col("cs01") * F.col("move_bp")).alias("predicted_pnl"),
                                  F.count(F.when(F.col("move_bp").isNull(), 1)).alias("sens_without_move"))
     act = actual.groupBy(key).agg(F.sum("pnl").alias("actual_pnl"))
-    j = pred.join(act, key, "full")
+    j = full_join(pred, act, [key])
     return j.withColumn("sens_without_move", F.coalesce("sens_without_move", F.lit(0).cast("long"))).withColumn(
         "unexplained_pnl", F.coalesce("actual_pnl", F.lit(0.0)) - F.coalesce("predicted_pnl", F.lit(0.0)))

@@ -15,11 +15,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import checksum as S
+from ..operators import clustering as K
 from ..operators import exposure as C
+from ..operators import hierarchy as T
+from ..operators import incremental as I
+from ..operators import matching as M
 from ..operators import quality as Q
 from ..operators import resolution as B
+from ..operators import versions as V
 from ..sources import bindings as bd
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, write_scratch
 from ..sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,13 +160,71 @@ def q_resolution_trend(spark, d):
 def q_parent_lookup(spark, d):
     t = bd.trades(spark, d, names=False).filter(F.col("counterparty_code").isNotNull())
     return B.parent_lookup(t.select("trade_id", "counterparty_code", "exposure_amount"),
-                           bd.legal_entity(spark, d))
+                           bd.legal_entity_listed(spark, d))
 
 
 @query("parent_rollup")
 def q_parent_rollup(spark, d):
     t = bd.trades(spark, d, names=False).filter(F.col("resolution_status").isin(*B.MATCHED))
-    return B.parent_rollup(t, bd.legal_entity(spark, d))
+    return B.parent_rollup(t, bd.legal_entity_listed(spark, d))
+
+
+def _canonical_issuers(spark, d):
+    return bd.issuer_variants(spark, d).filter("is_canonical").withColumnRenamed("variant_name", "canonical_name")
+
+
+@query("similar_names")
+def q_similar_names(spark, d):
+    """Booked issuer names and the canonical names that hold 80 % of the lighter one's weight."""
+    return M.similar_names(bd.issuer_bookings(spark, d), _canonical_issuers(spark, d), 0.8, "overlap")
+
+
+@query("similar_names_jaccard")
+def q_similar_names_jaccard(spark, d):
+    return M.similar_names(bd.issuer_bookings(spark, d), _canonical_issuers(spark, d), 0.6, "jaccard")
+
+
+@query("abbreviation_matches")
+def q_abbreviation_matches(spark, d):
+    return M.abbreviation_matches(bd.issuer_bookings(spark, d), bd.issuer_variants(spark, d))
+
+
+def _record_links(spark, d):
+    """Links of booked names to canonical ones and to each other, by how much they share."""
+    booked, canon = bd.issuer_bookings(spark, d).select("booked_name"), _canonical_issuers(spark, d)
+    near = M.similar_names(booked, canon, 0.5, "overlap").select(F.col("booked_name").alias("a"), F.col("canonical_name").alias("b"), F.col("similarity").alias("weight"))
+    same = M.similar_names(booked, booked.withColumnRenamed("booked_name", "name"), 0.5, "jaccard", name="name").filter("booked_name < name")
+    return near.unionByName(same.select(F.col("booked_name").alias("a"), F.col("name").alias("b"), F.col("similarity").alias("weight")))
+
+
+@query("cluster_records")
+def q_cluster_records(spark, d):
+    """Booked and canonical issuer names as clusters of one canonical name at most."""
+    return K.cluster_records(write_scratch(_record_links(spark, d), "record-links"), _canonical_issuers(spark, d).select(F.col("canonical_name").alias("record")))
+
+
+@query("as_of_join")
+def q_as_of_join(spark, d):
+    """The margin rule in force when each trade was booked."""
+    return V.as_of_join(bd.trades_dated(spark, d), bd.rule_versions(spark, d), ["counterparty_code"], "booked_on", ["rule"], valid_to="valid_to")
+
+
+@query("resolve_names")
+def q_resolve_names(spark, d):
+    """Every booked name through the rules in order, with its bookings and their amount."""
+    b = bd.issuer_bookings(spark, d)
+    per = b.groupBy("booked_name").agg(F.count("*").alias("bookings"), F.sum("exposure_amount").cast("decimal(38,2)").alias("exposure"))
+    return per.join(M.resolve_names(b, bd.issuer_variants(spark, d)), "booked_name")
+
+
+@query("ownership_closure")
+def q_ownership_closure(spark, d):
+    return T.ownership_closure(bd.ownership_edges(spark, d))
+
+
+@query("consolidated_exposure")
+def q_consolidated_exposure(spark, d):
+    return T.consolidated_exposure(bd.entity_amounts(spark, d), bd.ownership_edges(spark, d))
 
 
 # ---- C: exposure and breaches -------------------------------------------------
@@ -191,7 +255,7 @@ def _summary(spark, d):
     return C.true_exposure_summary(
         C.known_exposure(bd.known_exposure_fact(spark, d)),
         C.hidden_exposure(bd.anomaly_exposure(spark, d), bd.name_variants(spark, d)),
-        bd.counterparty_legal(spark, d), bd.legal_entity(spark, d))
+        bd.counterparty_legal(spark, d), bd.legal_entity_listed(spark, d))
 
 
 @query("true_exposure_summary")
@@ -209,6 +273,19 @@ def q_breach_alerts(spark, d):
     return C.breach_alerts(_summary(spark, d))
 
 
+@query("incremental_true_exposure")
+def q_incremental_true_exposure(spark, d):
+    """C4 after three change sets (late facts, code changes, resets) on a stored summary."""
+    store = I.ExposureStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/true-exposure-{uuid.uuid4().hex}", buckets=4)
+    dims = bd.name_variants(spark, d), bd.counterparty_legal(spark, d), bd.legal_entity_listed(spark, d)
+    (_, load), *changes = bd.exposure_change_sets(spark, d)
+    store.refresh_summary(*dims, store.create(I.exposure_entries(*load)))
+    for number, (before, after) in enumerate(changes, 1):
+        images = [I.exposure_entries(*x) if any(p is not None for p in x) else None for x in (before, after)]
+        store.refresh(I.change_set(*images), number, *dims)
+    return store.summary()
+
+
 @query("row_counts")
 def q_row_counts(spark, d):
     return C.row_counts({"counterparty": bd.counterparty(spark, d), "date": bd.date_dim(spark, d),
@@ -434,6 +511,12 @@ def q_reconcile_summary(spark, d):
     return r.groupBy("status").agg(F.count("*").alias("row_count"))
 
 
+@query("reconcile_by_checksum")
+def q_reconcile_by_checksum(spark, d):
+    """Line amounts against what another system reports, comparing only key ranges that differ."""
+    return S.reconcile_by_checksum(bd.sales_b(spark, d), bd.sales_a_reported(spark, d), ["order_id"], "amount")
+
+
 # ---- F: quality and freshness --------------------------------------------------------
 
 POSITION_CHECKS = {
@@ -450,7 +533,7 @@ def q_check_constraints(spark, d):
 
 @query("row_count_band")
 def q_row_count_band(spark, d):
-    return Q.row_count_band(bd.loads(spark, d), "load_time", by=["product_id"], pct=10.0, as_of=LOADS_AS_OF)
+    return Q.row_count_band(bd.loads_listed(spark, d), "load_time", by=["product_id"], pct=10.0, as_of=LOADS_AS_OF)
 
 
 LOADS_AS_OF = "2024-02-02"   # three business days after the last load
@@ -458,20 +541,22 @@ LOADS_AS_OF = "2024-02-02"   # three business days after the last load
 
 @query("freshness")
 def q_freshness(spark, d):
-    f = Q.freshness(bd.loads(spark, d), as_of=LOADS_AS_OF)
+    f = Q.freshness(bd.loads_listed(spark, d), as_of=LOADS_AS_OF)
     return f.select("product_id", "business_date", "last_load_seconds", "loads", "status")
 
 
 # ---- H: risk measures --------------------------------------------------------------
 
+from ..operators import allocation as L  # noqa: E402
 from ..operators import risk as H  # noqa: E402
+from ..operators import sketch as X  # noqa: E402
 
 N_PATHS = 100            # paths per (netting set, scenario, time) in the path binding
 PFE_LEVEL = 0.95
 VALUATION_DATE = "2024-12-31"
-# Risk weight per tenor bucket (10Y+ has none) and the correlations between buckets.
-RISK_WEIGHTS = [("0-1Y", 0.10), ("1-5Y", 0.08), ("5-10Y", 0.06)]
-BUCKET_RHO = [("0-1Y", "1-5Y", 0.8), ("1-5Y", "0-1Y", 0.8), ("1-5Y", "5-10Y", 0.7), ("5-10Y", "1-5Y", 0.7),
+# Risk weight per tenor bucket (10Y+ has none) and the correlations between buckets; some are listed twice.
+RISK_WEIGHTS = [("0-1Y", 0.10), ("1-5Y", 0.08), ("5-10Y", 0.06), ("1-5Y", 0.08)]
+BUCKET_RHO = [("0-1Y", "1-5Y", 0.8), ("0-1Y", "1-5Y", 0.8), ("1-5Y", "0-1Y", 0.8), ("1-5Y", "5-10Y", 0.7), ("5-10Y", "1-5Y", 0.7),
               ("0-1Y", "5-10Y", 0.5), ("5-10Y", "0-1Y", 0.5)]
 
 
@@ -558,6 +643,35 @@ def q_stressed_pfe(spark, d):
                     _r("pfe_increase", 4), "valuation_date")
 
 
+@query("exposure_profile_sketch")
+def q_exposure_profile_sketch(spark, d):
+    """H10 from sketches of two halves of the paths, merged."""
+    net = H.net_exposure(bd.path_values(spark, d))
+    halves = [X.exposure_sketch(net.filter(F.col("path_id") % 2 == i)) for i in (0, 1)]
+    p = X.profile_from_sketch(X.merge_sketches(*halves), N_PATHS, PFE_LEVEL)
+    return p.select("netting_set", "scenario", "time_y", _r("ee", 4), _r("pfe", 4), _r("mtm", 4), "level", "paths")
+
+
+@query("ee_contributions")
+def q_ee_contributions(spark, d):
+    return L.ee_contributions(bd.path_values(spark, d), N_PATHS).withColumn("ee_contribution", F.round("ee_contribution", 4))
+
+
+@query("pfe_contributions")
+def q_pfe_contributions(spark, d):
+    return L.pfe_contributions(bd.path_values(spark, d), N_PATHS, PFE_LEVEL).withColumn("pfe_contribution", F.round("pfe_contribution", 4))
+
+
+@query("cva_contributions")
+def q_cva_contributions(spark, d):
+    """Base scenario; the grid of times is that of the set's profile."""
+    values = bd.path_values(spark, d).filter(F.col("scenario") == "base")
+    curve = F.concat(F.lit("Brand#"), ((F.col("netting_set").cast("int") % 25) + 1).cast("string"))
+    times = values.select("netting_set", "time_y").distinct().withColumn("curve_id", curve)
+    c = L.cva_contributions(L.ee_contributions(values, N_PATHS), times, bd.curve_quotes(spark, d))
+    return c.withColumn("cva_contribution", F.round("cva_contribution", 4))
+
+
 def _base_profile_with_curve(spark, d):
     p = _profile(spark, d).filter(F.col("scenario") == "base")
     curve = F.concat(F.lit("Brand#"), ((F.col("netting_set").cast("int") % 25) + 1).cast("string"))
@@ -591,10 +705,12 @@ def q_pnl_explain(spark, d):
     quotes = bd.curve_quotes(spark, d)
     steeper = quotes.withColumn("spread_bp", F.col("spread_bp") + F.col("tenor_y") * 0.5)
     moves = H.factor_moves(bd.sensitivity_points(spark, d), quotes, steeper)
+    moves = moves.unionByName(moves.filter("tenor_y > 10"))          # as a feed that sends long tenors twice
+    numbered = F.when(F.col("trade_id").cast("long") % 997 != 0, F.col("trade_id"))   # some trades have no number yet
     both = quotes.withColumn("scenario", F.lit("before")).unionByName(steeper.withColumn("scenario", F.lit("after")))
     pv = H.discounted_pv_by_scenario(bd.cashflows(spark, d), both, ["before", "after"], risk_free=0.04)
     actual = pv.select("trade_id", (F.col("pv_after") - F.col("pv_before")).alias("pnl"))
-    p = H.pnl_explain(bd.sensitivities(spark, d), moves, actual)
+    p = H.pnl_explain(bd.sensitivities(spark, d).withColumn("trade_id", numbered), moves, actual.withColumn("trade_id", numbered))
     return p.select("trade_id", _r("predicted_pnl", 4), _r("actual_pnl", 4), _r("unexplained_pnl", 4), "sens_without_move")
 
 
@@ -731,16 +847,24 @@ def q_inherit_classification(spark, d):
     return G.inherit_classification(_lineage(spark, d).unionByName(chain).unionByName(s), _labels(spark, d))
 
 
+@query("column_closure")
+def q_column_closure(spark, d):
+    """What the tagged columns feed, and where their very values arrive."""
+    return G.column_closure(bd.column_edges(spark, d), bd.tagged_columns(spark, d))
+
+
 @query("lineage_diff")
 def q_lineage_diff(spark, d):
     """Declared = a consumer's purchases state the view and purchase tables as upstream;
-    observed = the whole query log."""
-    observed = bd.query_log(spark, d).select(F.col("consumer_id").alias("product_id"),
-                                             F.concat_ws(".", "table_catalog", "table_name").alias("upstream"))
+    observed = the whole query log, where reads of unnamed tables (signups) have no upstream;
+    declarations leave a place without an upstream too."""
+    log = bd.query_log(spark, d)
+    observed = log.select(F.col("consumer_id").alias("product_id"), F.when(F.col("table_name") != "t_signup", F.concat_ws(
+        ".", "table_catalog", "table_name")).alias("upstream"))
     buyers = (read_table(spark, d, "events").filter(F.col("event_type") == "purchase")
               .select(F.concat(F.lit("k"), F.col("user_id").cast("string")).alias("product_id")))
     declared = buyers.select("product_id", F.explode(F.array(F.lit("warehouse.t_view"), F.lit("warehouse.t_purchase"),
-                                                             F.lit("warehouse.t_refund"))).alias("upstream"))
+                                                             F.lit("warehouse.t_refund"), F.lit(None))).alias("upstream"))
     return G.lineage_diff(declared, observed)
 
 

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 SPREAD = 4096
 
 
-def full_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on null-safe keys; each key comes out once."""
+def full_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "full") -> DataFrame:
+    """Full outer (or ``how``) join on null-safe keys; each key comes out once."""
     a, b = a.alias("_a"), b.alias("_b")
     on = reduce(lambda x, y: x & y, [F.col(f"_a.{k}").eqNullSafe(F.col(f"_b.{k}")) for k in keys])
     rest = [F.col(f"_{s}.{c}") for s, df in (("a", a), ("b", b)) for c in df.columns if c not in keys]
-    return a.join(b, on, "full").select(*[F.coalesce(F.col(f"_a.{k}"), F.col(f"_b.{k}")).alias(k) for k in keys], *rest)
+    return a.join(b, on, how).select(*[F.coalesce(F.col(f"_a.{k}"), F.col(f"_b.{k}")).alias(k) for k in keys], *rest)
 
 
 def unique_lookup(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -13,6 +13,8 @@ codes below are fixed values of the binding (not tuning knobs):
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ CP_THRESHOLD = 500000
 MARGIN_THRESHOLD = 200000
 CURVE_TENORS = (1, 3, 5, 10)
 CALENDAR = ("1994-08-01", "2001-03-01")   # months of the date dimension
+ISSUER_FORMS = ("LLC", "BANK NA", "HOLDINGS PLC", "& CO")
+ISSUER_LONG_FORMS = ("LIMITED LIABILITY COMPANY", "BANK NATIONAL ASSOCIATION", "HOLDINGS PUBLIC LIMITED COMPANY", "AND COMPANY")
 UNQUOTED = 5                              # brands whose number leaves this on division by 10 have no curve
 
 
@@ -215,6 +219,37 @@ def anomaly_exposure(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def exposure_change_sets(spark: SparkSession, d: str) -> list[tuple[tuple, tuple]]:
+    """b_known and b_hidden as three change sets bring them about: ((known, hidden) before,
+    (known, hidden) after) of the changed facts, the first being the initial load.
+
+    1-URGENT orders come late; 2-HIGH orders of status O were booked under the neighbouring
+    customer (key with its last bit flipped) and are moved; 5-LOW orders of status O are
+    reset: they go back from known to hidden exposure, under their -S variant."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    late, moved = F.col("o_orderpriority") == "1-URGENT", (F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") == "O")
+    reset = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "O")
+    is_p = F.col("o_orderstatus") == "P"
+
+    def known(rows, key="o_custkey"):
+        code = _key("o_custkey") if key == "o_custkey" else F.col("o_custkey").bitwiseXOR(F.lit(1)).cast("string")
+        return rows.select(code.alias("counterparty_code"), _year_end("o_orderdate").alias("as_of_date"),
+                           money("o_totalprice").alias("base_total_exposure"))
+
+    def hidden(rows, suffix=None):
+        suffix = F.lit(suffix) if suffix else F.when(F.col("o_orderkey") % 2 == 0, F.lit("-S")).otherwise(F.lit("-U"))
+        return rows.select(
+            _key("o_custkey").alias("counterparty_code"), _year_end("o_orderdate").alias("as_of_date"),
+            F.concat(_key("o_custkey"), suffix).alias("variant_id"), money("o_totalprice").alias("base_total_exposure"))
+
+    first = o.filter(~late)
+    load = known(first.filter(~is_p & ~moved)).unionByName(known(first.filter(moved), "flipped")), hidden(first.filter(is_p))
+    return [((None, None), load),
+            ((None, None), (known(o.filter(late & ~is_p)), hidden(o.filter(late & is_p)))),
+            ((known(o.filter(moved), "flipped"), None), (known(o.filter(moved)), None)),
+            ((known(o.filter(reset)), None), (None, hidden(o.filter(reset), "-S")))]
+
+
 def legal_entity(spark: SparkSession, d: str) -> DataFrame:
     """b_legal: per customer one entity row and one ultimate-parent row (its nation)."""
     c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -240,6 +275,95 @@ def legal_entity(spark: SparkSession, d: str) -> DataFrame:
                      "r.is_ultimate_parent"))
 
 
+def legal_entity_listed(spark: SparkSession, d: str) -> DataFrame:
+    """b_legal_listed: b_legal as an entity register lists it: rows of every third customer
+    twice, and a second entity (a branch, under another parent) for every fifth."""
+    le = legal_entity(spark, d)
+    key = F.col("counterparty_code").cast("long")
+    again = le.filter(key % 3 == 0)
+    branch = (le.filter(~F.col("is_ultimate_parent") & (key % 5 == 0))
+                .withColumn("lei_code", F.concat(F.lit("LEI-X"), F.col("counterparty_code")))
+                .withColumn("legal_entity_name", F.concat("legal_entity_name", F.lit(" BRANCH")))
+                .withColumn("ultimate_parent_name", F.lit("BRANCH HOLDING")))
+    return le.unionByName(again).unionByName(branch)
+
+
+def ownership_edges(spark: SparkSession, d: str) -> DataFrame:
+    """b_owners: one level of ownership a row. Suppliers S own each other in one long chain
+    (S0 is its own parent, as ultimate parents are), customers C in a tree of two children a
+    node under customer 0, which the last supplier owns; every fourth customer has a second
+    parent of a lesser share. Nations N of a region own each other in rings, parts P stand
+    under nations; some rows come twice, and some name no parent."""
+    name = lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    s = read_table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"))
+    c = read_table(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_nationkey")
+    n = read_table(spark, d, "nation").select(F.col("n_nationkey").alias("k"))
+    p = read_table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_size")
+    row = lambda df, a, b, share: df.select(a.alias("child"), b.alias("parent"), F.lit(share).alias("share"))
+    k = F.col("k")
+    last = s.agg(F.max("k").alias("k"))
+    second = row(c.filter(k % 4 == 1), name("C", k), name("N", F.col("c_nationkey")), 0.3)
+    parts = [
+        row(s, name("S", k), name("S", F.greatest(k - 1, F.lit(0))), 1.0),
+        row(c.filter(k > 0), name("C", k), name("C", F.floor((k - 1) / 2).cast("long")), 0.6),
+        row(last, F.lit("C0"), name("S", k), 0.9), second, second,
+        row(n, name("N", k), name("N", (k + 5) % 25), 0.5),
+        row(p, name("P", k), F.when(k % 50 != 0, name("N", F.col("p_size") % 25)), 0.2)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def entity_amounts(spark: SparkSession, d: str) -> DataFrame:
+    """b_entity_amounts: orders as exposures of customers, line prices as exposures of suppliers,
+    part prices as exposures of parts."""
+    o = read_table(spark, d, "orders").select(F.concat(F.lit("C"), _key("o_custkey")).alias("entity"), money("o_totalprice").alias("amount"))
+    li = read_table(spark, d, "lineitem").select(F.concat(F.lit("S"), _key("l_suppkey")).alias("entity"), money("l_extendedprice").alias("amount"))
+    p = read_table(spark, d, "part").select(F.concat(F.lit("P"), _key("p_partkey")).alias("entity"), money("p_retailprice").alias("amount"))
+    return o.unionByName(li).unionByName(p)
+
+
+def rule_versions(spark: SparkSession, d: str) -> DataFrame:
+    """b_rule_versions: each 1-URGENT order puts a margin rule of its customer in force from its
+    date, for 400 days or (every third order) without end; some come twice."""
+    o = read_table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_custkey", "o_orderdate")
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    v = o.select(_key("o_custkey").alias("counterparty_code"), day.alias("valid_from"), F.when(k % 3 != 0, F.date_add(day, 400)).alias("valid_to"),
+                 F.concat(F.lit("RULE-"), (k % 7).cast("string")).alias("rule"), k.alias("_k"))
+    return v.unionByName(v.filter("_k % 5 = 0")).drop("_k")
+
+
+def trades_dated(spark: SparkSession, d: str) -> DataFrame:
+    """b_dated: trades by order day; trades of status P have no counterparty."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return o.select(_key("o_orderkey").alias("trade_id"), F.when(F.col("o_orderstatus") != "P", _key("o_custkey")).alias("counterparty_code"),
+                    F.col("o_orderdate").cast("date").alias("booked_on"), money("o_totalprice").alias("exposure_amount"))
+
+
+def sales_a_reported(spark: SparkSession, d: str) -> DataFrame:
+    """b_sales_reported: line prices per order as another system reports them: lines of every 211th
+    order are a cent off, every 307th order is missing, one line of every 401st has no amount."""
+    k, n = F.col("order_id"), F.col("line_id")
+    off = F.when(k % 211 == 0, (F.col("amount") + F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)).when(~((k % 401 == 0) & (n == 1)), F.col("amount"))
+    return sales_b(spark, d).filter(k % 307 != 0).withColumn("amount", off)
+
+
+def column_edges(spark: SparkSession, d: str) -> DataFrame:
+    """b_column_edges: each part is a column of the product of its brand, fed by the columns of half
+    and a third of its number; columns of a size divisible by 5 are hashes, by 7 sums of them."""
+    p = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    up = p.select(F.col("p_partkey").alias("_u"), F.col("p_brand").alias("upstream_product"))
+    fed = p.select("*", F.explode(F.array_distinct(F.array(F.floor(F.col("p_partkey") / 2), F.floor(F.col("p_partkey") / 3)))).alias("_u"))
+    how = F.when(F.col("p_size") % 5 == 0, F.lit("hash")).when(F.col("p_size") % 7 == 0, F.lit("sum")).when(F.col("_u") * 2 == F.col("p_partkey"), F.lit("identity")).otherwise(F.lit("rename"))
+    return fed.join(up, "_u").select(
+        F.col("p_brand").alias("product_id"), F.concat(F.lit("col_"), _key("p_partkey")).alias("column_name"), "upstream_product",
+        F.concat(F.lit("col_"), _key("_u")).alias("upstream_column"), how.alias("transform"))
+
+
+def tagged_columns(spark: SparkSession, d: str) -> DataFrame:
+    """b_tagged: the columns of parts of the largest size, as those tagged personal."""
+    p = read_table(spark, d, "part").filter(F.col("p_size") == 50)
+    return p.select(F.col("p_brand").alias("product_id"), F.concat(F.lit("col_"), _key("p_partkey")).alias("column_name"))
+
+
 def facility_limits(spark: SparkSession, d: str) -> DataFrame:
     """b_limits: two facilities per customer with a positive balance."""
     c = (read_table(spark, d, "customer").select("c_custkey", "c_acctbal")
@@ -372,6 +496,41 @@ def misspelt_names(spark: SparkSession, d: str) -> DataFrame:
                      .when(k == 3, F.regexp_replace(name, "CUSTOMER", "CSTNER")).otherwise(name).alias("booked_name"))
 
 
+def _letters_of(c: str) -> Column:
+    """A number as a word: its digits from the last to the first as letters A to J."""
+    return F.translate(F.reverse(_key(c)), "0123456789", "ABCDEFGHIJ")
+
+
+def issuer_variants(spark: SparkSession, d: str) -> DataFrame:
+    """b_issuers: each part as an issuer, named by a word of its own, its name, its type and a
+    legal form, and the same name in mixed case as a second variant."""
+    p = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    form = F.element_at(F.array(*[F.lit(x) for x in ISSUER_FORMS]), (F.col("p_size") % 4 + 1).cast("int"))
+    name = F.concat_ws(" ", _letters_of("p_partkey"), F.upper("p_name"), F.upper("p_type"), form)
+    rows = F.array(F.struct(name.alias("variant_name"), F.lit(True).alias("is_canonical")),
+                   F.struct(F.lower(name).alias("variant_name"), F.lit(False).alias("is_canonical")))
+    return p.select(_key("p_partkey").alias("counterparty_code"), F.explode(rows).alias("v")).select("counterparty_code", "v.*")
+
+
+def issuer_bookings(spark: SparkSession, d: str) -> DataFrame:
+    """b_bookings: each part's price booked under a variant of its issuer's name, by part number:
+    truncated (0), with a place (1), its legal form spelt out (2), words in another order (3),
+    without its own word (4), a code of beginnings (5), with other punctuation (6)."""
+    p = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+    word, name, kind = _letters_of("p_partkey"), F.upper("p_name"), F.upper("p_type")
+    long_form = F.element_at(F.array(*[F.lit(x) for x in ISSUER_LONG_FORMS]), (F.col("p_size") % 4 + 1).cast("int"))
+    form = F.element_at(F.array(*[F.lit(x) for x in ISSUER_FORMS]), (F.col("p_size") % 4 + 1).cast("int"))
+    first = lambda w: F.substring(w, 1, 1)
+    code = F.concat(F.substring(word, 1, 3), first(name), first(F.element_at(F.split(name, " "), 2)), first(kind), F.when(
+        F.col("p_size") % 4 == 3, F.lit("_CO")).when(F.col("p_size") % 4 == 1, F.lit("B")).otherwise(F.lit("")))
+    k = F.col("p_partkey") % 7
+    booked = (F.when(k == 0, F.concat_ws(" ", word, name)).when(k == 1, F.concat_ws(" ", word, name, kind, F.lit("LONDON")))
+               .when(k == 2, F.concat_ws(" ", word, name, kind, long_form)).when(k == 3, F.concat_ws(" ", kind, name, word))
+               .when(k == 4, F.concat_ws(" ", name, kind)).when(k == 5, code)
+               .otherwise(F.concat_ws("-", word, F.translate(name, " ", "_"), kind, form)))
+    return p.select(_key("p_partkey").alias("booking_id"), booked.alias("booked_name"), money("p_retailprice").alias("exposure_amount"))
+
+
 def cashflows(spark: SparkSession, d: str) -> DataFrame:
     """b_cashflows: a cash flow per line at year = line number, on the brand curve."""
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
@@ -392,6 +551,11 @@ def loads(spark: SparkSession, d: str) -> DataFrame:
                     F.col("event_id").alias("load_id"))
 
 
+def loads_listed(spark: SparkSession, d: str) -> DataFrame:
+    """b_loads_listed: b_loads whose error events name no product."""
+    return loads(spark, d).withColumn("product_id", F.when(F.col("product_id") != "error", F.col("product_id")))
+
+
 def column_tags(spark: SparkSession, d: str) -> DataFrame:
     """b_tags: each part is a canonical column with two source aliases."""
     p = read_table(spark, d, "part").select("p_partkey", "p_type")

@@ -88,6 +88,67 @@ UNION ALL
 SELECT 'LEI-N' || CAST(n.n_nationkey AS VARCHAR), 'LEI-N' || CAST(n.n_nationkey AS VARCHAR), n.n_name, n.n_name,
        CAST(c.c_custkey AS VARCHAR), 'Holding Company', TRUE
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "b_legal_listed": """
+SELECT * FROM b_legal
+UNION ALL SELECT * FROM b_legal WHERE CAST(counterparty_code AS BIGINT) % 3 = 0
+UNION ALL SELECT 'LEI-X' || counterparty_code, ultimate_parent_lei, 'BRANCH HOLDING', legal_entity_name || ' BRANCH',
+                 counterparty_code, entity_type, is_ultimate_parent
+FROM b_legal WHERE NOT is_ultimate_parent AND CAST(counterparty_code AS BIGINT) % 5 = 0""",
+    "b_own": """
+SELECT counterparty_code, arg_min(ultimate_parent_name, lei_code) AS ultimate_parent_name,
+       arg_min(legal_entity_name, lei_code) AS legal_entity_name
+FROM b_legal_listed WHERE NOT is_ultimate_parent GROUP BY 1""",
+    "b_owners": """
+SELECT 'S' || s_suppkey AS child, 'S' || greatest(s_suppkey - 1, 0) AS parent, 1.0 AS share FROM supplier
+UNION ALL SELECT 'C' || c_custkey, 'C' || (c_custkey - 1) // 2, 0.6 FROM customer WHERE c_custkey > 0
+UNION ALL SELECT 'C0', 'S' || max(s_suppkey), 0.9 FROM supplier
+UNION ALL SELECT 'C' || c_custkey, 'N' || c_nationkey, 0.3 FROM customer, range(2) WHERE c_custkey % 4 = 1
+UNION ALL SELECT 'N' || n_nationkey, 'N' || (n_nationkey + 5) % 25, 0.5 FROM nation
+UNION ALL SELECT 'P' || p_partkey, CASE WHEN p_partkey % 50 <> 0 THEN 'N' || p_size % 25 END, 0.2 FROM part""",
+    "b_closure": """
+SELECT e.entity, CASE WHEN l.node IS NULL THEN 'ROOT' WHEN f.root IS NOT NULL THEN 'OWNED'
+                      WHEN r.node IS NOT NULL THEN 'CYCLE' ELSE 'UNDER_CYCLE' END AS status,
+       CASE WHEN l.node IS NULL THEN e.entity ELSE f.root END AS ultimate_parent,
+       CASE WHEN l.node IS NULL THEN 0 ELSE f.depth END AS depth, coalesce(l.parents, 0) AS parents,
+       CASE WHEN l.node IS NOT NULL AND f.root IS NULL THEN coalesce(r.cycle_id, u.cycle_id) END AS cycle_id
+FROM (SELECT child AS entity FROM b_owners UNION SELECT parent FROM b_owners WHERE parent IS NOT NULL) e
+LEFT JOIN b_links l ON l.node = e.entity
+LEFT JOIN (SELECT w.node, w.top AS root, w.depth FROM b_walk w LEFT JOIN b_links x ON x.node = w.top WHERE x.node IS NULL) f
+       ON f.node = e.entity
+LEFT JOIN b_rings r ON r.node = e.entity
+LEFT JOIN (SELECT w.node, min(r.cycle_id) AS cycle_id FROM b_walk w JOIN b_rings r ON r.node = w.top GROUP BY 1) u ON u.node = e.entity""",
+    "b_links": """
+SELECT child AS node, arg_min(parent, (-share, parent)) AS up, count(DISTINCT parent) AS parents
+FROM b_owners WHERE parent IS NOT NULL AND child <> parent GROUP BY 1""",
+    "b_walk": """
+SELECT node, up AS top, CAST(1 AS BIGINT) AS depth, [node, up] AS met FROM b_links
+UNION ALL
+SELECT w.node, l.up, w.depth + 1, list_append(w.met, l.up) FROM b_walk w JOIN b_links l ON l.node = w.top
+WHERE NOT list_contains(w.met[:-2], w.top)""",
+    "b_rings": """
+SELECT node, list_min(met) AS cycle_id FROM b_walk WHERE top = node""",
+    "b_entity_amounts": """
+SELECT 'C' || o_custkey AS entity, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders
+UNION ALL SELECT 'S' || l_suppkey, CAST(l_extendedprice AS DECIMAL(18,2)) FROM lineitem
+UNION ALL SELECT 'P' || p_partkey, CAST(p_retailprice AS DECIMAL(18,2)) FROM part""",
+    "b_rule_versions": """
+SELECT CAST(o_custkey AS VARCHAR) AS counterparty_code, CAST(o_orderdate AS DATE) AS valid_from,
+       CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) + 400 END AS valid_to, 'RULE-' || o_orderkey % 7 AS rule
+FROM orders WHERE o_orderpriority = '1-URGENT'""",
+    "b_dated": """
+SELECT CAST(o_orderkey AS VARCHAR) AS trade_id, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS counterparty_code,
+       CAST(o_orderdate AS DATE) AS booked_on, CAST(o_totalprice AS DECIMAL(18,2)) AS exposure_amount
+FROM orders""",
+    "b_sales_reported": """
+SELECT order_id, line_id, CASE WHEN order_id % 211 = 0 THEN CAST(amount + 0.01 AS DECIMAL(18,2))
+                               WHEN NOT (order_id % 401 = 0 AND line_id = 1) THEN amount END AS amount
+FROM b_sales_b WHERE order_id % 307 <> 0""",
+    "b_column_edges": """
+SELECT DISTINCT p.p_brand AS product_id, 'col_' || p.p_partkey AS column_name, u.p_brand AS upstream_product,
+       'col_' || u.p_partkey AS upstream_column,
+       CASE WHEN p.p_size % 5 = 0 THEN 'hash' WHEN p.p_size % 7 = 0 THEN 'sum' WHEN u.p_partkey * 2 = p.p_partkey THEN 'identity'
+            ELSE 'rename' END AS transform
+FROM part p JOIN part u ON u.p_partkey IN (p.p_partkey // 2, p.p_partkey // 3)""",
     "b_limits": """
 SELECT CAST(c_custkey AS VARCHAR) AS counterparty_code, 'A' AS facility_id,
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 50 AS DECIMAL(18,2)) AS limit_amount FROM customer WHERE c_acctbal > 0
@@ -131,12 +192,32 @@ SELECT CAST(l.l_orderkey AS VARCHAR) AS trade_id, l.l_linenumber AS line_id,
        CAST(p.p_size AS DOUBLE) AS tenor_y,
        CASE WHEN l.l_returnflag = 'R' THEN -l.l_quantity ELSE l.l_quantity END AS cs01
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
+    "b_issuer_names": """
+SELECT p_partkey, translate(reverse(CAST(p_partkey AS VARCHAR)), '0123456789', 'ABCDEFGHIJ') AS word, upper(p_name) AS name,
+       upper(p_type) AS kind, p_size % 4 AS f, ['LLC', 'BANK NA', 'HOLDINGS PLC', '& CO'][p_size % 4 + 1] AS form,
+       ['LIMITED LIABILITY COMPANY', 'BANK NATIONAL ASSOCIATION', 'HOLDINGS PUBLIC LIMITED COMPANY', 'AND COMPANY'][p_size % 4 + 1]
+         AS long_form
+FROM part""",
+    "b_issuers": """
+SELECT CAST(p_partkey AS VARCHAR) AS counterparty_code, concat_ws(' ', word, name, kind, form) AS variant_name, TRUE AS is_canonical
+FROM b_issuer_names
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), lower(concat_ws(' ', word, name, kind, form)), FALSE FROM b_issuer_names""",
+    "b_bookings": """
+SELECT CAST(p_partkey AS VARCHAR) AS booking_id,
+       CASE p_partkey % 7 WHEN 0 THEN concat_ws(' ', word, name) WHEN 1 THEN concat_ws(' ', word, name, kind, 'LONDON')
+            WHEN 2 THEN concat_ws(' ', word, name, kind, long_form) WHEN 3 THEN concat_ws(' ', kind, name, word)
+            WHEN 4 THEN concat_ws(' ', name, kind)
+            WHEN 5 THEN concat(word[:3], name[:1], split_part(name, ' ', 2)[:1], kind[:1], CASE f WHEN 3 THEN '_CO' WHEN 1 THEN 'B' ELSE '' END)
+            ELSE concat_ws('-', word, replace(name, ' ', '_'), kind, form) END AS booked_name
+FROM b_issuer_names""",
     "b_cashflows": """
 SELECT CAST(l.l_orderkey AS VARCHAR) AS trade_id, p.p_brand AS curve_id,
        CAST(l.l_linenumber AS DOUBLE) AS time_y, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "b_loads": """
 SELECT event_type AS product_id, CAST(ts AS TIMESTAMP) AS load_time, event_id AS load_id FROM events""",
+    "b_loads_listed": """
+SELECT nullif(product_id, 'error') AS product_id, load_time, load_id FROM b_loads""",
     "b_tags": """
 SELECT 'warehouse' AS table_catalog, 'core' AS table_schema, 'parts' AS table_name,
        'col_' || CAST(p_partkey AS VARCHAR) AS column_name, 'source_aliases' AS tag_name,
@@ -171,7 +252,9 @@ FROM lineitem""",
 
 # views that other views read
 _DEPENDS = {"b_fx": ["b_orders_nation"], "b_buffer": ["b_orders_nation"],
-            "b_pledged": ["b_orders_nation"]}
+            "b_pledged": ["b_orders_nation"], "b_legal_listed": ["b_legal"], "b_own": ["b_legal", "b_legal_listed"],
+            "b_sales_reported": ["b_sales_b"], "b_issuers": ["b_issuer_names"], "b_bookings": ["b_issuer_names"], "b_loads_listed": ["b_loads"], "b_links": ["b_owners"], "b_walk": ["b_owners", "b_links"],
+            "b_rings": ["b_owners", "b_links", "b_walk"], "b_closure": ["b_owners", "b_links", "b_walk", "b_rings"]}
 
 
 def with_views(names: list[str], body: str) -> str:
@@ -187,6 +270,10 @@ def with_views(names: list[str], body: str) -> str:
     body = body.strip()
     if not order:
         return body
+    if "b_walk" in order:
+        ctes = "RECURSIVE " + ctes
+    if body[:14].upper() == "WITH RECURSIVE" and body[14:15].isspace():
+        return f"WITH RECURSIVE {ctes.removeprefix('RECURSIVE ')},\n{body[15:]}"
     if body[:4].upper() == "WITH" and body[4:5].isspace():
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -208,3 +208,55 @@ def test_unmapped_columns_are_kept_or_named(spark):
 def test_streams_need_a_path(spark):
     with pytest.raises(ValueError):
         start_query(spark.readStream.format("rate").load(), "no_path")
+
+
+# ---- repeated lookup rows and NULL keys of single operators ------------------------------------------
+
+def test_a_move_listed_twice_and_trades_without_a_number(spark):
+    sens = spark.createDataFrame([("t", "A", 1.0, 2.0), (None, "A", 1.0, 1.0), ("u", "B", 1.0, 4.0)], "trade_id string, curve_id string, tenor_y double, cs01 double")
+    moves = spark.createDataFrame([("A", 1.0, 3.0), ("A", 1.0, 3.0), ("B", 1.0, 1.0), ("B", 1.0, 2.0)], "curve_id string, tenor_y double, move_bp double")
+    act = spark.createDataFrame([("t", 7.0), (None, 9.0)], "trade_id string, pnl double")
+    got = {r.trade_id: tuple(r)[1:] for r in H.pnl_explain(sens, moves, act).collect()}
+    assert got == {"t": (6.0, 0, 7.0, 1.0), None: (3.0, 0, 9.0, 6.0), "u": (None, 1, None, 0.0)}
+
+
+def test_a_weight_or_correlation_listed_twice(spark):
+    s = spark.createDataFrame([("A", "f", 3.0), ("A", "g", -2.0), ("B", "f", 1.0), (None, "f", 2.0), (None, "g", 1.0), ("C", "h", 1.0)], "curve_id string, k string, cs01 double")
+    w = spark.createDataFrame([("f", 1.0), ("f", 1.0), ("g", 2.0), ("h", 1.0), ("h", 3.0)], "k string, risk_weight double")
+    table = lambda rows: spark.createDataFrame(rows, "factor_k string, factor_l string, rho double")
+    both = [("f", "g", 0.25), ("g", "f", 0.25)]
+    got = {r.curve_id: r for r in H.weighted_capital(s, w, table(both * 2), factor="k").collect()}
+    assert got["A"].bucket_capital == pytest.approx((9 + 16 - 2 * 0.25 * 12) ** 0.5) and (got["A"].ws_total, got["A"].factors) == (-1.0, 2)
+    assert got[None].bucket_capital == pytest.approx((4 + 4 + 2 * 0.25 * 4) ** 0.5)
+    assert (got["C"].factors, got["C"].factors_without_weight) == (0, 1)
+    odd = {r.curve_id: r.bucket_capital for r in H.weighted_capital(s, w, table([*both, ("f", "g", 0.5)]), factor="k").collect()}
+    assert odd["A"] is None and odd[None] is None and odd["B"] == 1.0
+
+
+def test_two_entities_of_a_counterparty_double_nothing(spark):
+    le = spark.createDataFrame([("L2", "P2", "e2", "c", False), ("L1", "P1", "e1", "c", False), ("L1", "P1", "e1", "c", False), ("L0", "P1", "P1", "c", True)],
+                               "lei_code string, ultimate_parent_name string, legal_entity_name string, counterparty_code string, is_ultimate_parent boolean")
+    x = spark.createDataFrame([("c", Decimal(10))], "counterparty_code string, exposure_amount decimal(18,2)")
+    top = B.parent_rollup(x, le).filter("rollup_level = 7").first()
+    assert (top.total_exposure, top.trade_count) == (Decimal(10), 1)
+    (r,) = B.parent_lookup(x, le).collect()
+    assert (r.ultimate_parent_name, r.legal_entity_name) == ("P1", "e1")
+    known = x.selectExpr("counterparty_code", "DATE'2024-01-31' AS as_of_date", "CAST(exposure_amount AS decimal(38,2)) AS known_exposure")
+    hidden = known.limit(0).selectExpr("counterparty_code", "as_of_date", "known_exposure AS hidden_exposure", "0L AS variant_count", "0L AS source_system_count")
+    dim = x.selectExpr("counterparty_code", "'n' AS counterparty_legal_name", "CAST(1 AS decimal(18,2)) AS threshold_principal")
+    assert C.true_exposure_summary(known, hidden, dim, le).count() == 1
+
+
+def test_groups_without_a_name_are_listed_once(spark):
+    rows = [(None, dt.datetime(2024, 1, 8, 11)), (None, dt.datetime(2024, 1, 10, 11)), ("p", dt.datetime(2024, 1, 8, 11))]
+    loads = spark.createDataFrame(rows, "product_id string, load_time timestamp_ntz")
+    got = sorted((r.product_id or "", r.business_date.day, r.status) for r in Q.freshness(loads, as_of="2024-01-10").collect())
+    assert got == [("", 8, "ON_TIME"), ("", 9, "MISSING"), ("", 10, "ON_TIME"), ("p", 8, "ON_TIME"), ("p", 9, "MISSING"), ("p", 10, "MISSING")]
+    band = sorted((r.product_id or "", r.business_date.day, r.row_count, r.verdict or "") for r in Q.row_count_band(loads, "load_time", ["product_id"], as_of="2024-01-09").collect())
+    assert band == [("", 8, 1, ""), ("", 9, 0, "OUT_OF_BAND"), ("p", 8, 1, ""), ("p", 9, 0, "OUT_OF_BAND")]
+
+
+def test_lineage_without_an_upstream_equals_itself(spark):
+    df = lambda rows: spark.createDataFrame(rows, "product_id string, upstream string")
+    got = {tuple(r) for r in G.lineage_diff(df([("a", None), ("b", None), (None, "t")]), df([("a", None), ("c", None), (None, "t")])).collect()}
+    assert got == {("b", None, "DECLARED_NOT_READ"), ("c", None, "READ_NOT_DECLARED")}

@@ -39,12 +39,16 @@ def duck():
     con.close()
 
 
+# taking links one by one is a loop; SQL for it needs minutes on whole tables (test_clustering has the brute force)
+NO_SQL = {"cluster_records"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - NO_SQL == set(ORACLE)
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
