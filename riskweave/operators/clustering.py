@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_scratch
+from ..session import write_counted, write_scratch
 from .hierarchy import climb
 
 
@@ -42,8 +42,8 @@ def cluster_records(links: DataFrame, canonical: DataFrame) -> DataFrame:
         ends = edges.select(F.col("cu").alias("node"), F.col("cv").alias("up"), "link").unionByName(
             edges.select(F.col("cv").alias("node"), F.col("cu").alias("up"), "link"))
         free = ends.join(seeds, F.col("node") == F.col("_s"), "left_anti")
-        picks = write_scratch(free.groupBy("node").agg(F.min(F.struct("link", "up")).getField("up").alias("up")), "cluster-picks")
-        if picks.isEmpty():
+        picks, n = write_counted(free.groupBy("node").agg(F.min(F.struct("link", "up")).getField("up").alias("up")), "cluster-picks")
+        if not n:
             break
         # two clusters that take each other: the lesser one stays
         back = picks.select(F.col("node").alias("up"), F.col("up").alias("_back"))

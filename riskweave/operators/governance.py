@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import full_join
-from ..session import write_scratch
+from ..session import write_counted, write_scratch
 from .hierarchy import climb
 
 TAG_COLUMNS = ("table_catalog", "table_schema", "table_name", "column_name")
@@ -125,12 +125,12 @@ def inherit_classification(lineage: DataFrame, labels: DataFrame, compact_every:
         up = (links.join(frontier.withColumnRenamed("product_id", "parent"), "parent")
                    .groupBy(F.col("child").alias("product_id")).agg(*best))
         now = merged(parts).withColumnsRenamed({"rank": "_rank", "pii": "_pii"})
-        frontier = write_scratch(
+        frontier, n = write_counted(
             up.join(now, "product_id", "left")
               .filter((F.col("rank") > F.coalesce("_rank", F.lit(-1))) | (F.col("pii") > F.coalesce("_pii", F.lit(0))))
               .select("product_id", F.greatest("rank", F.coalesce("_rank", F.lit(-1))).alias("rank"),
                       F.greatest("pii", F.coalesce("_pii", F.lit(0))).alias("pii")), "lineage-frontier")
-        if frontier.isEmpty():
+        if not n:
             break
         parts.append(frontier)
         if len(parts) > compact_every:
@@ -169,13 +169,14 @@ def column_closure(edges: DataFrame, starts: DataFrame, keeps: tuple[str, ...] =
     frontier = write_scratch(first.select(F.col("product_id").alias("start_product"), F.col("column_name").alias("start_column"), "product_id",
                                           "column_name", F.lit(True).alias("value_kept")), "column-frontier")
     known, hops = frontier.withColumn("hops", F.lit(0)), 0
-    while not frontier.isEmpty():
+    n = 1
+    while n:
         hops += 1
         source = frontier.select("start_product", "start_column", F.col("product_id").alias(end[0]), F.col("column_name").alias(end[1]), "value_kept")
         reached = source.join(e, end).groupBy(*pair).agg(F.max(F.col("value_kept") & F.col("keep")).alias("value_kept"))
         old = known.withColumnsRenamed({"value_kept": "_kept", "hops": "_hops"})
         better = reached.join(old, pair, "left").filter(F.col("_kept").isNull() | (F.col("value_kept") & ~F.col("_kept")))
-        found = write_scratch(better.select(*pair, "value_kept", F.coalesce("_hops", F.lit(hops)).alias("hops")), "column-frontier")
+        found, n = write_counted(better.select(*pair, "value_kept", F.coalesce("_hops", F.lit(hops)).alias("hops")), "column-frontier")
         frontier = found.drop("hops")
         known = write_scratch(known.unionByName(found).groupBy(*pair).agg(F.max("value_kept").alias("value_kept"), F.min("hops").alias("hops")),
                               "column-known") if hops % 4 == 0 else known.unionByName(found).groupBy(*pair).agg(

@@ -1,10 +1,11 @@
 """Ownership over many levels (B13 further): closure and consolidation by path doubling.
 
-A link says who stands directly above a node. Each round replaces a node's pointer by its
-target's pointer, so after k rounds a pointer spans 2^k links: a chain of a thousand
-entities takes ten rounds. A round is one equi-join of the nodes still on their way with
-all pointers; every round is written to the shared checkpoint folder, and the driver sees
-one count a round. A parent of very many children is a hot key of the moving side alone,
+A link says who stands directly above a node. A doubling replaces a node's pointer by its
+target's pointer, so after k of them a pointer spans 2^k links: a chain of a thousand
+entities takes ten. A doubling is one equi-join of the nodes still on their way with all
+pointers; ``climb`` makes two in a round (three joins with the round's pointers span four
+times as much), as what a round costs beside its joins is the write. Rounds are written
+to the shared checkpoint folder, and the driver sees one count a round. A parent of very many children is a hot key of the moving side alone,
 which adaptive execution splits, as the pointers hold each node once.
 """
 
@@ -16,8 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_scratch
+from ..session import write_counted, write_scratch
 
+HOPS = 3
 ROOT, OWNED, CYCLE, UNDER_CYCLE = "ROOT", "OWNED", "CYCLE", "UNDER_CYCLE"
 
 
@@ -30,25 +32,26 @@ def climb(links: DataFrame, fold: dict[str, Callable[[Column, Column], Column]])
     its ``top`` is some node of the cycle above it and its fold covers the whole cycle.
 
     Without cycles the nodes still on their way grow fewer each round (of those deeper than
-    2^k, the ones at depth 2^k + 1 arrive), so a round that loses none has only nodes on
-    or under cycles left, and a span of as many links as they are has gone all round.
+    the span, the next one arrives), so a round that loses none has only nodes on or under
+    cycles left, and a span of as many links as they are has gone all round.
     """
     cols = list(fold)
-    now = write_scratch(links.select("node", F.col("up").alias("top"), F.lit(1).cast("long").alias("hops"), *cols), "climb")
+    now = links.select("node", F.col("up").alias("top"), F.lit(1).cast("long").alias("hops"), *cols)
     ended: list[DataFrame] = []
     span, before = 1, None
     while True:
         every = reduce(DataFrame.unionByName, [now, *ended])
         look = every.select(F.col("node").alias("_n"), F.col("top").alias("_top"), F.col("hops").alias("_hops"),
                             *[F.col(c).alias(f"_{c}") for c in cols])
-        onward = F.col("_n").isNotNull()
-        out = write_scratch(now.join(look, F.col("top") == F.col("_n"), "left").select(
-            "node", F.coalesce("_top", "top").alias("top"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
-            *[F.when(onward, fold[c](F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)).alias(c) for c in cols],
-            onward.alias("_moving")), "climb")
+        onward, out = F.col("_n").isNotNull(), now
+        for _ in range(HOPS):
+            out = out.join(look, F.col("top") == F.col("_n"), "left").select(
+                "node", F.coalesce("_top", "top").alias("top"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
+                *[F.when(onward, fold[c](F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)).alias(c) for c in cols],
+                onward.alias("_moving"))
+        out, n = write_counted(out, "climb", "_moving")
         ended.append(out.filter("NOT _moving").drop("_moving"))
-        now, span = out.filter("_moving").drop("_moving"), span * 2
-        n = now.count()
+        now, span = out.filter("_moving").drop("_moving"), span * (HOPS + 1)
         if n == 0 or (n == before and span >= n):
             break
         before = n
@@ -120,17 +123,16 @@ def consolidated_exposure(amounts: DataFrame, edges: DataFrame, amount: str = "a
     now = write_scratch(
         closure.select("entity").unionByName(own.select("entity")).distinct().join(own, "entity", "left").join(links, "entity", "left")
         .select("entity", "far", F.coalesce("own", zero).alias("total")), "consolidated")
-    while True:
+    left = 1
+    while left:
         low = now.filter("far IS NOT NULL")
-        if low.isEmpty():
-            break
         handed = low.groupBy(F.col("far").alias("entity")).agg(F.sum("total").cast("decimal(38,2)").alias("_more"))
         look = low.select(F.col("entity").alias("far"), F.col("far").alias("_further"))
         # entities that have arrived have no pointer, and would all meet in one task of this join
         onward = (low.join(look, "far", "left").select("entity", F.col("_further").alias("far"), "total")
                      .unionByName(now.filter("far IS NULL")))
         total = (F.col("total") + F.coalesce("_more", zero)).cast("decimal(38,2)")
-        now = write_scratch(onward.join(handed, "entity", "left").select("entity", "far", total.alias("total")), "consolidated")
+        now, left = write_counted(onward.join(handed, "entity", "left").select("entity", "far", total.alias("total")), "consolidated", "far IS NOT NULL")
     out = now.select("entity", "total").join(own, "entity", "left").join(closure.drop("parents"), "entity", "left")
     status = F.coalesce("status", F.lit(ROOT))
     return out.select("entity", status.alias("status"), F.when(F.col("status").isNull(), F.col("entity"))

@@ -160,13 +160,13 @@ def q_resolution_trend(spark, d):
 def q_parent_lookup(spark, d):
     t = bd.trades(spark, d, names=False).filter(F.col("counterparty_code").isNotNull())
     return B.parent_lookup(t.select("trade_id", "counterparty_code", "exposure_amount"),
-                           bd.legal_entity_listed(spark, d))
+                           bd.legal_entity(spark, d, listed=True))
 
 
 @query("parent_rollup")
 def q_parent_rollup(spark, d):
     t = bd.trades(spark, d, names=False).filter(F.col("resolution_status").isin(*B.MATCHED))
-    return B.parent_rollup(t, bd.legal_entity_listed(spark, d))
+    return B.parent_rollup(t, bd.legal_entity(spark, d, listed=True))
 
 
 def _canonical_issuers(spark, d):
@@ -255,7 +255,7 @@ def _summary(spark, d):
     return C.true_exposure_summary(
         C.known_exposure(bd.known_exposure_fact(spark, d)),
         C.hidden_exposure(bd.anomaly_exposure(spark, d), bd.name_variants(spark, d)),
-        bd.counterparty_legal(spark, d), bd.legal_entity_listed(spark, d))
+        bd.counterparty_legal(spark, d), bd.legal_entity(spark, d, listed=True))
 
 
 @query("true_exposure_summary")
@@ -277,7 +277,7 @@ def q_breach_alerts(spark, d):
 def q_incremental_true_exposure(spark, d):
     """C4 after three change sets (late facts, code changes, resets) on a stored summary."""
     store = I.ExposureStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/true-exposure-{uuid.uuid4().hex}", buckets=4)
-    dims = bd.name_variants(spark, d), bd.counterparty_legal(spark, d), bd.legal_entity_listed(spark, d)
+    dims = bd.name_variants(spark, d), bd.counterparty_legal(spark, d), bd.legal_entity(spark, d, listed=True)
     (_, load), *changes = bd.exposure_change_sets(spark, d)
     store.refresh_summary(*dims, store.create(I.exposure_entries(*load)))
     for number, (before, after) in enumerate(changes, 1):

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter at scale: adaptive execution re-plans joins and
 # partition counts from real shuffle sizes, and splits skewed join partitions.
@@ -82,6 +83,13 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_counted(df: DataFrame, name: str, condition: str = "true") -> tuple[DataFrame, int]:
+    """``write_scratch``, and how many rows meet ``condition``, counted by the write itself."""
+    seen = Observation()
+    out = write_scratch(df.observe(seen, F.count(F.when(F.expr(condition), 1)).alias("n")), name)
+    return out, seen.get["n"]
+
+
 def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20, minimum: int = 200) -> int:
     """Initial shuffle partition count for an expected shuffle volume.
 

@@ -250,44 +250,34 @@ def exposure_change_sets(spark: SparkSession, d: str) -> list[tuple[tuple, tuple
             ((known(o.filter(reset)), None), (None, hidden(o.filter(reset), "-S")))]
 
 
-def legal_entity(spark: SparkSession, d: str) -> DataFrame:
-    """b_legal: per customer one entity row and one ultimate-parent row (its nation)."""
+def legal_entity(spark: SparkSession, d: str, listed: bool = False) -> DataFrame:
+    """b_legal: per customer one entity row and one ultimate-parent row (its nation).
+    ``listed`` is b_legal_listed: rows as an entity register lists them, those of every third
+    customer twice, and a second entity (a branch, under another parent) for every fifth."""
     c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read_table(spark, d, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey)
     parent_lei = F.concat(F.lit("LEI-N"), _key("n_nationkey"))
 
-    def row(lei, name, etype, is_parent):
-        return F.struct(lei.alias("lei_code"), name.alias("legal_entity_name"),
-                        F.lit(etype).alias("entity_type"),
-                        F.lit(is_parent).alias("is_ultimate_parent"))
-
-    rows = F.array(row(F.concat(F.lit("LEI-C"), _key("c_custkey")), F.col("c_name"), "Bank", False),
-                   row(parent_lei, F.col("n_name"), "Holding Company", True))
-    return (j.select(parent_lei.alias("ultimate_parent_lei"),
-                     F.col("n_name").alias("ultimate_parent_name"),
-                     _key("c_custkey").alias("counterparty_code"),
-                     F.explode(rows).alias("r"))
-             .select("r.lei_code", "ultimate_parent_lei", "ultimate_parent_name",
+    def row(lei, name, etype, is_parent, parent=None):
+        return F.struct(lei.alias("lei_code"), (F.lit(parent) if parent else F.col("n_name")).alias("ultimate_parent_name"),
+                        name.alias("legal_entity_name"), F.lit(etype).alias("entity_type"), F.lit(is_parent).alias("is_ultimate_parent"))
+
+    own = row(F.concat(F.lit("LEI-C"), _key("c_custkey")), F.col("c_name"), "Bank", False)
+    top = row(parent_lei, F.col("n_name"), "Holding Company", True)
+    rows = F.array(own, top)
+    if listed:
+        branch = row(F.concat(F.lit("LEI-X"), _key("c_custkey")), F.concat("c_name", F.lit(" BRANCH")), "Bank", False, "BRANCH HOLDING")
+        third, fifth = F.col("c_custkey") % 3 == 0, F.col("c_custkey") % 5 == 0
+        rows = F.array_compact(F.array(own, top, F.when(third, own), F.when(third, top), F.when(fifth, branch)))
+    return (j.select(parent_lei.alias("ultimate_parent_lei"), F.col("n_name").alias("incorporation_country"),
+                     _key("c_custkey").alias("counterparty_code"), F.explode(rows).alias("r"))
+             .select("r.lei_code", "ultimate_parent_lei", "r.ultimate_parent_name",
                      "r.legal_entity_name", "counterparty_code", "r.entity_type",
-                     F.col("ultimate_parent_name").alias("incorporation_country"),
-                     F.lit("N/A").alias("regulatory_jurisdiction"),
+                     "incorporation_country", F.lit("N/A").alias("regulatory_jurisdiction"),
                      "r.is_ultimate_parent"))
 
 
-def legal_entity_listed(spark: SparkSession, d: str) -> DataFrame:
-    """b_legal_listed: b_legal as an entity register lists it: rows of every third customer
-    twice, and a second entity (a branch, under another parent) for every fifth."""
-    le = legal_entity(spark, d)
-    key = F.col("counterparty_code").cast("long")
-    again = le.filter(key % 3 == 0)
-    branch = (le.filter(~F.col("is_ultimate_parent") & (key % 5 == 0))
-                .withColumn("lei_code", F.concat(F.lit("LEI-X"), F.col("counterparty_code")))
-                .withColumn("legal_entity_name", F.concat("legal_entity_name", F.lit(" BRANCH")))
-                .withColumn("ultimate_parent_name", F.lit("BRANCH HOLDING")))
-    return le.unionByName(again).unionByName(branch)
-
-
 def ownership_edges(spark: SparkSession, d: str) -> DataFrame:
     """b_owners: one level of ownership a row. Suppliers S own each other in one long chain
     (S0 is its own parent, as ultimate parents are), customers C in a tree of two children a
