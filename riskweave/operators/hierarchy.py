@@ -51,8 +51,10 @@ def climb(links: DataFrame, fold: dict[str, Callable[[Column, Column], Column]])
                 onward.alias("_moving"))
         out, n = write_counted(out, "climb", "_moving")
         ended.append(out.filter("NOT _moving").drop("_moving"))
-        now, span = out.filter("_moving").drop("_moving"), span * (HOPS + 1)
-        if n == 0 or (n == before and span >= n):
+        earlier, now, span = now, out.filter("_moving").drop("_moving"), span * (HOPS + 1)
+        if n == 0:
+            break
+        if n == before and span >= n and now.count() == earlier.count():
             break
         before = n
     done = reduce(DataFrame.unionByName, ended).withColumn("cyclic", F.lit(False))

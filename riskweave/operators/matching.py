@@ -174,8 +174,8 @@ def abbreviation_matches(probes: DataFrame, variants: DataFrame, max_letters: in
     """Names that a short booked name abbreviates: per distinct booked name a verdict and code.
 
     A name is abbreviated by beginnings of its words, one or more letters each, in order and
-    without a word left out, but for legal forms (never the first word): 'GS & Co', 'GS_CO' and
-    'GSCL' for 'Goldman Sachs & Co LLC'. Breaks of the booked name are breaks of words. Several
+    without a word left out, but for legal forms (never the first word): 'HS & Co', 'HS_CO' and
+    'HSCL' for 'Harbor Stone & Co LLC'. Breaks of the booked name are breaks of words. Several
     codes are AMBIGUOUS; names of more than ``max_letters`` letters are TOO_LONG for this rule.
 
     A booked name is cut into pieces in all ways (512 at most for ten letters); a cut reads as a

@@ -60,6 +60,44 @@ def shock_curve(quotes: DataFrame, shocks=(("base", 0.0), ("cs_1bp", 1.0))) -> D
                   .withColumn("spread_bp", F.col("spread_bp") + F.col("shift_bp")))
 
 
+def stress_curves(quotes: DataFrame, shocks: DataFrame, base: str = "base") -> DataFrame:
+    """H2 with named stress sets: one copy of every quote per set of ``shocks``, and one as quoted (``base``).
+
+    shocks: (scenario, curve_id, tenor_from, tenor_to, shift_bp, shift_pct), a row a shocked part
+    of the curves; a NULL curve_id is every curve, a NULL end of the tenors is open, both ends
+    belong to it. Parts of a set that overlap add up: spread x (1 + sum of shift_pct / 100) + sum of
+    shift_bp, and ``shift_bp`` of the result is the change of the spread. Sets are few; quotes are
+    joined with the parts of their set, those of one curve and those of all by keys of their own.
+    """
+    names = shocks.select("scenario").filter("scenario IS NOT NULL").distinct().agg(F.collect_set("scenario").alias("_sets"))
+    one = F.lit(1).alias("_one")
+    all_sets = F.array_union(F.array(F.lit(base)), F.array_sort(F.coalesce("_sets", F.array().cast("array<string>"))))
+    copies = (quotes.select(*quotes.columns, one).join(names.select("_sets", one), "_one")
+              .select(*quotes.columns, F.explode(all_sets).alias("scenario")))
+    parts = shocks.select("scenario", F.col("curve_id").alias("_curve"), F.coalesce("tenor_from", F.lit(float("-inf"))).alias("_from"),
+                          F.coalesce("tenor_to", F.lit(float("inf"))).alias("_to"), F.coalesce("shift_bp", F.lit(0.0)).alias("_bp"),
+                          F.coalesce("shift_pct", F.lit(0.0)).alias("_pct"))
+    inside = (F.col("tenor_y") >= F.col("_from")) & (F.col("tenor_y") <= F.col("_to"))
+    hit = lambda j: j.filter(inside).select("curve_id", "tenor_y", "scenario", "_bp", "_pct")
+    keyed = copies.select("curve_id", "tenor_y", "scenario").distinct()
+    own = hit(keyed.join(parts.filter("_curve IS NOT NULL").withColumnRenamed("_curve", "curve_id"), ["scenario", "curve_id"]))
+    every = hit(keyed.join(parts.filter("_curve IS NULL").drop("_curve"), "scenario"))
+    moved = own.unionByName(every).groupBy("curve_id", "tenor_y", "scenario").agg(F.sum("_bp").alias("_bp"), F.sum("_pct").alias("_pct"))
+    shift = F.coalesce(F.col("spread_bp") * F.col("_pct") / 100 + F.col("_bp"), F.lit(0.0))
+    out = full_join(copies, moved, ["curve_id", "tenor_y", "scenario"], "left").withColumn("shift_bp", shift)
+    return out.select(*[(F.col("spread_bp") + F.col("shift_bp")).alias(c) if c == "spread_bp" else F.col(c) for c in quotes.columns],
+                      "scenario", "shift_bp")
+
+
+def stressed_values(values: DataFrame, key: str = "trade_id", value: str = "pv", base: str = "base") -> DataFrame:
+    """Per key and stress set: the value under the set, as quoted, and the change (H7 for many sets at once)."""
+    s = F.col("scenario")
+    both = values.groupBy(key, "scenario").agg(F.sum(value).alias("stressed_value"))
+    quoted = both.filter(s == base).select(key, F.col("stressed_value").alias("base_value"))
+    return (full_join(both.filter(s != base), quoted, [key], "left")
+            .withColumn("change", F.col("stressed_value") - F.col("base_value")))
+
+
 def survival_curve(quotes: DataFrame, recovery: float = 0.4) -> DataFrame:
     """H3: intensity = spread / (1 - R); survival = exp(-intensity * t)."""
     h = F.col("spread_bp") / 10000.0 / (1.0 - recovery)

@@ -610,6 +610,33 @@ def q_cs01(spark, d):
     return H.cs01(H.discounted_pv(bd.cashflows(spark, d), shocked, risk_free=0.04, by=["scenario"])).select("trade_id", _r("base_value", 4), _r("shocked_value", 4), _r("cs01", 4))
 
 
+# Fixed values of the query: stress sets as parts of the curves, with an added and a relative shift.
+STRESS_SETS = [
+    ("CREDIT_2008", None, None, 3.0, 120.0, 50.0), ("CREDIT_2008", None, 5.0, None, 60.0, 25.0),
+    ("PANDEMIC_2020", None, None, None, 40.0, 20.0), ("PANDEMIC_2020", None, None, 1.0, 30.0, None),
+    ("REGIONAL", "Brand#1", None, None, 200.0, None), ("REGIONAL", "Brand#2", 3.0, 5.0, None, 100.0), ("REGIONAL", "Brand#2", 5.0, None, 10.0, 10.0),
+    ("TIGHTER", None, 1.0, 10.0, None, -30.0),
+]
+
+
+def _stress_sets(spark):
+    return spark.createDataFrame(STRESS_SETS, "scenario string, curve_id string, tenor_from double, tenor_to double, shift_bp double, shift_pct double")
+
+
+@query("stress_curves")
+def q_stress_curves(spark, d):
+    return H.stress_curves(bd.curve_quotes(spark, d), _stress_sets(spark)).select("curve_id", "tenor_y", "scenario", _r("spread_bp"), _r("shift_bp"))
+
+
+@query("stressed_pv")
+def q_stressed_pv(spark, d):
+    """H5 under every stress set, against the quoted curves."""
+    curves = H.stress_curves(bd.curve_quotes(spark, d), _stress_sets(spark)).drop("shift_bp")
+    pv = H.discounted_pv(bd.cashflows(spark, d), curves, risk_free=0.04, by=["scenario"])
+    v = H.stressed_values(pv.filter("scenario IS NOT NULL"))
+    return v.select("trade_id", "scenario", _r("stressed_value", 4), _r("base_value", 4), _r("change", 4))
+
+
 @query("aggregate_sensitivity")
 def q_aggregate_sensitivity(spark, d):
     return H.aggregate_sensitivity(bd.sensitivities(spark, d), ["counterparty_code", "curve_id", "tenor_bucket"])

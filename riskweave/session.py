@@ -84,7 +84,9 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_counted(df: DataFrame, name: str, condition: str = "true") -> tuple[DataFrame, int]:
-    """``write_scratch``, and how many rows meet ``condition``, counted by the write itself."""
+    """``write_scratch``, and how many rows meet ``condition``, counted by the write itself. Rows of
+    a stage that is run again after a lost executor may count twice, so the number is exact when
+    it is 0, and an upper bound else."""
     seen = Observation()
     out = write_scratch(df.observe(seen, F.count(F.when(F.expr(condition), 1)).alias("n")), name)
     return out, seen.get["n"]

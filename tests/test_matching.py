@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import matching as M
 
-# Spellings of two counterparties, one of each kind of variant.
-GOLD = ["Goldman Sachs & Co LLC", "Goldman Sachs Co LLC", "GS & Co", "Goldman", "GOLDMAN SACHS & CO LLC", "Goldman Sachs & Company",
-        "G0ldman Sachs & Co LLC", "Goldman-Sachs", "GS_CO", "Goldman Sachs NY"]
-JPM = ["JPMorgan Chase Bank NA", "JPMorgan", "Chase", "JPMORGAN CHASE BANK NA", "JPMorgan Chase & Co", "JPMCB", "JPMorgan Chase London"]
-OTHERS = ["HSBC Bank PLC", "Royal Bank of Canada", "Citibank NA", "Bank of China Canada", "Morgan Stanley Smith Barney LLC", "ING Bank NV London Branch"]
+# two firms as systems spell them: canonical, without '&', abbreviated, truncated, upper case, form spelt out, zero for O,
+# hyphenated, a code, with a place
+STONE = ["Harbor Stone & Co LLC", "Harbor Stone Co LLC", "HS & Co", "Harbor", "HARBOR STONE & CO LLC", "Harbor Stone & Company",
+         "Harb0r Stone & Co LLC", "Harbor-Stone", "HS_CO", "Harbor Stone Oslo"]
+COAST = ["NTWilder Coast Bank NA", "NTWilder", "Coast", "NTWILDER COAST BANK NA", "NTWilder Coast & Co", "NTWCB", "NTWilder Coast Lima"]
+OTHERS = ["Fjord Bank PLC", "Crown Bank of Malta", "Metro Savings NA", "Bank of Tyrol", "Miller Grant Holt LLC", "RST Bank NV Kyoto Branch"]
 
 
 def toks(s):
@@ -77,8 +78,8 @@ def test_abbreviations_equal_a_recursion(spark):
     r = random.Random(9)
     words = ["ab", "abc", "ba", "b", "CO", "LLC", "aab", "NA"]
     names = [" ".join(r.choice(words) for _ in range(r.randint(1, 4))) for _ in range(60)]
-    probes = list({"".join(r.choice("abCOLN _") for _ in range(r.randint(1, 7))) for _ in range(300)}) + GOLD + JPM + ["***", ""]
-    names += [GOLD[0], JPM[0]]
+    probes = list({"".join(r.choice("abCOLN _") for _ in range(r.randint(1, 7))) for _ in range(300)}) + STONE + COAST + ["***", ""]
+    names += [STONE[0], COAST[0]]
     variants = spark.createDataFrame([(n, f"k{i}") for i, n in enumerate(names)], "variant_name string, counterparty_code string")
     got = {x.booked_name: (x.verdict, x.counterparty_code) for x in M.abbreviation_matches(frame(spark, probes, "booked_name"), variants).collect()}
     for p in set(probes):
@@ -88,14 +89,14 @@ def test_abbreviations_equal_a_recursion(spark):
 
 
 def test_every_kind_of_variant_is_resolved_or_ambiguous(spark):
-    names = [(GOLD[0], "GSCO"), (JPM[0], "JPMC")] + [(n, f"O{i}") for i, n in enumerate(OTHERS)]
+    names = [(STONE[0], "HSCO"), (COAST[0], "NTWC")] + [(n, f"O{i}") for i, n in enumerate(OTHERS)]
     variants = spark.createDataFrame(names, "variant_name string, counterparty_code string")
-    out = M.resolve_names(frame(spark, [*GOLD, *JPM, "Unheard Of", "Bank"], "booked_name"), variants, 0.65)
+    out = M.resolve_names(frame(spark, [*STONE, *COAST, "Unheard Of", "Bank"], "booked_name"), variants, 0.65)
     got = {x.booked_name: (x.rule, x.verdict, x.counterparty_code) for x in out.collect()}
-    assert all(got[n][1:] == (M.RESOLVED, "GSCO") for n in GOLD), got
-    assert all(got[n][1:] == (M.RESOLVED, "JPMC") for n in JPM), got
+    assert all(got[n][1:] == (M.RESOLVED, "HSCO") for n in STONE), got
+    assert all(got[n][1:] == (M.RESOLVED, "NTWC") for n in COAST), got
     assert got["Unheard Of"] == ("NONE", M.NO_MATCH, None) and got["Bank"] == ("TOKENS", M.AMBIGUOUS, None)
-    assert {got[n][0] for n in ("GS & Co", "GS_CO", "JPMCB")} == {"ABBREVIATION"} and got["Goldman Sachs NY"][0] == "TOKENS"
+    assert {got[n][0] for n in ("HS & Co", "HS_CO", "NTWCB")} == {"ABBREVIATION"} and got["Harbor Stone Oslo"][0] == "TOKENS"
 
 
 def test_common_initials_make_no_pairs(spark):

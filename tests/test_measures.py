@@ -77,6 +77,22 @@ def test_cva_contributions_add_up(spark):
     assert got["A"][0] == pytest.approx(want["A"][0]) and got["B"] == (None, 2) and want["B"][1] == 2
 
 
+# ---- named stress sets --------------------------------------------------------------------
+
+def test_parts_of_a_stress_set_add_up(spark):
+    quotes = spark.createDataFrame([("A", 1.0, 100.0), ("A", 5.0, 200.0), ("B", 1.0, 50.0)], "curve_id string, tenor_y double, spread_bp double")
+    shocks = spark.createDataFrame([("s", None, None, 1.0, 10.0, 50.0), ("s", "A", 1.0, None, 5.0, None), ("t", "B", 2.0, None, 7.0, None), (None, "A", None, None, 9.0, 9.0)],
+                                   "scenario string, curve_id string, tenor_from double, tenor_to double, shift_bp double, shift_pct double")
+    got = {(r.curve_id, r.tenor_y, r.scenario): (r.spread_bp, r.shift_bp) for r in H.stress_curves(quotes, shocks).collect()}
+    base = {("A", 1.0): 100.0, ("A", 5.0): 200.0, ("B", 1.0): 50.0}
+    want = {(*k, s): (v, 0.0) for k, v in base.items() for s in ("base", "s", "t")}
+    want.update({("A", 1.0, "s"): (165.0, 65.0), ("A", 5.0, "s"): (205.0, 5.0), ("B", 1.0, "s"): (85.0, 35.0)})
+    assert got == want
+    assert {r.scenario for r in H.stress_curves(quotes, shocks.limit(0)).collect()} == {"base"}
+    pv = spark.createDataFrame([("x", "base", 10.0), ("x", "s", 7.0), ("y", "s", 1.0), (None, "base", 2.0), (None, "t", 5.0)], "trade_id string, scenario string, pv double")
+    assert {(r.trade_id, r.scenario, r.change) for r in H.stressed_values(pv).collect()} == {("x", "s", -3.0), ("y", "s", None), (None, "t", 3.0)}
+
+
 # ---- checksum tree --------------------------------------------------------------------------
 
 SIDE = "k int, j string, v decimal(18,2)"
