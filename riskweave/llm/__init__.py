@@ -1,4 +1,4 @@
-"""Training-data operators: ten document-scale operators and their queries.
+"""Training-data operators: thirteen document-scale operators and their queries.
 
 Nothing else in the library imports this subpackage.
 """

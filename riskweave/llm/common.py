@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 20_000
 ARROW_ROWS = 1000
 
 
@@ -71,21 +73,37 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut and joined so that each holds at most ``limit`` bytes of ``col``, or one row: bounds a task's memory."""
-    held, size = [], 0
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for a task of mapInArrow; at its end the worker, which Spark uses again, gives back its free memory."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):   # only glibc has it
+                pass
+    return task
+
+
+def slices(batches: Iterator[pa.RecordBatch], col: str, limit: int = SLICE_BYTES, most: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches cut and joined so that each holds at most ``limit`` bytes of ``col``, or one row, and at most ``most``
+    rows: bounds a task's memory, also where texts are null or empty."""
+    held, size, n = [], 0, 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
         _, off = text_bytes(batch.column(batch.schema.get_field_index(col)))
         at = 0
         while at < batch.num_rows:
-            end = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
-            if held and size + off[end] - off[at] > limit:
+            end = min(max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1), at + most)
+            if held and (size + off[end] - off[at] > limit or n + end - at > most):
                 yield _joined(held)
-                held, size = [], 0
+                held, size, n = [], 0, 0
             held.append(batch.slice(at, end - at))
             size += int(off[end] - off[at])
+            n += end - at
             at = end
     if held:
         yield _joined(held)

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, mix64, pick, rows, slices, write_table
+from .common import column, freed, mix64, pick, rows, slices, write_table
 from .graph import components
 
 WORDS = 5
@@ -295,7 +295,7 @@ def _unpack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links_in_groups(rows: DataFrame, threshold: float) -> DataFrame:
     """Links of groups that each fit in a task; rows: group, t, class, side, hashes, weights."""
     return (rows.repartition("group").sortWithinPartitions("group", "t")
-            .mapInArrow(_solve(threshold), "a long, b long"))
+            .mapInArrow(freed(_solve(threshold)), "a long, b long"))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,7 +382,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
                     group_texts: int = GROUP_TEXTS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """(doc_id, t, class_id, first_t): the class of each document; (class_id, first_t) names the document that stands for it."""
     src = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    signed = write_table(src.mapInArrow(_sign(bands, rows), "doc_id long, t long, n long, keys array<long>"), "near-signed")
+    signed = write_table(src.mapInArrow(freed(_sign(bands, rows)), "doc_id long, t long, n long, keys array<long>"), "near-signed")
     nodes = write_table(signed.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                 F.first("keys").alias("keys")), "near-texts")
     members = nodes.select("t", F.explode("keys").alias("key"))
@@ -392,10 +392,10 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int
     # one document stands for a text: with its doc_id in the key, copies of a text meet nothing and are dealt out.
     # The candidates grow with the corpus, so they are never broadcast, small as they may be.
     heads = groups.join(nodes.select("t", F.col("doc_id").alias("_id")), "t").hint("merge")
-    packed = src.mapInArrow(_pack, "doc_id long, t long, z binary").withColumnRenamed("t", "_t")
+    packed = src.mapInArrow(freed(_pack), "doc_id long, t long, z binary").withColumnRenamed("t", "_t")
     met = packed.join(heads, (F.col("_t") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     sets = write_table(met.groupBy("_t", "doc_id").agg(*(F.first(c).alias(c) for c in ("t", "z", "group", "size"))).select(
-        "t", "z", "group", "size").mapInArrow(_unpack_sets, SETS), "near-sets")
+        "t", "z", "group", "size").mapInArrow(freed(_unpack_sets), SETS), "near-sets")
 
     big = (F.col("size.texts") > group_texts) | (F.col("size.weight") > group_shingles)
     own = lambda d: d.withColumn("class", F.col("t")).withColumn("side", F.lit(0)).select(
@@ -433,6 +433,6 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     stay = named.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("t") == F.col("first_t"))).select(
         F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
     fields = ", ".join(f"`{c}` {t}" for c, t in own.dtypes) + ", t long"
-    hashed = own.mapInArrow(_with_hash, fields)
+    hashed = own.mapInArrow(freed(_with_hash), fields)
     kept = hashed.join(stay, (F.col("t") == F.col("_t")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
     return kept.dropDuplicates(["doc_id", "t"]).drop("t")

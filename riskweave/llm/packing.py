@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, pick, slices, write_table
+from .common import column, freed, pick, slices, write_table
 from .words import IdStore, split_codes
 
 CAPACITY = 2048
@@ -132,7 +132,14 @@ def _bin_id(level: int, k: np.ndarray | int) -> np.ndarray | int:
 
 def _cut_and_pack(path: str, capacity: int, end_id: int, slack: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tails, used = word_ids(path), [], 0
+        encoder = word_ids(path)
+        try:
+            yield from cut(encoder, batches)
+        finally:
+            encoder.clear()     # the worker is used again, and by other stages
+
+    def cut(encoder: WordIds, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tails, used = [], 0
         for batch in slices(batches, "text", SLICE):
             ids, at = encoder.encode(column(batch, "text"))
             docs = column(batch, "doc_id").to_pylist()
@@ -194,7 +201,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, *, capacity: int =
         import public_tokenizers
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
     src = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    level = write_table(src.mapInArrow(_cut_and_pack(tokenizer_path, capacity, end_id, slack), DDL), "pack-0")
+    level = write_table(src.mapInArrow(freed(_cut_and_pack(tokenizer_path, capacity, end_id, slack)), DDL), "pack-0")
     done, k = [], 0
     while True:
         done.append(level.filter("not open"))

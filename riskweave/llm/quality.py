@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, mix64, per_row, pick, rows, slices, text_bytes, write_table
+from .common import column, freed, mix64, per_row, pick, rows, slices, text_bytes, write_table
 
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
@@ -38,6 +38,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 STATS = ("doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
          "n_repeat_words long, text_hash long, lines array<struct<h:long,words:long>>")
+STATS_SLICE = 1 << 20
 
 
 def _signed(h: int) -> int:
@@ -81,7 +82,7 @@ def repeat_words(codes: np.ndarray, row: np.ndarray, n_rows: int, window: int =
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", STATS_SLICE):
         raw, off = text_bytes(column(batch, "text"))
         data, n = raw.tobytes(), batch.num_rows
         texts = [data[off[i]:off[i + 1]] for i in range(n)]
@@ -91,7 +92,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat[:] = [w for ws in words for w in ws]
         codes = pd.factorize(flat)[0] if len(flat) else np.zeros(0, np.int64)
         n_repeat = repeat_words(codes, np.repeat(np.arange(n), n_words), n)
-        dup, lines = [], []
+        dup, hashes, sizes, ends = [], [], [], [0]
         for t in texts:
             seen, found, again = set(), {}, 0
             for line in t.split(b"\n"):
@@ -102,12 +103,16 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     h = line_hash(line)
                     found[h] = found.get(h, 0) + k
             dup.append(again)
-            lines.append([{"h": h, "words": k} for h, k in found.items()])
+            hashes.extend(found)
+            sizes.extend(found.values())
+            ends.append(len(hashes))
+        lines = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64())], ["h", "words"]))
         yield pa.RecordBatch.from_arrays([
             column(batch, "doc_id"), column(batch, "host"), pa.array(n_words),
             pa.array(per_row((raw & 0xC0 != 0x80) & ~SPACE[raw], off)), pa.array(per_row(SYMBOLS[raw], off)),
             pa.array(dup, pa.int64()), pa.array(n_repeat.astype(np.int64)), column(batch, "text_hash"),
-            pa.array(lines, pa.list_(pa.struct([("h", pa.int64()), ("words", pa.int64())]))),
+            lines,
         ], names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                   "text_hash", "lines"])
 
@@ -117,7 +122,7 @@ def text_stats(docs: DataFrame) -> DataFrame:
     src = pick(docs, doc_id="doc_id", host="source", text="text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("host").cast("string"), F.lit("")).alias("host"),
         "text", F.xxhash64("text").alias("text_hash"))
-    return src.mapInArrow(_stats, STATS)
+    return src.mapInArrow(freed(_stats), STATS)
 
 
 def frequent_lines(stats: DataFrame, limit_share: float = LIMIT_SHARE, limit_docs: int = LIMIT_DOCS) -> DataFrame:
@@ -172,5 +177,5 @@ def apply_quality(docs: DataFrame, **params) -> DataFrame:
     own = docs.select("doc_id", "text", "lang", "source", "n_chars")
     joined = own.join(verdict, own["doc_id"].cast("long").eqNullSafe(F.col("_id"))
                       & (F.xxhash64("text") == F.col("_hash"))).drop("_id", "_hash")
-    out = joined.mapInArrow(_drop_lines, joined.schema).drop("removed_lines")
+    out = joined.mapInArrow(freed(_drop_lines), joined.schema).drop("removed_lines")
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, mix64, pick, rows, slices, text_bytes, write_table
+from .common import column, freed, mix64, pick, rows, slices, text_bytes, write_table
 
 LENGTH = 400
 SEED = 128
@@ -239,7 +239,7 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _packed(src: DataFrame) -> DataFrame:
     """``src`` with the text as zstd bytes ``z``: half the shuffle."""
     fields = ", ".join("z binary" if c == "text" else f"`{c}` {t}" for c, t in src.dtypes)
-    return src.mapInArrow(_compress, fields)
+    return src.mapInArrow(freed(_compress), fields)
 
 
 def repeated_spans(src: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
@@ -247,7 +247,7 @@ def repeated_spans(src: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
 
     src: (row, text) with a distinct row number.
     """
-    b = write_table(src.mapInArrow(_blocks(length, seed), BLOCKS), "suffix-1").withColumn("weight", F.lit(1).cast("long"))
+    b = write_table(src.mapInArrow(freed(_blocks(length, seed)), BLOCKS), "suffix-1").withColumn("weight", F.lit(1).cast("long"))
     pass1 = write_table(_groups(b, ["key"]).drop("weight"), "suffix-groups-1").withColumn("weight", F.lit(1).cast("long"))
     classes = write_table(_classes(pass1, ["key"]), "suffix-classes-1")
     sure = pass1.filter("not mixed").select("row", "at").unionByName(
@@ -348,5 +348,5 @@ def apply_dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Data
     types = dict(docs.dtypes)
     fields = ", ".join(f"`{'text' if c == 'z' else c}` {'string' if c == 'z' else types[c]}"
                        for c in packed.columns if c not in ("row", "spans"))
-    out = packed.mapInArrow(_strip(length), fields).select(*columns)
+    out = packed.mapInArrow(freed(_strip(length)), fields).select(*columns)
     return out.withColumn("n_chars", F.length("text").cast("long"))
