@@ -27,7 +27,7 @@ characters are separators) have classes of their own. p-values are binned, round
 so the procedure needs a histogram of at most 20 x 301 rows.
 
 Defined results: a null or empty text has no span; offsets are code points, end
-exclusive; rows with equal doc_ids stay apart; UUIDs are not tested, since they are
+exclusive; rows with equal doc_ids stay apart; the tests are linear in a string's length; UUIDs are not tested, since they are
 random but public identifiers, and neither is a grouped string that holds one; a span that overlaps a base span is not added; of
 strings found within each other the outermost is the span.
 """
@@ -118,9 +118,11 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     df = df.withColumn("k", pick_one(lambda a: F.lit(float(len(a)))))
     # index of coincidence: equal pairs of symbols
     df = df.withColumn("chars", F.when(F.col("encoding").isNotNull(), F.split("core", "")))
-    df = df.withColumn("pairs", F.aggregate(F.array_distinct("chars"), F.lit(0.0), lambda a, c: a + (
-        F.col("n") - F.length(F.replace(F.col("core"), c))) * (F.col("n") - F.length(F.replace(F.col("core"), c)) - 1) / 2))
-    all_pairs = F.col("n") * (F.col("n") - 1) / 2
+    size = F.col("n").cast("double")   # products of lengths pass 32 bits
+    in_order = F.array_join(F.sort_array("chars"), "")
+    counts = F.transform(F.regexp_extract_all(in_order, F.lit(r"(.)\1*+"), F.lit(0)), lambda run: F.length(run).cast("double"))
+    df = df.withColumn("pairs", F.aggregate(counts, F.lit(0.0), lambda a, k: a + k * (k - 1) / 2))
+    all_pairs = size * (size - 1) / 2
     # runs of character classes, or of the halves of an alphabet that is one class
     classes = F.when(one, F.translate("core", DIGITS + LOWER + UPPER, "x" * 5 + "y" * 5 + ("x" * 13 + "y" * 13) * 2)).otherwise(
         F.translate("core", DIGITS + LOWER + UPPER, "d" * 10 + "l" * 26 + "u" * 26))
@@ -130,17 +132,18 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     parts |= {k: [0.5, 0.5] for k in ("digits", "lower", "upper")}
     df = df.withColumn("p_switch", F.coalesce(*[F.when(F.col("encoding") == k, F.lit(1 - sum(x * x for x in v)))
                                                 for k, v in parts.items()]))
-    # lag-1 serial correlation of alphabet positions
-    df = df.withColumn("at", F.transform("chars", lambda c: pick_one(lambda a: F.instr(F.lit(a), c)).cast("double")))
-    add = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
-    df = df.withColumn("mean", add(F.col("at")) / F.col("n"))
-    df = df.withColumn("dev", F.transform("at", lambda v: v - F.col("mean")))
-    df = df.withColumn("var", add(F.transform("dev", lambda v: v * v)))
-    lag = add(F.zip_with(F.slice("dev", F.lit(1), F.greatest(F.col("n") - 1, F.lit(1))),
-                         F.slice("dev", F.lit(2), F.greatest(F.col("n") - 1, F.lit(1))),
-                         lambda x, y: F.coalesce(x * y, F.lit(0.0))))
-    df = df.withColumn("z_serial", F.when(F.col("var") > 0, F.abs(lag / F.col("var") + 1 / F.col("n")) * F.sqrt("n"))
-                       .otherwise(F.lit(99.0)))
+    # lag-1 serial correlation of alphabet positions, from sums over one pass of the string: they are whole numbers
+    # (a lambda that named another column would evaluate that column's expression for each character)
+    df = df.withColumn("at", pick_one(lambda a: F.transform("chars", lambda c: F.instr(F.lit(a), c).cast("double"))))
+    zero = F.struct(*[F.lit(0.0).alias(x) for x in ("sum", "squares", "products", "last")])
+    df = df.withColumn("sums", F.aggregate("at", zero, lambda a, v: F.struct(
+        (a["sum"] + v).alias("sum"), (a["squares"] + v * v).alias("squares"), (a["products"] + a["last"] * v).alias("products"), v.alias("last"))))
+    total, first, last = F.col("sums.sum"), F.element_at("at", 1), F.col("sums.last")
+    mean = total / size
+    df = df.withColumn("var", F.col("sums.squares") - total * mean)
+    lag = F.col("sums.products") - mean * (2 * total - first - last) + (size - 1) * mean * mean
+    # the least variance of a string that is not one letter over and over is 1 - 1/n
+    df = df.withColumn("z_serial", F.when(F.col("var") > 0.5, F.abs(lag / F.col("var") + 1 / size) * F.sqrt(size)).otherwise(F.lit(99.0)))
     even = all_pairs / F.col("k")
     z_pairs = (F.col("pairs") - even) / F.sqrt(even * (1 - 1 / F.col("k")))
     steps = F.col("n") - 1
@@ -154,7 +157,7 @@ def token_tests(df: DataFrame, token: str = "m") -> DataFrame:
     half = -(F.log(p_pairs) + F.log(p_runs))
     # text does not switch between halves of the alphabet any less than random strings do
     df = df.withColumn("p_text", F.when(known, F.when(one, p_pairs).otherwise(F.exp(-half) * (1 + half))))
-    return df.drop("core", "k", "chars", "pairs", "switches", "p_switch", "at", "mean", "dev", "var", "z_serial")
+    return df.drop("core", "k", "chars", "pairs", "switches", "p_switch", "at", "sums", "var", "z_serial")
 
 
 def _length_class() -> Column:
@@ -208,7 +211,7 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), *, fdr: f
     df = df.withColumn("_row", F.monotonically_increasing_id())  # written, and so fixed, with the row
     df = write_table(df.drop("text", "_assign", "_access", "_hex", *[name for name, _ in parts]), "secret-spans")
     tested = (token_tests(df.select(F.explode("_token").alias("t")).select("t.m", "t.whole")
-                          .groupBy("m").agg(F.max("whole").alias("whole"))).filter("p_text is not null")
+                          .groupBy("m").agg(F.max("whole").alias("whole"))).filter("encoding is not null")
               .withColumn("length_class", _length_class())
               .withColumn("bin", F.least(F.lit(BINS), F.floor(-F.log10("p_text") * 10).cast("int"))))
     tested = write_table(tested.select("m", "p_uniform", "length_class", "bin"), "secret-tests")

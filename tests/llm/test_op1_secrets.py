@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 import pytest
 
@@ -157,3 +158,14 @@ def test_keys_of_one_class_and_in_groups_are_found(make_docs, alphabet, group, l
     got = {r["doc_id"]: r["spans"] for r in scan(make_docs(docs))}
     assert sum(got[i] == f"random:4:{4 + len(k)}" for i, k in enumerate(keys)) >= least
     assert [got[1000 + i] for i in range(len(clean))] == [""] * len(clean)
+
+
+def test_very_long_tokens(llm, make_docs):
+    """Products of lengths beyond 32 bits, and strings of one letter; linear, so a million characters pass."""
+    r = random.Random(4)
+    letters = string.ascii_letters + string.digits
+    long_ones = ["".join(r.choice(letters) for _ in range(n)) for n in (50_000, 1_000_000)]
+    flat = ["z" * 50_000, "Z" * 1_000_000]
+    rows = [(i, f"see {t} end") for i, t in enumerate(long_ones + flat)]
+    got = {x.doc_id: [(s.kind, s.s, s.e) for s in x.spans] for x in secrets.find_secrets(make_docs(rows)).collect()}
+    assert got == {0: [("random", 4, 50_004)], 1: [("random", 4, 1_000_004)], 2: [], 3: []}
