@@ -5,8 +5,8 @@ are indexed by each segment's value. Round r probes every segment with the query
 value and all values at Hamming distance r from it. A code not seen after it differs
 by more than r in every segment, so every distance below segments * (r + 1) is
 covered; a query leaves as soon as its kth verified distance is. Each code is verified
-once a query: in the first segment of the first round that reaches it. A round with
-more probes than the index has codes verifies the rest of the codes instead.
+once a query: in the first segment of the first round that reaches it. (With ``scan`` a
+round of more probes than the index has codes verifies the rest of the codes instead.)
 
 Queries and index are dealt into blocks of bounded size, and a task searches one block
 of the index for one block of queries; the k best of all blocks are merged.
@@ -78,7 +78,7 @@ class Index:
     """Codes of one block by each segment's value."""
 
     def __init__(self, codes: np.ndarray, first: np.ndarray, n: np.ndarray):
-        self.codes, self.first, self.n = codes, first, n
+        self.codes, self.first, self.n, self.scans = codes, first, n, 0
         self.cut = segments(len(codes))
         self.bits = [np.uint64(((1 << w) - 1) << s) for s, w in self.cut]
         self.order = [np.argsort(codes & b) for b in self.bits]
@@ -92,14 +92,15 @@ class Index:
         at = np.repeat(low - np.cumsum(m) + m, m) + np.arange(int(m.sum()))
         return np.repeat(np.arange(len(keys)) // (len(keys) // len(queries)), m), self.order[j][at]
 
-    def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, k: int, scan: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, code, distance): for each query the first k codes by (distance, least id), as positions."""
         q, c, d = (np.zeros(0, np.int64) for _ in range(3))
         active = np.arange(len(queries))
         for r in range(max(w for _, w in self.cut) + 1):
             met = [(q, c)]
-            if sum(comb(w, r) for _, w in self.cut) > len(self.codes):
+            if scan and sum(comb(w, r) for _, w in self.cut) > len(self.codes):
                 # a scan of the block costs less than the probes
+                self.scans += 1
                 for some in _parts(active, len(self.codes)):
                     x = queries[some][:, None] ^ self.codes[None, :]
                     fresh = np.ones(x.shape, bool)
@@ -139,7 +140,7 @@ class Index:
         return q, c, d
 
 
-def _search(k: int):
+def _search(k: int, scan: bool):
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
         if index.num_rows:
@@ -148,7 +149,7 @@ def _search(k: int):
             asked = get(queries, "q", np.int64).view(np.uint64)
             for at in range(0, len(asked), 128):
                 some = asked[at:at + 128]
-                q, c, d = block.search(some, k)
+                q, c, d = block.search(some, k, scan)
                 found.append(pa.table({"q": some[q].view(np.int64), "code": block.codes[c].view(np.int64),
                                        "distance": d.astype(np.int32), "first": block.first[c]}))
         return pa.concat_tables(found) if found else FOUND.empty_table()
@@ -159,8 +160,10 @@ FOUND = pa.schema([("q", pa.int64()), ("code", pa.int64()), ("distance", pa.int3
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K, *, index_block: int = INDEX_BLOCK,
-          query_block: int = QUERY_BLOCK, least_blocks: int = 4) -> DataFrame:
-    """(query_id, rank, id, distance) of the k nearest rows; rows: (id, code), queries: (query_id, code)."""
+          query_block: int = QUERY_BLOCK, least_blocks: int = 4, scan: bool = False) -> DataFrame:
+    """(query_id, rank, id, distance) of the k nearest rows; rows: (id, code), queries: (query_id, code).
+
+    Extra columns are not read."""
     held = write_table(_least(rows.filter("code is not null").select("id", "code"), "code", ["id"], k).groupBy("code").agg(
         F.sort_array(F.collect_list("id")).alias("ids")), "mih-codes")  # at most k ids a code
     queries = queries.filter("code is not null")
@@ -173,7 +176,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, *, index_block: int =
                        dealt("code", n_index).alias("i"), every(n_query).alias("j"))
     right = asked.select("q", dealt("q", n_query).alias("j"), every(n_index).alias("i"))
     met = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(
-        _search(k), "q long, code long, distance int, first long")
+        _search(k, scan), "q long, code long, distance int, first long")
     best = _least(write_table(met, "mih-found"), "q", ["distance", "first", "code"], k)
     near = best.join(held.select("code", "ids"), "code").select("q", "distance", F.explode("ids").alias("id"))
     order = Window.partitionBy("q").orderBy("distance", "id")

@@ -58,6 +58,21 @@ def test_search_of_a_block_equals_brute_force():
             assert got[:len(want)] == want
 
 
+def test_shared_queries_end_by_their_covered_radius():
+    """On the shared embeddings no search scans, whether it is short of codes or not; with ``scan`` the same comes out."""
+    import duckdb
+    rows = duckdb.connect().sql("SELECT vec_id, embedding FROM '/root/testdata/sf0.01/embeddings.parquet' ORDER BY 1").fetchall()
+    codes = np.array([sum(1 << i for i, x in enumerate(v) if x > 0) for _, v in rows], np.uint64)
+    index = hamming.Index(codes, np.arange(len(codes)), np.ones(len(codes), np.int64))
+    queries = codes[::50]
+    plain, scanned = index.search(queries, 10), index.search(queries, 10, scan=True)
+    assert index.scans > 0 and hamming.Index(codes, np.arange(len(codes)), np.ones(len(codes), np.int64)).scans == 0
+    for i, code in enumerate(queries):
+        every = np.bitwise_count(codes ^ code).astype(int)
+        want = np.lexsort((np.arange(len(codes)), every))[:10].tolist()
+        assert plain[1][plain[0] == i].tolist() == want == scanned[1][scanned[0] == i].tolist()
+
+
 def test_hot_code_and_ties(llm):
     rows = [(i, 7) for i in range(200)] + [(500 + i, 7 ^ (1 << i)) for i in range(20)]
     queries = [(i, 7) for i in range(0, 200, 50)] + [(501, 7 ^ 2)]
