@@ -6,9 +6,16 @@ blocks inherit the label of the nearest decided neighbour. Blocks inside
 elements whose role is known from the markup (nav, footer, aside, form,
 comments, ads and the like) are left out from the start and decide nothing.
 
+An article or main element narrows the page to itself, unless twice as much running
+text stands outside. Inside it, a class or id with a single word that articles use too
+(WEAK_NAME: legal, form, comment ...) is a doubt: its blocks stay if they are running
+text. Where a page has almost none of the listed stop words, as in another language,
+length and link density decide alone.
+
 Defined results: null or empty html gives an empty text; unclosed tags, comments
 and scripts run to the end of the page; blocks are joined in page order and
-repeated blocks stay.
+repeated blocks stay. Very long pages are read whole, in time linear in their length.
+Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -63,6 +70,8 @@ recommendations share sharing social cookie cookies consent gdpr notice notices
 subscription newsletter signup login search pagination pager toolbar toc comment comments commentlist disqus reply
 replies respond discussion copyright legal disclaimer skip tags meta byline paywall teaser outbrain taboola form
 """.split())
+WEAK_NAME = frozenset("legal form comment discussion copyright promotion meta tags search rail skip foot social alert "
+                      "reply respond related head".split())
 LAYOUT_NAME = frozenset("with has no without is".split())
 MAIN_NAME = frozenset("article post entry story main content".split())
 FURNITURE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu "
@@ -73,19 +82,21 @@ ATTR = re.compile(r"""([A-Za-z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))
 WORD = re.compile(r"[^\W\d_]+")
 
 STOP_HIGH, STOP_LOW = 0.25, 0.12
+OUTSIDE = 2
 LINK_MAX = 0.4
 LENGTH_LOW, LENGTH_HIGH = 70, 120
 RIGHTS = re.compile(r"©|\(c\)\s|copyright|all rights reserved|alle rechte|tous droits|todos los derechos", re.I)
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "furniture", "main", "heading")
+    __slots__ = ("parts", "linked", "furniture", "main", "heading", "doubt")
 
-    def __init__(self, furniture: bool, main: bool, heading: bool):
-        self.parts, self.linked, self.furniture, self.main, self.heading = [], 0, furniture, main, heading
+    def __init__(self, furniture: bool, main: bool, heading: bool, doubt: bool):
+        self.parts, self.linked, self.furniture, self.main, self.heading, self.doubt = [], 0, furniture, main, heading, doubt
 
 
-def _furniture(tag: str, attrs: str, in_main: bool) -> bool:
+def _furniture(tag: str, attrs: str, in_main: bool) -> bool | None:
+    """Whether an element is furniture; None is a doubt."""
     if tag in FURNITURE_TAGS:
         # the header of an article holds its title
         return not (tag == "header" and in_main)
@@ -98,23 +109,28 @@ def _furniture(tag: str, attrs: str, in_main: bool) -> bool:
         return True
     if tag in ("body", "html", "main", "article"):
         return False
-    return any(map(_furniture_name, f"{got.get('id', '')} {got.get('class', '')}".split()))
+    said = [_furniture_name(x, in_main) for x in f"{got.get('id', '')} {got.get('class', '')}".split()]
+    return True if True in said else None if None in said else False
 
 
-def _furniture_name(name: str) -> bool:
-    """Whether a class or id, such as site-footer or adBox, says furniture by its first or last part."""
+def _furniture_name(name: str, in_main: bool = False) -> bool | None:
+    """Whether a class or id, such as site-footer or adBox, says furniture by its first or last part; None for a
+    name that does so by one weak word, in an article."""
     parts = [x.rstrip("0123456789") for x in re.split(r"[-_]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower())]
     if parts[0] in LAYOUT_NAME or parts[0] in MAIN_NAME and parts[-1] == "header":
         return False
-    return parts[0] in FURNITURE_NAME or parts[-1] in FURNITURE_NAME
+    said = {i: parts[i] for i in (0, len(parts) - 1) if parts[i] in FURNITURE_NAME}
+    if in_main and len(said) == 1 and set(said.values()) <= WEAK_NAME:
+        return None
+    return bool(said)
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """(text, linked characters, furniture, inside the article, heading) of each block with text, in page order."""
+def blocks(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
+    """(text, linked characters, furniture, inside the article, heading, doubt) of each block with text, in page order."""
     out: list[_Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, furniture, skipped, main
+    stack: list[tuple[str, bool, bool, bool, bool]] = []  # tag, furniture, skipped, main, doubt
     links, at, block = 0, 0, None
-    furniture = skipped = main = False
+    furniture = skipped = main = doubt = False
     heading = False
     n = len(page)
 
@@ -123,7 +139,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if skipped or not piece:
             return
         if block is None:
-            block = _Block(furniture, main, heading)
+            block = _Block(furniture, main, heading, doubt)
             out.append(block)
         block.parts.append(piece)
         if links:
@@ -160,44 +176,57 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                     del stack[k:]
             if tag in BLOCK_TAGS:
                 block, heading = None, tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-            furniture, skipped, main = stack[-1][1:] if stack else (False, False, False)
+            furniture, skipped, main, doubt = stack[-1][1:] if stack else (False,) * 4
             if tag == "br":
                 text(" ")
             if tag not in VOID_TAGS and not m[3].endswith("/"):
                 if tag == "a":
                     links += 1
-                stack.append((tag, furniture or _furniture(tag, m[3], main), skipped or tag in SKIP_TAGS,
-                              main or tag in ("article", "main")))
+                said = _furniture(tag, m[3], main)
+                stack.append((tag, furniture or bool(said), skipped or tag in SKIP_TAGS, main or tag in ("article", "main"),
+                              doubt or said is None))
             if tag in RAW_TAGS and not m[3].endswith("/"):
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 at = end.end() if end else n
                 stack.pop()
-        furniture, skipped, main = stack[-1][1:] if stack else (False, False, False)
+        furniture, skipped, main, doubt = stack[-1][1:] if stack else (False,) * 4
     done = []
     for b in out:
         s = " ".join(_html.unescape("".join(b.parts)).split())
         if s:
-            done.append((s, b.linked, b.furniture, b.main, b.heading))
+            done.append((s, b.linked, b.furniture, b.main, b.heading, b.doubt))
     return done
 
 
 def classify(found: list[tuple[str, int, bool, bool, bool]], stop_words: frozenset = STOP_WORDS) -> list[bool]:
-    """True for each block that belongs to the main text."""
+    """True for each block (as ``blocks`` gives them, without a doubt if they have no sixth place) of the main text."""
     labels: list[str] = []
-    has_main = any(m and not f for _, _, f, m, _ in found)
-    for s, linked, furniture, main, _ in found:
+    hits, sizes = [], []
+    for s, *_ in found:
         words = WORD.findall(s.lower())
-        density = sum(w in stop_words for w in words) / len(words) if words else 0.0
+        hits.append(sum(w in stop_words for w in words))
+        sizes.append(len(words))
+    densities = [h / n if n else 0.0 for h, n in zip(hits, sizes, strict=True)]
+    running = [not b[2] and len(b[0]) >= LENGTH_LOW and b[1] <= LINK_MAX * len(b[0]) for b in found]
+    # text in a language that is not listed has hardly any of the words
+    told = sum(h for h, r in zip(hits, running, strict=True) if r) >= STOP_LOW * sum(n for n, r in zip(sizes, running, strict=True) if r)
+    text_in = sum(len(b[0]) for b in found if b[3] and not b[2])
+    text_out = sum(len(b[0]) for b, r, d in zip(found, running, densities, strict=True) if r and not b[3] and (d >= STOP_LOW or not told))
+    # an element that holds little of the page's text is not the article
+    has_main = text_in > 0 and text_out < OUTSIDE * text_in
+    for (s, linked, furniture, main, _, *doubt), density, run in zip(found, densities, running, strict=True):
+        main = main and has_main
         link = linked / len(s)
-        if furniture or has_main and not main:
+        prose = len(s) >= LENGTH_LOW and (density >= STOP_LOW or not told)
+        if furniture or has_main and not main or doubt and doubt[0] and not (run and prose):
             label = "out"  # known from the markup: no evidence about the blocks beside it
-        elif link > LINK_MAX or len(s) < LENGTH_LOW and not main and RIGHTS.search(s):
+        elif link > LINK_MAX and not (main and prose) or len(s) < LENGTH_LOW and not main and RIGHTS.search(s):
             label = "bad"
         elif len(s) < LENGTH_LOW:
             label = "short"
-        elif density >= STOP_HIGH and len(s) >= LENGTH_HIGH:
+        elif (density >= STOP_HIGH or not told) and len(s) >= LENGTH_HIGH:
             label = "good"
-        elif density >= STOP_LOW or main:
+        elif density >= STOP_LOW or main or not told:
             label = "near"
         else:
             label = "bad"
@@ -217,7 +246,7 @@ def classify(found: list[tuple[str, int, bool, bool, bool]], stop_words: frozens
         sides = [(abs(i - j), labels[j] != "good") for j in (before[i], after[i]) if j >= 0]
         if label in ("good", "bad", "out"):
             keep.append(label == "good")
-        elif found[i][3] or label == "near" or not sides:
+        elif has_main and found[i][3] or label == "near" or not sides:
             keep.append(True)  # inside the article, running text, or nothing to go by
         else:
             keep.append(not min(sides)[1])  # the nearer side; a tie goes to the good one

@@ -45,6 +45,34 @@ def test_page_without_article_element():
     assert extract_text(page) == f"{LONG}\n\nShort.\n\n{TEXT}"
 
 
+@pytest.mark.parametrize("name", ["legal", "content-form", "comment-on-art"])
+def test_an_article_keeps_running_text_under_a_doubtful_name(name):
+    page = f'<article><p>{LONG}</p><div class="{name}"><p>{LONG} 2</p><p>Short.</p><p>{TEXT}</p></div></article>'
+    assert extract_text(page).split("\n\n") == [LONG, f"{LONG} 2", TEXT]
+    assert extract_text(page.replace(name, "comment-form")) == LONG
+
+
+def test_a_paragraph_that_is_one_link_stays_in_an_article():
+    page = f'<article><p>{LONG}</p><p><a href="x">{TEXT}</a></p><ul><li><a href="y">More news</a></li></ul></article>'
+    assert extract_text(page) == f"{LONG}\n\n{TEXT}"
+
+
+def test_a_small_article_does_not_hide_the_story():
+    page = f'<article class="teaserbox"><p>A teaser.</p></article><div>{LONG}</div><div>{TEXT}</div><div><a href="x">More</a></div>'
+    got = extract_text(page).split("\n\n")
+    assert LONG in got and TEXT in got and "More" not in got
+
+
+@pytest.mark.parametrize("text", [
+    "Il fiume che attraversa la città era per molto tempo l'unica strada verso il mare, e si dice che la gente che viveva "
+    "sulle sue rive non avesse mai visto una strada prima della guerra.",
+    "Rzeka, która płynie przez miasto, była przez długi czas jedyną drogą do morza i mówi się, że ludzie mieszkający nad nią "
+    "nigdy przed wojną nie widzieli drogi."])
+def test_languages_that_are_not_listed(text):
+    page = f'<div><a href="/">Home</a> <a href="/n">News</a></div><div>{text}</div><div>{text} 2</div><div><a href="/x">{text[:90]}</a></div>'
+    assert extract_text(page) == f"{text}\n\n{text} 2"
+
+
 def test_short_blocks_inherit_from_the_nearest_decided_neighbour():
     link = ("Home News Sport and more of the links", 30, False, False, False)
     good = (LONG, 0, False, False, False)
