@@ -32,13 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, mix64, pick, slices
+from .common import column, mix64, pick, slices, text_bytes
 from .words import IdStore, split_codes
 
 SPACE = "▁"
 CACHE_WORDS = 600_000
 SLICE = 4 << 20
 BATCH = 1 << 18
+LONG, FEW = 48, 16
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 LOW = -1e30
@@ -221,8 +222,68 @@ class Encoder(IdStore):
         flat = np.column_stack(columns[::-1]).reshape(-1)
         return flat[flat >= 0], n_ids
 
+    def viterbi_long(self, chars: np.ndarray) -> list[int]:
+        """Ids of one long word, as ``viterbi`` gives them: its substrings probe the sorted keys for all positions at
+        once, and the forward pass then asks only pieces that were found."""
+        length, n = len(chars), len(self.model.pieces)
+        sums = substring_hashes(chars[None, :])[0] if length < 1 << 12 else self._prefix_hashes(chars)
+        ending: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
+        for s, (keys, ids) in sorted(self.by_length.items(), reverse=True):
+            if s > length:
+                continue
+            key = mix64((sums[s:] - sums[:-s] * self.power[s]) ^ mix64(np.full(1, s, np.uint64)))
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            for i in np.flatnonzero(keys[place] == key).tolist():
+                ending[i + s].append((s, int(ids[place[i]])))
+        last, back, score = [-1] * (length + 1), [0] * (length + 1), [LOW] * (length + 1)
+        score[0], floor = 0.0, float(self.model.scores.min()) - 10
+        for end in range(1, length + 1):
+            found = ending[end]
+            if not found or found[-1][0] != 1:
+                found.append((1, n + int(chars[end - 1])))
+            if self.merges:
+                for k, (s, piece) in enumerate(found):     # longest first; the last one left need not be asked
+                    if k == len(found) - 1 or self._follows(last[end - s], piece):
+                        last[end], back[end] = piece, end - s
+                        break
+            else:
+                for s, piece in reversed(found):           # of equal scores the shortest, as the maximum of a column
+                    own = self.model.scores[piece] if piece < n else floor
+                    if score[end - s] > LOW and (back[end] == 0 and last[end] < 0 or score[end - s] + own > score[end]):
+                        score[end], last[end], back[end] = score[end - s] + own, piece, end - s
+        out, at = [], length
+        while at > 0:
+            out.append(last[at])
+            at = back[at]
+        return out[::-1]
+
+    @staticmethod
+    def _prefix_hashes(chars: np.ndarray) -> np.ndarray:
+        """Prefix hashes of one long row of code points: by blocks, whose own hashes are carried on."""
+        block = 1 << 10
+        rows = np.zeros(-(-len(chars) // block) * block, np.int64)
+        rows[:len(chars)] = chars
+        inner = substring_hashes(rows.reshape(-1, block))
+        out, carry = np.zeros(len(chars) + 1, np.uint64), U(0)
+        power = np.ones(block + 1, np.uint64)
+        power[1:] = np.multiply.accumulate(np.full(block, BASE))
+        for k, own in enumerate(inner):
+            at, end = k * block, min((k + 1) * block, len(chars))
+            out[at:end + 1] = own[:end - at + 1] + carry * power[:end - at + 1]
+            carry = out[end]
+        return out
+
+    def _follows(self, before: int, piece: int) -> bool:
+        n = len(self.model.pieces)
+        if before < 0 or before >= n or piece >= n:
+            return True
+        key = before * n + piece
+        if key not in self.apart:
+            self.apart[key] = self._stay_apart(before, piece)
+        return self.apart[key]
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words by the Viterbi, equal lengths together; unknown characters by bytes."""
+        """Ids of words by the Viterbi, equal lengths together, few long ones each alone; unknown characters by bytes."""
         n_words = len(words)
         lengths = np.fromiter(map(len, words), np.int64, n_words)
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -230,6 +291,12 @@ class Encoder(IdStore):
         parts, owners = [], []
         for length in np.unique(lengths[lengths > 0]).tolist():
             rows = np.flatnonzero(lengths == length)
+            if length > LONG and len(rows) < FEW:
+                for i in rows.tolist():
+                    got = self.viterbi_long(chars[starts[i]:starts[i] + length])
+                    parts.append(np.array(got, np.int64))
+                    owners.append(np.full(len(got), i))
+                continue
             step = max(1, BATCH // length)
             for k in range(0, len(rows), step):
                 some = rows[k:k + step]
@@ -260,8 +327,7 @@ class Encoder(IdStore):
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of an Arrow array of texts."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        # a separator that no text of the batch has
-        mark = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not pc.any(pc.match_substring(texts, c)).as_py())
+        mark = self._separator(texts)
         full = pc.not_equal(pc.binary_length(texts), 0)
         texts = pc.if_else(full, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts,
                                                              pa.scalar("", pa.large_string())), texts)
@@ -274,6 +340,23 @@ class Encoder(IdStore):
 
 
 
+    @staticmethod
+    def _separator(texts: pa.Array) -> str:
+        """A character that no text of the batch has: of private use, else any but controls and white space."""
+        for c in map(chr, range(0xE000, 0xE010)):
+            if not pc.any(pc.match_substring(texts, c)).as_py():
+                return c
+        raw, _ = text_bytes(texts)
+        used = np.zeros(0x110000, bool)
+        used[np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)] = True
+        used[:0x21] = used[0xD800:0xE000] = True
+        for lo, hi in ((0xE000, 0xF900), (0xF0000, 0x110000), (0x21, 0xF0000)):
+            free = np.flatnonzero(~used[lo:hi])
+            if len(free):
+                return chr(lo + int(free[0]))
+        raise ValueError("a text holds every character there is")
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

@@ -52,6 +52,33 @@ def test_equals_the_library_on_random_strings(encoder, library):
     assert encode(encoder, texts) == [library.encode(t) for t in texts]
 
 
+def test_long_words_equal_the_library(encoder, library):
+    rng = random.Random(2)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    words = [draw("ABCDEFabcdefghijklmnop0123456789+/=", n) for n in (49, 700, 5000)] + [draw([chr(c) for c in range(0x4E00, 0x9FFF)], 400)]
+    words += ["a" * 300, "ab" * 200, "internationalization" * 30, "é" * 100 + "ü" * 60, "😀" * 80, "x́" * 90]
+    texts = [t for w in words for t in (w, f"before {w} after")]
+    for t in texts:
+        assert encode(encoder, [t]) == [library.encode(t)]
+    assert encode(encoder, texts) == [library.encode(t) for t in texts]
+
+
+def test_long_and_batched_words_agree():
+    rng = random.Random(3)
+    for merges in (True, False):
+        enc = spm.Encoder(PATH, merges=merges)
+        for n in (1, 50, 300, 1500):
+            chars = np.array([ord(rng.choice("abcdethé中")) for _ in range(n)])
+            assert enc.viterbi(chars[None, :])[0].tolist() == enc.viterbi_long(chars)
+    chars = np.array([rng.randrange(1, 0x10000) for _ in range(5000)])
+    assert (enc._prefix_hashes(chars) == spm.substring_hashes(chars[None, :])[0]).all()
+
+
+def test_texts_with_every_private_character(encoder, library):
+    texts = ["".join(map(chr, range(0xE000, 0xF900))) + " x", "y z"]
+    assert encode(encoder, texts) == [library.encode(t) for t in texts]
+
+
 def test_round_trip(encoder):
     for t, ids in zip(ODD, encode(encoder, ODD), strict=True):
         assert encoder.model.decode(ids) == (t or "").replace("▁", " ")
