@@ -634,7 +634,8 @@ def q_stressed_pv(spark, d):
     curves = H.stress_curves(bd.curve_quotes(spark, d), _stress_sets(spark)).drop("shift_bp")
     pv = H.discounted_pv(bd.cashflows(spark, d), curves, risk_free=0.04, by=["scenario"])
     v = H.stressed_values(pv.filter("scenario IS NOT NULL"))
-    return v.select("trade_id", "scenario", _r("stressed_value", 4), _r("base_value", 4), _r("change", 4))
+    change = F.round("change", 4)
+    return v.select("trade_id", "scenario", _r("stressed_value", 4), _r("base_value", 4), F.when(change == 0, F.lit(0.0)).otherwise(change).alias("change"))
 
 
 @query("aggregate_sensitivity")
