@@ -33,22 +33,24 @@ def tokens(name: Column | str) -> Column:
 
 def token_weights(names: DataFrame, name: str) -> DataFrame:
     """(token, names, weight): in how many distinct names a token is, and its rarity as the
-    integer 1000 ln(1 + N / names)."""
+    integer 1000 ln(1 + N / names). N is counted when this is called."""
     distinct = names.select(F.col(name).alias("_name")).distinct().withColumn("_t", F.array_distinct(tokens("_name"))).filter(F.size("_t") > 0)
-    total = distinct.agg(F.count("*").alias("_total"), F.lit(1).alias("_one"))
+    total = distinct.count()
     counts = distinct.select(F.explode("_t").alias("token")).groupBy("token").agg(F.count("*").alias("names"))
-    return (counts.withColumn("_one", F.lit(1)).join(total, "_one")
-            .select("token", "names", F.round(1000 * F.log(1 + F.col("_total") / F.col("names"))).cast("long").alias("weight"), "_total"))
+    return counts.select("token", "names", rarity(F.lit(total), F.col("names")).alias("weight"), F.lit(total).alias("_total"))
 
 
-def _ranked_tokens(names: DataFrame, weights: DataFrame, unknown: Column) -> DataFrame:
+def rarity(total: Column, names: Column) -> Column:
+    return F.round(1000 * F.log(1 + total / names)).cast("long")
+
+
+def _ranked_tokens(names: DataFrame, weights: DataFrame, unknown: int) -> DataFrame:
     """A row per name and token, rarest first: (name, pos, token, rest, total, toks). ``rest`` is
     the weight from this token on, ``toks`` the whole set. Tokens in no name of the dictionary
     are rarest of all, and weigh ``unknown``."""
     split = names.select("name", F.explode(F.array_distinct(tokens("name"))).alias("token"))
-    known = split.join(weights.select("token", "names", "weight"), "token", "left").withColumn("_one", F.lit(1))
-    known = known.join(weights.agg(F.max("_total").alias("_total"), F.lit(1).alias("_one")), "_one").select(
-        "name", "token", F.coalesce("names", F.lit(0)).alias("names"), F.coalesce("weight", unknown).alias("weight"))
+    known = split.join(weights.select("token", "names", "weight"), "token", "left").select(
+        "name", "token", F.coalesce("names", F.lit(0)).alias("names"), F.coalesce("weight", F.lit(unknown)).alias("weight"))
     # a name's tokens are few: the arrays and the window hold one name's tokens each
     by_name = Window.partitionBy("name").orderBy("names", "token")
     whole = by_name.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -77,7 +79,9 @@ def similar_names(probes: DataFrame, names: DataFrame, threshold: float = 0.8, m
         raise ValueError("measure must be 'overlap' or 'jaccard'")
     permille = round(threshold * 1000)
     weights = token_weights(names, name)
-    unknown = F.round(1000 * F.log(1 + F.col("_total"))).cast("long")
+    # what a token of one name weighs; the number of names is a constant column
+    one = weights.select(rarity(F.col("_total"), F.lit(1)).alias("w")).first()
+    unknown = one["w"] if one else 1
     x = _ranked_tokens(probes.select(F.col(probe).alias("name")).filter("name IS NOT NULL").distinct(), weights, unknown)
     y = _ranked_tokens(names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct(), weights, unknown)
     x = x.withColumnsRenamed({c: f"x_{c}" for c in ("name", "pos", "rest", "total", "toks")})

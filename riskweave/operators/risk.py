@@ -65,15 +65,12 @@ def stress_curves(quotes: DataFrame, shocks: DataFrame, base: str = "base") -> D
 
     shocks: (scenario, curve_id, tenor_from, tenor_to, shift_bp, shift_pct), a row a shocked part
     of the curves; a NULL curve_id is every curve, a NULL end of the tenors is open, both ends
-    belong to it. Parts of a set that overlap add up: spread x (1 + sum of shift_pct / 100) + sum of
+    belong to it. The names of the sets are read when this is called. Parts of a set that overlap add up: spread x (1 + sum of shift_pct / 100) + sum of
     shift_bp, and ``shift_bp`` of the result is the change of the spread. Sets are few; quotes are
     joined with the parts of their set, those of one curve and those of all by keys of their own.
     """
-    names = shocks.select("scenario").filter("scenario IS NOT NULL").distinct().agg(F.collect_set("scenario").alias("_sets"))
-    one = F.lit(1).alias("_one")
-    all_sets = F.array_union(F.array(F.lit(base)), F.array_sort(F.coalesce("_sets", F.array().cast("array<string>"))))
-    copies = (quotes.select(*quotes.columns, one).join(names.select("_sets", one), "_one")
-              .select(*quotes.columns, F.explode(all_sets).alias("scenario")))
+    names = sorted({r["scenario"] for r in shocks.select("scenario").filter("scenario IS NOT NULL").distinct().collect()} - {base})
+    copies = quotes.select("*", F.explode(F.array(*[F.lit(n) for n in (base, *names)])).alias("scenario"))
     parts = shocks.select("scenario", F.col("curve_id").alias("_curve"), F.coalesce("tenor_from", F.lit(float("-inf"))).alias("_from"),
                           F.coalesce("tenor_to", F.lit(float("inf"))).alias("_to"), F.coalesce("shift_bp", F.lit(0.0)).alias("_bp"),
                           F.coalesce("shift_pct", F.lit(0.0)).alias("_pct"))
