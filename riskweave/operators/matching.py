@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import name_key
+from ..plans.joins import dealt, grown
 from ..session import write_scratch
 
 RESOLVED, AMBIGUOUS, NO_MATCH, TOO_LONG = "RESOLVED", "AMBIGUOUS", "NO_MATCH", "TOO_LONG"
 MAX_LETTERS = 10
 MAX_OPTIONAL = 8
+HOT_NAMES = 2000     # a token of more names than this is joined in parts of about as many
 # Words of legal forms, which an abbreviation may leave out.
 LEGAL_FORMS = ("LLC", "LTD", "LIMITED", "INC", "INCORPORATED", "CORP", "CORPORATION", "CO", "COMPANY", "PLC", "NA", "SA", "AG",
                "NV", "AND", "GROUP", "HOLDING", "HOLDINGS")
@@ -46,18 +48,28 @@ def rarity(total: Column, names: Column) -> Column:
 
 def _ranked_tokens(names: DataFrame, weights: DataFrame, unknown: int) -> DataFrame:
     """A row per name and token, rarest first: (name, pos, token, rest, total, toks). ``rest`` is
-    the weight from this token on, ``toks`` the whole set. Tokens in no name of the dictionary
-    are rarest of all, and weigh ``unknown``."""
+    the weight from this token on, ``toks`` the whole set and ``own`` its tokens. Tokens in no name
+    of the dictionary are rarest of all, and weigh ``unknown``; ``parts`` is in how many parts a
+    token's names are joined."""
     split = names.select("name", F.explode(F.array_distinct(tokens("name"))).alias("token"))
-    known = split.join(weights.select("token", "names", "weight"), "token", "left").select(
-        "name", "token", F.coalesce("names", F.lit(0)).alias("names"), F.coalesce("weight", F.lit(unknown)).alias("weight"))
+    known = dealt(split.join(weights.select("token", "names", "weight"), "token", "left").select(
+        "name", "token", F.coalesce("names", F.lit(0)).alias("names"), F.coalesce("weight", F.lit(unknown)).alias("weight")), "name")
     # a name's tokens are few: the arrays and the window hold one name's tokens each
     by_name = Window.partitionBy("name").orderBy("names", "token")
     whole = by_name.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return known.select(
         "name", "token", F.row_number().over(by_name).alias("pos"), F.sum("weight").over(whole).alias("total"),
         F.sum("weight").over(by_name.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("rest"),
-        F.collect_list(F.struct("token", "weight")).over(whole).alias("toks"))
+        F.collect_list(F.struct("token", "weight")).over(whole).alias("toks"), F.collect_list("token").over(whole).alias("own"),
+        (F.floor(F.col("names") / HOT_NAMES) + 1).cast("int").alias("parts"))
+
+
+def _meet(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Rows of ``x`` and ``y`` with a common token. The names of a frequent token are dealt over
+    its ``parts`` and each row of ``x`` goes to all of them, so no task has a whole token."""
+    few = x.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("x_parts") - 1))).drop("x_parts")
+    many = y.withColumn("_part", F.pmod(F.xxhash64("y_name"), F.col("y_parts")).cast("int")).drop("y_parts")
+    return dealt(few, "token", "_part").join(grown(dealt(many, "token", "_part")), ["token", "_part"])
 
 
 def similar_names(probes: DataFrame, names: DataFrame, threshold: float = 0.8, measure: str = "overlap",
@@ -84,23 +96,22 @@ def similar_names(probes: DataFrame, names: DataFrame, threshold: float = 0.8, m
     unknown = one["w"] if one else 1
     x = _ranked_tokens(probes.select(F.col(probe).alias("name")).filter("name IS NOT NULL").distinct(), weights, unknown)
     y = _ranked_tokens(names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct(), weights, unknown)
-    x = x.withColumnsRenamed({c: f"x_{c}" for c in ("name", "pos", "rest", "total", "toks")})
-    y = y.withColumnsRenamed({c: f"y_{c}" for c in ("name", "pos", "rest", "total", "toks")})
+    x = x.withColumnsRenamed({c: f"x_{c}" for c in ("name", "pos", "rest", "total", "toks", "own", "parts")})
+    y = y.withColumnsRenamed({c: f"y_{c}" for c in ("name", "pos", "rest", "total", "own", "parts")}).drop("toks")
     wx, wy = F.col("x_total"), F.col("y_total")
     prefix = lambda df, s: df.filter(1000 * F.col(f"{s}_rest") >= permille * F.col(f"{s}_total"))
     if measure == "overlap":
-        met = (prefix(x, "x").join(y, "token").filter(wx <= wy)
-               .unionByName(x.join(prefix(y, "y"), "token").filter(wy < wx)))
+        met = (_meet(prefix(x, "x"), y).filter(wx <= wy)
+               .unionByName(_meet(x, prefix(y, "y")).filter(wy < wx)))
         base = lambda common: F.least(wx, wy)
     else:
-        met = prefix(x, "x").join(prefix(y, "y"), "token").filter((1000 * wy >= permille * wx) & (1000 * wx >= permille * wy))
+        met = _meet(prefix(x, "x"), prefix(y, "y")).filter((1000 * wy >= permille * wx) & (1000 * wx >= permille * wy))
         base = lambda common: wx + wy - common
     enough = lambda common: 1000 * common >= permille * base(common)
     met = met.filter(enough(F.least("x_rest", "y_rest")))
-    own = lambda toks: F.transform(toks, lambda t: t["token"])
-    earlier = F.slice(own(F.col("x_toks")), 1, F.col("x_pos") - 1)
-    met = met.filter(~F.arrays_overlap(earlier, own(F.col("y_toks"))))
-    common = F.aggregate(F.filter("x_toks", lambda t: F.array_contains(own(F.col("y_toks")), t["token"])), F.lit(0).cast("long"),
+    earlier = F.slice("x_own", 1, F.col("x_pos") - 1)
+    met = met.filter(~F.arrays_overlap(earlier, F.col("y_own")))
+    common = F.aggregate(F.filter("x_toks", lambda t: F.array_contains("y_own", t["token"])), F.lit(0).cast("long"),
                          lambda a, t: a + t["weight"])
     out = met.withColumn("_common", common).filter(enough(F.col("_common")))
     return out.select(F.col("x_name").alias(probe), F.col("y_name").alias(name),
@@ -113,7 +124,7 @@ def resolve_by_tokens(probes: DataFrame, variants: DataFrame, threshold: float =
     pairs = similar_names(probes, variants, threshold, measure, "booked_name", "variant_name")
     codes = variants.select("variant_name", "counterparty_code").distinct()
     best = Window.partitionBy("booked_name").orderBy(F.desc("similarity"))
-    near = (pairs.withColumn("_r", F.rank().over(best)).filter("_r = 1").join(codes, "variant_name")
+    near = (pairs.withColumn("_r", F.rank().over(best)).filter("_r = 1").join(grown(codes), "variant_name")
                  .groupBy("booked_name", "similarity")
                  .agg(F.countDistinct("counterparty_code").alias("n_codes"), F.min("counterparty_code").alias("_code")))
     return _verdicts(probes, near)
@@ -122,7 +133,7 @@ def resolve_by_tokens(probes: DataFrame, variants: DataFrame, threshold: float =
 def _verdicts(probes: DataFrame, found: DataFrame) -> DataFrame:
     """Every distinct booked name with the verdict on ``found`` (booked_name, n_codes, _code, ...)."""
     every = probes.select("booked_name").filter("booked_name IS NOT NULL").distinct()
-    j = every.join(found, "booked_name", "left")
+    j = every.join(grown(found), "booked_name", "left")
     n = F.coalesce("n_codes", F.lit(0).cast("long"))
     return j.select("booked_name", F.when(n == 1, F.lit(RESOLVED)).when(n > 1, F.lit(AMBIGUOUS)).otherwise(F.lit(NO_MATCH)).alias("verdict"),
                     F.when(n == 1, F.col("_code")).alias("counterparty_code"), n.alias("n_codes"),
@@ -139,23 +150,16 @@ def _bit(mask: Column, i: Column) -> Column:
     return F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1)) == 1
 
 
-def _pieces(word: Column, mask: Column) -> Column:
-    """``word`` cut after each character whose bit is set in ``mask``."""
-    n = F.length(word)
-    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (_bit(mask, F.greatest(i - 2, F.lit(0)))))
-    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(n + 1))
-    return F.zip_with(starts, ends, lambda a, b: F.substring(word, a, b - a))
-
-
 def _spellings(probes: DataFrame) -> DataFrame:
-    """(booked_name, pieces): every way to cut a short name into pieces, its own breaks kept."""
-    p = probes.withColumn("_w", tokens("booked_name")).withColumn("_s", F.array_join("_w", ""))
-    ends = F.aggregate("_w", F.struct(F.lit(0).alias("at"), F.lit(0).alias("bits")), lambda a, w: F.struct(
-        (a["at"] + F.length(w)).alias("at"), a["bits"].bitwiseOR(_power(a["at"] + F.length(w) - 1)).alias("bits")))
-    cuts = p.select("booked_name", "_s", ends["bits"].alias("_ends"), F.explode(F.sequence(F.lit(0), _power(F.length("_s") - 1) - 1)).alias("_m"))
-    # the end of the last word is no cut within the name
-    inner = F.col("_ends").bitwiseAND(_power(F.length("_s") - 1) - 1)
-    return cuts.filter(F.col("_m").bitwiseAND(inner) == inner).select("booked_name", _pieces(F.col("_s"), F.col("_m")).alias("pieces"))
+    """(booked_name, cut): every way to cut a short name into pieces, its own breaks kept; the
+    pieces are joined by blanks, which tokens do not have."""
+    p = probes.select("booked_name", F.array_join(tokens("booked_name"), " ").alias("_s"))
+    letter = lambda i: F.substring("_s", i, F.lit(1))
+    after = F.when(F.length("_s") > 1, F.sequence(F.lit(2), F.length("_s"))).otherwise(F.array().cast("array<int>"))
+    cuts = F.aggregate(after, F.array(letter(F.lit(1))), lambda cut, i: F.when(letter(i) == " ", cut).when(
+        letter(i - 1) == " ", F.transform(cut, lambda h: F.concat(h, F.lit(" "), letter(i)))).otherwise(
+        F.flatten(F.transform(cut, lambda h: F.array(F.concat(h, letter(i)), F.concat(h, F.lit(" "), letter(i)))))))
+    return p.select("booked_name", F.explode(cuts).alias("cut"))
 
 
 def _initials(words: Column) -> Column:
@@ -165,7 +169,7 @@ def _initials(words: Column) -> Column:
 def _readings(variants: DataFrame, max_letters: int) -> DataFrame:
     """(counterparty_code, words): a name's words with every choice of its legal forms (the last
     MAX_OPTIONAL of them) left out; the first word always stays."""
-    v = variants.select("counterparty_code", tokens("variant_name").alias("_w")).filter(F.size("_w") > 0).distinct()
+    v = dealt(variants.select("counterparty_code", tokens("variant_name").alias("_w")).filter(F.size("_w") > 0).distinct(), "counterparty_code", "_w")
     legal = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: (i > 1) & F.element_at("_w", i).isin(*LEGAL_FORMS))
     v = v.withColumn("_l", F.slice(legal, F.greatest(F.size(legal) - MAX_OPTIONAL + 1, F.lit(1)), MAX_OPTIONAL))
     v = v.withColumn("_m", F.explode(F.sequence(F.lit(0), _power(F.size("_l")) - 1)))
@@ -184,29 +188,37 @@ def abbreviation_matches(probes: DataFrame, variants: DataFrame, max_letters: in
 
     A booked name is cut into pieces in all ways (512 at most for ten letters); a cut reads as a
     name whose words start with its pieces. Both sides then carry the initials of their pieces
-    or words as a key, with the first two letters and the place of the longest piece, and the
-    rest is tested pair by pair. A cut into single letters is all initials: it is looked up
-    among names summed by initials (one row each), so initials that very many names share make
-    no pairs.
+    or words as a key, with the first two letters and the place of the longest piece, which says
+    what lengths of pieces a name meets. Names are cut to those lengths and summed by the cut
+    (one row each), where the booked names' cuts are looked up. A cut into single letters is all
+    initials, and is looked up among names summed by those. So letters that very many names
+    share make no pairs of a booked name and a name.
     """
     names = probes.select("booked_name").filter("booked_name IS NOT NULL").distinct()
     letters = F.length(F.array_join(tokens("booked_name"), ""))
-    cuts = _spellings(names.filter((letters > 0) & (letters <= max_letters)))
-    longest = F.array_max(F.transform("pieces", lambda w: F.length(w)))
-    place = F.array_position(F.transform("pieces", lambda w: F.length(w) == F.col("_long")), F.lit(True)).cast("int")
-    cuts = cuts.withColumn("_i", _initials(F.col("pieces"))).withColumn("_long", longest)
+    short = dealt(names.filter((letters > 0) & (letters <= max_letters)), "booked_name")
+    cuts = _spellings(short)
     read = _readings(variants, max_letters).withColumn("_i", _initials(F.col("words")))
+    range_of = lambda df, key: df.groupBy(key).agg(F.min("counterparty_code").alias("_lo"), F.max("counterparty_code").alias("_hi"))
 
-    by_initials = read.groupBy("_i").agg(F.min("counterparty_code").alias("_lo"), F.max("counterparty_code").alias("_hi"))
-    plain = cuts.filter("_long = 1").join(by_initials, "_i").select("booked_name", "_lo", "_hi")
+    # every short name has one cut into single letters
+    plain = short.select("booked_name", F.array_join(tokens("booked_name"), "").alias("_i")).join(grown(range_of(read, "_i")), "_i").select(
+        "booked_name", "_lo", "_hi")
     two = read.select("counterparty_code", "words", "_i", F.posexplode("words").alias("_p", "_word")).filter(F.length("_word") > 1).select(
         "counterparty_code", "words", "_i", (F.col("_p") + 1).alias("_p"), F.substring("_word", 1, 2).alias("_two"))
-    keyed = cuts.filter("_long > 1").withColumn("_p", place).withColumn("_two", F.substring(F.element_at("pieces", F.col("_p")), 1, 2))
-    fits = F.forall(F.zip_with("pieces", "words", lambda a, b: b.startswith(a)), lambda x: x)
-    spelt = keyed.join(two, ["_i", "_p", "_two"]).filter(fits).select(
-        "booked_name", F.col("counterparty_code").alias("_lo"), F.col("counterparty_code").alias("_hi"))
+    initials = F.regexp_replace("cut", "([^ ])[^ ]* ?", "$1")
+    pieces = cuts.filter(F.col("cut").rlike("[^ ]{2}")).select("booked_name", "cut", initials.alias("_i"), F.split("cut", " ").alias("_w"))
+    keyed = pieces.withColumn("_lengths", F.transform("_w", lambda w: F.length(w))).withColumn(
+        "_p", F.array_position("_lengths", F.array_max("_lengths")).cast("int")).withColumn(
+        "_two", F.substring(F.element_at("_w", F.col("_p")), 1, 2))
+    lengths = keyed.select("_i", "_p", "_two", "_lengths").distinct()
+    # 252 cuts of a name at most (of ten letters into five pieces)
+    cut_to = F.array_join(F.zip_with("words", "_lengths", lambda w, n: F.substring(w, F.lit(1), n)), " ")
+    long_enough = F.forall(F.zip_with("words", "_lengths", lambda w, n: F.length(w) >= n), lambda x: x)
+    summed = range_of(two.join(grown(lengths), ["_i", "_p", "_two"]).filter(long_enough).select("counterparty_code", cut_to.alias("cut")), "cut")
+    spelt = keyed.select("booked_name", "cut").join(grown(summed), "cut").select("booked_name", "_lo", "_hi")
     found = plain.unionByName(spelt).groupBy("booked_name").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    j = names.withColumn("_n", letters).join(found, "booked_name", "left")
+    j = names.withColumn("_n", letters).join(grown(found), "booked_name", "left")
     one = F.col("_lo") == F.col("_hi")
     return j.select("booked_name",
                     F.when(F.col("_n") > max_letters, F.lit(TOO_LONG)).when(F.col("_lo").isNull(), F.lit(NO_MATCH))
@@ -227,7 +239,7 @@ def resolve_names(probes: DataFrame, variants: DataFrame, threshold: float = 0.8
     def exact(key: Column, of: Column) -> DataFrame:
         lk = variants.select(of.alias("_k"), "counterparty_code").filter("_k IS NOT NULL").groupBy("_k").agg(
             F.min("counterparty_code").alias("_code"), F.countDistinct("counterparty_code").alias("n_codes"))
-        return _verdicts(left, left.withColumn("_k", key).join(lk, "_k").drop("_k"))
+        return _verdicts(left, left.withColumn("_k", key).join(grown(lk), "_k").drop("_k"))
 
     for rule, found in (
             ("EXACT", lambda: exact(F.col("booked_name"), F.col("variant_name"))),

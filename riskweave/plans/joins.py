@@ -1,7 +1,8 @@
 """Join helpers: unique lookups, and left joins that spread rows without a key.
 
-No join here is hinted: adaptive execution broadcasts a side from its measured
-bytes, or else splits skewed partitions of a shuffle join.
+A planner that sees file sizes alone takes a side that explodes, or a compressed table of
+millions of short rows, for one to broadcast, through the driver. Sides that grow with the
+tables are ``grown``: a sort-merge join, whose skewed partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -14,6 +15,19 @@ from pyspark.sql import functions as F
 SPREAD = 4096
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast, however small its files look."""
+    return df.hint("merge")
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys``, to as many partitions as a shuffle has: small rows that
+    much work follows are not put together into a task or two."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n + 1, *keys)  # as many as the shuffle before it has, and the planner leaves it out
+
+
 def full_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "full") -> DataFrame:
     """Full outer (or ``how``) join on null-safe keys; each key comes out once."""
     a, b = a.alias("_a"), b.alias("_b")
@@ -32,12 +46,13 @@ def left_join_spread(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
     """Left equi-join whose left rows without a key do not meet in one task.
 
     They match nothing, but a hash of their NULL key would send all of them to one
-    partition; a second key, 0 for rows with a key, deals them out by row.
+    partition; a second key, 0 for rows with a key, deals them out by row. The lookup
+    grows with its table, so it is not broadcast.
     """
     keyless = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
     spread = F.when(keyless, F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
     return (left.withColumn("_spread", spread)
-                .join(right.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], "left").drop("_spread"))
+                .join(grown(right.withColumn("_spread", F.lit(0).cast("long"))), [*keys, "_spread"], "left").drop("_spread"))
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> None:

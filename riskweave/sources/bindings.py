@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import dealt, grown
 from .tables import read_table
 
 # Timestamps stay TIMESTAMP_NTZ as stored (wall-clock), so no result depends on
@@ -71,7 +72,7 @@ def trades(spark: SparkSession, d: str, names: bool = True) -> DataFrame:
     booked = []
     if names:
         c = read_table(spark, d, "customer").select("c_custkey", "c_name")
-        o = o.join(c, o.o_custkey == c.c_custkey)
+        o = o.join(grown(c), o.o_custkey == c.c_custkey)
         booked = [F.when(st == "F", F.col("c_name"))
                    .when(st == "O", F.translate("c_name", "#", " "))
                    .when(st == "P", F.concat(F.upper("c_name"), F.lit(" LTD")))
@@ -494,7 +495,7 @@ def _letters_of(c: str) -> Column:
 def issuer_variants(spark: SparkSession, d: str) -> DataFrame:
     """b_issuers: each part as an issuer, named by a word of its own, its name, its type and a
     legal form, and the same name in mixed case as a second variant."""
-    p = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    p = dealt(read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size"), "p_partkey")
     form = F.element_at(F.array(*[F.lit(x) for x in ISSUER_FORMS]), (F.col("p_size") % 4 + 1).cast("int"))
     name = F.concat_ws(" ", _letters_of("p_partkey"), F.upper("p_name"), F.upper("p_type"), form)
     rows = F.array(F.struct(name.alias("variant_name"), F.lit(True).alias("is_canonical")),
@@ -506,7 +507,7 @@ def issuer_bookings(spark: SparkSession, d: str) -> DataFrame:
     """b_bookings: each part's price booked under a variant of its issuer's name, by part number:
     truncated (0), with a place (1), its legal form spelt out (2), words in another order (3),
     without its own word (4), a code of beginnings (5), with other punctuation (6)."""
-    p = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+    p = dealt(read_table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice"), "p_partkey")
     word, name, kind = _letters_of("p_partkey"), F.upper("p_name"), F.upper("p_type")
     long_form = F.element_at(F.array(*[F.lit(x) for x in ISSUER_LONG_FORMS]), (F.col("p_size") % 4 + 1).cast("int"))
     form = F.element_at(F.array(*[F.lit(x) for x in ISSUER_FORMS]), (F.col("p_size") % 4 + 1).cast("int"))

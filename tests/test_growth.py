@@ -1,0 +1,63 @@
+"""Sides of joins that grow with the tables: never broadcast, and no pairs of a shared key."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.operators import matching as M
+from riskweave.operators import resolution as B
+from riskweave.operators import semantic as E
+from riskweave.operators import star as D
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def issuers(spark):
+    words = ["HARBOR", "HARVEST", "HAZEL"]
+    rows = [(f"{i}", f"{words[i % 3]} STONE{i} TRADE LLC") for i in range(60)] + [("A", "Ace Bond Ltd"), ("A", "ACE BOND LTD"), ("B", "Acorn Bread")]
+    return spark.createDataFrame(rows, "counterparty_code string, variant_name string")
+
+
+def test_abbreviations_sum_names_by_cut(spark, issuers):
+    probes = spark.createDataFrame([(x,) for x in ("HARSTT", "HAR_ST_T", "ACEB", "AC_BO", "ACBR", "AB", "A", "HARSTTRXL", "HAZELSTONETRADE", None, "--")], "booked_name string")
+    out = M.abbreviation_matches(probes, issuers)
+    assert {r["booked_name"]: (r["verdict"], r["counterparty_code"]) for r in out.collect()} == {
+        "HARSTT": ("AMBIGUOUS", None), "HAR_ST_T": ("AMBIGUOUS", None), "ACEB": ("RESOLVED", "A"), "AC_BO": ("RESOLVED", "A"), "ACBR": ("RESOLVED", "B"),
+        "AB": ("AMBIGUOUS", None), "A": ("NO_MATCH", None), "HARSTTRXL": ("NO_MATCH", None), "HAZELSTONETRADE": ("TOO_LONG", None), "--": ("NO_MATCH", None)}
+    assert "BroadcastHashJoin" not in plan(out)
+
+
+def test_cuts_are_all_and_keep_breaks(spark):
+    got = M._spellings(spark.createDataFrame([("abc",), ("a_bc",), ("z",)], "booked_name string")).collect()
+    assert sorted((r["booked_name"], r["cut"]) for r in got) == [
+        ("a_bc", "A B C"), ("a_bc", "A BC"), ("abc", "A B C"), ("abc", "A BC"), ("abc", "AB C"), ("abc", "ABC"), ("z", "Z")]
+
+
+@pytest.mark.parametrize("measure", ["overlap", "jaccard"])
+def test_frequent_tokens_are_joined_in_parts(spark, issuers, measure, monkeypatch):
+    probes = spark.createDataFrame([("TRADE HARBOR LLC",), ("HAZEL STONE2",), ("BOND ACE",)], "booked_name string")
+    pairs = lambda: {tuple(r) for r in M.similar_names(probes, issuers, 0.3, measure, name="variant_name").collect()}
+    want = pairs()
+    monkeypatch.setattr(M, "HOT_NAMES", 2)
+    assert len(want) > 20 and pairs() == want
+    assert plan(M.similar_names(probes, issuers, 0.3, measure, name="variant_name")).count("SortMergeJoin") >= 1
+
+
+def test_lookups_that_grow_are_not_broadcast(spark):
+    fact = spark.createDataFrame([("1", 5), (None, 6), ("3", 7)], "counterparty_code string, x int")
+    dim = spark.createDataFrame([("1", "one"), ("2", "two")], "counterparty_code string, name string")
+    contract = {"product_id": "trades", "joinable": [{"product_id": "cp", "join_on": "counterparty_code"}]}
+    for df in (D.star_join(fact, [(dim, "counterparty_code", "left")], ["name"]), E.safe_join(fact, dim, contract, "cp")):
+        assert {tuple(r) for r in df.select("counterparty_code", "x", "name").collect()} == {("1", 5, "one"), (None, 6, None), ("3", 7, None)}
+        assert "Broadcast" not in plan(df)
+
+
+def test_fuzzy_search_broadcasts_no_neighbourhood(spark):
+    names = spark.createDataFrame([("ACME",), ("ACNE",), ("ZZ",)], "booked_name string")
+    variants = spark.createDataFrame([("ACME", "1"), ("ACMES", "2")], "variant_name string, counterparty_code string")
+    out = B.fuzzy_candidates(names, variants)
+    assert {(r["booked_name"], r["counterparty_code"], r["distance"]) for r in out.select("booked_name", "counterparty_code", F.col("distance")).collect()} == {
+        ("ACME", "1", 0), ("ACNE", "1", 1)}
+    assert "Broadcast" not in plan(out)
