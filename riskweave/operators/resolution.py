@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import money_sum, name_key, pct
-from ..plans.joins import left_join_spread
+from ..plans.joins import dealt, grown, left_join_spread
 
 # Fixed values of the reference's resolution statuses.
 MATCHED_ORIGINAL = "MATCHED_ORIGINAL"
@@ -173,15 +173,15 @@ def fuzzy_candidates(names: DataFrame, variants: DataFrame, max_distance: int =
     if k == 1:
         # With k = 1 a name that has an exact key hit keeps only distance-0 candidates,
         # so the edit-distance search runs on the remaining names only.
-        exact = (probe.join(vkeys, probe["probe_key"] == vkeys["variant_key"])
+        exact = (probe.join(grown(vkeys), probe["probe_key"] == vkeys["variant_key"])
                       .select("booked_name", "probe_key", "variant_key", "counterparty_code",
                               F.lit(0).cast("bigint").alias("distance")))
-        probe = probe.join(exact.select("booked_name").distinct(), "booked_name", "left_anti")
-    p_del = probe.select("booked_name", "probe_key",
+        probe = probe.join(grown(exact.select("booked_name").distinct()), "booked_name", "left_anti")
+    p_del = dealt(probe, "booked_name").select("booked_name", "probe_key",
                          F.explode(_deletion_neighbourhood(F.col("probe_key"), max_distance)).alias("_del"))
-    v_del = vkeys.select("variant_key", "counterparty_code",
+    v_del = dealt(vkeys, "variant_key").select("variant_key", "counterparty_code",
                          F.explode(_deletion_neighbourhood(F.col("variant_key"), max_distance)).alias("_del"))
-    pairs = (p_del.join(v_del, "_del")
+    pairs = (p_del.join(grown(v_del), "_del")
                   .select("booked_name", "probe_key", "variant_key", "counterparty_code")
                   .distinct()
                   .withColumn("distance", F.levenshtein("probe_key", "variant_key").cast("bigint"))

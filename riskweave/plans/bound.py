@@ -27,6 +27,7 @@ from ..operators import versions as V
 from ..sources import bindings as bd
 from ..session import ensure_checkpoint_dir, write_scratch
 from ..sources.tables import read_table
+from .joins import grown
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -128,7 +129,7 @@ def q_fuzzy_candidates(spark, d):
     spellings; a name without a candidate is listed with distance NULL."""
     names = bd.misspelt_names(spark, d)
     found = B.fuzzy_candidates(names, bd.name_variants(spark, d), max_distance=1, k=1)
-    return names.distinct().join(found, "booked_name", "left")
+    return names.distinct().join(grown(found), "booked_name", "left")
 
 
 @query("exceptions_queue")
@@ -214,7 +215,7 @@ def q_resolve_names(spark, d):
     """Every booked name through the rules in order, with its bookings and their amount."""
     b = bd.issuer_bookings(spark, d)
     per = b.groupBy("booked_name").agg(F.count("*").alias("bookings"), F.sum("exposure_amount").cast("decimal(38,2)").alias("exposure"))
-    return per.join(M.resolve_names(b, bd.issuer_variants(spark, d)), "booked_name")
+    return per.join(grown(M.resolve_names(b, bd.issuer_variants(spark, d))), "booked_name")
 
 
 @query("ownership_closure")
