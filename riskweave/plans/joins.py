@@ -51,8 +51,9 @@ def left_join_spread(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
     """
     keyless = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
     spread = F.when(keyless, F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))).otherwise(F.lit(0).cast("long"))
-    return (left.withColumn("_spread", spread)
-                .join(grown(right.withColumn("_spread", F.lit(0).cast("long"))), [*keys, "_spread"], "left").drop("_spread"))
+    # 0 for every row, but no literal: the planner would make that a filter, and not hash by it
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("long")
+    return left.withColumn("_spread", spread).join(grown(right.withColumn("_spread", zero)), [*keys, "_spread"], "left").drop("_spread")
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> None:

@@ -1,5 +1,7 @@
 """Sides of joins that grow with the tables: never broadcast, and no pairs of a shared key."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,8 @@ def test_lookups_that_grow_are_not_broadcast(spark):
     for df in (D.star_join(fact, [(dim, "counterparty_code", "left")], ["name"]), E.safe_join(fact, dim, contract, "cp")):
         assert {tuple(r) for r in df.select("counterparty_code", "x", "name").collect()} == {("1", 5, "one"), (None, 6, None), ("3", 7, None)}
         assert "Broadcast" not in plan(df)
+        # rows without a key are dealt by the second key, on both sides
+        assert re.search(r"SortMergeJoin \[[^]]*_spread[^]]*\], \[[^]]*_spread[^]]*\]", plan(df))
 
 
 def test_fuzzy_search_broadcasts_no_neighbourhood(spark):
