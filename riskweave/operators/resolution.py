@@ -257,10 +257,10 @@ def resolution_trend(trades: DataFrame, dim_date: DataFrame) -> DataFrame:
 def own_entity(legal_entity: DataFrame) -> DataFrame:
     """One row per counterparty: its non-parent entity, that of the least LEI where it has
     several (D3 ``grain_check`` lists those). A join on it cannot fan out."""
-    names = ("lei_code", "ultimate_parent_name", "legal_entity_name")
+    names = [c for c in ("lei_code", "ultimate_parent_name", "legal_entity_name") if c in legal_entity.columns]
     return (legal_entity.filter(~F.col("is_ultimate_parent")).groupBy("counterparty_code")
                         .agg(F.min(F.struct(*names)).alias("_e"))
-                        .select("counterparty_code", *[F.col(f"_e.{c}").alias(c) for c in names[1:]]))
+                        .select("counterparty_code", *[F.col(f"_e.{c}").alias(c) for c in names if c != "lei_code"]))
 
 
 def parent_lookup(df: DataFrame, legal_entity: DataFrame) -> DataFrame:
