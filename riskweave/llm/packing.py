@@ -31,8 +31,8 @@ CAPACITY = 2048
 END_ID = 0
 ITEMS_PER_TASK = 50_000
 FULL_SLACK = 8
-CACHE_WORDS = 600_000
-SLICE = 10 << 20
+CACHE_WORDS = 100_000
+SLICE = 2 << 20  # ids, codes and places of a slice's words take some 20 times its text
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),

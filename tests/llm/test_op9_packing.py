@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 import zlib
 
 import duckdb
@@ -86,3 +88,27 @@ def test_production_capacity_is_near_the_bound(llm, library):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     bins, total = verify(packing.pack(docs).collect(), rows, library, 2048)
     assert bins <= 1.01 * -(-total // 2048) + 1
+
+
+MEMORY = """
+import random, resource
+import pyarrow as pa
+from riskweave.llm import packing
+packing._bin_id = lambda level, k: (level << 56) + k    # no task here
+rng = random.Random(3)
+def batches(n):
+    for _ in range(n):      # 16 MB, a partition of the check, of mostly new words
+        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(range(1000), pa.int64()), "text": [
+            " ".join(f"{rng.getrandbits(20):x}" for _ in range(300)) for _ in range(1000)]})
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+run = packing._cut_and_pack(PATH, packing.CAPACITY, packing.END_ID, packing.FULL_SLACK)
+list(run(batches(1)))
+before = peak()
+assert sum(b.num_rows for b in run(batches(10))) >= 10_000
+print(peak() - before)
+"""
+
+
+def test_a_task_holds_little_beside_its_rows():
+    out = subprocess.run([sys.executable, "-c", MEMORY.replace("PATH", repr(PATH))], capture_output=True, text=True, check=True, timeout=300)
+    assert float(out.stdout) < 150      # 16 MB of texts; 287 with slices of 10 MB and a store of 600,000 words
