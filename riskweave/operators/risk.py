@@ -324,7 +324,7 @@ def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float | DataFrame
     factors. Sensitivities are netted per factor first, so a bucket has a row a factor
     and the double sum is two small joins. A factor without a weight, or with two that
     differ, is not in the capital: ``factors_without_weight`` and
-    ``sensitivity_without_weight`` tell. A weight or correlation listed twice counts once;
+    ``sensitivity_without_weight`` tell; a bucket of such factors alone has a capital of 0. A weight or correlation listed twice counts once;
     two that differ for one pair leave the capital of its buckets NULL.
     """
     s = sens.withColumn("tenor_bucket", tenor_bucket("tenor_y")) if factor == "tenor_bucket" else sens
@@ -333,7 +333,7 @@ def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float | DataFrame
         bucket, factor, "net_sensitivity", (F.col("net_sensitivity") * F.col("risk_weight")).alias("ws"))
     lost = F.col("ws").isNull()
     k = ws.groupBy(bucket).agg(
-        F.sum(F.col("ws") ** 2).alias("_sq"), F.sum("ws").alias("ws_total"), F.count("ws").alias("factors"),
+        F.coalesce(F.sum(F.col("ws") ** 2), F.lit(0.0)).alias("_sq"), F.sum("ws").alias("ws_total"), F.count("ws").alias("factors"),
         F.count(F.when(lost, 1)).alias("factors_without_weight"),
         F.coalesce(F.sum(F.when(lost, F.abs("net_sensitivity"))), F.lit(0.0)).alias("sensitivity_without_weight"))
     if isinstance(rho, DataFrame):
@@ -346,7 +346,7 @@ def weighted_capital(sens: DataFrame, weights: DataFrame, rho: float | DataFrame
         k = full_join(k, cross, [bucket], "left")
         k2 = F.when(~F.coalesce("_odd", F.lit(False)), F.col("_sq") + F.coalesce("_cross", F.lit(0.0)))
     else:
-        k2 = (1.0 - rho) * F.col("_sq") + rho * F.col("ws_total") ** 2
+        k2 = (1.0 - rho) * F.col("_sq") + rho * F.coalesce("ws_total", F.lit(0.0)) ** 2
     return k.select(bucket, "ws_total", "factors", F.when(k2.isNotNull(), F.sqrt(F.greatest(k2, F.lit(0.0)))).alias("bucket_capital"),
                     "factors_without_weight", "sensitivity_without_weight")
 

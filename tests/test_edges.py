@@ -78,6 +78,15 @@ def test_correlation_table_and_missing_weight(spark):
     assert (r.factors, r.factors_without_weight, r.sensitivity_without_weight) == (2, 1, 5.0)
 
 
+def test_a_bucket_without_any_weight_has_no_capital(spark):
+    s = spark.createDataFrame([("A", "f", 3.0), ("B", "h", 5.0)], "curve_id string, k string, cs01 double")
+    w = spark.createDataFrame([("f", 1.0)], "k string, risk_weight double")
+    table = spark.createDataFrame([("f", "g", 0.25)], "factor_k string, factor_l string, rho double")
+    for rho in (table, 0.25):
+        got = {r.curve_id: (r.ws_total, r.factors, r.bucket_capital) for r in H.weighted_capital(s, w, rho, factor="k").collect()}
+        assert got == {"A": (3.0, 1, 3.0), "B": (None, 0, 0.0)}
+
+
 def test_sensitivity_without_a_move_is_counted(spark):
     sens = spark.createDataFrame([("t", "A", 1.0, 2.0), ("t", "Z", 1.0, 9.0)], "trade_id string, curve_id string, tenor_y double, cs01 double")
     moves = spark.createDataFrame([("A", 1.0, 3.0)], "curve_id string, tenor_y double, move_bp double")
