@@ -112,3 +112,23 @@ def test_lineage_equals_a_search(spark, seed):
     out = G.inherit_classification(spark.createDataFrame(rows, "child string, parent string"),
                                    spark.createDataFrame([(n, *v) for n, v in own.items()], "product_id string, sensitivity string, pii boolean"))
     assert {x.product_id: (x.sensitivity, x.pii) for x in out.collect()} == want
+
+
+def test_few_entities_of_a_bushy_tree_take_part_in_the_rounds(spark, monkeypatch):
+    seen = []
+    real = T.write_counted
+
+    def counted(df, name, where):
+        out, n = real(df, name, where)
+        seen.append((where, n))
+        return out, n
+    monkeypatch.setattr(T, "write_counted", counted)
+    # a binary tree of 1,023 entities under a chain of 20, and 500 that nobody owns and that own nobody
+    tree = spark.range(2, 1024).select(F.concat(F.lit("t"), "id").alias("child"), F.concat(F.lit("t"), F.floor(F.col("id") / 2)).alias("parent"))
+    chain = spark.range(1, 20).select(F.concat(F.lit("s"), "id").alias("child"), F.concat(F.lit("s"), F.col("id") - 1).alias("parent"))
+    links = tree.unionByName(chain).unionByName(spark.createDataFrame([("t1", "s19")], "child string, parent string"))
+    amounts = spark.range(1, 1024).select(F.concat(F.lit("t"), "id").alias("entity"), F.lit(1).cast("decimal(18,2)").alias("amount")).unionByName(
+        spark.range(500).select(F.concat(F.lit("p"), "id").alias("entity"), F.lit(2).cast("decimal(18,2)").alias("amount")))
+    got = {r.entity: r.consolidated_exposure for r in T.consolidated_exposure(amounts, links).collect()}
+    assert (got["s0"], got["s19"], got["t1"], got["t2"], got["t1023"], got["p7"]) == (1023, 1023, 1023, 511, 1, 2) and len(got) == 1543
+    assert max(n for where, n in seen if where == "far IS NOT NULL") < 100      # all owned entities took part before
