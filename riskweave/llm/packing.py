@@ -25,13 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, freed, pick, slices, write_table
-from .words import IdStore, split_codes
+from .words import IdStore, split_words
 
 CAPACITY = 2048
 END_ID = 0
 ITEMS_PER_TASK = 50_000
 FULL_SLACK = 8
 CACHE_WORDS = 100_000
+MARKS = ".,"
+WHOLE = "\n"     # in no word
+LATIN = r"^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+[.,]?$"
 SLICE = 2 << 20  # ids, codes and places of a slice's words take some 20 times its text
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -48,49 +51,51 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordIds(IdStore):
-    """Token ids by white-space word, each distinct word tokenized once.
+    """Token ids by white-space word, each distinct one tokenized once.
 
     The tokenizer drops white space before it splits, so the ids of a text are those
     of its words in order. Only space and line feed part words here; any other white
-    space stays inside and is the tokenizer's business. A word of Latin letters alone,
-    or with one stop or comma after them, needs of the tokenizer's steps only lower
-    case, byte letters and the model; the others go through the whole tokenizer.
+    space stays inside and is the tokenizer's business. A word of Latin letters alone
+    needs of the tokenizer's steps only lower case, byte letters and the model; with one
+    stop or comma after them it is that word and the mark. So the store holds lower-case
+    stems; the other words go through the whole tokenizer and are kept after a WHOLE.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.marks = {m: self._whole(m) for m in ".,"}
         super().__init__(cache_words)
 
-    def _whole(self, word: str) -> bytes:
-        return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-
-    def clear(self) -> None:
-        super().clear()
-        self.stems: dict[str, bytes] = {}  # ids as 32-bit integers
-
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [self._ids(w) for w in words]
-        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), np.int32), n
-
-    def _ids(self, word: str) -> bytes:
-        stem, mark = (word, "") if word[-1:] not in self.marks else (word[:-1], word[-1])
-        if not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0100"):
-            return self._whole(word)
-        stem = stem.lower()
-        ids = self.stems.get(stem)
-        if ids is None:
-            text = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
-            ids = self.stems[stem] = array("i", [t.id for t in self.model.tokenize(text)]).tobytes()
-        return ids + self.marks[mark] if mark else ids
+        ids, n = array("i"), []
+        for word in words:
+            if word[0] == WHOLE:
+                new = self.tokenizer.encode(word[1:], add_special_tokens=False).ids
+            else:
+                text = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                new = [t.id for t in self.model.tokenize(text)]
+            ids.extend(new)
+            n.append(len(new))
+        return np.frombuffer(ids, np.int32), np.array(n, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of an Arrow array of texts; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        return self.lookup(*split_codes(pc.replace_substring(texts, "\n", " "), " "))
+        words, codes, off = split_words(pc.replace_substring(texts, "\n", " "), " ")
+        latin = pc.match_substring_regex(words, LATIN)
+        whole, empty = (pa.scalar(x, pa.large_string()) for x in (WHOLE, ""))
+        stems = pc.if_else(latin, pc.utf8_rtrim(pc.utf8_lower(words), MARKS), pc.binary_join_element_wise(whole, words, empty))
+        coded = pa.concat_arrays([stems, pa.array([WHOLE + m for m in MARKS], pa.large_string())]).dictionary_encode()
+        at = np.asarray(coded.indices)
+        stem, mark = at[:len(words)], np.full(len(words), -1, at.dtype)
+        for m, k in zip(MARKS, at[len(words):], strict=True):
+            mark[np.asarray(pc.and_(latin, pc.ends_with(words, m)))] = k
+        # each word is its stem and, where it has one, its mark
+        pairs = np.stack([stem, mark], 1)[codes]
+        ends = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(1 + (pairs[:, 1] >= 0), out=ends[1:])
+        return self.lookup(coded.dictionary.to_pylist(), pairs[pairs >= 0], ends[off])
 
 
 @lru_cache(maxsize=2)

@@ -7,14 +7,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def split_codes(texts: pa.Array, separator: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+def split_words(texts: pa.Array, separator: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(distinct words, code of each word, offsets by text); empty words are among them."""
     parts = pc.split_pattern(texts, separator)
     coded = parts.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
     off = np.asarray(parts.offsets, np.int64) - parts.offsets[0].as_py()
-    return coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64), off
+    return coded.dictionary, np.asarray(coded.indices).astype(np.int64), off
+
+
+def split_codes(texts: pa.Array, separator: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``split_words`` with the distinct words as a list."""
+    words, codes, off = split_words(texts, separator)
+    return words.to_pylist(), codes, off
 
 
 class IdStore:

@@ -112,3 +112,14 @@ print(peak() - before)
 def test_a_task_holds_little_beside_its_rows():
     out = subprocess.run([sys.executable, "-c", MEMORY.replace("PATH", repr(PATH))], capture_output=True, text=True, check=True, timeout=300)
     assert float(out.stdout) < 150      # 16 MB of texts; 287 with slices of 10 MB and a store of 600,000 words
+
+
+def test_spellings_of_a_word_share_a_stem():
+    """The model runs once a lower-case stem, not once a spelling with its stop or comma."""
+    enc = packing.WordIds(PATH)
+    words = ["Haus", "haus", "HAUS.", "haus,", "Haus.", "Größe,", "größe", "h4us", "haus..", "."]
+    ids, at = enc.encode(pa.array([" ".join(words), None, "haus, GRÖßE."]))
+    whole = lambda t: enc.tokenizer.encode(t, add_special_tokens=False).ids
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [whole(" ".join(words)), [], whole("haus, größe.")]
+    # two stems, two marks, two words for the whole tokenizer, and the empty one
+    assert len(enc.slot) == 7
