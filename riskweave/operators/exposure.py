@@ -44,15 +44,18 @@ def hidden_exposure(anomaly: DataFrame, variants: DataFrame) -> DataFrame:
     number of distinct variants and of distinct source systems of those variants
     (the variant table's system, not the fact's).
 
-    The fact is reduced to (code, date, variant) before the join with variants.
+    The fact is reduced to (code, date, variant) before the join with variants. A variant
+    listed several times is counted at one of its rows, so that systems are the only
+    distinct count: two of them would multiply the rows (Expand) before they are shuffled.
     """
     per_variant = (anomaly.groupBy("counterparty_code", "as_of_date", "variant_id")
                           .agg(F.sum("base_total_exposure").alias("_x"), F.count("*").alias("_n")))
     nv = variants.select("variant_id", F.col("source_system").alias("_variant_system"))
-    j = per_variant.join(nv, "variant_id")
+    each = Window.partitionBy("counterparty_code", "as_of_date", "variant_id").orderBy("_variant_system")
+    j = per_variant.join(nv, "variant_id").withColumn("_nth", F.row_number().over(each))
     return (j.groupBy("counterparty_code", "as_of_date")
              .agg(F.sum("_x").cast("decimal(38,2)").alias("hidden_exposure"),
-                  F.countDistinct("variant_id").alias("variant_count"),
+                  F.count(F.when(F.col("_nth") == 1, 1)).alias("variant_count"),
                   F.countDistinct("_variant_system").alias("source_system_count")))
 
 

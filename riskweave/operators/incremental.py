@@ -10,8 +10,9 @@ dimensions, and no fact table.
 
 Every partition carries the number of the last change set applied to it. A set is applied
 to a partition once: a refresh that failed half-way is run again with the same number, and
-skips what it had done. New contents are written in the shared scratch folder before
-they replace a partition, so nothing is overwritten by a plan that still reads it.
+skips what it had done. New contents are staged beside the store by Spark's dynamic
+partition overwrite and replace a partition when the last task has ended, so nothing is
+overwritten by a plan that still reads it.
 """
 
 from __future__ import annotations
@@ -54,8 +55,9 @@ def change_set(before: DataFrame | None = None, after: DataFrame | None = None)
     return _net(reduce(DataFrame.unionByName, [p for p in (back, after) if p is not None]))
 
 
-def _net(rows: DataFrame) -> DataFrame:
-    return (rows.groupBy(*GROUP).agg(F.sum("amount").cast(TOTAL).alias("amount"), F.sum("n").alias("n"))
+def _net(rows: DataFrame, *also: str) -> DataFrame:
+    """Signed rows summed to their groups; those that cancel out go. ``also``: columns that follow from the group."""
+    return (rows.groupBy(*GROUP, *also).agg(F.sum("amount").cast(TOTAL).alias("amount"), F.sum("n").alias("n"))
                 .filter((F.col("n") != 0) | (F.col("amount") != 0)))
 
 
@@ -89,8 +91,8 @@ class ExposureStore:
         return [(r["as_of_date"], r["bucket"]) for r in df.select("as_of_date", "bucket").distinct().collect()]
 
     def _put(self, df: DataFrame, path: str) -> None:
-        """Replace the partitions that ``df`` has rows of."""
-        (write_scratch(df, "exposure-store").repartition("as_of_date", "bucket").write.mode("overwrite")
+        """Replace the partitions that ``df`` has rows of, dealt by partition. It may read them: they stay until all tasks have written."""
+        (df.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("as_of_date", "bucket").parquet(path))
 
     def state(self, parts: list[Partition] | None = None) -> DataFrame:
@@ -116,12 +118,15 @@ class ExposureStore:
             raise ValueError(f"the store has not {self.buckets} buckets")
         todo = [p for p in touched if p not in marks or marks[p]["applied"] < number]
         if todo:
-            names = [*GROUP, "amount", "n"]
-            new = _net(self.state(todo).filter(F.col("kind") != MARK).select(names).unionByName(deltas.filter(_within(todo)).select(names)))
+            names = [*GROUP, "amount", "n", "bucket"]
+            old = self.state(todo).filter(F.col("kind") != MARK).select(names)
+            rows = old.unionByName(deltas.filter(_within(todo)).select(names)).unionByName(self._marks(todo, number).select(names))
+            # dealt by partition before the sums, which then need no shuffle of their own
+            new = _net(rows.repartition("as_of_date", "bucket"), "bucket")
             bad = (F.col("n") <= 0)
             new = new.withColumn("n", F.when(~bad, F.col("n")).otherwise(F.raise_error(F.concat(
                 F.lit("change set retracts facts that are not in the store: "), F.concat_ws(" ", *GROUP))).cast("long")))
-            self._put(self._bucketed(new).withColumn("applied", F.lit(number).cast("long")).unionByName(self._marks(todo, number)), self.state_path)
+            self._put(new.withColumn("applied", F.lit(number).cast("long")), self.state_path)
         return touched
 
     def derive(self, variants: DataFrame, dim: DataFrame, legal_entity: DataFrame, parts: list[Partition] | None = None) -> DataFrame:
@@ -137,7 +142,7 @@ class ExposureStore:
             rows = self._bucketed(self.derive(variants, dim, legal_entity, parts)).withColumn("is_mark", F.lit(False))
             marks = self.spark.createDataFrame([(d, b, True) for d, b in parts], "as_of_date date, bucket int, is_mark boolean")
             # a partition that has lost all its rows is replaced by its mark
-            self._put(rows.unionByName(marks, allowMissingColumns=True), self.summary_path)
+            self._put(rows.unionByName(marks, allowMissingColumns=True).repartition("as_of_date", "bucket"), self.summary_path)
 
     def refresh(self, changes: DataFrame, number: int, variants: DataFrame, dim: DataFrame, legal_entity: DataFrame) -> list[Partition]:
         """Apply a change set and rewrite the touched part of the summary."""

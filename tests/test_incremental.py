@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,23 @@ def test_another_number_of_buckets_is_refused(spark, rig, tmp_path):
     other = I.ExposureStore(spark, str(tmp_path / "store"), buckets=1)
     with pytest.raises(ValueError, match="buckets"):
         other.apply(I.change_set(after=I.exposure_entries(frame(spark, [one(c, DAYS[0], 1) for c in CODES]))), 1)
+
+
+def test_a_refresh_writes_its_contents_once(spark, rig):
+    store, d = rig
+    store.refresh_summary(*d, store.create(I.exposure_entries(frame(spark, [one("c1", DAYS[0], 10)]))))
+    copies = lambda: len(list(Path(spark.conf.get("spark.checkpoint.dir")).rglob("exposure-store-*")))
+    before = copies()
+    store.refresh(I.change_set(after=I.exposure_entries(frame(spark, [one("c1", DAYS[0], 5)]))), 1, *d)
+    assert copies() == before
+
+
+def test_hidden_exposure_of_variants_listed_several_times(spark):
+    """Two distinct counts would send every row three times (Expand)."""
+    listed = [("v1", "s1"), ("v1", "s1"), ("v1", "s2"), ("v2", "s1"), ("v3", None), ("v4", "s9"), (None, "s8")]
+    variants = spark.createDataFrame(listed, "variant_id string, source_system string")
+    got = C.hidden_exposure(frame(spark, [one("c1", DAYS[0], 10, "v1"), one("c1", DAYS[0], 2, "v1"), one("c1", DAYS[0], 5, "v2"),
+                                          one("c2", DAYS[1], 7, "v3"), one("c2", DAYS[1], 1, None), one(None, None, 3, "v1")]), variants)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.counterparty_code, r.hidden_exposure, r.variant_count, r.source_system_count) for r in got.collect()} == {
+        ("c1", 41, 2, 2), ("c2", 7, 1, 0), (None, 9, 1, 2)}
