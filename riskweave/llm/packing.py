@@ -12,6 +12,8 @@ doc_ids are packed row by row; no document gives no row.
 
 from __future__ import annotations
 
+import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,10 +33,11 @@ CAPACITY = 2048
 END_ID = 0
 ITEMS_PER_TASK = 50_000
 FULL_SLACK = 8
-CACHE_WORDS = 100_000
-MARKS = ".,"
+CACHE_WORDS = 200_000
 WHOLE = "\n"     # in no word
-LATIN = r"^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+[.,]?$"
+MARKS = string.punctuation
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
+LATIN = f"^[{LETTERS}]+[{re.escape(MARKS)}]*$"
 SLICE = 2 << 20  # ids, codes and places of a slice's words take some 20 times its text
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -56,9 +59,9 @@ class WordIds(IdStore):
     The tokenizer drops white space before it splits, so the ids of a text are those
     of its words in order. Only space and line feed part words here; any other white
     space stays inside and is the tokenizer's business. A word of Latin letters alone
-    needs of the tokenizer's steps only lower case, byte letters and the model; with one
-    stop or comma after them it is that word and the mark. So the store holds lower-case
-    stems; the other words go through the whole tokenizer and are kept after a WHOLE.
+    needs of the tokenizer's steps only lower case, byte letters and the model; with
+    ASCII marks after them it is that word and their run. So the store holds lower-case
+    stems; runs and other words go through the whole tokenizer and are kept after a WHOLE.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -84,14 +87,13 @@ class WordIds(IdStore):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         words, codes, off = split_words(pc.replace_substring(texts, "\n", " "), " ")
         latin = pc.match_substring_regex(words, LATIN)
-        whole, empty = (pa.scalar(x, pa.large_string()) for x in (WHOLE, ""))
-        stems = pc.if_else(latin, pc.utf8_rtrim(pc.utf8_lower(words), MARKS), pc.binary_join_element_wise(whole, words, empty))
-        coded = pa.concat_arrays([stems, pa.array([WHOLE + m for m in MARKS], pa.large_string())]).dictionary_encode()
-        at = np.asarray(coded.indices)
-        stem, mark = at[:len(words)], np.full(len(words), -1, at.dtype)
-        for m, k in zip(MARKS, at[len(words):], strict=True):
-            mark[np.asarray(pc.and_(latin, pc.ends_with(words, m)))] = k
-        # each word is its stem and, where it has one, its mark
+        whole, empty, none = (pa.scalar(x, pa.large_string()) for x in (WHOLE, "", None))
+        runs = pc.if_else(latin, pc.utf8_ltrim(words, LETTERS), empty)
+        stems = pc.if_else(latin, pc.utf8_lower(pc.utf8_rtrim(words, MARKS)), pc.binary_join_element_wise(whole, words, empty))
+        marks = pc.if_else(pc.equal(runs, empty), none, pc.binary_join_element_wise(whole, runs, empty))
+        coded = pa.concat_arrays([stems, marks]).dictionary_encode()
+        stem, mark = np.asarray(coded.indices.fill_null(-1)).reshape(2, -1)
+        # each word is its stem and, where it has one, its run of marks
         pairs = np.stack([stem, mark], 1)[codes]
         ends = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(1 + (pairs[:, 1] >= 0), out=ends[1:])

@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from riskweave.llm import packing
+from riskweave.llm.words import IdStore
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", None, " a\tb\x0bc　d\x85e  ", "<|endoftext|> x<|startoftext|>y", "I'm we'll don't 'S", "H̱ Á İI ΑΣ", "\n\n",
@@ -94,6 +95,7 @@ MEMORY = """
 import random, resource
 import pyarrow as pa
 from riskweave.llm import packing
+from riskweave.llm.words import IdStore
 packing._bin_id = lambda level, k: (level << 56) + k    # no task here
 rng = random.Random(3)
 def batches(n):
@@ -123,3 +125,31 @@ def test_spellings_of_a_word_share_a_stem():
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [whole(" ".join(words)), [], whole("haus, größe.")]
     # two stems, two marks, two words for the whole tokenizer, and the empty one
     assert len(enc.slot) == 7
+
+
+def test_runs_of_marks_are_parted_from_their_stem(library):
+    """Only the run goes through the whole tokenizer, once for all stems."""
+    enc = packing.WordIds(PATH)
+    words = ["Haus%%%", "haus!?", "HAUS", "größe%%%", "a<|", "l'", "x...", "'s", "d'|>", "ªº--", "don't!", "(k)", "É\\]^_`{~"]
+    text = " ".join(words)
+    ids, _ = enc.encode(pa.array([text]))
+    assert ids.tolist() == ids_of(library, text)
+    # parted words leave no entry of their own
+    assert {w[1:] for w in enc.slot if w[:1] == packing.WHOLE} == {"%%%", "!?", "<|", "'", "...", "'|>", "--", "\\]^_`{~",
+                                                                 "'s", "don't!", "(k)"}
+
+
+def test_a_full_store_keeps_the_words_in_use():
+    """Words that most calls ask for stay when the store is full; it forgot them all before."""
+    class Lengths(IdStore):
+        def encode_words(self, words):
+            learnt.extend(words)
+            return np.array([len(w) for w in words for _ in w], np.int32), np.array([len(w) for w in words], np.int64)
+
+    learnt, store, used = [], Lengths(20), [f"used{'x' * k}" for k in range(8)]
+    for call in range(30):
+        words = [*used, *(f"{call}-{k}" for k in range(7)), ""]
+        ids, off = store.lookup(words, np.arange(len(words))[::-1], np.arange(len(words) + 1))
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:], strict=False)] == [[len(w)] * len(w) for w in words[::-1]]
+        assert len(store.slot) <= 20 + len(words)
+    assert all(learnt.count(w) == 1 for w in [*used, ""])
