@@ -46,30 +46,34 @@ def rarity(total: Column, names: Column) -> Column:
     return F.round(1000 * F.log(1 + total / names)).cast("long")
 
 
-def _ranked_tokens(names: DataFrame, weights: DataFrame, unknown: int) -> DataFrame:
-    """A row per name and token, rarest first: (name, pos, token, rest, total, toks). ``rest`` is
-    the weight from this token on, ``toks`` the whole set and ``own`` its tokens. Tokens in no name
-    of the dictionary are rarest of all, and weigh ``unknown``; ``parts`` is in how many parts a
-    token's names are joined."""
-    split = names.select("name", F.explode(F.array_distinct(tokens("name"))).alias("token"))
-    known = dealt(split.join(weights.select("token", "names", "weight"), "token", "left").select(
-        "name", "token", F.coalesce("names", F.lit(0)).alias("names"), F.coalesce("weight", F.lit(unknown)).alias("weight")), "name")
-    # a name's tokens are few: the arrays and the window hold one name's tokens each
-    by_name = Window.partitionBy("name").orderBy("names", "token")
-    whole = by_name.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return known.select(
-        "name", "token", F.row_number().over(by_name).alias("pos"), F.sum("weight").over(whole).alias("total"),
-        F.sum("weight").over(by_name.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("rest"),
-        F.collect_list(F.struct("token", "weight")).over(whole).alias("toks"), F.collect_list("token").over(whole).alias("own"),
-        (F.floor(F.col("names") / HOT_NAMES) + 1).cast("int").alias("parts"))
-
-
-def _meet(x: DataFrame, y: DataFrame) -> DataFrame:
-    """Rows of ``x`` and ``y`` with a common token. The names of a frequent token are dealt over
-    its ``parts`` and each row of ``x`` goes to all of them, so no task has a whole token."""
-    few = x.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("x_parts") - 1))).drop("x_parts")
-    many = y.withColumn("_part", F.pmod(F.xxhash64("y_name"), F.col("y_parts")).cast("int")).drop("y_parts")
-    return dealt(few, "token", "_part").join(grown(dealt(many, "token", "_part")), ["token", "_part"])
+def _token_sets(names: DataFrame, words: DataFrame, unknown: int) -> DataFrame:
+    """(name, toks, total): a name's tokens of ``words``, rarest first, and the weight of all its
+    tokens. Tokens that are not in ``words`` meet no name; they count in ``total`` alone, where
+    they weigh ``unknown``."""
+    known = dealt(names.select("name", F.explode(F.array_distinct(tokens("name"))).alias("token")).join(grown(words), "token", "left").drop("token"), "name")
+    # a name's tokens are few: the arrays hold one name's tokens each
+    tok = F.when(F.col("id").isNotNull(), F.struct("names", "id", "weight", "probes"))
+    return known.groupBy("name").agg(F.sort_array(F.collect_list(tok)).alias("toks"), F.sum(F.coalesce("weight", F.lit(unknown))).alias("total"))
+
+
+def _placed(sets: DataFrame, side: str) -> DataFrame:
+    """A row per name and token: (id, names, probes, name, pos, rest, total, own, weights), all but
+    the first three named by ``side``. ``rest`` is the weight from this token on, ``own`` and
+    ``weights`` are the whole set."""
+    rest = F.aggregate(F.slice("toks", F.col("_p") + 1, F.size("toks")), F.lit(0).cast("long"), lambda a, t: a + t["weight"])
+    return sets.select("name", "total", "toks", F.posexplode("toks").alias("_p", "_t")).select(
+        "_t.id", "_t.names", "_t.probes", F.col("name").alias(f"{side}_name"), (F.col("_p") + 1).alias(f"{side}_pos"), rest.alias(f"{side}_rest"),
+        F.col("total").alias(f"{side}_total"), F.col("toks.id").alias(f"{side}_own"), F.col("toks.weight").alias(f"{side}_weights"))
+
+
+def _meet(few: DataFrame, many: DataFrame, side: str, held: str) -> DataFrame:
+    """Rows of ``few`` and ``many`` with a common token, of which ``held`` counts the names on the
+    side of ``many``, named by ``side``. The names of a frequent token are dealt over parts and
+    each row of ``few`` goes to all of them, so no task has a whole token."""
+    last = F.floor(F.col(held) / HOT_NAMES).cast("int")
+    few = few.withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("names", "probes")
+    many = many.withColumn("_part", F.pmod(F.xxhash64(f"{side}_name"), last + 1).cast("int")).drop("names", "probes")
+    return dealt(few, "id", "_part").join(grown(dealt(many, "id", "_part")), ["id", "_part"])
 
 
 def similar_names(probes: DataFrame, names: DataFrame, threshold: float = 0.8, measure: str = "overlap",
@@ -80,39 +84,47 @@ def similar_names(probes: DataFrame, names: DataFrame, threshold: float = 0.8, m
     that over the union's. Weights are rarities among the names (``token_weights``).
 
     Tokens have one order, rarest first. Sets that are similar enough share a token that lies
-    before the point where less than ``threshold`` of a set's weight is left: of both sets for
-    ``jaccard``, of the lighter one for ``overlap``. Only those prefixes are joined, so common
-    words meet only where a name has nothing rarer. A pair is kept at its first common token
-    alone, so it comes once without a ``distinct``; there the weights that are left bound what
-    the sets can have in common, before the sets are compared. Integer weights make the
-    comparison exact.
+    before the point where less than a share of a set's weight is left: of ``threshold`` for the
+    lighter set in ``overlap`` and the heavier one in ``jaccard``, of 2 threshold / (1 + threshold)
+    for the lighter one in ``jaccard``. Only those prefixes are joined, the lighter set's being
+    copied to the parts of a frequent token, so common words meet, and are copied, only where a
+    name has nothing rarer. A pair is kept at its first common token alone, so it comes once
+    without a ``distinct``; there the weights that are left bound what the sets can have in
+    common, before the sets are compared. Integer weights make the comparison exact.
+
+    When called it writes the distinct names, the tokens (numbered, as numbers are shorter and
+    quicker to compare) and the token sets of both sides; the join is lazy.
     """
     if measure not in ("overlap", "jaccard"):
         raise ValueError("measure must be 'overlap' or 'jaccard'")
     permille = round(threshold * 1000)
-    weights = token_weights(names, name)
+    probes, names = (write_scratch(df.select(F.col(c).alias("name")).filter("name IS NOT NULL").distinct(), "names") for df, c in ((probes, probe), (names, name)))
+    weights = token_weights(names, "name")
+    said = probes.select(F.explode(F.array_distinct(tokens("name"))).alias("token")).groupBy("token").agg(F.count("*").alias("probes"))
+    words = write_scratch(weights.join(grown(said), "token", "left").select(
+        "token", "names", F.coalesce("probes", F.lit(0).cast("long")).alias("probes"), "weight", "_total", F.monotonically_increasing_id().alias("id")), "name-tokens")
     # what a token of one name weighs; the number of names is a constant column
-    one = weights.select(rarity(F.col("_total"), F.lit(1)).alias("w")).first()
-    unknown = one["w"] if one else 1
-    x = _ranked_tokens(probes.select(F.col(probe).alias("name")).filter("name IS NOT NULL").distinct(), weights, unknown)
-    y = _ranked_tokens(names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct(), weights, unknown)
-    x = x.withColumnsRenamed({c: f"x_{c}" for c in ("name", "pos", "rest", "total", "toks", "own", "parts")})
-    y = y.withColumnsRenamed({c: f"y_{c}" for c in ("name", "pos", "rest", "total", "own", "parts")}).drop("toks")
+    one = words.select(rarity(F.col("_total"), F.lit(1)).alias("w")).first()
+    words, unknown = words.drop("_total"), one["w"] if one else 1
+    x, y = (_placed(write_scratch(_token_sets(df, words, unknown), "token-sets"), side) for df, side in ((probes, "x"), (names, "y")))
+    y = y.filter("probes > 0").drop("y_pos", "y_weights")
     wx, wy = F.col("x_total"), F.col("y_total")
-    prefix = lambda df, s: df.filter(1000 * F.col(f"{s}_rest") >= permille * F.col(f"{s}_total"))
+    left = lambda side, of, share: of * F.col(f"{side}_rest") >= share * F.col(f"{side}_total")
     if measure == "overlap":
-        met = (_meet(prefix(x, "x"), y).filter(wx <= wy)
-               .unionByName(_meet(x, prefix(y, "y")).filter(wy < wx)))
+        met = (_meet(x.filter(left("x", 1000, permille)), y, "y", "names").filter(wx <= wy)
+               .unionByName(_meet(y.filter(left("y", 1000, permille)), x, "x", "probes").filter(wy < wx)))
         base = lambda common: F.least(wx, wy)
     else:
-        met = _meet(prefix(x, "x"), prefix(y, "y")).filter((1000 * wy >= permille * wx) & (1000 * wx >= permille * wy))
+        light, heavy = (1000 + permille, 2 * permille), (1000, permille)
+        met = (_meet(x.filter(left("x", *light)), y.filter(left("y", *heavy)), "y", "names").filter((wx <= wy) & (1000 * wx >= permille * wy))
+               .unionByName(_meet(y.filter(left("y", *light)), x.filter(left("x", *heavy)), "x", "probes").filter((wy < wx) & (1000 * wy >= permille * wx))))
         base = lambda common: wx + wy - common
     enough = lambda common: 1000 * common >= permille * base(common)
     met = met.filter(enough(F.least("x_rest", "y_rest")))
     earlier = F.slice("x_own", 1, F.col("x_pos") - 1)
     met = met.filter(~F.arrays_overlap(earlier, F.col("y_own")))
-    common = F.aggregate(F.filter("x_toks", lambda t: F.array_contains("y_own", t["token"])), F.lit(0).cast("long"),
-                         lambda a, t: a + t["weight"])
+    common = F.aggregate(F.zip_with("x_own", "x_weights", lambda t, w: F.when(F.array_contains("y_own", t), w).otherwise(F.lit(0).cast("long"))),
+                         F.lit(0).cast("long"), lambda a, w: a + w)
     out = met.withColumn("_common", common).filter(enough(F.col("_common")))
     return out.select(F.col("x_name").alias(probe), F.col("y_name").alias(name),
                       F.round(F.col("_common") / base(F.col("_common")), 6).alias("similarity"))

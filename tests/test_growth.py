@@ -65,3 +65,15 @@ def test_fuzzy_search_broadcasts_no_neighbourhood(spark):
     assert {(r["booked_name"], r["counterparty_code"], r["distance"]) for r in out.select("booked_name", "counterparty_code", F.col("distance")).collect()} == {
         ("ACME", "1", 0), ("ACNE", "1", 1)}
     assert "Broadcast" not in plan(out)
+
+
+def test_common_words_are_not_copied(spark, monkeypatch):
+    """Rows are copied to the parts of a token only where it is in the lighter set's prefix: here never."""
+    names = spark.createDataFrame([(f"OWN{i} STONE TRADE LLC",) for i in range(60)], "variant_name string")
+    probes = spark.createDataFrame([(f"TRADE STONE OWN{i}",) for i in range(60)], "booked_name string")
+    monkeypatch.setattr(M, "HOT_NAMES", 2)
+    joined, deal = [], M.dealt
+    monkeypatch.setattr(M, "dealt", lambda df, *keys: (joined.append(df) if "_part" in keys else None) or deal(df, *keys))
+    out = M.similar_names(probes, names, 0.8, name="variant_name")
+    assert {(r["booked_name"], r["variant_name"]) for r in out.collect()} == {(f"TRADE STONE OWN{i}", f"OWN{i} STONE TRADE LLC") for i in range(60)}
+    assert sum(df.count() for df in joined) <= 60 * (1 + 4 + 1 + 3)
