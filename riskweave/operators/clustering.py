@@ -24,6 +24,22 @@ from ..session import write_counted, write_scratch
 from .hierarchy import climb
 
 
+def _valid(links: DataFrame) -> DataFrame:
+    return links.filter("a IS NOT NULL AND b IS NOT NULL AND a != b AND weight IS NOT NULL").withColumn("weight", F.col("weight").cast("double"))
+
+
+def strongest_to_names(links: DataFrame) -> DataFrame:
+    """Of links (a, b, weight) whose ``b`` are all canonical names: the strongest one of each ``a``.
+
+    Once that one is taken or refused, the cluster of ``a`` holds a canonical name, so its weaker
+    links to names can only be refused. ``cluster_records`` gives the same clusters without them
+    (their records are kept: ``a`` in its strongest link, ``b`` as a name).
+    """
+    link = F.struct((-F.col("weight")).alias("minus"), F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), "b")
+    best = _valid(links).groupBy("a").agg(F.min(link).alias("link"))
+    return best.select("a", "link.b", (-F.col("link.minus")).alias("weight"))
+
+
 def cluster_records(links: DataFrame, canonical: DataFrame) -> DataFrame:
     """(record, cluster_id, has_canonical) of every record in ``links`` (a, b, weight) or ``canonical`` (record).
 
@@ -32,8 +48,7 @@ def cluster_records(links: DataFrame, canonical: DataFrame) -> DataFrame:
     weight are none. Runs when called, at most log2(records) rounds.
     """
     named = write_scratch(canonical.select("record").filter("record IS NOT NULL").distinct(), "cluster-names")
-    pairs = links.filter("a IS NOT NULL AND b IS NOT NULL AND a != b AND weight IS NOT NULL").select(
-        F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.col("weight").cast("double").alias("weight"))
+    pairs = _valid(links).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), "weight")
     best = F.min(F.struct((-F.col("weight")).alias("minus"), F.col("u"), F.col("v")))
     edges = write_scratch(pairs.groupBy(F.col("u").alias("cu"), F.col("v").alias("cv")).agg(best.alias("link")), "cluster-links")
     seeds = named.select(F.col("record").alias("_s"))

@@ -190,18 +190,25 @@ def q_abbreviation_matches(spark, d):
     return M.abbreviation_matches(bd.issuer_bookings(spark, d), bd.issuer_variants(spark, d))
 
 
-def _record_links(spark, d):
-    """Links of booked names to canonical ones and to each other, by how much they share."""
+def _name_links(spark, d):
+    """Links of booked names to canonical ones, and to each other, by how much they share."""
     booked, canon = bd.issuer_bookings(spark, d).select("booked_name"), _canonical_issuers(spark, d)
     near = M.similar_names(booked, canon, 0.5, "overlap").select(F.col("booked_name").alias("a"), F.col("canonical_name").alias("b"), F.col("similarity").alias("weight"))
     same = M.similar_names(booked, booked.withColumnRenamed("booked_name", "name"), 0.5, "jaccard", name="name").filter("booked_name < name")
-    return near.unionByName(same.select(F.col("booked_name").alias("a"), F.col("name").alias("b"), F.col("similarity").alias("weight")))
+    return near, same.select(F.col("booked_name").alias("a"), F.col("name").alias("b"), F.col("similarity").alias("weight"))
+
+
+def _record_links(spark, d):
+    near, same = _name_links(spark, d)
+    return near.unionByName(same)
 
 
 @query("cluster_records")
 def q_cluster_records(spark, d):
     """Booked and canonical issuer names as clusters of one canonical name at most."""
-    return K.cluster_records(write_scratch(_record_links(spark, d), "record-links"), _canonical_issuers(spark, d).select(F.col("canonical_name").alias("record")))
+    near, same = _name_links(spark, d)
+    links = write_scratch(K.strongest_to_names(near).unionByName(same), "record-links")
+    return K.cluster_records(links, _canonical_issuers(spark, d).select(F.col("canonical_name").alias("record")))
 
 
 @query("as_of_join")

@@ -65,3 +65,23 @@ def test_the_query_equals_links_taken_one_by_one(spark):
     names = {r.canonical_name for r in bound._canonical_issuers(spark, SF_SMALL).collect()}
     got = {r.record: (r.cluster_id, r.has_canonical) for r in bound.REGISTRY["cluster_records"](spark, SF_SMALL).collect()}
     assert len(links) > 300 and got == one_by_one(links, names)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_weaker_links_to_names_change_no_cluster(spark, seed):
+    r = random.Random(seed)
+    names, others = [f"n{i}" for i in range(9)], [f"r{i:02d}" for i in range(40)]
+    near = [(r.choice([*others, *names]), r.choice(names), r.choice([0.5, 0.7, 0.7, 0.9, None])) for _ in range(120)] + [(None, "n1", 1.0), ("r00", None, 1.0)]
+    same = [(r.choice(others), r.choice(others), r.choice([0.4, 0.6, 0.8, 0.95])) for _ in range(40)]
+    best = [tuple(x) for x in K.strongest_to_names(spark.createDataFrame(near, "a string, b string, weight double")).collect()]
+    assert len(best) == len({a for a, _, _ in best}) and set(best) <= set(near)
+    assert clusters(spark, best + same, set(names)) == one_by_one(near + same, set(names))
+
+
+def test_the_query_keeps_one_link_to_a_name_for_each_record(spark, monkeypatch):
+    kept, write = {}, bound.write_scratch
+    monkeypatch.setattr(bound, "write_scratch", lambda df, name: kept.setdefault(name, write(df, name)))
+    bound.REGISTRY["cluster_records"](spark, SF_SMALL)
+    names = {r.canonical_name for r in bound._canonical_issuers(spark, SF_SMALL).collect()}
+    to_names = [r.a for r in kept["record-links"].collect() if r.b in names]
+    assert to_names and len(to_names) == len(set(to_names))
