@@ -69,7 +69,10 @@ def _placed(sets: DataFrame, side: str) -> DataFrame:
 def _meet(few: DataFrame, many: DataFrame, side: str, held: str) -> DataFrame:
     """Rows of ``few`` and ``many`` with a common token, of which ``held`` counts the names on the
     side of ``many``, named by ``side``. The names of a frequent token are dealt over parts and
-    each row of ``few`` goes to all of them, so no task has a whole token."""
+    each row of ``few`` goes to all of them, so no task has a whole token. Names of a frequent
+    token that no row of ``few`` has stay where they are."""
+    busy = write_scratch(few.filter(F.col(held) >= HOT_NAMES).select("id").distinct().withColumn("_busy", F.lit(True)), "busy-tokens")
+    many = many.join(busy, "id", "left").filter((F.col(held) < HOT_NAMES) | F.col("_busy")).drop("_busy")
     last = F.floor(F.col(held) / HOT_NAMES).cast("int")
     few = few.withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("names", "probes")
     many = many.withColumn("_part", F.pmod(F.xxhash64(f"{side}_name"), last + 1).cast("int")).drop("names", "probes")
@@ -93,7 +96,8 @@ def similar_names(probes: DataFrame, names: DataFrame, threshold: float = 0.8, m
     common, before the sets are compared. Integer weights make the comparison exact.
 
     When called it writes the distinct names, the tokens (numbered, as numbers are shorter and
-    quicker to compare) and the token sets of both sides; the join is lazy.
+    quicker to compare), the token sets of both sides and the frequent tokens of the prefixes; the
+    join is lazy.
     """
     if measure not in ("overlap", "jaccard"):
         raise ValueError("measure must be 'overlap' or 'jaccard'")
@@ -216,8 +220,9 @@ def abbreviation_matches(probes: DataFrame, variants: DataFrame, max_letters: in
     # every short name has one cut into single letters
     plain = short.select("booked_name", F.array_join(tokens("booked_name"), "").alias("_i")).join(grown(range_of(read, "_i")), "_i").select(
         "booked_name", "_lo", "_hi")
-    two = read.select("counterparty_code", "words", "_i", F.posexplode("words").alias("_p", "_word")).filter(F.length("_word") > 1).select(
-        "counterparty_code", "words", "_i", (F.col("_p") + 1).alias("_p"), F.substring("_word", 1, 2).alias("_two"))
+    # the words as one text, which is shorter than a list where the names go to the join
+    two = read.select("counterparty_code", F.array_join("words", " ").alias("_name"), "_i", F.posexplode("words").alias("_p", "_word")).filter(F.length("_word") > 1).select(
+        "counterparty_code", "_name", "_i", (F.col("_p") + 1).alias("_p"), F.substring("_word", 1, 2).alias("_two"))
     initials = F.regexp_replace("cut", "([^ ])[^ ]* ?", "$1")
     pieces = cuts.filter(F.col("cut").rlike("[^ ]{2}")).select("booked_name", "cut", initials.alias("_i"), F.split("cut", " ").alias("_w"))
     keyed = pieces.withColumn("_lengths", F.transform("_w", lambda w: F.length(w))).withColumn(
@@ -225,8 +230,9 @@ def abbreviation_matches(probes: DataFrame, variants: DataFrame, max_letters: in
         "_two", F.substring(F.element_at("_w", F.col("_p")), 1, 2))
     lengths = keyed.select("_i", "_p", "_two", "_lengths").distinct()
     # 252 cuts of a name at most (of ten letters into five pieces)
-    cut_to = F.array_join(F.zip_with("words", "_lengths", lambda w, n: F.substring(w, F.lit(1), n)), " ")
-    long_enough = F.forall(F.zip_with("words", "_lengths", lambda w, n: F.length(w) >= n), lambda x: x)
+    words = F.split("_name", " ")
+    cut_to = F.array_join(F.zip_with(words, "_lengths", lambda w, n: F.substring(w, F.lit(1), n)), " ")
+    long_enough = F.forall(F.zip_with(words, "_lengths", lambda w, n: F.length(w) >= n), lambda x: x)
     summed = range_of(two.join(grown(lengths), ["_i", "_p", "_two"]).filter(long_enough).select("counterparty_code", cut_to.alias("cut")), "cut")
     spelt = keyed.select("booked_name", "cut").join(grown(summed), "cut").select("booked_name", "_lo", "_hi")
     found = plain.unionByName(spelt).groupBy("booked_name").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))

@@ -77,3 +77,14 @@ def test_common_words_are_not_copied(spark, monkeypatch):
     out = M.similar_names(probes, names, 0.8, name="variant_name")
     assert {(r["booked_name"], r["variant_name"]) for r in out.collect()} == {(f"TRADE STONE OWN{i}", f"OWN{i} STONE TRADE LLC") for i in range(60)}
     assert sum(df.count() for df in joined) <= 60 * (1 + 4 + 1 + 3)
+
+
+def test_frequent_words_that_no_prefix_has_are_not_joined(spark, monkeypatch):
+    variants = spark.createDataFrame([(f"OWN{i} STONE TRADE LLC", f"{i}") for i in range(60)] + [("STONE BANK", "S")], "variant_name string, counterparty_code string")
+    probes = spark.createDataFrame([(f"TRADE STONE OWN{i}",) for i in range(60)] + [("BANK",), ("LLC STONE",)], "booked_name string")
+    monkeypatch.setattr(M, "HOT_NAMES", 2)
+    joined, deal = [], M.dealt
+    monkeypatch.setattr(M, "dealt", lambda df, *keys: (joined.append(df) if "_part" in keys else None) or deal(df, *keys))
+    got = {r["booked_name"]: (r["verdict"], r["counterparty_code"]) for r in M.resolve_by_tokens(probes, variants).collect()}
+    assert got == {f"TRADE STONE OWN{i}": (M.RESOLVED, f"{i}") for i in range(60)} | {"BANK": (M.RESOLVED, "S"), "LLC STONE": (M.AMBIGUOUS, None)}
+    assert sum(df.count() for df in joined) <= 60 * 8
